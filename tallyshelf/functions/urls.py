@@ -2,111 +2,144 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
-_CONTROL_EDGE = r"^[\x00-\x20]+"
-_SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
-_PARTS = r"^(?:[^:/?#]+:)?(?://[^/?#]*)?([^?#]*)"
+_NOISE = r"^[\x00-\x20]+|[\t\r\n]"
+_SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*:"
+_PARTS = rf"^(?:{_SCHEME})?(?://[^/?#]*)?([^?#]*)"
 _DOTTED = r"(?:^|/)\.\.?(?:/|$)"
 _BRACKET_HOST = r"^(?:[^@]*@)?\[(?:[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*|v[0-9A-Fa-f]+\.[^\[\]]+)\](?::.*)?$"
+# A rooted address that resolves by simply putting the origin in front of it.
+_PLAIN = (
+    r"^(?=/)(?:/[A-Za-z0-9_~%+,=@!$&'()*:-][A-Za-z0-9_.~%+,=@!$&'()*:-]*)*/?"
+    r"(?:\?[^#\x00-\x20]+)?(?:#[^\x00-\x20]+)?$"
+)
+_PLAIN_BASE = r"^https?://[^/?#\s]+"
 
 
 def _as_column(value: Column | str) -> Column:
     return F.lit(value) if isinstance(value, str) else value
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is computed once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _split_address(url: Column) -> Column:
+    """struct<scheme, host, path, params, query, fragment>; parameters belong to the last segment."""
+
+    def parts(u: Column) -> Column:
+        full = F.regexp_extract(u, _PARTS, 1)
+        return F.struct(
+            F.lower(F.regexp_extract(u, rf"^({_SCHEME})", 1)).alias("scheme"),
+            F.regexp_extract(u, rf"^(?:{_SCHEME})?//([^/?#]*)", 1).alias("host"),
+            F.regexp_replace(full, r";[^/]*$", "").alias("path"),
+            F.regexp_extract(full, r"^(?:.*/)?[^/;]*;([^/]*)$", 1).alias("params"),
+            F.regexp_extract(u, r"^[^#?]*\?([^#]*)", 1).alias("query"),
+            F.regexp_extract(u, r"#([\s\S]*)$", 1).alias("fragment"),
+        )
+
+    return _let(F.regexp_replace(url, _NOISE, ""), parts)
+
+
+def _prefixed(mark: str, value: Column) -> Column:
+    return F.when(value != "", F.concat(F.lit(mark), value)).otherwise(F.lit(""))
+
+
 def _drop_dots(path: Column) -> Column:
     """Resolve ``.`` and ``..`` segments of an absolute path."""
-    empty = F.array().cast("array<string>")
-    kept = F.aggregate(
-        F.split(path, "/"),
-        empty,
-        lambda acc, seg: F.when(seg == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
-        .when(seg == ".", acc)
-        .otherwise(F.concat(acc, F.array(seg))),
-    )
-    joined = F.array_join(kept, "/")
-    closed = F.when(path.rlike(r"(?:^|/)\.\.?$") & (F.size(kept) > 0), F.concat(joined, F.lit("/"))).otherwise(joined)
-    rooted = F.when(closed.startswith("/"), closed).otherwise(F.concat(F.lit("/"), closed))
-    return F.when(path.rlike(_DOTTED), rooted).otherwise(path)
+
+    def step(kept: Column, seg: Column) -> Column:
+        shorter = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))
+        return F.when(seg == "..", shorter).when(seg == ".", kept).otherwise(F.concat(kept, F.array(seg)))
+
+    def resolved(p: Column) -> Column:
+        kept = F.aggregate(F.split(p, "/"), F.array().cast("array<string>"), step)
+        ends_open = p.rlike(r"(?:^|/)\.\.?$")
+        with_end = F.when(ends_open, F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+        joined = F.regexp_replace(F.concat(F.lit("/"), F.array_join(with_end, "/")), "^/(?=/)", "")
+        return F.when(p.rlike(_DOTTED), joined).otherwise(p)
+
+    return _let(path, resolved)
+
+
+def _resolved(href: Column, base: Column) -> Column:
+    def join(both: Column) -> Column:
+        h, b = both["h"], both["b"]
+        scheme = F.concat(b["scheme"], F.lit("//"))
+        tail = F.concat(_prefixed("?", h["query"]), _prefixed("#", h["fragment"]))
+        ending = F.concat(_prefixed(";", h["params"]), tail)
+        folder = F.concat(F.regexp_replace(b["path"], r"[^/]*$", ""))
+        merged = F.when(h["path"].startswith("/"), h["path"]).otherwise(
+            F.regexp_replace(F.concat(F.lit("/"), folder, h["path"]), r"/{2,}", "/")
+        )
+        same_page = F.concat(
+            scheme,
+            b["host"],
+            b["path"],
+            _prefixed(";", b["params"]),
+            _prefixed("?", F.when(h["query"] != "", h["query"]).otherwise(b["query"])),
+            _prefixed("#", h["fragment"]),
+        )
+        bracketed = h["host"].contains("[") | h["host"].contains("]")
+        return (
+            F.when(bracketed & ~h["host"].rlike(_BRACKET_HOST), F.lit(None).cast("string"))
+            .when((h["scheme"] != "") & (h["scheme"] != b["scheme"]), both["raw"])
+            .when(h["host"] != "", F.concat(scheme, h["host"], h["path"], ending))
+            .when((h["path"] == "") & (h["params"] == ""), same_page)
+            .otherwise(F.concat(scheme, b["host"], _drop_dots(merged), ending))
+        )
+
+    both = F.struct(_split_address(href).alias("h"), _split_address(base).alias("b"), href.alias("raw"))
+    return _let(both, join)
 
 
 def absolute_url(href: Column, base: Column | str) -> Column:
     """Reference resolution against an http(s) base.
 
     Empty href gives empty text. NULL marks a host with broken brackets, which callers treat
-    as an unusable link.
+    as an unusable link. Plain rooted addresses, the bulk of any crawl, skip the general rules.
     """
-    base = F.regexp_replace(F.regexp_replace(_as_column(base), _CONTROL_EDGE, ""), "[\t\r\n]", "")
-    base_scheme = F.lower(F.regexp_extract(base, _SCHEME, 1))
-    base_host = F.regexp_extract(base, r"^[^:/?#]+://([^/?#]*)", 1)
-    base_path_params = F.regexp_extract(base, _PARTS, 1)
-    base_path = F.regexp_replace(base_path_params, r";[^/]*$", "")
-    base_query = F.regexp_extract(base, r"^[^#?]*\?([^#]*)", 1)
-
-    clean = F.regexp_replace(F.regexp_replace(href, _CONTROL_EDGE, ""), "[\t\r\n]", "")
-    scheme = F.lower(F.regexp_extract(clean, _SCHEME, 1))
-    rest = F.when(scheme != "", F.regexp_replace(clean, _SCHEME, "")).otherwise(clean)
-    host = F.regexp_extract(rest, r"^//([^/?#]*)", 1)
-    after_host = F.regexp_replace(rest, r"^//[^/?#]*", "")
-    path_params = F.regexp_extract(after_host, r"^([^?#]*)", 1)
-    query = F.regexp_extract(after_host, r"^[^#?]*\?([^#]*)", 1)
-    fragment = F.regexp_extract(after_host, r"#([\s\S]*)$", 1)
-
-    # Parameters belong to the last path segment and are carried over unchanged.
-    params = F.regexp_extract(path_params, r"^(?:.*/)?[^/;]*;([^/]*)$", 1)
-    path = F.regexp_replace(path_params, r";[^/]*$", "")
-
-    def tail(p: Column, q: Column) -> Column:
-        return F.concat(
-            p,
-            F.when(q != "", F.concat(F.lit("?"), q)).otherwise(F.lit("")),
-            F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(F.lit("")),
-        )
-
-    with_params = lambda p: F.concat(p, F.when(params != "", F.concat(F.lit(";"), params)).otherwise(F.lit("")))
-    folder = F.regexp_replace(base_path, r"[^/]*$", "")
-    folder = F.when(folder == "", F.lit("/")).otherwise(folder)
-    merged = F.when(path.startswith("/"), path).otherwise(
-        F.regexp_replace(F.concat(folder, path), r"/{2,}", "/")
-    )
-    origin = F.concat(base_scheme, F.lit("://"), base_host)
-    broken = (host.contains("[") | host.contains("]")) & ~host.rlike(_BRACKET_HOST)
-    foreign = (scheme != "") & (scheme != base_scheme)
+    base = _as_column(base)
+    plain = href.rlike(_PLAIN) & ~href.rlike(_DOTTED) & base.rlike(_PLAIN_BASE)
     return (
         F.when(href == "", F.lit(""))
-        .when(broken, F.lit(None).cast("string"))
-        .when(foreign, href)
-        .when(host != "", F.concat(base_scheme, F.lit("://"), host, tail(with_params(path), query)))
-        .when(
-            (path == "") & (params == ""),
-            F.concat(origin, tail(base_path_params, F.when(query != "", query).otherwise(base_query))),
-        )
-        .otherwise(F.concat(origin, tail(with_params(_drop_dots(merged)), query)))
+        .when(plain, F.concat(F.regexp_extract(base, f"({_PLAIN_BASE})", 1), href))
+        .otherwise(_resolved(href, base))
     )
 
 
+def _tidy(url: Column) -> Column:
+    """Leading control characters and embedded line breaks do not belong to an address."""
+    return F.regexp_replace(url, _NOISE, "")
+
+
 def url_path(url: Column) -> Column:
-    return F.regexp_extract(url, _PARTS, 1)
+    """Path without parameters."""
+    return F.regexp_replace(F.regexp_extract(_tidy(url), _PARTS, 1), r";[^/]*$", "")
 
 
 def product_slug(url: Column) -> Column:
     """First segment after ``/product/`` in the path; the whole path when it is not there."""
-    path = F.regexp_replace(url_path(url), r";[^/]*$", "")
-    after = F.substring(path, F.instr(path, "/product/") + F.lit(len("/product/")), F.length(path))
-    first = F.get(F.split(F.trim(after, F.lit("/")), "/"), F.lit(0))
-    return F.when(path.contains("/product/"), first).otherwise(F.trim(path, F.lit("/")))
+    path = url_path(url)
+    after = F.regexp_extract(path, r"/product/+([^/]*)", 1)
+    return F.when(path.contains("/product/"), after).otherwise(F.trim(path, F.lit("/")))
 
 
 def query_value(url: Column, key: str) -> Column:
     """First non-blank value of one query parameter, decoded; empty text when absent."""
-    query = F.regexp_extract(url, r"^[^#?]*\?([^#]*)", 1)
+    query = F.regexp_extract(_tidy(url), r"^[^#?]*\?([^#]*)", 1)
     raw = F.regexp_extract(F.concat(F.lit("&"), query), rf"&{key}=([^&]+)", 1)
     return F.coalesce(F.try_url_decode(raw), F.translate(raw, "+", " "))
 
 
 def without_query(url: Column) -> Column:
-    return F.regexp_replace(url, r"[?#][\s\S]*$", "")
+    """Scheme, host, path and parameters."""
+    kept = F.regexp_replace(_tidy(url), r"[?#][\s\S]*$", "")
+    return F.regexp_replace(kept, r"(^|/)([^/;]*);$", "$1$2")
 
 
 def is_product_link(url: Column) -> Column:

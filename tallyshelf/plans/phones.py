@@ -16,15 +16,17 @@ from tallyshelf.sources import crawl
 from tallyshelf.sources.page_facts import listing_facts, product_facts
 
 
-def parsed_listings(pages: DataFrame, seeds: DataFrame, cap: int = crawl.MAX_BRAND_PAGES) -> DataFrame:
-    """``brand, start_url, page_no, links, next_url`` of every present listing page."""
+def parsed_listings(
+    pages: DataFrame, seeds: DataFrame, keys: Sequence[str] = ("brand",), cap: int = crawl.MAX_BRAND_PAGES
+) -> DataFrame:
+    """``*keys, page_no, start_url, links, next_url`` of every present page of a seeded brand."""
     wanted = pages.filter(F.col("page_no").between(1, cap) & crawl.page_present(F.col("html")))
-    wanted = session.spread_if_small(wanted.select("brand", "page_no", "html"))
-    wanted = wanted.join(seeds.select("brand", "start_url"), "brand")
-    facts = wanted.select("brand", "start_url", "page_no", listing_facts(F.col("html")).alias("f"))
+    wanted = session.spread_if_small(wanted.select(*keys, "page_no", "html"))
+    wanted = wanted.join(seeds.select(*keys, "start_url"), list(keys))
+    facts = wanted.select(*keys, "start_url", "page_no", listing_facts(F.col("html")).alias("f"))
     next_href = F.coalesce(F.nullif("f.next_anchor", F.lit("")), F.nullif("f.next_link", F.lit("")))
     facts = facts.select(
-        "brand",
+        *keys,
         "page_no",
         "start_url",
         F.col("f.links").alias("links"),
@@ -33,12 +35,12 @@ def parsed_listings(pages: DataFrame, seeds: DataFrame, cap: int = crawl.MAX_BRA
     return session.written(facts, "listing-facts")
 
 
-def link_rows(parsed: DataFrame) -> DataFrame:
-    """``brand, page_no, pos, url, price_raw`` for every product link of the listing grids."""
+def link_rows(parsed: DataFrame, keys: Sequence[str] = ("brand",)) -> DataFrame:
+    """``*keys, page_no, pos, url, price_raw`` for every product link of the listing grids."""
     link = F.col("_link")
-    rows = parsed.select("brand", "page_no", "start_url", F.explode("links").alias("_link"))
+    rows = parsed.select(*keys, "page_no", "start_url", F.explode("links").alias("_link"))
     rows = rows.select(
-        "brand",
+        *keys,
         "page_no",
         link["pos"].alias("pos"),
         urls.without_query(urls.absolute_url(link["href"], F.col("start_url"))).alias("url"),
@@ -47,17 +49,26 @@ def link_rows(parsed: DataFrame) -> DataFrame:
     return rows.filter(urls.is_product_link(F.col("url")))
 
 
+def scan_urls(
+    parsed: DataFrame, keys: Sequence[str] = ("brand",), cap: int = crawl.MAX_BRAND_PAGES
+) -> tuple[DataFrame, DataFrame]:
+    """(URLs a next-link scan of every brand finds, stop page of every scan)."""
+    firsts = page_order.first_links(link_rows(parsed, keys), keys, ["price_raw"])
+    present = parsed.select(*keys, "page_no", F.col("next_url").isNotNull().alias("has_next"))
+    stops = page_order.brand_stops(present, firsts, keys, cap)
+    return page_order.before_stop(firsts, stops, keys, "first_page"), stops
+
+
 def brand_product_urls(
-    pages: DataFrame, seeds: DataFrame, cap: int = crawl.MAX_BRAND_PAGES
+    pages: DataFrame, seeds: DataFrame, keys: Sequence[str] = ("brand",), cap: int = crawl.MAX_BRAND_PAGES
 ) -> DataFrame:
-    """``brand_rank, brand, url, price_raw``: URLs a next-link scan of every brand finds."""
-    parsed = parsed_listings(pages, seeds, cap)
-    firsts = page_order.first_links(link_rows(parsed), ["brand"], ["price_raw"])
-    present = parsed.select("brand", "page_no", F.col("next_url").isNotNull().alias("has_next"))
-    stops = page_order.brand_stops(present, firsts, ["brand"], cap)
-    found = page_order.before_stop(firsts, stops, ["brand"], "first_page")
-    return found.join(seeds.select("brand", "brand_rank"), "brand").select(
-        "brand_rank", "brand", "url", "price_raw", "first_page", "pos"
+    """``*keys, brand_rank, url, price_raw, first_page, pos``: the URLs found under each brand.
+
+    ``seeds`` holds ``*keys, brand_rank, start_url``; ``keys`` identify one scan.
+    """
+    found, _ = scan_urls(parsed_listings(pages, seeds, keys, cap), keys, cap)
+    return found.join(seeds.select(*keys, "brand_rank"), list(keys)).select(
+        *keys, "brand_rank", "url", "price_raw", "first_page", "pos"
     )
 
 

@@ -2,11 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
+
+_TYPES = {
+    "STRING": StringType(),
+    "BIGINT": LongType(),
+    "DOUBLE": DoubleType(),
+    "BOOLEAN": BooleanType(),
+    "DATE": DateType(),
+    "TIMESTAMP": TimestampType(),
+}
 
 
-def _schema(ddl: str) -> StructType:
-    return _parse_datatype_string(ddl)
+def _schema(columns: str) -> StructType:
+    """``name TYPE, ...`` without needing a running session."""
+    pairs = (c.split() for c in columns.split(","))
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # Names, order and types of the target tables. Misspelt names are the export's own.

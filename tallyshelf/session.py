@@ -30,6 +30,7 @@ def local_session(cores: str | int = "*", app: str = "tallyshelf") -> SparkSessi
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tallyshelf-warehouse-"))
@@ -69,7 +70,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def plan_bytes(df: DataFrame) -> int:
     """Planner's size estimate; exact file size for a plain or freshly written scan."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_limit(spark: SparkSession) -> int:

@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterable
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import DataType, _parse_datatype_string
+from pyspark.sql.types import DataType
 
 from tallyshelf.sources.markup import Node, Page, inside
 
@@ -303,7 +303,8 @@ def outline(html: str) -> dict:
 
 
 def _facts(read_page: Callable[[str], dict], ddl: str, on_error: dict | None = None):
-    result: DataType = _parse_datatype_string(ddl)
+    result = DataType.fromDDL(ddl)
+    arrow_result = to_arrow_type(result)
 
     def batch(pages: pa.Array) -> pa.Array:
         rows = []
@@ -314,7 +315,7 @@ def _facts(read_page: Callable[[str], dict], ddl: str, on_error: dict | None = N
                 if on_error is None:
                     raise
                 rows.append(on_error)
-        return pa.array(rows, type=to_arrow_type(result))
+        return pa.array(rows, type=arrow_result)
 
     batch.__annotations__ = {"pages": pa.Array, "return": pa.Array}
     batch.__name__ = read_page.__name__

@@ -21,7 +21,7 @@ from xml.etree import ElementTree
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import DataType
 
 from tallyshelf.functions import text
 from tallyshelf.functions.text import NA_TOKENS
@@ -30,7 +30,6 @@ RAW_TYPE = (
     "path STRING, sheet STRING, sheet_pos INT, row_idx INT, header ARRAY<STRING>, "
     "cells ARRAY<STRING>, kinds ARRAY<STRING>, error STRING"
 )
-_RAW = _parse_datatype_string(RAW_TYPE)
 _BATCH = 2000
 
 # Built-in number formats that show a date or time.
@@ -212,7 +211,7 @@ def _book_rows(path: str, content: bytes, tabs: Sequence[str] | None) -> Iterato
 
 
 def _reader(tabs: Sequence[str] | None):
-    schema = to_arrow_schema(_RAW)
+    schema = to_arrow_schema(DataType.fromDDL(RAW_TYPE))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,8 +241,13 @@ def workbook_rows(spark: SparkSession, location: str, tabs: Sequence[str] | None
         .load(location)
         .select("path", "content")
     )
+    return decoded(files, tabs)
+
+
+def decoded(files: DataFrame, tabs: Sequence[str] | None = None) -> DataFrame:
+    """Raw sheet layer of workbooks held as ``path, content``."""
     wanted = None if tabs is None else [t.strip().lower() for t in tabs]
-    return files.mapInArrow(_reader(wanted), _RAW)
+    return files.select("path", "content").mapInArrow(_reader(wanted), RAW_TYPE)
 
 
 def csv_rows(spark: SparkSession, location: str) -> DataFrame:
