@@ -6,9 +6,12 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
-# Whitespace as a Unicode-aware string strip sees it: Java's Unicode class plus the four
-# ASCII separators it leaves out.
-SPACE = r"[\s\x1c-\x1f]"
+# Every character a Unicode-aware strip removes, as a set and as a pattern.
+SPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+SPACE = r"[\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 # Cell texts that mean "missing" in a spreadsheet export.
 NA_TOKENS = (
@@ -45,7 +48,7 @@ def null_text(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Trim every Unicode whitespace character, not only spaces."""
-    return F.regexp_replace(F.regexp_replace(c, f"(?U)^{SPACE}+", ""), f"(?U){SPACE}+$", "")
+    return F.trim(c, F.lit(SPACE_CHARS))
 
 
 def strip_leading_commas(c: Column) -> Column:
@@ -54,7 +57,7 @@ def strip_leading_commas(c: Column) -> Column:
 
 def collapse_space(c: Column) -> Column:
     """NULL to empty, whitespace runs (non-breaking ones too) to one space, trimmed."""
-    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), f"(?U){SPACE}+", " "))
+    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), f"{SPACE}+", " "))
 
 
 def filled(*choices: Column) -> Column:

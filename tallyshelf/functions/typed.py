@@ -36,13 +36,13 @@ def whole_or_fail(c: Column, if_null: int = 0) -> Column:
     )
 
 
-def whole_or_null(c: Column, on_fraction: str = "error") -> Column:
+def whole_or_null(c: Column, on_fraction: str = "error", as_double: Column | None = None) -> Column:
     """Coercing whole number. A number with a fraction fails the job or becomes NULL.
 
     Digits are read directly as BIGINT so long identifiers keep their precision; only other
-    spellings (3.0, 1e3) go through DOUBLE.
+    spellings (3.0, 1e3) go through DOUBLE, which may be passed in when it is a column already.
     """
-    d = number_or_null(c)
+    d = number_or_null(c) if as_double is None else as_double
     fits = (d == F.floor(d)) & (F.abs(d) < F.lit(9.2e18))
     if on_fraction == "error":
         other = F.raise_error(F.concat(F.lit("not a whole number: "), c)).cast("bigint")

@@ -9,13 +9,13 @@ may differ in case only.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import (
     BooleanType,
-    DataType,
     DateType,
     DoubleType,
     LongType,
@@ -28,8 +28,8 @@ from pyspark.sql.types import (
 
 from tallyshelf.functions import text, typed
 
-# A statement folder with more distinct headers than this is not a set of statements.
-MAX_HEADERS = 50_000
+# A statement folder with more distinct header rows than this is not a set of statements.
+MAX_LAYOUTS = 20_000
 
 _FINANCE_NAME = str.maketrans({" ": "_", ".": None, "(": "_", ")": None, "（": "_", "）": None})
 
@@ -93,74 +93,116 @@ class Source:
     name: str
     headers: tuple[str, ...]
 
-    def text(self) -> Column:
-        return F.coalesce(*[text.na_to_null(cell(h)) for h in self.headers])
-
-    def kind(self) -> Column:
-        return F.coalesce(*[F.nullif(cell(h, "kinds"), F.lit("e")) for h in self.headers], F.lit("e"))
-
 
 @dataclass(frozen=True)
-class TabHeaders:
-    """Ordered raw headers of one tab and how many files have the tab."""
+class TabLayouts:
+    """Distinct header rows of one tab, with the first file and the number of files of each."""
+
+    layouts: tuple[tuple[tuple[str, ...], tuple[str, str], int], ...]  # (header, (file, path), files)
 
-    files: int
-    headers: tuple[tuple[str, int], ...]  # (raw header, files that have it)
+    @property
+    def files(self) -> int:
+        return sum(files for _, _, files in self.layouts)
 
     def sources(self, mode: str = "first") -> dict[str, Source]:
-        """Cleaned name to source. ``first`` keeps the first of equal cleaned names and drops
-        the others' values; ``coalesce`` falls through to them."""
+        """Cleaned name to source, in order of first appearance.
+
+        ``first`` keeps the first of equal cleaned names and drops the others' values;
+        ``coalesce`` falls through to them.
+        """
         if mode not in ("first", "coalesce"):
             raise ValueError(f"mode must be 'first' or 'coalesce', not {mode!r}")
+        spots: dict[str, tuple] = {}
+        for header, first, _ in self.layouts:
+            for pos, raw in enumerate(header):
+                spots[raw] = min(spots.get(raw, (first, pos)), (first, pos))
         merged: dict[str, list[str]] = {}
-        for raw, _ in self.headers:
+        for raw in sorted(spots, key=spots.get):
             merged.setdefault(clean_header(raw), []).append(raw)
         return {
             name: Source(name, tuple(raws if mode == "coalesce" else raws[:1])) for name, raws in merged.items()
         }
 
 
-def tab_headers(rows: DataFrame) -> dict[str, TabHeaders]:
-    """Header inventory of all tabs at once, files taken in file-name order.
+def tab_layouts(rows: DataFrame) -> dict[str, TabLayouts]:
+    """Distinct header rows of all tabs at once, files taken in file-name order.
 
     Headers travel with data rows, so sheets without data do not count. Column pruning leaves
-    this pass three columns, and the distinct is reduced before it is shuffled.
+    this pass three columns, and both aggregates are reduced before they are shuffled.
     """
-    firsts = rows.select("tab", "path", "header").distinct()
-    spots = firsts.select("tab", "path", F.posexplode("header").alias("pos", "name"))
-    named = spots.groupBy("tab", "name").agg(
-        F.min(F.struct(text.file_name(F.col("path")).alias("file"), "path", "pos")).alias("spot"),
-        F.count("*").alias("files"),
-    )
-    totals = firsts.groupBy("tab").agg(F.count("*").alias("total"))
-    found = named.join(totals, "tab").select("tab", "name", "spot", "files", "total").limit(MAX_HEADERS + 1).collect()
-    if len(found) > MAX_HEADERS:
-        raise ValueError(f"more than {MAX_HEADERS} distinct headers; is this a statement folder?")
-    result: dict[str, TabHeaders] = {}
-    for tab in {r["tab"] for r in found}:
-        own = sorted((r for r in found if r["tab"] == tab), key=lambda r: tuple(r["spot"]))
-        result[tab] = TabHeaders(own[0]["total"], tuple((r["name"], r["files"]) for r in own))
-    return result
-
-
-def cleaned_text(source: Source) -> Column:
-    """Text as the ledger sees it: trimmed, nan words gone, order numbers without commas."""
-    c = text.null_text(text.strip(source.text()))
-    if "order" in source.name or "sn" in source.name:
-        c = text.strip_leading_commas(c)
-    return c
-
-
-def typed_column(source: Source | None, field: StructField, on_fraction: str = "error") -> Column:
-    """A declared column: converted when the tab has it, typed NULL when not."""
-    if source is None:
+    per_file = rows.select("tab", "path", "header").distinct()
+    first = F.min(F.struct(text.file_name(F.col("path")).alias("file"), "path")).alias("first")
+    layouts = per_file.groupBy("tab", "header").agg(first, F.count("*").alias("files"))
+    found = layouts.limit(MAX_LAYOUTS + 1).collect()
+    if len(found) > MAX_LAYOUTS:
+        raise ValueError(f"more than {MAX_LAYOUTS} distinct header rows; is this a statement folder?")
+    result: dict[str, list] = {}
+    for r in found:
+        result.setdefault(r["tab"], []).append((tuple(r["header"]), tuple(r["first"]), r["files"]))
+    return {tab: TabLayouts(tuple(own)) for tab, own in result.items()}
+
+
+def placed(rows: DataFrame, tab: str, layouts: TabLayouts, sources: Sequence[Source]) -> DataFrame:
+    """Rows of one tab with ``at``: for every header of every source, its place in the row.
+
+    Places are worked out once per distinct header row on the driver; the list is at most
+    ``MAX_LAYOUTS`` entries long, so it is broadcast, and no row searches its header again.
+    """
+    wanted = [h for s in sources for h in s.headers]
+    listed = []
+    for header, _, _ in layouts.layouts:
+        spot = {name: i for i, name in reversed(list(enumerate(header)))}
+        listed.append((list(header), [spot.get(h, -1) for h in wanted]))
+    table = rows.sparkSession.createDataFrame(listed, "header ARRAY<STRING>, at ARRAY<INT>")
+    return rows.filter(F.col("tab") == tab).join(F.broadcast(table), "header")
+
+
+def lookups(sources: Sequence[Source]) -> list[Column]:
+    """Text and kind of every source as plain columns ``_t<i>`` and ``_k<i>``, from ``at``."""
+    columns, n = [], 0
+    for i, source in enumerate(sources):
+        spots = [F.get("at", F.lit(n + j)) for j in range(len(source.headers))]
+        n += len(spots)
+        cells = [F.get("cells", spot) for spot in spots]
+        if len(cells) > 1:
+            cells = [text.na_to_null(c) for c in cells]
+        columns.append(F.coalesce(*cells).alias(f"_t{i}"))
+        kinds = [F.get("kinds", spot) for spot in spots]
+        if len(kinds) > 1:
+            kinds = [F.nullif(k, F.lit("e")) for k in kinds]
+        columns.append(F.coalesce(*kinds).alias(f"_k{i}"))
+    return columns
+
+
+def trimmed(count: int) -> list[Column]:
+    return [text.strip(text.na_to_null(F.col(f"_t{i}"))).alias(f"_t{i}") for i in range(count)]
+
+
+def cleaned(sources: Sequence[Source]) -> list[Column]:
+    """Trimmed text as the ledger sees it: nan words gone, order numbers without commas."""
+    shown = []
+    for i, source in enumerate(sources):
+        c = text.null_text(F.col(f"_t{i}"))
+        if "order" in source.name or "sn" in source.name:
+            c = text.strip_leading_commas(c)
+        shown.append(c.alias(f"_t{i}"))
+    return shown
+
+
+def numbers(positions: Iterable[int]) -> list[Column]:
+    return [typed.number_or_null(F.col(f"_t{i}")).alias(f"_d{i}") for i in positions]
+
+
+def typed_column(at: int | None, field: StructField, on_fraction: str = "error") -> Column:
+    """A declared column from cleaned source ``at``; typed NULL when the tab lacks it."""
+    if at is None:
         return F.lit(None).cast(field.dataType).alias(field.name)
-    c, kind = cleaned_text(source), source.kind()
+    c, kind = F.col(f"_t{at}"), F.col(f"_k{at}")
     match field.dataType:
         case DoubleType():
-            c = typed.number_or_null(c)
+            c = F.col(f"_d{at}")
         case LongType():
-            c = typed.whole_or_null(c, on_fraction)
+            c = typed.whole_or_null(c, on_fraction, F.col(f"_d{at}"))
         case StringType():
             c = text.strip(c)
         case DateType():
@@ -176,22 +218,29 @@ def typed_column(source: Source | None, field: StructField, on_fraction: str = "
     return c.alias(field.name)
 
 
-def sheet_classes(rows: DataFrame, extras: DataFrame) -> DataFrame:
-    """Per tab, file and extra column: what a reader of that one file would call the column.
+def sheet_classes(rows: DataFrame, tab: str, layouts: TabLayouts, extras: Sequence[Source]) -> DataFrame:
+    """Per file and undeclared column of a tab: what a reader of that one file would call it.
 
-    ``extras`` is ``tab, header, name`` (schema-sized). Partial aggregation shrinks the
-    exploded cells before the shuffle.
+    Only the undeclared cells are exploded, and partial aggregation shrinks them again before
+    the shuffle.
     """
-    zipped = F.explode(F.arrays_zip("header", "cells", "kinds"))
-    cells = rows.select("tab", "path", zipped.alias("z")).select("tab", "path", "z.header", "z.cells", "z.kinds")
-    cells = cells.join(F.broadcast(extras), ["tab", "header"])
-    value = text.na_to_null(F.col("cells"))
-    kind = F.when(value.isNull(), "e").otherwise(F.col("kinds"))
-    as_number = (kind == "n") | ((kind == "s") & value.rlike(typed.NUMBER))
-    marked = F.when(kind == "n", typed.number_or_null(value) != F.floor(typed.number_or_null(value))).otherwise(
-        value.rlike(typed.FRACTIONAL_MARK)
-    )
-    counted = cells.groupBy("tab", "path", "name").agg(
+    single = [Source(s.name, (h,)) for s in extras for h in s.headers]
+    entries = [
+        F.struct(
+            F.lit(s.name).alias("name"),
+            F.get("at", F.lit(n)).alias("place"),
+            F.get("cells", F.get("at", F.lit(n))).alias("said"),
+            F.get("kinds", F.get("at", F.lit(n))).alias("kind"),
+        )
+        for n, s in enumerate(single)
+    ]
+    cells = placed(rows, tab, layouts, single).select("path", F.inline(F.array(*entries))).filter("place >= 0")
+    value = text.na_to_null(F.col("said"))
+    cells = cells.select("path", "name", value.alias("value"), F.when(value.isNull(), "e").otherwise(F.col("kind")).alias("kind"))
+    value, kind, number = F.col("value"), F.col("kind"), F.col("value").try_cast("double")
+    as_number = F.when(kind == "s", value.rlike(typed.NUMBER)).otherwise(kind == "n")
+    marked = F.when(kind == "n", number != F.floor(number)).otherwise(value.rlike(typed.FRACTIONAL_MARK))
+    counted = cells.groupBy("path", "name").agg(
         F.count("*").alias("n"),
         F.count_if(kind != "e").alias("filled"),
         F.count_if(kind == "d").alias("dates"),
@@ -202,7 +251,7 @@ def sheet_classes(rows: DataFrame, extras: DataFrame) -> DataFrame:
     )
     whole = (F.col("n") == F.col("filled")) & (F.col("fractions") == 0)
     return counted.select(
-        "tab",
+        F.lit(tab).alias("tab"),
         "path",
         "name",
         F.when(F.col("filled") == 0, "empty")
@@ -229,29 +278,28 @@ def combined_type(classes: Column, complete: Column) -> Column:
     )
 
 
-def extra_types(rows: DataFrame, headers: dict[str, TabHeaders], extras: dict[str, list[Source]]) -> DataFrame:
+def extra_types(
+    rows: DataFrame, layouts: Mapping[str, TabLayouts], extras: Mapping[str, Sequence[Source]]
+) -> DataFrame:
     """``tab, name, type`` of undeclared columns, decided over the whole tab."""
-    spark = rows.sparkSession
-    listed = [(tab, h, s.name, headers[tab].files) for tab, found in extras.items() for s in found for h in s.headers]
-    names = spark.createDataFrame(listed, "tab STRING, header STRING, name STRING, files LONG")
-    classes = sheet_classes(rows, names.select("tab", "header", "name"))
+    found = [sheet_classes(rows, tab, layouts[tab], own) for tab, own in extras.items() if own]
+    classes = reduce(DataFrame.unionByName, found)
     per_name = classes.groupBy("tab", "name").agg(
         F.collect_set("class").alias("classes"), F.count("*").alias("having")
     )
-    totals = names.select("tab", "name", "files").distinct()
-    return per_name.join(F.broadcast(totals), ["tab", "name"]).select(
-        "tab", "name", combined_type(F.col("classes"), F.col("having") == F.col("files")).alias("type")
-    )
+    totals = F.create_map(*[F.lit(v) for tab in extras for v in (tab, layouts[tab].files)])
+    complete = F.col("having") == F.element_at(totals, F.col("tab"))
+    return per_name.select("tab", "name", combined_type(F.col("classes"), complete).alias("type"))
 
 
-def extra_column(source: Source, type_name: str) -> Column:
-    c, kind = cleaned_text(source), source.kind()
+def extra_column(at: int, source: Source, type_name: str) -> Column:
+    c, kind = F.col(f"_t{at}"), F.col(f"_k{at}")
     truth = F.lower(c) == "true"
     match type_name:
         case "BIGINT":
-            c = F.when(kind == "b", truth.cast("bigint")).otherwise(typed.whole_or_null(c))
+            c = F.when(kind == "b", truth.cast("bigint")).otherwise(typed.whole_or_null(c, "error", F.col(f"_d{at}")))
         case "DOUBLE":
-            c = F.when(kind == "b", truth.cast("double")).otherwise(typed.number_or_null(c))
+            c = F.when(kind == "b", truth.cast("double")).otherwise(F.col(f"_d{at}"))
         case "TIMESTAMP":
             c = typed.stamp_or_null(c)
         case "BOOLEAN":
@@ -262,9 +310,3 @@ def extra_column(source: Source, type_name: str) -> Column:
 def fit(df: DataFrame, schema: StructType) -> DataFrame:
     """Declared columns only, in declared order and type; unknown columns are ignored."""
     return df.select(*[c for c in schema.names if c in df.columns]).to(schema)
-
-
-def type_of(name: str) -> DataType:
-    return {"BIGINT": LongType(), "DOUBLE": DoubleType(), "TIMESTAMP": TimestampType(), "BOOLEAN": BooleanType()}.get(
-        name, StringType()
-    )

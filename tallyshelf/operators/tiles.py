@@ -39,7 +39,7 @@ def image_source(tile: Column) -> Column:
     lost as a whole.
     """
     candidate = text.strip(F.split(tile["srcset"], ",")[0])
-    from_set = F.nullif(F.split(candidate, rf"(?U){text.SPACE}+")[0], F.lit(""))
+    from_set = F.nullif(F.split(candidate, f"{text.SPACE}+")[0], F.lit(""))
     plain = text.filled(tile["src"], tile["data_src"])
     return F.when(plain != "", plain).when(F.length(tile["srcset"]) > 0, from_set).otherwise(F.lit(""))
 

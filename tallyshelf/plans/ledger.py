@@ -7,10 +7,10 @@ statements add two schema-sized aggregates (header inventory, types of undeclare
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from tallyshelf.functions import text, typed
 from tallyshelf.operators import align
@@ -26,23 +26,32 @@ def data_rows(raw: DataFrame) -> DataFrame:
     return raw.filter("error IS NULL AND row_idx > 0")
 
 
+def _typed(c: Column, field: StructField, numbers: dict[str, Callable[[Column], Column]], kind: Column | None) -> Column:
+    match field.dataType.simpleString():
+        case "string":
+            pass
+        case "timestamp":
+            c = typed.stamp_or_null(c, kind)
+        case number:
+            c = numbers[number](c)
+    return c.alias(field.name)
+
+
 def completed_orders(raw: DataFrame, shop_name: str) -> DataFrame:
-    """Order history by column position; surplus columns are cut, too few fail the job."""
+    """Order history by column position; surplus columns are cut, too few fail the job.
+
+    Cells are looked up in one projection and converted in the next, so a cell's text is
+    produced once however often its conversion looks at it.
+    """
     named = [f for f in COMPLETED_ORDERS.fields if f.name != "shop_name"]
-    columns = []
+    looked_up = []
     for i, field in enumerate(named):
         c = text.na_to_null(align.positional_cell(i, len(named)))
-        match field.dataType.simpleString():
-            case "string":
-                c = text.null_text(c)
-            case "bigint":
-                c = typed.whole_or_fail(c)
-            case "double":
-                c = typed.number_or_fail(c)
-            case "timestamp":
-                c = typed.stamp_or_null(c, F.get("kinds", F.lit(i)))
-        columns.append(c.alias(field.name))
-    return data_rows(raw).select(*columns, F.lit(shop_name).alias("shop_name")).to(COMPLETED_ORDERS)
+        looked_up.append((text.null_text(c) if field.dataType == StringType() else c).alias(field.name))
+    strict = {"bigint": typed.whole_or_fail, "double": typed.number_or_fail}
+    rows = data_rows(raw).select("kinds", *looked_up)
+    columns = [_typed(F.col(f.name), f, strict, F.get("kinds", F.lit(i))) for i, f in enumerate(named)]
+    return rows.select(*columns, F.lit(shop_name).alias("shop_name")).to(COMPLETED_ORDERS)
 
 
 def stock(
@@ -51,17 +60,10 @@ def stock(
     """Stock list by header; every sheet must have all ten columns, extras are dropped."""
     raw = align.required_headers(raw.filter("error IS NULL"), list(STOCK_HEADERS))
     stamp = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
-    columns = []
-    for header, name in STOCK_HEADERS.items():
-        c = text.na_to_null(align.cell(header))
-        match STOCK[name].dataType.simpleString():
-            case "double":
-                c = typed.number_or_null(c)
-            case "bigint":
-                c = typed.whole_or_null(c, on_fraction)
-        columns.append(c.alias(name))
-    rows = data_rows(raw).select(*columns, stamp.alias("updated_at_ts"), F.lit(shop_name).alias("shop_name"))
-    return rows.to(STOCK)
+    rows = data_rows(raw).select(*[text.na_to_null(align.cell(h)).alias(n) for h, n in STOCK_HEADERS.items()])
+    coercing = {"bigint": lambda c: typed.whole_or_null(c, on_fraction), "double": typed.number_or_null}
+    columns = [_typed(F.col(n), STOCK[n], coercing, None) for n in STOCK_HEADERS.values()]
+    return rows.select(*columns, stamp.alias("updated_at_ts"), F.lit(shop_name).alias("shop_name")).to(STOCK)
 
 
 def statement_rows(raw: DataFrame) -> DataFrame:
@@ -82,32 +84,55 @@ def weekly_statements(
     succeeds when it is written.
     """
     rows = rows.filter(F.col("tab").isin(*schemas))
-    headers = align.tab_headers(rows)
-    sources = {tab: found.sources(mode) for tab, found in headers.items()}
+    layouts = align.tab_layouts(rows)
+    sources = {tab: found.sources(mode) for tab, found in layouts.items()}
     extras = {
         tab: [s for name, s in found.items() if name not in schemas[tab].names] for tab, found in sources.items()
     }
     types: dict[tuple[str, str], str] = {}
     if any(extras.values()):
-        found = align.extra_types(rows, headers, extras).collect()  # one row per undeclared column
+        found = align.extra_types(rows, layouts, extras).collect()  # one row per undeclared column
         types = {(r["tab"], r["name"]): r["type"] for r in found}
 
     frames = {}
     for tab in schemas:
-        if tab not in headers:
-            continue
-        dates = text.file_dates(F.col("path"))
-        lineage = {
-            "source_filename": text.file_name(F.col("path")),
-            "statement_start_date": dates["start"],
-            "statement_end_date": dates["end"],
-        }
-        declared = [
-            lineage[f.name].alias(f.name)
-            if f.name in lineage
-            else align.typed_column(sources[tab].get(f.name), f, on_fraction)
-            for f in schemas[tab].fields
-        ]
-        added = [align.extra_column(s, types[tab, s.name]) for s in extras[tab] if s.name not in lineage]
-        frames[tab] = rows.filter(F.col("tab") == tab).select(*declared, *added)
+        if tab in layouts:
+            own = {s.name: types[tab, s.name] for s in extras[tab]}
+            frames[tab] = _statement(rows, tab, layouts[tab], schemas[tab], sources[tab], own, on_fraction)
     return frames
+
+
+def _statement(
+    rows: DataFrame,
+    tab: str,
+    layouts: align.TabLayouts,
+    schema: StructType,
+    sources: Mapping[str, align.Source],
+    extras: Mapping[str, str],
+    on_fraction: str,
+) -> DataFrame:
+    """Typed rows of one tab: look cells up, clean the texts, read numbers, convert.
+
+    Separate projections, because each step reads the previous one's result several times.
+    """
+    dates = text.file_dates(F.col("path"))
+    lineage = [
+        text.file_name(F.col("path")).alias("source_filename"),
+        dates["start"].alias("statement_start_date"),
+        dates["end"].alias("statement_end_date"),
+    ]
+    own = ("source_filename", "statement_start_date", "statement_end_date")
+    used = [s for n, s in sources.items() if n not in own and (n in schema.names or n in extras)]
+    at = {s.name: i for i, s in enumerate(used)}
+    kinds = [f"_k{i}" for i in range(len(used))]
+    texts = [f"_t{i}" for i in range(len(used))]
+    numeric = {f.name for f in schema.fields if isinstance(f.dataType, (DoubleType, LongType))}
+    numeric |= {n for n, t in extras.items() if t in ("BIGINT", "DOUBLE")}
+
+    found = align.placed(rows, tab, layouts, used).select("path", *align.lookups(used))
+    found = found.select("path", *kinds, *align.trimmed(len(used)))
+    found = found.select("path", *kinds, *align.cleaned(used))
+    found = found.select("path", *kinds, *texts, *align.numbers(at[n] for n in at if n in numeric))
+    declared = [align.typed_column(at.get(f.name), f, on_fraction) for f in schema.fields if f.name not in own]
+    added = [align.extra_column(at[n], sources[n], t) for n, t in extras.items() if n not in own]
+    return found.select(*lineage, *declared, *added)

@@ -61,10 +61,10 @@ def all_statement_tabs(spark, sf):
 
 def extra_type_inference(spark, sf):
     rows = ledger.statement_rows(rs.detail_sheets(spark, sf))
-    headers = align.tab_headers(rows)
+    layouts = align.tab_layouts(rows)
     declared = STATEMENT_SCHEMAS["bill details"].names
-    extras = {t: [s for n, s in h.sources().items() if n not in declared] for t, h in headers.items()}
-    return align.extra_types(rows, headers, extras).select("name", "type")
+    extras = {tab: [s for n, s in found.sources().items() if n not in declared] for tab, found in layouts.items()}
+    return align.extra_types(rows, layouts, extras).select("name", "type")
 
 
 def header_inventory(spark, sf):
@@ -275,8 +275,7 @@ SQL = {
           CASE WHEN l_returnflag <> 'R' THEN l_extendedprice END AS goods_price, CAST(l_quantity AS BIGINT) AS goods_num,
           CASE WHEN l_tax <> 0 THEN l_tax END AS rate, l_extendedprice AS complete_amount,
           CASE WHEN odd THEN l_discount END AS fine, CASE WHEN NOT odd THEN l_discount END AS settlement,
-          CASE WHEN odd THEN CAST(l_linenumber AS DOUBLE) WHEN odd_first THEN CAST(l_suppkey AS DOUBLE)
-               ELSE CAST(l_linenumber AS DOUBLE) END AS weight__kg,
+          CASE WHEN odd THEN CAST(l_linenumber AS BIGINT) ELSE l_suppkey END AS weight__kg,
           CASE WHEN odd THEN CAST(l_suppkey AS DOUBLE) END AS lot, CASE WHEN NOT odd THEN CAST(l_linenumber AS DOUBLE) END AS weight_kg,
           l_linestatus = 'O' AS checked, date_trunc('second', l_shipdate) AS scan_date, l_returnflag AS note,
           l_quantity / 4 AS score, CASE WHEN l_returnflag = 'A' THEN CAST(l_linenumber AS VARCHAR) ELSE 'm' || l_linenumber END AS mixed,
@@ -305,8 +304,18 @@ SQL = {
           UNION ALL SELECT 'bill', {_lineage("o_orderdate", "o_custkey")} FROM orders
           UNION ALL SELECT 'storage fee', {_lineage("ts", "user_id")} FROM events) GROUP BY ALL""",
     "extra_type_inference": """
-        SELECT * FROM (VALUES ('lot', 'DOUBLE'), ('weight_kg', 'DOUBLE'), ('checked', 'BOOLEAN'), ('scan_date', 'TIMESTAMP'),
-          ('note', 'STRING'), ('score', 'DOUBLE'), ('mixed', 'STRING'), ('blank', 'DOUBLE'), ('weight__kg', 'BIGINT')) t(name, type)""",
+        WITH f AS (
+          SELECT bool_or(month(l_shipdate) % 2 = 1) AS odd, bool_or(month(l_shipdate) % 2 = 0) AS even,
+            bool_or(l_returnflag <> 'A') AS lettered, bool_or(l_quantity / 4 <> floor(l_quantity / 4)) AS fractions FROM lineitem)
+        SELECT 'lot' AS name, CASE WHEN even THEN 'DOUBLE' ELSE 'BIGINT' END AS type FROM f WHERE odd
+        UNION ALL SELECT 'weight_kg', CASE WHEN odd THEN 'DOUBLE' ELSE 'BIGINT' END FROM f WHERE even
+        UNION ALL SELECT 'weight__kg', 'BIGINT' FROM f
+        UNION ALL SELECT 'checked', 'BOOLEAN' FROM f
+        UNION ALL SELECT 'scan_date', 'TIMESTAMP' FROM f
+        UNION ALL SELECT 'note', 'STRING' FROM f
+        UNION ALL SELECT 'score', CASE WHEN fractions THEN 'DOUBLE' ELSE 'BIGINT' END FROM f
+        UNION ALL SELECT 'mixed', CASE WHEN lettered THEN 'STRING' ELSE 'BIGINT' END FROM f
+        UNION ALL SELECT 'blank', 'DOUBLE' FROM f""",
     "header_inventory": f"""
         WITH f AS (SELECT DISTINCT {_file("o_orderdate", "o_custkey")} AS file, month(o_orderdate) % 2 = 1 AS odd FROM orders)
         SELECT raw, column_name, count(*) AS files FROM f JOIN (VALUES

@@ -14,6 +14,7 @@ from xml.sax.saxutils import escape
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tallyshelf import session
 from tallyshelf.registry.tables import table
 
 
@@ -21,8 +22,12 @@ def _header(*names: str) -> str:
     return "array({})".format(", ".join(f"'{n}'" for n in names))
 
 
+def _spread(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return session.spread_if_small(table(spark, sf, name))
+
+
 def _sheet(rows: DataFrame, path: str, sheet: str, header: str, cells: list[str], kinds: list[str], *extra: str) -> DataFrame:
-    """Raw sheet rows from SQL expressions; an empty cell is missing."""
+    """Raw sheet rows from SQL expressions, landed as a table; an empty cell is missing."""
     shown = rows.selectExpr(
         *extra,
         f"{path} AS path",
@@ -34,13 +39,14 @@ def _sheet(rows: DataFrame, path: str, sheet: str, header: str, cells: list[str]
         "array({}) AS said".format(", ".join(kinds)),
         "CAST(NULL AS STRING) AS error",
     )
-    kinds_col = F.transform("said", lambda k, i: F.when(F.coalesce(F.get("cells", i), F.lit("")) == "", "e").otherwise(k))
-    return shown.withColumn("kinds", kinds_col).drop("said")
+    pairs = F.arrays_zip("said", "cells")
+    kinds_col = F.transform(pairs, lambda p: F.when(F.coalesce(p["cells"], F.lit("")) == "", "e").otherwise(p["said"]))
+    return session.written(shown.withColumn("kinds", kinds_col).drop("said"), "sheet")
 
 
 def order_sheet(spark: SparkSession, sf: str) -> DataFrame:
     """Thirteen columns by position; the last is surplus."""
-    lines = table(spark, sf, "lineitem")
+    lines = _spread(spark, sf, "lineitem")
     rows = lines.join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     rows = rows.join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     cells = [
@@ -159,7 +165,7 @@ DETAIL_EVEN = (
 
 def detail_sheets(spark: SparkSession, sf: str) -> DataFrame:
     """The ``bill details`` tab, one row per order line."""
-    rows = table(spark, sf, "lineitem").join(
+    rows = _spread(spark, sf, "lineitem").join(
         table(spark, sf, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey")
     )
     odd = "month(l_shipdate) % 2 = 1"
@@ -209,7 +215,7 @@ def bill_sheets(spark: SparkSession, sf: str) -> DataFrame:
     ]
     header = f"IF({odd}, {_header(*BILL_ODD)}, {_header(*BILL_EVEN)})"
     return _sheet(
-        table(spark, sf, "orders"), _path("o_orderdate", "o_custkey"), "'Bill'", header, cells, ["'s'"] * len(cells), "o_orderkey"
+        _spread(spark, sf, "orders"), _path("o_orderdate", "o_custkey"), "'Bill'", header, cells, ["'s'"] * len(cells), "o_orderkey"
     )
 
 
@@ -217,7 +223,7 @@ def storage_sheets(spark: SparkSession, sf: str) -> DataFrame:
     """The ``storage fee`` tab: no declared columns beyond the lineage."""
     cells = ["event_id", "user_id", "value", "date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS')", "event_type"]
     return _sheet(
-        table(spark, sf, "events"),
+        _spread(spark, sf, "events"),
         _path("ts", "user_id"),
         "'STORAGE FEE'",
         _header("Row", "Shelf No.", "Fee (KES)", "Stored Since", "Kind"),

@@ -13,6 +13,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Wide projections make one generated method per stage too long for the JVM to compile;
+    # past this size Spark splits the work into per-expression methods that do get compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(32 * 1024 * 1024),
 }
