@@ -51,37 +51,36 @@ def stock_status(tile: Column) -> Column:
 
 
 def tile_rows(pages: DataFrame, base_url: Column | str, tiles: str = "tiles") -> DataFrame:
-    """One row per usable tile, in page order: the page's other columns, ``pos`` and the record.
+    """One row per tile, in page order: the page's other columns, ``pos`` and the record.
 
-    A tile whose image address cannot be resolved is dropped.
+    A page without tiles keeps one row, and so does a tile whose image address cannot be
+    resolved; both have no ``product_url``. ``usable`` drops them.
     """
     base = F.lit(base_url) if isinstance(base_url, str) else base_url
     others = [c for c in pages.columns if c != tiles]
     t = F.col("_tile")
-    rows = pages.select(*others, base.alias("_base"), F.explode(tiles).alias("_tile"))
-    href = text.strip(t["href"])
+    rows = pages.select(*others, base.alias("_base"), F.explode_outer(tiles).alias("_tile"))
+    rows = rows.select("*", text.strip(t["href"]).alias("_href"), image_source(t).alias("_image"))
     rows = rows.select(
-        *others,
-        "_tile",
-        "_base",
-        t["pos"].alias("pos"),
-        urls.absolute_url(href, F.col("_base")).alias("product_url"),
-        urls.query_value(href, "ean").alias("ean"),
-        image_source(t).alias("_image"),
+        "*",
+        urls.absolute_url(F.col("_href"), F.col("_base")).alias("_url"),
+        urls.absolute_url(F.col("_image"), F.col("_base")).alias("_main_image"),
     )
     record = {
+        "product_url": F.when(F.col("_main_image").isNotNull(), F.col("_url")),
         "title": text.filled(t["data_name"], t["anchor_text"]),
         "short_description": F.array_join(F.filter(t["points"], lambda p: p != ""), ", "),
         "price_now": text.filled(first_filled(t["now_texts"]), t["data_price"], t["cart_price"]),
         "price_was": first_filled(t["was_texts"]),
         "currency": F.lit(CURRENCY),
-        "main_image_url": urls.absolute_url(F.col("_image"), F.col("_base")),
-        "ean": F.col("ean"),
+        "main_image_url": F.col("_main_image"),
+        "ean": urls.query_value(F.col("_href"), "ean"),
         "model": text.strip(F.coalesce(t["data_sku"], F.lit(""))),
         "stock_status": stock_status(t),
-        "slug": urls.product_slug(F.col("product_url")),
+        "slug": urls.product_slug(F.col("_url")),
     }
-    shaped = rows.select(*others, "pos", "product_url", *[c.alias(name) for name, c in record.items()])
-    return shaped.filter(F.col("main_image_url").isNotNull() & F.col("product_url").isNotNull()).select(
-        *others, "pos", *TILE_COLUMNS
-    )
+    return rows.select(*others, t["pos"].alias("pos"), *[record[name].alias(name) for name in TILE_COLUMNS])
+
+
+def usable(rows: DataFrame) -> DataFrame:
+    return rows.filter("product_url IS NOT NULL")

@@ -27,33 +27,39 @@ def local_stamp_text(run_ts: dt.datetime | str | None, zone: str = "Africa/Nairo
     return F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(zone), ntz), "yyyy-MM-dd HH:mm:ss")
 
 
-def parsed_pages(
-    pages: DataFrame, seeds: DataFrame, keys: Sequence[str], cap: int = crawl.MAX_COLLECTION_PAGES
+def page_tiles(
+    pages: DataFrame,
+    seeds: DataFrame,
+    base_url: Column | str,
+    keys: Sequence[str],
+    cap: int = crawl.MAX_COLLECTION_PAGES,
 ) -> DataFrame:
-    """``*keys, page_no, total_pages, tiles`` of every present page of a seeded category.
+    """Tile records of every present page of a seeded category, as a written table.
 
-    The page limit, the seed list and the presence test all run before the parse; the scan
-    reads the key columns, ``page_no`` and ``html`` only. Every page is parsed once and the
-    small facts are written down, because the later steps read them three times.
+    ``*keys, page_no, total_pages, pos`` and the record columns; a page without tiles has one
+    row without ``product_url``. The page limit, the seed list and the presence test run
+    before the parse, and the scan reads the keys, ``page_no`` and ``html`` only. Pages are
+    parsed and records built once, because the later steps read different columns of them.
     """
     wanted = pages.filter(F.col("page_no").between(1, cap) & crawl.page_present(F.col("html")))
     wanted = session.spread_if_small(wanted.select(*keys, "page_no", "html"))
     wanted = wanted.join(seeds.select("category"), "category", "left_semi")
     facts = wanted.select(*keys, "page_no", collection_facts(F.col("html")).alias("f"))
-    facts = facts.select(
-        *keys, "page_no", tiles.total_pages(F.col("f.total_hit"), F.col("f.link_max")).alias("total_pages"), "f.tiles"
-    )
-    return session.written(facts, "collection-facts")
+    total = tiles.total_pages(F.col("f.total_hit"), F.col("f.link_max")).alias("total_pages")
+    facts = facts.select(*keys, "page_no", total, F.col("f.tiles").alias("tiles"))
+    return session.written(tiles.tile_rows(facts, base_url), "collection-tiles")
 
 
-def catalogue_tiles(
-    parsed: DataFrame, base_url: Column | str, keys: Sequence[str], cap: int = crawl.MAX_COLLECTION_PAGES
+def scan_result(
+    rows: DataFrame, keys: Sequence[str], cap: int = crawl.MAX_COLLECTION_PAGES
 ) -> DataFrame:
-    """Tiles of the pages a sequential scan would have read, repeats of earlier pages removed."""
-    rows = tiles.tile_rows(parsed.drop("total_pages"), base_url)
-    firsts = page_order.first_pages(rows, keys)
-    stops = page_order.collection_stops(parsed, firsts, keys, cap)
-    return page_order.drop_repeats(page_order.before_stop(rows, stops, keys), firsts, keys)
+    """Of ``page_tiles``, what a page-by-page scan keeps: no repeats of earlier pages, nothing
+    from the page it stopped at on."""
+    found = tiles.usable(rows)
+    firsts = page_order.first_pages(found, keys)
+    stops = page_order.collection_stops(rows.select(*keys, "page_no", "total_pages"), firsts, keys, cap)
+    found = found.drop("total_pages")
+    return page_order.drop_repeats(page_order.before_stop(found, stops, keys), firsts, keys)
 
 
 def shaped(rows: DataFrame, run_ts: dt.datetime | str | None = None) -> DataFrame:
@@ -76,5 +82,4 @@ def catalogue_snapshot(
 
     ``base_url`` may be a column of ``keys`` when several sites are read at once.
     """
-    parsed = parsed_pages(pages, seeds, keys, cap)
-    return shaped(catalogue_tiles(parsed, base_url, keys, cap), run_ts)
+    return shaped(scan_result(page_tiles(pages, seeds, base_url, keys, cap), keys, cap), run_ts)

@@ -15,12 +15,8 @@ from tallyshelf.sources import crawl
 KEYS = ("site", "category")
 
 
-def _parsed(spark: SparkSession, sf: str) -> DataFrame:
-    return catalogue.parsed_pages(rp.collection_pages(spark, sf), rp.category_seeds(spark), KEYS)
-
-
-def _rows(parsed: DataFrame) -> DataFrame:
-    return tiles.tile_rows(parsed.drop("total_pages"), F.col("site"))
+def _rows(spark: SparkSession, sf: str) -> DataFrame:
+    return catalogue.page_tiles(rp.collection_pages(spark, sf), rp.category_seeds(spark), F.col("site"), KEYS)
 
 
 def catalogue_snapshot(spark, sf):
@@ -29,35 +25,36 @@ def catalogue_snapshot(spark, sf):
 
 
 def tile_records(spark, sf):
-    rows = _rows(_parsed(spark, sf))
+    rows = tiles.usable(_rows(spark, sf))
     return rows.select("site", "category", "page_no", *tiles.TILE_COLUMNS)
 
 
 def tile_stock_counts(spark, sf):
-    rows = _rows(_parsed(spark, sf))
+    rows = tiles.usable(_rows(spark, sf))
     return rows.groupBy("site", "category", "stock_status").agg(F.count("*").alias("tiles"))
 
 
 def total_pages(spark, sf):
-    return _parsed(spark, sf).filter("page_no = 1").select("site", "category", F.col("total_pages").cast("bigint"))
+    first = _rows(spark, sf).filter("page_no = 1").select("site", "category", "total_pages").distinct()
+    return first.withColumn("total_pages", F.col("total_pages").cast("bigint"))
 
 
 def scan_stops(spark, sf):
-    parsed = _parsed(spark, sf)
-    firsts = page_order.first_pages(_rows(parsed), KEYS)
-    return page_order.collection_stops(parsed, firsts, KEYS).select(
+    rows = _rows(spark, sf)
+    firsts = page_order.first_pages(tiles.usable(rows), KEYS)
+    return page_order.collection_stops(rows, firsts, KEYS).select(
         "site", "category", F.col("last_page").cast("bigint"), F.col("stop_page").cast("bigint")
     )
 
 
 def page_metrics(spark, sf):
-    rows = _rows(_parsed(spark, sf))
+    rows = tiles.usable(_rows(spark, sf))
     found = metrics.page_metrics(rows, page_order.first_pages(rows, KEYS), KEYS)
     return found.withColumn("page_no", F.col("page_no").cast("bigint"))
 
 
 def category_totals(spark, sf):
-    kept = catalogue.catalogue_tiles(_parsed(spark, sf), F.col("site"), KEYS)
+    kept = catalogue.scan_result(_rows(spark, sf), KEYS)
     named = kept.withColumn("category", text.category_label(F.col("category")))
     return metrics.counts_by(
         named,

@@ -63,36 +63,50 @@ def _is_tile(n: Node) -> bool:
     return n.tag == "div" and "js_product" in n.classes and "site-product" in n.classes
 
 
-def _is_cart(n: Node) -> bool:
-    return n.tag == "a" and "js_add_to_cart" in n.classes
+_PRICE_RULES: tuple[Callable[[Node], bool], ...] = (
+    lambda line: inside(line, cls="product-desc"),
+    lambda line: line.tag == "p",
+    lambda line: True,
+)
 
 
-def _price_line_texts(page: Page, tile: Node, tag: str) -> list[str]:
-    """Text of the first ``tag`` under each of three ever looser price-line rules."""
-    hits = [n for n in page.elements(tile, tag) if inside(n, cls="product-price")]
-    rules: tuple[Callable[[Node], bool], ...] = (
-        lambda up: "product-price" in up.classes and inside(up, cls="product-desc"),
-        lambda up: "product-price" in up.classes and up.tag == "p",
-        lambda up: "product-price" in up.classes,
-    )
-    found = (_first(n for n in hits if any(rule(up) for up in n.ancestors())) for rule in rules)
-    return [page.text(n, "") for n in found]
+def _price_lines(n: Node) -> list[Node]:
+    return [up for up in n.ancestors() if "product-price" in up.classes]
+
+
+def _price_texts(page: Page, found: list[tuple[Node, list[Node]]]) -> list[str]:
+    """Text of the first hit under each of three ever looser price-line rules."""
+    firsts = (_first(n for n, lines in found if any(map(rule, lines))) for rule in _PRICE_RULES)
+    return [page.text(n, "") for n in firsts]
 
 
 def _tile_facts(page: Page, tile: Node, pos: int) -> dict | None:
-    link = _first(a for a in page.elements(tile, "a") if (a.get("href") or "").startswith("/product/"))
-    if link is None:
-        return None
-    cart = _first(n for n in page.elements(tile, "a") if _is_cart(n))
-    image = _first(n for n in page.elements(tile, "img") if inside(n, cls="product-picture-wrap"))
-    points = []
-    for point in page.elements(tile, "p"):
-        if "product-point" in point.classes and any(
-            up.tag == "div" and "product-points" in up.classes for up in point.ancestors()
-        ):
-            spans = list(page.elements(point, "span"))
+    link = cart = image = None
+    prices: dict[str, list] = {"span": [], "del": []}
+    points, words = [], []
+    for n in page.below(tile):
+        tag = n.tag
+        if tag is None:
+            if not n.hidden:
+                words.append(n.text.strip())
+        elif tag == "a":
+            if link is None and (n.get("href") or "").startswith("/product/"):
+                link = n
+            if cart is None and "js_add_to_cart" in n.classes:
+                cart = n
+        elif tag in prices:
+            lines = _price_lines(n)
+            if lines:
+                prices[tag].append((n, lines))
+        elif tag == "img":
+            if image is None and inside(n, cls="product-picture-wrap"):
+                image = n
+        elif tag == "p" and "product-point" in n.classes and inside(n, tag="div", cls="product-points"):
+            spans = list(page.elements(n, "span"))
             if spans:
                 points.append(page.text(spans[-1], ""))
+    if link is None:
+        return None
     return {
         "pos": pos,
         "href": link.get("href"),
@@ -106,9 +120,9 @@ def _tile_facts(page: Page, tile: Node, pos: int) -> dict | None:
         "data_src": image.get("data-src") if image else None,
         "srcset": image.get("srcset") if image else None,
         "points": points,
-        "now_texts": _price_line_texts(page, tile, "span"),
-        "was_texts": _price_line_texts(page, tile, "del"),
-        "says_out_of_stock": "out of stock" in page.text(tile).lower(),
+        "now_texts": _price_texts(page, prices["span"]),
+        "was_texts": _price_texts(page, prices["del"]),
+        "says_out_of_stock": "out of stock" in " ".join(w for w in words if w).lower(),
     }
 
 

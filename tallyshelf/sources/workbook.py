@@ -31,6 +31,7 @@ RAW_TYPE = (
     "cells ARRAY<STRING>, kinds ARRAY<STRING>, error STRING"
 )
 _BATCH = 2000
+_SMALL_SHEET = 8 * 1024 * 1024
 
 # Built-in number formats that show a date or time.
 _DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
@@ -99,9 +100,9 @@ class _Book:
     def _cell(self, c) -> tuple[str | None, str]:
         kind, value, inline = c.get("t") or "n", None, None
         for child in c:
-            if _local(child.tag) == "v":
+            if child.tag.endswith("}v"):
                 value = child.text
-            elif _local(child.tag) == "is":
+            elif child.tag.endswith("}is"):
                 inline = _all_text(child)
         if kind == "inlineStr":
             return inline or "", "s"
@@ -126,22 +127,36 @@ class _Book:
             return digits, "n"
         return repr(number), "n"
 
+    def _row(self, element, number: int) -> tuple[int, dict[int, tuple[str | None, str]]]:
+        found, at = {}, -1
+        for c in element:
+            ref = c.get("r")
+            at = _column(ref) if ref else at + 1
+            shown, kind = self._cell(c)
+            if shown not in (None, ""):
+                found[at] = (None, "e") if shown in NA_TOKENS else (shown, kind)
+        return number, found
+
+    def _elements(self, member: str) -> Iterator:
+        """Row elements: of the whole sheet at once when it is small, else as it is read."""
+        if self.zip.getinfo(member).file_size <= _SMALL_SHEET:
+            for part in self._xml(member):
+                if _local(part.tag) == "sheetData":
+                    yield from part
+            return
+        with self.zip.open(member) as source:
+            for _, element in ElementTree.iterparse(source):
+                if _local(element.tag) == "row":
+                    yield element
+                    element.clear()
+
     def rows(self, member: str) -> Iterator[tuple[int, dict[int, tuple[str | None, str]]]]:
         """``row number, {column: (text, kind)}``, blank text cells left out."""
         number = -1
-        with self.zip.open(member) as source:
-            for _, element in ElementTree.iterparse(source):
-                if _local(element.tag) != "row":
-                    continue
-                number = int(element.get("r") or number + 2) - 1
-                found, at = {}, -1
-                for c in element:
-                    at = _column(c.get("r")) if c.get("r") else at + 1
-                    shown, kind = self._cell(c)
-                    if shown not in (None, ""):
-                        found[at] = (None, "e") if shown in NA_TOKENS else (shown, kind)
-                element.clear()
-                yield number, found
+        for element in self._elements(member):
+            ref = element.get("r")
+            number = int(ref) - 1 if ref else number + 1
+            yield self._row(element, number)
 
 
 def unique_names(raw: Sequence[str | None]) -> list[str]:
@@ -161,9 +176,11 @@ def unique_names(raw: Sequence[str | None]) -> list[str]:
 
 def _sheet_rows(book: _Book, path: str, pos: int) -> Iterator[dict]:
     sheet, member = book.sheets[pos]
-    # First pass: extent of the sheet, and proof that it can be read to the end.
+    # First pass: extent of the sheet, and proof that it can be read to the end. A small sheet
+    # is kept; a large one is read again.
+    kept = list(book.rows(member)) if book.zip.getinfo(member).file_size <= _SMALL_SHEET else None
     width, last = 0, -1
-    for number, found in book.rows(member):
+    for number, found in kept if kept is not None else book.rows(member):
         if found:
             width, last = max(width, max(found) + 1), max(last, number)
 
@@ -172,7 +189,7 @@ def _sheet_rows(book: _Book, path: str, pos: int) -> Iterator[dict]:
         return [shown for shown, _ in cells], [kind for _, kind in cells]
 
     header, expected = None, 0
-    for number, found in book.rows(member):
+    for number, found in kept if kept is not None else book.rows(member):
         if number > last:
             break
         for at in range(expected, number + 1):

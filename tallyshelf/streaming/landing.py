@@ -51,8 +51,7 @@ def land_runs(
     spark = runs.sparkSession
     in_time, late = run_pages(spark, pages_at, runs)
     usable = in_time.filter(crawl.is_html_response(F.col("status"), F.col("content_type")))
-    parsed = catalogue.parsed_pages(usable, seeds, KEYS)
-    rows = catalogue.catalogue_tiles(parsed, base_url, KEYS)
+    rows = catalogue.scan_result(catalogue.page_tiles(usable, seeds, base_url, KEYS), KEYS)
     stamped = rows.join(F.broadcast(runs.select("run_id", "run_ts")), "run_id")
     snapshot = stamped.select(
         F.date_trunc("second", "run_ts").alias("ts"),
