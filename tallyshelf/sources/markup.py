@@ -69,6 +69,13 @@ class Node:
             self._classes = frozenset((self.get("class") or "").split()) if self._raw else frozenset()
         return self._classes
 
+    def has(self, cls: str) -> bool:
+        """Class test that reads attributes only where the name can occur."""
+        raw = self._raw
+        if not raw or (isinstance(raw, str) and cls not in raw and "&" not in raw):
+            return False
+        return cls in self.classes
+
     def ancestors(self) -> Iterator["Node"]:
         node = self.parent
         while node is not None:
@@ -101,6 +108,11 @@ class Page:
         self._open = [self.nodes[0]]
         self._hiding: list[Node] = []
         self._pending: list[str] = []
+        self.pruned = False
+
+    def drop(self, node: Node):
+        """Remove an element and all that is in it."""
+        node.gone = self.pruned = True
 
     @property
     def root(self) -> Node:
@@ -192,6 +204,9 @@ class Page:
     def below(self, top: Node) -> Iterator[Node]:
         """Remaining descendants of ``top`` in document order."""
         nodes, i = self.nodes, top.at + 1
+        if not self.pruned:
+            yield from nodes[i : top.end]
+            return
         while i < top.end:
             node = nodes[i]
             if node.gone:
@@ -209,7 +224,8 @@ class Page:
     def texts(self, top: Node) -> list[str]:
         """Visible text pieces, each stripped, empty ones left out."""
         own = top.tag in HIDING
-        pieces = (n.text.strip() for n in self.below(top) if n.tag is None and (own or not n.hidden))
+        nodes = self.below(top) if self.pruned else self.nodes[top.at + 1 : top.end]
+        pieces = [n.text.strip() for n in nodes if n.tag is None and (own or not n.hidden)]
         return [piece for piece in pieces if piece]
 
     def text(self, top: Node | None, sep: str = " ") -> str:
@@ -234,6 +250,9 @@ class _Tolerant(HTMLParser):
 
 def inside(node: Node, *, tag: str | None = None, cls: str | None = None) -> bool:
     """Whether an ancestor has this name and/or class."""
-    return any(
-        (tag is None or up.tag == tag) and (cls is None or cls in up.classes) for up in node.ancestors()
-    )
+    up = node.parent
+    while up is not None:
+        if (tag is None or up.tag == tag) and (cls is None or up.has(cls)):
+            return True
+        up = up.parent
+    return False

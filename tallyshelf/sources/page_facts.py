@@ -59,10 +59,6 @@ def _page_number(digits: str) -> int:
 # --- product tiles on collection pages ---------------------------------------------------
 
 
-def _is_tile(n: Node) -> bool:
-    return n.tag == "div" and "js_product" in n.classes and "site-product" in n.classes
-
-
 _PRICE_RULES: tuple[Callable[[Node], bool], ...] = (
     lambda line: inside(line, cls="product-desc"),
     lambda line: line.tag == "p",
@@ -71,7 +67,7 @@ _PRICE_RULES: tuple[Callable[[Node], bool], ...] = (
 
 
 def _price_lines(n: Node) -> list[Node]:
-    return [up for up in n.ancestors() if "product-price" in up.classes]
+    return [up for up in n.ancestors() if up.has("product-price")]
 
 
 def _price_texts(page: Page, found: list[tuple[Node, list[Node]]]) -> list[str]:
@@ -84,7 +80,7 @@ def _tile_facts(page: Page, tile: Node, pos: int) -> dict | None:
     link = cart = image = None
     prices: dict[str, list] = {"span": [], "del": []}
     points, words = [], []
-    for n in page.below(tile):
+    for n in page.nodes[tile.at + 1 : tile.end]:
         tag = n.tag
         if tag is None:
             if not n.hidden:
@@ -92,7 +88,7 @@ def _tile_facts(page: Page, tile: Node, pos: int) -> dict | None:
         elif tag == "a":
             if link is None and (n.get("href") or "").startswith("/product/"):
                 link = n
-            if cart is None and "js_add_to_cart" in n.classes:
+            if cart is None and n.has("js_add_to_cart"):
                 cart = n
         elif tag in prices:
             lines = _price_lines(n)
@@ -101,7 +97,7 @@ def _tile_facts(page: Page, tile: Node, pos: int) -> dict | None:
         elif tag == "img":
             if image is None and inside(n, cls="product-picture-wrap"):
                 image = n
-        elif tag == "p" and "product-point" in n.classes and inside(n, tag="div", cls="product-points"):
+        elif tag == "p" and n.has("product-point") and inside(n, tag="div", cls="product-points"):
             spans = list(page.elements(n, "span"))
             if spans:
                 points.append(page.text(spans[-1], ""))
@@ -128,14 +124,25 @@ def _tile_facts(page: Page, tile: Node, pos: int) -> dict | None:
 
 def collection_page(html: str) -> dict:
     page = Page(html)
-    visible = "".join(n.text for n in page.below(page.root) if n.tag is None and not n.hidden)
-    total = _TOTAL.search(visible) if "Total" in visible and "Pages" in visible else None
-    numbers = (_PAGE_NO.search(a.get("href") or "") for a in page.elements(page.root, "a"))
-    tiles = [n for n in page.elements(page.root, "div") if _is_tile(n)]
+    visible, tiles, top = [], [], None
+    for n in page.nodes:
+        tag = n.tag
+        if tag is None:
+            if not n.hidden:
+                visible.append(n.text)
+        elif tag == "div":
+            if n.has("js_product") and n.has("site-product"):
+                tiles.append(n)
+        elif tag == "a":
+            numbered = _PAGE_NO.search(n.get("href") or "")
+            if numbered:
+                top = max(top or 0, _page_number(numbered.group(1)))
+    said = "".join(visible)
+    total = _TOTAL.search(said) if "Total" in said and "Pages" in said else None
     facts = (_tile_facts(page, tile, pos) for pos, tile in enumerate(tiles))
     return {
         "total_hit": _page_number(total.group(1)) if total else None,
-        "link_max": max((_page_number(m.group(1)) for m in numbers if m), default=None),
+        "link_max": top,
         "tiles": [f for f in facts if f is not None],
     }
 
@@ -144,19 +151,19 @@ def collection_page(html: str) -> dict:
 
 
 def _is_price(n: Node) -> bool:
-    return n.tag is not None and "price" in n.classes
+    return n.tag is not None and n.has("price")
 
 
 def _is_amount(n: Node, within: str) -> bool:
-    return (n.tag == "bdi" or "woocommerce-Price-amount" in n.classes) and inside(n, tag=within)
+    return (n.tag == "bdi" or n.has("woocommerce-Price-amount")) and inside(n, tag=within)
 
 
 def _price_facts(page: Page, box: Node | None) -> dict | None:
     if box is None:
         return None
     for n in list(page.elements(box)):
-        if "screen-reader-text" in n.classes:
-            n.gone = True
+        if n.has("screen-reader-text"):
+            page.drop(n)
     inner = list(page.elements(box))
     was = _first(n for n in inner if _is_amount(n, "del"))
     now = _first(n for n in inner if _is_amount(n, "ins"))
@@ -172,19 +179,19 @@ def _product_links(page: Page, top: Node) -> list[Node]:
     return [a for a in page.elements(top, "a") if "/product/" in (a.get("href") or "")]
 
 
+_SIDE = ("sidebar", "widget-area", "product_list_widget")
+
+
 def _drop_boilerplate(page: Page, top: Node) -> None:
-    for n in page.elements(top):
-        side = n.tag == "aside" or n.get("id") == "sidebar"
-        if side or n.classes & {"sidebar", "widget-area", "product_list_widget"}:
-            n.gone = True
-        elif n.tag in ("header", "footer", "nav"):
-            n.gone = True
+    for n in list(page.elements(top)):
+        if n.tag in ("aside", "header", "footer", "nav") or n.get("id") == "sidebar" or any(map(n.has, _SIDE)):
+            page.drop(n)
 
 
 def _grid(page: Page, top: Node) -> Node:
     """The product grid: a known container, else the one holding most product links."""
     for tag in ("ul", "div", "section"):
-        known = _first(n for n in page.elements(top, tag) if "products" in n.classes)
+        known = _first(n for n in page.elements(top, tag) if n.has("products"))
         if known is not None:
             return known
     links = [a.at for a in _product_links(page, top) if "add-to-cart" not in a.get("href")]
@@ -208,7 +215,7 @@ def _tile_price(page: Page, link: Node) -> Node | None:
 
 
 def _is_next(n: Node) -> bool:
-    return n.tag == "a" and "next" in n.classes
+    return n.tag == "a" and n.has("next")
 
 
 def listing_page(html: str) -> dict:
@@ -273,16 +280,16 @@ def _options(page: Page, form: Node) -> dict[str, list[str]]:
 def product_page(html: str) -> dict:
     page = Page(html)
     everything = list(page.elements(page.root))
-    crumb = _first(n for n in everything if "woocommerce-breadcrumb" in n.classes)
+    crumb = _first(n for n in everything if n.has("woocommerce-breadcrumb"))
     heading = _first(n for n in everything if n.tag == "h1")
-    form = _first(n for n in everything if n.tag == "form" and "variations_form" in n.classes)
+    form = _first(n for n in everything if n.tag == "form" and n.has("variations_form"))
     tab = _first(
         n
         for n in everything
-        if n.get("id") == "tab-description" or "woocommerce-Tabs-panel--description" in n.classes
+        if n.get("id") == "tab-description" or n.has("woocommerce-Tabs-panel--description")
     )
     short = _first(
-        n for n in everything if n.tag == "div" and "woocommerce-product-details__short-description" in n.classes
+        n for n in everything if n.tag == "div" and n.has("woocommerce-product-details__short-description")
     )
     keyed = _key_items(page)
     facts = {
