@@ -16,8 +16,10 @@ SLASH_MONTH_FIRST = r"^(\d{2})/(\d{2})/(\d{4})((?: \d{2}:\d{2}(?::\d{2}(?:\.\d{1
 
 
 def number_or_null(c: Column) -> Column:
-    """Coercing conversion: text outside the grammar becomes NULL."""
-    return F.when(c.rlike(NUMBER), c.try_cast("double"))
+    """Coercing conversion: text outside the grammar, or too large to hold, becomes NULL."""
+    d = c.try_cast("double")
+    held = (F.abs(d) < F.lit(float("inf"))) | c.rlike("(?i)inf")
+    return F.when(c.rlike(NUMBER) & held, d)
 
 
 def number_or_fail(c: Column, if_null: float = 0.0) -> Column:
