@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, functions as F
 
 _NOISE = r"^[\x00-\x20]+|[\t\r\n]"
@@ -23,78 +21,45 @@ def _as_column(value: Column | str) -> Column:
     return F.lit(value) if isinstance(value, str) else value
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` over a value that is computed once, however often ``body`` uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _split_address(url: Column) -> Column:
-    """struct<scheme, host, path, params, query, fragment>; parameters belong to the last segment."""
-
-    def parts(u: Column) -> Column:
-        full = F.regexp_extract(u, _PARTS, 1)
-        return F.struct(
-            F.lower(F.regexp_extract(u, rf"^({_SCHEME})", 1)).alias("scheme"),
-            F.regexp_extract(u, rf"^(?:{_SCHEME})?//([^/?#]*)", 1).alias("host"),
-            F.regexp_replace(full, r";[^/]*$", "").alias("path"),
-            F.regexp_extract(full, r"^(?:.*/)?[^/;]*;([^/]*)$", 1).alias("params"),
-            F.regexp_extract(u, r"^[^#?]*\?([^#]*)", 1).alias("query"),
-            F.regexp_extract(u, r"#([\s\S]*)$", 1).alias("fragment"),
-        )
-
-    return _let(F.regexp_replace(url, _NOISE, ""), parts)
-
-
-def _prefixed(mark: str, value: Column) -> Column:
-    return F.when(value != "", F.concat(F.lit(mark), value)).otherwise(F.lit(""))
-
-
-def _drop_dots(path: Column) -> Column:
-    """Resolve ``.`` and ``..`` segments of an absolute path."""
-
-    def step(kept: Column, seg: Column) -> Column:
-        shorter = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))
-        return F.when(seg == "..", shorter).when(seg == ".", kept).otherwise(F.concat(kept, F.array(seg)))
-
-    def resolved(p: Column) -> Column:
-        kept = F.aggregate(F.split(p, "/"), F.array().cast("array<string>"), step)
-        ends_open = p.rlike(r"(?:^|/)\.\.?$")
-        with_end = F.when(ends_open, F.concat(kept, F.array(F.lit("")))).otherwise(kept)
-        joined = F.regexp_replace(F.concat(F.lit("/"), F.array_join(with_end, "/")), "^/(?=/)", "")
-        return F.when(p.rlike(_DOTTED), joined).otherwise(p)
-
-    return _let(path, resolved)
+def _let(value: Column, body: str) -> Column:
+    """A SQL lambda over a value that is computed once, however often the body uses it."""
+    return F.get(F.call_function("transform", F.array(value), F.expr(body)), F.lit(0))
+
+
+# struct<scheme, host, path, params, query, fragment>; parameters belong to the last segment.
+_SPLIT = rf"""u -> named_struct(
+  'scheme', lower(regexp_extract(u, r'^({_SCHEME})', 1)),
+  'host', regexp_extract(u, r'^(?:{_SCHEME})?//([^/?#]*)', 1),
+  'path', regexp_replace(regexp_extract(u, r'{_PARTS}', 1), r';[^/]*$', ''),
+  'params', regexp_extract(regexp_extract(u, r'{_PARTS}', 1), r'^(?:.*/)?[^/;]*;([^/]*)$', 1),
+  'query', regexp_extract(u, r'^[^#?]*\?([^#]*)', 1),
+  'fragment', regexp_extract(u, r'#([\s\S]*)$', 1))"""
+
+# Resolves . and .. segments of an absolute path.
+_DROP_DOTS = rf"""p -> IF(NOT rlike(p, r'{_DOTTED}'), p, regexp_replace(concat('/', array_join(concat(
+  aggregate(split(p, '/'), CAST(array() AS ARRAY<STRING>), (kept, seg) -> CASE seg
+    WHEN '..' THEN slice(kept, 1, greatest(size(kept) - 1, 0)) WHEN '.' THEN kept ELSE concat(kept, array(seg)) END),
+  IF(rlike(p, r'(?:^|/)\.\.?$'), array(''), CAST(array() AS ARRAY<STRING>))), '/')), r'^/(?=/)', ''))"""
+
+# v.h is the split address, v.b the split base, v.raw the address as written.
+_TAIL = "IF(v.h.query <> '', concat('?', v.h.query), ''), IF(v.h.fragment <> '', concat('#', v.h.fragment), '')"
+_PARAMS = "IF(v.h.params <> '', concat(';', v.h.params), '')"
+_MERGED = """IF(startswith(v.h.path, '/'), v.h.path,
+    regexp_replace(concat('/', regexp_replace(v.b.path, r'[^/]*$', ''), v.h.path), r'/{2,}', '/'))"""
+_JOIN = rf"""v -> CASE
+  WHEN (contains(v.h.host, '[') OR contains(v.h.host, ']')) AND NOT rlike(v.h.host, r'{_BRACKET_HOST}') THEN NULL
+  WHEN v.h.scheme <> '' AND v.h.scheme <> v.b.scheme THEN v.raw
+  WHEN v.h.host <> '' THEN concat(v.b.scheme, '//', v.h.host, v.h.path, {_PARAMS}, {_TAIL})
+  WHEN v.h.path = '' AND v.h.params = '' THEN concat(v.b.scheme, '//', v.b.host, v.b.path,
+    IF(v.b.params <> '', concat(';', v.b.params), ''),
+    IF(v.h.query <> '', concat('?', v.h.query), IF(v.b.query <> '', concat('?', v.b.query), '')),
+    IF(v.h.fragment <> '', concat('#', v.h.fragment), ''))
+  ELSE concat(v.b.scheme, '//', v.b.host, transform(array({_MERGED}), {_DROP_DOTS})[0], {_PARAMS}, {_TAIL}) END"""
 
 
 def _resolved(href: Column, base: Column) -> Column:
-    def join(both: Column) -> Column:
-        h, b = both["h"], both["b"]
-        scheme = F.concat(b["scheme"], F.lit("//"))
-        tail = F.concat(_prefixed("?", h["query"]), _prefixed("#", h["fragment"]))
-        ending = F.concat(_prefixed(";", h["params"]), tail)
-        folder = F.concat(F.regexp_replace(b["path"], r"[^/]*$", ""))
-        merged = F.when(h["path"].startswith("/"), h["path"]).otherwise(
-            F.regexp_replace(F.concat(F.lit("/"), folder, h["path"]), r"/{2,}", "/")
-        )
-        same_page = F.concat(
-            scheme,
-            b["host"],
-            b["path"],
-            _prefixed(";", b["params"]),
-            _prefixed("?", F.when(h["query"] != "", h["query"]).otherwise(b["query"])),
-            _prefixed("#", h["fragment"]),
-        )
-        bracketed = h["host"].contains("[") | h["host"].contains("]")
-        return (
-            F.when(bracketed & ~h["host"].rlike(_BRACKET_HOST), F.lit(None).cast("string"))
-            .when((h["scheme"] != "") & (h["scheme"] != b["scheme"]), both["raw"])
-            .when(h["host"] != "", F.concat(scheme, h["host"], h["path"], ending))
-            .when((h["path"] == "") & (h["params"] == ""), same_page)
-            .otherwise(F.concat(scheme, b["host"], _drop_dots(merged), ending))
-        )
-
-    both = F.struct(_split_address(href).alias("h"), _split_address(base).alias("b"), href.alias("raw"))
-    return _let(both, join)
+    split = lambda url: _let(F.regexp_replace(url, _NOISE, ""), _SPLIT)
+    return _let(F.struct(split(href).alias("h"), split(base).alias("b"), href.alias("raw")), _JOIN)
 
 
 def absolute_url(href: Column, base: Column | str) -> Column:

@@ -16,45 +16,47 @@ from tallyshelf.sources import crawl
 from tallyshelf.sources.page_facts import listing_facts, product_facts
 
 
-def parsed_listings(
+def listing_links(
     pages: DataFrame, seeds: DataFrame, keys: Sequence[str] = ("brand",), cap: int = crawl.MAX_BRAND_PAGES
 ) -> DataFrame:
-    """``*keys, page_no, start_url, links, next_url`` of every present page of a seeded brand."""
+    """Links of every present listing page of a seeded brand, as a written table.
+
+    ``*keys, page_no, next_url, pos, url, price_raw``; a page without links has one row, and
+    an anchor that is no product link a row, without ``url``. Pages are parsed and addresses
+    resolved once, because the later steps read different columns of them.
+    """
     wanted = pages.filter(F.col("page_no").between(1, cap) & crawl.page_present(F.col("html")))
     wanted = session.spread_if_small(wanted.select(*keys, "page_no", "html"))
     wanted = wanted.join(seeds.select(*keys, "start_url"), list(keys))
     facts = wanted.select(*keys, "start_url", "page_no", listing_facts(F.col("html")).alias("f"))
     next_href = F.coalesce(F.nullif("f.next_anchor", F.lit("")), F.nullif("f.next_link", F.lit("")))
     facts = facts.select(
-        *keys,
-        "page_no",
-        "start_url",
-        F.col("f.links").alias("links"),
-        urls.absolute_url(next_href, F.col("start_url")).alias("next_url"),
+        *keys, "page_no", "start_url", F.col("f.links").alias("links"), urls.absolute_url(next_href, F.col("start_url")).alias("next_url")
     )
-    return session.written(facts, "listing-facts")
+    return session.written(link_rows(facts, [*keys, "page_no", "next_url"]), "listing-links")
 
 
-def link_rows(parsed: DataFrame, keys: Sequence[str] = ("brand",)) -> DataFrame:
-    """``*keys, page_no, pos, url, price_raw`` for every product link of the listing grids."""
+def link_rows(facts: DataFrame, others: Sequence[str]) -> DataFrame:
+    """``*others, pos, url, price_raw`` for every anchor of ``links``; ``url`` only where it is
+    a product link. Resolved and stripped in steps, so no address is worked out twice."""
     link = F.col("_link")
-    rows = parsed.select(*keys, "page_no", "start_url", F.explode("links").alias("_link"))
-    rows = rows.select(
-        *keys,
-        "page_no",
+    rows = facts.select(*others, "start_url", F.explode_outer("links").alias("_link"))
+    rows = rows.select(*others, "_link", urls.absolute_url(link["href"], F.col("start_url")).alias("_url"))
+    rows = rows.select(*others, "_link", urls.without_query(F.col("_url")).alias("_url"))
+    return rows.select(
+        *others,
         link["pos"].alias("pos"),
-        urls.without_query(urls.absolute_url(link["href"], F.col("start_url"))).alias("url"),
+        F.when(urls.is_product_link(F.col("_url")), F.col("_url")).alias("url"),
         products.price_text(link["price"]).alias("price_raw"),
     )
-    return rows.filter(urls.is_product_link(F.col("url")))
 
 
 def scan_urls(
-    parsed: DataFrame, keys: Sequence[str] = ("brand",), cap: int = crawl.MAX_BRAND_PAGES
+    links: DataFrame, keys: Sequence[str] = ("brand",), cap: int = crawl.MAX_BRAND_PAGES
 ) -> tuple[DataFrame, DataFrame]:
     """(URLs a next-link scan of every brand finds, stop page of every scan)."""
-    firsts = page_order.first_links(link_rows(parsed, keys), keys, ["price_raw"])
-    present = parsed.select(*keys, "page_no", F.col("next_url").isNotNull().alias("has_next"))
+    firsts = page_order.first_links(links.filter("url IS NOT NULL"), keys, ["price_raw"])
+    present = links.select(*keys, "page_no", F.col("next_url").isNotNull().alias("has_next"))
     stops = page_order.brand_stops(present, firsts, keys, cap)
     return page_order.before_stop(firsts, stops, keys, "first_page"), stops
 
@@ -66,7 +68,7 @@ def brand_product_urls(
 
     ``seeds`` holds ``*keys, brand_rank, start_url``; ``keys`` identify one scan.
     """
-    found, _ = scan_urls(parsed_listings(pages, seeds, keys, cap), keys, cap)
+    found, _ = scan_urls(listing_links(pages, seeds, keys, cap), keys, cap)
     return found.join(seeds.select(*keys, "brand_rank"), list(keys)).select(
         *keys, "brand_rank", "url", "price_raw", "first_page", "pos"
     )

@@ -14,8 +14,8 @@ from tallyshelf.sources.page_facts import product_facts
 KEYS = ("site", "brand")
 
 
-def _parsed(spark: SparkSession, sf: str) -> DataFrame:
-    return phones.parsed_listings(rp.brand_pages(spark, sf), rp.brand_seeds(spark, sf), KEYS)
+def _links(spark: SparkSession, sf: str) -> DataFrame:
+    return phones.listing_links(rp.brand_pages(spark, sf), rp.brand_seeds(spark, sf), KEYS)
 
 
 def _found(spark: SparkSession, sf: str) -> DataFrame:
@@ -45,29 +45,29 @@ def brand_product_urls(spark, sf):
 
 
 def listing_links(spark, sf):
-    rows = phones.link_rows(_parsed(spark, sf), KEYS)
+    rows = _links(spark, sf).filter("url IS NOT NULL")
     return rows.select("site", "brand", F.col("page_no").cast("bigint"), "url", "price_raw")
 
 
 def next_links(spark, sf):
-    return _parsed(spark, sf).select("site", "brand", F.col("page_no").cast("bigint"), "next_url")
+    return _links(spark, sf).select("site", "brand", F.col("page_no").cast("bigint"), "next_url").distinct()
 
 
 def listing_chain(spark, sf):
     """Page numbers rebuilt from next links alone."""
-    parsed = _parsed(spark, sf)
     seeds = rp.brand_seeds(spark, sf)
+    pages = _links(spark, sf).select(*KEYS, "page_no", "next_url").distinct().join(seeds, list(KEYS))
     own = F.when(F.col("page_no") == 1, F.col("start_url")).otherwise(
         F.concat("start_url", F.lit("page/"), "page_no", F.lit("/"))
     )
-    pages = parsed.select(*KEYS, own.alias("url"), "next_url")
+    pages = pages.select(*KEYS, own.alias("url"), "next_url")
     return page_order.numbered_chain(pages, seeds, KEYS).select(
         "site", "brand", F.col("page_no").cast("bigint"), "url"
     )
 
 
 def brand_stops(spark, sf):
-    _, stops = phones.scan_urls(_parsed(spark, sf), KEYS)
+    _, stops = phones.scan_urls(_links(spark, sf), KEYS)
     return stops.select("site", "brand", F.col("stop_page").cast("bigint"))
 
 

@@ -33,6 +33,7 @@ def local_session(cores: str | int = "*", app: str = "tallyshelf") -> SparkSessi
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")

@@ -124,8 +124,8 @@ def test_total_pages(spark, html, pages):
 def links(spark, html: str, start: str = "https://p.example/c/b/"):
     parsed = spark.createDataFrame([("b", 1, start, html)], "brand STRING, page_no INT, start_url STRING, html STRING")
     facts = parsed.select("brand", "page_no", "start_url", page_facts.listing_facts("html").alias("f"))
-    rows = phones.link_rows(facts.select("brand", "page_no", "start_url", F.col("f.links").alias("links")))
-    return [(r["url"], r["price_raw"]) for r in rows.orderBy("pos").collect()]
+    rows = phones.link_rows(facts.select("brand", "page_no", "start_url", F.col("f.links").alias("links")), ["brand"])
+    return [(r["url"], r["price_raw"]) for r in rows.filter("url IS NOT NULL").orderBy("pos").collect()]
 
 
 def card(href: str, price: str = "") -> str:
