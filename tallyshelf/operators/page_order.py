@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyshelf import session
 from tallyshelf.sources.crawl import MAX_BRAND_PAGES, MAX_COLLECTION_PAGES
 
 
@@ -110,24 +111,21 @@ def owned_urls(links: DataFrame, rank: str, carry: Sequence[str], url: str = "ur
 def numbered_chain(pages: DataFrame, seeds: DataFrame, keys: Sequence[str], cap: int = MAX_BRAND_PAGES) -> DataFrame:
     """Give pages their number by following next links from each start URL.
 
-    ``pages`` holds ``*keys, url, next_url``; ``seeds`` holds ``*keys, start_url``. For page
-    tables that were landed without a page number.
+    ``pages`` holds ``*keys, url, next_url``, one row per page; ``seeds`` holds
+    ``*keys, start_url``. For page tables that were landed without a page number. The reach
+    doubles each round (1, 2, 4, ... pages ahead), so 120 pages take seven rounds of
+    equi-joins; every round is written, which keeps plans flat and survives lost executors.
     """
-    spark = pages.sparkSession
-    pages.select(*keys, "url", "next_url").createOrReplaceTempView("_chain_pages")
-    seeds.select(*keys, "start_url").createOrReplaceTempView("_chain_seeds")
-    names = ", ".join(keys)
-    on = " AND ".join(f"p.{k} = c.{k}" for k in keys)
-    picked = ", ".join(f"c.{k}" for k in keys)
-    return spark.sql(
-        f"""
-        WITH RECURSIVE chain({names}, page_no, url) MAX RECURSION LEVEL {cap + 10} AS (
-          SELECT {names}, 1, start_url FROM _chain_seeds
-          UNION ALL
-          SELECT {picked}, c.page_no + 1, p.next_url
-          FROM chain c JOIN _chain_pages p ON {on} AND p.url = c.url
-          WHERE p.next_url IS NOT NULL AND c.page_no < {cap}
-        )
-        SELECT * FROM chain
-        """
-    )
+    on = [*keys, "url"]
+    reach = seeds.select(*keys, F.lit(1).alias("page_no"), F.col("start_url").alias("url"))
+    jump = session.written(pages.filter("next_url IS NOT NULL").select(*on, "next_url"), "chain-links")
+    step = 1
+    while step < cap:
+        ahead = reach.join(jump, on).select(*keys, (F.col("page_no") + step).alias("page_no"), F.col("next_url").alias("url"))
+        reach = session.written(reach.unionByName(ahead).filter(F.col("page_no") <= cap), "chain-reach")
+        step *= 2
+        if step < cap:
+            onward = jump.select(*keys, F.col("url").alias("next_url"), F.col("next_url").alias("_far"))
+            farther = jump.join(onward, [*keys, "next_url"]).select(*on, F.col("_far").alias("next_url"))
+            jump = session.written(farther, "chain-links")
+    return reach

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyshelf import session
@@ -11,6 +13,7 @@ from tallyshelf.plans import catalogue
 from tallyshelf.registry import rendered_pages as rp
 from tallyshelf.registry.tables import RUN_TS, table
 from tallyshelf.sources import crawl
+from tallyshelf.streaming import landing
 
 KEYS = ("site", "category")
 
@@ -135,6 +138,25 @@ def crawl_attempts(spark, sf):
     return crawl.resolve_attempts(events).select("url", "attempt", "html")
 
 
+def catalogue_stream(spark, sf):
+    """Every shop lands as one run with a manifest; the stream turns whole runs into snapshots."""
+    root = f"{session.scratch_root(spark)}/landing-{uuid.uuid4().hex}"
+    run = F.regexp_extract("site", r"^https://(\w+)\.", 1).alias("run_id")
+    at = F.lit("2024-05-01 06:00:00").cast("timestamp")
+    pages = rp.collection_pages(spark, sf).select(
+        "category", "page_no", "url", "status", "content_type", "html", at.alias("landed_at"), run
+    )
+    late = pages.filter("page_no = 1").withColumn("landed_at", at + F.expr("INTERVAL 2 HOURS"))
+    pages.unionByName(late).write.partitionBy("run_id").parquet(f"{root}/pages")
+    runs = spark.read.parquet(f"{root}/pages").select(F.col("run_id").cast("string")).distinct()
+    stamped = runs.select("run_id", F.lit(RUN_TS).alias("run_ts"), (at + F.expr("INTERVAL 1 HOUR")).alias("closed_at"))
+    stamped.write.json(f"{root}/manifests")
+    base = F.concat(F.lit("https://"), "run_id", F.lit(".example"))
+    landing.catalogue_stream(spark, root, f"{root}/out", rp.category_seeds(spark), base).awaitTermination()
+    found = spark.read.parquet(f"{root}/out/snapshot")
+    return found.select("ts", "category", "product_url", "title", "price_now", "stock_status")
+
+
 QUERIES = {
     "catalogue_snapshot": catalogue_snapshot,
     "tile_records": tile_records,
@@ -148,6 +170,7 @@ QUERIES = {
     "cross_page_dedupe": cross_page_dedupe,
     "prefix_stop": prefix_stop,
     "crawl_attempts": crawl_attempts,
+    "catalogue_stream": catalogue_stream,
 }
 
 _RECORD = ", ".join(tiles.TILE_COLUMNS)
@@ -156,6 +179,8 @@ _HEAD = f"{rp.SITE_SQL} AS site, {rp.SLUG_SQL} AS category"
 SQL = {
     "catalogue_snapshot": f"""WITH {rp.TILES_SQL}
         SELECT TIMESTAMP '{RUN_TS}' AS ts, {rp.CATEGORY_SQL} AS category, {_RECORD} FROM kept""",
+    "catalogue_stream": f"""WITH {rp.TILES_SQL}
+        SELECT TIMESTAMP '{RUN_TS}' AS ts, {rp.CATEGORY_SQL} AS category, product_url, title, price_now, stock_status FROM kept""",
     "tile_records": f"""WITH {rp.TILES_SQL}
         SELECT {_HEAD}, CAST(page_no AS INTEGER) AS page_no, {_RECORD} FROM scan_rows WHERE page_no <= 60""",
     "tile_stock_counts": f"""WITH {rp.TILES_SQL}

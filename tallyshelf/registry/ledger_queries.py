@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyshelf import session
 from tallyshelf.operators import align, metrics, sinks
 from tallyshelf.plans import ledger
-from tallyshelf.plans.schemas import CATALOGUE, COMPLETED_ORDERS, STATEMENT_SCHEMAS, STOCK
+from tallyshelf.plans.schemas import CATALOGUE, COMPLETED_ORDERS, STATEMENT_SCHEMAS, STATEMENT_TABS, STOCK
 from tallyshelf.registry import rendered_sheets as rs
 from tallyshelf.registry.tables import RUN_TS, table
 from tallyshelf.sources import workbook
@@ -59,6 +60,39 @@ def all_statement_tabs(spark, sf):
     return counts
 
 
+def statement_tables(spark, sf):
+    """Every tab into its own table; rows and columns read back from the tables."""
+    raw = rs.detail_sheets(spark, sf).unionByName(rs.bill_sheets(spark, sf).drop("o_orderkey")).unionByName(rs.storage_sheets(spark, sf))
+    prefix = _fresh("weekly") + "_"
+    outcome = sinks.write_tabs(ledger.weekly_statements(ledger.statement_rows(raw)), STATEMENT_TABS, prefix)
+    stored = [
+        spark.table(prefix + STATEMENT_TABS[tab]).agg(
+            F.lit(tab).alias("tab"), F.lit(said).alias("outcome"), F.count("*").alias("rows"),
+            F.count("statement_start_date").alias("dated"), F.count_distinct("source_filename").alias("files"),
+        )
+        for tab, said in outcome.items()
+    ]
+    return reduce(DataFrame.unionByName, stored)
+
+
+def csv_export(spark, sf):
+    """The stock list as a CSV export: the same job from another file format."""
+    spot = f"{session.scratch_root(spark)}/{_fresh('stock_csv')}"
+    cells = F.col("cells")
+    named = [F.get(cells, F.lit(i)).alias(n) for i, n in enumerate(rs.STOCK_NAMES)]
+    rs.stock_sheet(spark, sf).select(*named).write.option("header", True).csv(spot)
+    return ledger.stock(workbook.csv_rows(spark, spot), SHOP, RUN_TS)
+
+
+def create_if_missing(spark, sf):
+    """A table created from its schema, then created again after rows arrived."""
+    name = _fresh("stock_first")
+    sinks.create_if_missing(spark, name, STOCK)
+    ledger.stock(rs.stock_sheet(spark, sf), SHOP, RUN_TS).write.insertInto(name)
+    sinks.create_if_missing(spark, name, STOCK)
+    return spark.table(name).groupBy("status", "shop_name").agg(F.count("*").alias("rows"))
+
+
 def extra_type_inference(spark, sf):
     rows = ledger.statement_rows(rs.detail_sheets(spark, sf))
     layouts = align.tab_layouts(rows)
@@ -193,6 +227,9 @@ QUERIES = {
     "weekly_bill_coalesced": weekly_bill_coalesced,
     "weekly_storage_fee": weekly_storage_fee,
     "all_statement_tabs": all_statement_tabs,
+    "statement_tables": statement_tables,
+    "csv_export": csv_export,
+    "create_if_missing": create_if_missing,
     "extra_type_inference": extra_type_inference,
     "header_inventory": header_inventory,
     "positional_orders": positional_orders,
@@ -303,6 +340,13 @@ SQL = {
           SELECT 'bill details' AS tab, {_lineage("l_shipdate", "l_suppkey")} FROM lineitem JOIN part ON l_partkey = p_partkey
           UNION ALL SELECT 'bill', {_lineage("o_orderdate", "o_custkey")} FROM orders
           UNION ALL SELECT 'storage fee', {_lineage("ts", "user_id")} FROM events) GROUP BY ALL""",
+    "statement_tables": f"""
+        SELECT tab, 'ok' AS outcome, count(*) AS rows, count(statement_start_date) AS dated, count(DISTINCT source_filename) AS files FROM (
+          SELECT 'bill details' AS tab, {_lineage("l_shipdate", "l_suppkey")} FROM lineitem JOIN part ON l_partkey = p_partkey
+          UNION ALL SELECT 'bill', {_lineage("o_orderdate", "o_custkey")} FROM orders
+          UNION ALL SELECT 'storage fee', {_lineage("ts", "user_id")} FROM events) GROUP BY tab""",
+    "create_if_missing": f"""
+        SELECT lower(p_type) AS status, '{SHOP}' AS shop_name, count(*) AS rows FROM part GROUP BY ALL""",
     "extra_type_inference": """
         WITH f AS (
           SELECT bool_or(month(l_shipdate) % 2 = 1) AS odd, bool_or(month(l_shipdate) % 2 = 0) AS even,
@@ -366,3 +410,5 @@ SQL = {
           o_orderstatus AS status
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
 }
+
+SQL["csv_export"] = SQL["stock"]

@@ -21,6 +21,9 @@ RUNTIME_SETTINGS = {
 }
 
 
+_written: list[str] = []
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
@@ -69,9 +72,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_written(spark: SparkSession) -> None:
+    """Delete this process's scratch tables; call when the results built on them are stored."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Planner's size estimate; exact file size for a plain or freshly written scan."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
