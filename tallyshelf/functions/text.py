@@ -11,7 +11,8 @@ SPACE_CHARS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
     "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-SPACE = r"[\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+ODD_SPACE = r"[\x09-\x0d\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+SPACE = ODD_SPACE.replace(r"\x1f", r"\x20")
 
 # Cell texts that mean "missing" in a spreadsheet export.
 NA_TOKENS = (
@@ -56,8 +57,11 @@ def strip_leading_commas(c: Column) -> Column:
 
 
 def collapse_space(c: Column) -> Column:
-    """NULL to empty, whitespace runs (non-breaking ones too) to one space, trimmed."""
-    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), f"{SPACE}+", " "))
+    """NULL to empty, whitespace runs (non-breaking ones too) to one space, trimmed.
+
+    The pattern skips single plain spaces, which are right already and by far the most common.
+    """
+    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), f"{ODD_SPACE}{SPACE}*| {SPACE}+", " "))
 
 
 def filled(*choices: Column) -> Column:
@@ -82,15 +86,16 @@ def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
-def file_dates(path: Column) -> Column:
-    """``yyyyMMdd_yyyyMMdd_...`` file names as struct<start, end>; both dates or neither."""
-    parts = F.split(file_name(path), "_")
-    eight = r"^(?!0000)\d{8}$"
+# Both dates of a split file name, or NULL: the parts are looked at once each.
+_NAME_DATES = r"""p -> transform(array(named_struct(
+    'start', IF(rlike(get(p, 0), r'^(?!0000)\d{8}$'),
+      try_cast(concat_ws('-', left(get(p, 0), 4), substr(get(p, 0), 5, 2), right(get(p, 0), 2)) AS DATE), NULL),
+    'end', IF(rlike(get(p, 1), r'^(?!0000)\d{8}$'),
+      try_cast(concat_ws('-', left(get(p, 1), 4), substr(get(p, 1), 5, 2), right(get(p, 1), 2)) AS DATE), NULL))),
+  d -> IF(d.start IS NOT NULL AND d.end IS NOT NULL, d, NULL))[0]"""
 
-    def day(i: int) -> Column:
-        part = F.get(parts, F.lit(i))
-        return F.when(part.rlike(eight), F.try_to_date(part, "yyyyMMdd"))
 
-    start, end = day(0), day(1)
-    both = start.isNotNull() & end.isNotNull()
-    return F.struct(F.when(both, start).alias("start"), F.when(both, end).alias("end"))
+def file_dates(path: Column) -> Column:
+    """``yyyyMMdd_yyyyMMdd_...`` file names as struct<start, end>; NULL unless both are dates."""
+    parts = F.array(F.split(file_name(path), "_"))
+    return F.get(F.call_function("transform", parts, F.expr(_NAME_DATES)), F.lit(0))

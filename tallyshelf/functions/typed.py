@@ -74,7 +74,9 @@ def stamp_or_null(c: Column, kind: Column | None = None) -> Column:
     stamp = iso.try_cast("timestamp")
     if kind is None:
         return stamp
-    micros = F.floor(number_or_null(c) / F.lit(1000)).try_cast("bigint")
+    nanos = F.trim(c).try_cast("bigint")
+    micros = F.when(nanos.isNotNull(), F.call_function("div", nanos - F.pmod(nanos, F.lit(1000)), F.lit(1000)))
+    micros = F.coalesce(micros, F.floor(number_or_null(c) / F.lit(1000)).try_cast("bigint"))
     return F.when(kind == "n", F.timestamp_micros(micros)).otherwise(stamp)
 
 

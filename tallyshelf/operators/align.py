@@ -93,6 +93,10 @@ class Source:
     name: str
     headers: tuple[str, ...]
 
+    @property
+    def loses_commas(self) -> bool:
+        return "order" in self.name or "sn" in self.name
+
 
 @dataclass(frozen=True)
 class TabLayouts:
@@ -183,7 +187,7 @@ def cleaned(sources: Sequence[Source]) -> list[Column]:
     shown = []
     for i, source in enumerate(sources):
         c = text.null_text(F.col(f"_t{i}"))
-        if "order" in source.name or "sn" in source.name:
+        if source.loses_commas:
             c = text.strip_leading_commas(c)
         shown.append(c.alias(f"_t{i}"))
     return shown
@@ -193,7 +197,9 @@ def numbers(positions: Iterable[int]) -> list[Column]:
     return [typed.number_or_null(F.col(f"_t{i}")).alias(f"_d{i}") for i in positions]
 
 
-def typed_column(at: int | None, field: StructField, on_fraction: str = "error") -> Column:
+def typed_column(
+    at: int | None, field: StructField, on_fraction: str = "error", loses_commas: bool = True
+) -> Column:
     """A declared column from cleaned source ``at``; typed NULL when the tab lacks it."""
     if at is None:
         return F.lit(None).cast(field.dataType).alias(field.name)
@@ -204,7 +210,7 @@ def typed_column(at: int | None, field: StructField, on_fraction: str = "error")
         case LongType():
             c = typed.whole_or_null(c, on_fraction, F.col(f"_d{at}"))
         case StringType():
-            c = text.strip(c)
+            c = text.strip(c) if loses_commas else c  # other texts are trimmed already
         case DateType():
             c = typed.date_or_null(c, kind)
         case TimestampType():

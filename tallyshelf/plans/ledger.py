@@ -115,11 +115,10 @@ def _statement(
 
     Separate projections, because each step reads the previous one's result several times.
     """
-    dates = text.file_dates(F.col("path"))
     lineage = [
         text.file_name(F.col("path")).alias("source_filename"),
-        dates["start"].alias("statement_start_date"),
-        dates["end"].alias("statement_end_date"),
+        F.col("_dates.start").alias("statement_start_date"),
+        F.col("_dates.end").alias("statement_end_date"),
     ]
     own = ("source_filename", "statement_start_date", "statement_end_date")
     used = [s for n, s in sources.items() if n not in own and (n in schema.names or n in extras)]
@@ -132,7 +131,12 @@ def _statement(
     found = align.placed(rows, tab, layouts, used).select("path", *align.lookups(used))
     found = found.select("path", *kinds, *align.trimmed(len(used)))
     found = found.select("path", *kinds, *align.cleaned(used))
-    found = found.select("path", *kinds, *texts, *align.numbers(at[n] for n in at if n in numeric))
-    declared = [align.typed_column(at.get(f.name), f, on_fraction) for f in schema.fields if f.name not in own]
+    dates = text.file_dates(F.col("path")).alias("_dates")
+    found = found.select("path", dates, *kinds, *texts, *align.numbers(at[n] for n in at if n in numeric))
+    declared = [
+        align.typed_column(at.get(f.name), f, on_fraction, f.name in at and sources[f.name].loses_commas)
+        for f in schema.fields
+        if f.name not in own
+    ]
     added = [align.extra_column(at[n], sources[n], t) for n, t in extras.items() if n not in own]
     return found.select(*lineage, *declared, *added)

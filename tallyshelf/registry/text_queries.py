@@ -310,7 +310,7 @@ SQL = {
         SELECT page_id, CAST(coalesce(list_max(list_transform(regexp_extract_all(html, '<a [^>]*href="[^"]*page=(\\d+)', 1), lambda x: CAST(x AS INTEGER))), 1) AS INTEGER) AS total_pages,
           CAST(len(regexp_extract_all(html, '<a [^>]*href=')) AS INTEGER) AS links FROM pages""",
     "page_heading": f"""
-        SELECT page_id, trim(regexp_replace({_DECODED.format("regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1)")}, '{_SPACE}+', ' ', 'g')) AS heading FROM pages""",
+        SELECT page_id, trim(regexp_replace({_DECODED.format("regexp_replace(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1), '&amp$', '&amp;')")}, '{_SPACE}+', ' ', 'g')) AS heading FROM pages""",
     "page_feature_lists": """
         SELECT page_id, CAST(len(regexp_extract_all(html, '<ul[ >]')) AS INTEGER) AS lists,
           CASE WHEN len(items) >= 3 AND len(list_filter(items, lambda x: contains(x, ':'))) > 0
