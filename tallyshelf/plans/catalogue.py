@@ -38,13 +38,19 @@ def page_tiles(
 
     ``*keys, page_no, total_pages, pos`` and the record columns; a page without tiles has one
     row without ``product_url``. The page limit, the seed list and the presence test run
-    before the parse, and the scan reads the keys, ``page_no`` and ``html`` only. Pages are
-    parsed and records built once, because the later steps read different columns of them.
+    before the parse, and the scan reads the keys, ``page_no`` and ``html`` only. A seed list
+    beyond the broadcast limit is applied to the facts instead, so HTML is never shuffled.
+    Pages are parsed and records built once, because the later steps read different columns.
     """
     wanted = pages.filter(F.col("page_no").between(1, cap) & crawl.page_present(F.col("html")))
     wanted = session.spread_if_small(wanted.select(*keys, "page_no", "html"))
-    wanted = wanted.join(seeds.select("category"), "category", "left_semi")
+    named = session.sized(seeds.select("category"), "seeds")
+    small = session.fits_broadcast(named)
+    if small:
+        wanted = wanted.join(F.broadcast(named), "category", "left_semi")
     facts = wanted.select(*keys, "page_no", collection_facts(F.col("html")).alias("f"))
+    if not small:
+        facts = facts.join(named, "category", "left_semi")
     total = tiles.total_pages(F.col("f.total_hit"), F.col("f.link_max")).alias("total_pages")
     facts = facts.select(*keys, "page_no", total, F.col("f.tiles").alias("tiles"))
     return session.written(tiles.tile_rows(facts, base_url), "collection-tiles")

@@ -23,12 +23,18 @@ def listing_links(
 
     ``*keys, page_no, next_url, pos, url, price_raw``; a page without links has one row, and
     an anchor that is no product link a row, without ``url``. Pages are parsed and addresses
-    resolved once, because the later steps read different columns of them.
+    resolved once, because the later steps read different columns of them. A seed list beyond
+    the broadcast limit meets the facts instead of the pages, so HTML is never shuffled.
     """
     wanted = pages.filter(F.col("page_no").between(1, cap) & crawl.page_present(F.col("html")))
     wanted = session.spread_if_small(wanted.select(*keys, "page_no", "html"))
-    wanted = wanted.join(seeds.select(*keys, "start_url"), list(keys))
-    facts = wanted.select(*keys, "start_url", "page_no", listing_facts(F.col("html")).alias("f"))
+    starts = session.sized(seeds.select(*keys, "start_url"), "seeds")
+    small = session.fits_broadcast(starts)
+    if small:
+        wanted = wanted.join(F.broadcast(starts), list(keys))
+    facts = wanted.select(*[c for c in wanted.columns if c != "html"], listing_facts(F.col("html")).alias("f"))
+    if not small:
+        facts = facts.join(starts, list(keys))
     next_href = F.coalesce(F.nullif("f.next_anchor", F.lit("")), F.nullif("f.next_link", F.lit("")))
     facts = facts.select(
         *keys, "page_no", "start_url", F.col("f.links").alias("links"), urls.absolute_url(next_href, F.col("start_url")).alias("next_url")
@@ -69,7 +75,8 @@ def brand_product_urls(
     ``seeds`` holds ``*keys, brand_rank, start_url``; ``keys`` identify one scan.
     """
     found, _ = scan_urls(listing_links(pages, seeds, keys, cap), keys, cap)
-    return found.join(seeds.select(*keys, "brand_rank"), list(keys)).select(
+    ranks = session.sized(seeds.select(*keys, "brand_rank"), "seeds")
+    return found.join(ranks, list(keys)).select(
         *keys, "brand_rank", "url", "price_raw", "first_page", "pos"
     )
 
@@ -85,7 +92,7 @@ def product_records(owned: DataFrame, product_pages: DataFrame, filter_leaks: bo
     owned = session.written(owned, "owned-urls")
     pages = product_pages.select("url", "html").filter(crawl.page_present(F.col("html")))
     pages = session.spread_if_small(pages)
-    if session.plan_bytes(owned) <= session.broadcast_limit(owned.sparkSession):
+    if session.fits_broadcast(owned):
         pages = pages.join(F.broadcast(owned.select("url")), "url", "left_semi")
     facts = pages.select("url", product_facts(F.col("html")).alias("f"))
     joined = owned.join(facts, "url", "left")

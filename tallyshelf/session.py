@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,11 +57,14 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="tallyshelf-scratch-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_scratch()
+
+
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="tallyshelf-scratch-")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -90,8 +94,20 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 def broadcast_limit(spark: SparkSession) -> int:
-    raw = spark.sparkContext._jvm.org.apache.spark.sql.internal.SQLConf.get().autoBroadcastJoinThreshold()
-    return int(raw)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if limit.lstrip("-").isdigit():
+        return int(limit)
+    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit))
+
+
+def sized(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a size the planner knows; one made from driver rows has none until written."""
+    return df if plan_bytes(df) < 2**62 else written(df, name)
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the known size of ``df`` is within the session's broadcast limit."""
+    return plan_bytes(df) <= broadcast_limit(df.sparkSession)
 
 
 def spread_if_small(df: DataFrame, per_task_bytes: int = 4 * 1024 * 1024) -> DataFrame:

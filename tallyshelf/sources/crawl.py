@@ -19,14 +19,23 @@ MAX_ATTEMPTS = 3
 
 def category_seeds(spark: SparkSession, slugs: Sequence[str] = CATEGORY_SLUGS) -> DataFrame:
     """``rank, category`` in the order in which collections are visited."""
-    rows = [(rank, slug) for rank, slug in enumerate(slugs, start=1)]
-    return spark.createDataFrame(rows, "rank INT, category STRING")
+    rows = [{"rank": rank, "category": slug} for rank, slug in enumerate(slugs, start=1)]
+    return _inline(spark, rows)
 
 
 def brand_seeds(spark: SparkSession, start_urls: dict[str, str]) -> DataFrame:
     """``brand_rank, brand, start_url`` in the order in which brands are visited."""
-    rows = [(rank, brand, url) for rank, (brand, url) in enumerate(start_urls.items(), start=1)]
-    return spark.createDataFrame(rows, "brand_rank INT, brand STRING, start_url STRING")
+    rows = [
+        {"brand_rank": rank, "brand": brand, "start_url": url}
+        for rank, (brand, url) in enumerate(start_urls.items(), start=1)
+    ]
+    return _inline(spark, rows)
+
+
+def _inline(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
+    """Rows as literals of the plan, so their small size is known and they are broadcast."""
+    structs = [F.struct(*[F.lit(v).alias(name) for name, v in row.items()]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def crawl_plan(seeds: DataFrame, base_url: Column | str, pages: int = MAX_COLLECTION_PAGES) -> DataFrame:

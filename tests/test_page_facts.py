@@ -285,3 +285,46 @@ def test_owner_is_settled_before_the_brand_filter(spark):
     assert phones.phone_snapshot(found, pages, "2024-05-01 00:00:00").count() == 0
     kept = phones.phone_snapshot(found, pages, "2024-05-01 00:00:00", filter_leaks=False).first()
     assert (kept["brand"], kept["price_raw"]) == ("alpha", "9")
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def small_run(spark):
+    seeds = spark.createDataFrame([(1, "b", "https://p.example/b/")], "brand_rank INT, brand STRING, start_url STRING")
+    pages = [("b", n, f"<ul class='products'>{card(f'/product/{n}', '<b class=price>5</b>')}</ul><a class='next' href='{n + 1}'>n</a>") for n in (1, 2)]
+    listings = spark.createDataFrame([*pages, ("other", 1, pages[0][2])], "brand STRING, page_no INT, html STRING")
+    found = phones.brand_product_urls(listings, seeds)
+    products_ = spark.createDataFrame([(f"https://p.example/product/{n}", f"<h1>{n}</h1>") for n in (1, 2, 3)], "url STRING, html STRING")
+    return phones.phone_snapshot(found, products_, "2024-05-01 00:00:00")
+
+
+def test_lists_beyond_the_broadcast_limit_give_the_same_rows(spark, no_broadcast):
+    without = small_run(spark)
+    assert "BroadcastHashJoin" not in plan_of(without)
+    rows = sorted(without.collect())
+    assert [r["name"] for r in rows] == ["1", "2"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    assert sorted(small_run(spark).collect()) == rows
+
+
+def test_html_is_not_shuffled_for_a_seed_list(spark, tmp_path):
+    from tallyshelf import session
+    from tallyshelf.sources import crawl
+
+    pages = spark.createDataFrame([("audio", 1, "x"), ("none", 1, "y")], "category STRING, page_no INT, html STRING")
+    pages.write.parquet(str(tmp_path / "p"))
+    for seeds in (crawl.category_seeds(spark), spark.createDataFrame([(1, "audio")], "rank INT, category STRING")):
+        named = session.sized(seeds.select("category"), "seeds")
+        assert session.fits_broadcast(named)
+        joined = spark.read.parquet(str(tmp_path / "p")).join(F.broadcast(named), "category", "left_semi")
+        assert "Exchange hashpartitioning" not in plan_of(joined) and joined.count() == 1
