@@ -54,8 +54,8 @@ def main() -> None:
         "phone_snapshot": lambda: phones.phone_snapshot(found(), products, RUN_TS),
         "completed_orders": lambda: ledger.completed_orders(order_sheet, "shop"),
         "stock": lambda: ledger.stock(stock_sheet, "shop", RUN_TS),
-        "weekly_bill_details": lambda: ledger.weekly_statements(ledger.statement_rows(details))["bill details"],
-        "weekly_bill": lambda: ledger.weekly_statements(ledger.statement_rows(bills))["bill"],
+        "weekly_bill_details": lambda: ledger.weekly_statements(ledger.statement_rows(details), land=False)["bill details"],
+        "weekly_bill": lambda: ledger.weekly_statements(ledger.statement_rows(bills), land=False)["bill"],
         "workbook_decode": lambda: workbook.decoded(books, ["lines"]),
         **{
             name: (lambda fn: lambda: fn(spark, SF_DIR))(registry.QUERIES[name])

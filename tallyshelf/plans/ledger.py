@@ -12,6 +12,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from tallyshelf import session
 from tallyshelf.functions import text, typed
 from tallyshelf.operators import align
 from tallyshelf.plans.schemas import (
@@ -77,13 +78,17 @@ def weekly_statements(
     schemas: Mapping[str, StructType] = STATEMENT_SCHEMAS,
     mode: str = "first",
     on_fraction: str = "error",
+    land: bool = True,
 ) -> dict[str, DataFrame]:
     """One frame per tab that has data: declared columns, then undeclared ones.
 
     ``rows`` are statement rows with ``tab``. Tabs are independent: each frame fails or
-    succeeds when it is written.
+    succeeds when it is written. Rows are read by two small aggregates and once per tab, so
+    they are landed first, by tab; ``land=False`` is for rows that lie in a table already.
     """
     rows = rows.filter(F.col("tab").isin(*schemas))
+    if land:
+        rows = session.written(rows.select("tab", "path", "header", "cells", "kinds"), "statement-rows", ["tab"])
     layouts = align.tab_layouts(rows)
     sources = {tab: found.sources(mode) for tab, found in layouts.items()}
     extras = {

@@ -27,7 +27,7 @@ def stock(spark, sf):
 
 
 def _statement(spark: SparkSession, raw: DataFrame, tab: str, mode: str = "first") -> DataFrame:
-    return ledger.weekly_statements(ledger.statement_rows(raw), STATEMENT_SCHEMAS, mode)[tab]
+    return ledger.weekly_statements(ledger.statement_rows(raw), STATEMENT_SCHEMAS, mode, land=False)[tab]
 
 
 def weekly_bill_details(spark, sf):

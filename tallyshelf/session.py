@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,7 +68,7 @@ def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="tallyshelf-scratch-")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once as parquet under the scratch root and read it back.
 
     Used where several branches need one expensive result (parsed pages). The files outlive
@@ -75,7 +76,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -328,3 +328,11 @@ def test_html_is_not_shuffled_for_a_seed_list(spark, tmp_path):
         assert session.fits_broadcast(named)
         joined = spark.read.parquet(str(tmp_path / "p")).join(F.broadcast(named), "category", "left_semi")
         assert "Exchange hashpartitioning" not in plan_of(joined) and joined.count() == 1
+
+
+def test_a_page_is_parsed_once_per_plan(spark, tmp_path):
+    spark.createDataFrame([(1, "x")], "page_no INT, html STRING").write.parquet(str(tmp_path / "p"))
+    facts = spark.read.parquet(str(tmp_path / "p")).select("page_no", page_facts.collection_facts("html").alias("f"))
+    total = tiles.total_pages(F.col("f.total_hit"), F.col("f.link_max")).alias("total_pages")
+    rows = tiles.tile_rows(facts.select("page_no", total, F.col("f.tiles").alias("tiles")), BASE)
+    assert plan_of(rows).count("ArrowEvalPython") == 1
