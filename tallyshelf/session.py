@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
 from functools import cache
+from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job relies on. Time columns are defined in UTC, and HTML rows are
@@ -24,14 +27,26 @@ RUNTIME_SETTINGS = {
 
 
 _written: list[str] = []
+_shipped: set[str] = set()
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
+    """Set what every job relies on and make this package importable on the executors."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    _ship_package(spark.sparkContext)
     return spark
 
 
+def _ship_package(context: SparkContext) -> None:
+    """Give the package to the Python workers, once per application."""
+    if context.applicationId not in _shipped:
+        home = Path(__file__).resolve().parent
+        target = Path(tempfile.mkdtemp(prefix="tallyshelf-package-")) / home.name
+        context.addPyFile(shutil.make_archive(str(target), "zip", home.parent, home.name))
+        _shipped.add(context.applicationId)
+
+
 def local_session(cores: str | int = "*", app: str = "tallyshelf") -> SparkSession:
     """A session for tests and the benchmark; clusters bring their own."""
     spark = (
