@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyshelf.llm import bpe, shared
+from tallyshelf.llm import bpe, line_runs, shared, simhash
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -20,5 +20,39 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op4_byte_bpe": op4_byte_bpe}
-SQL: dict[str, str] = {}
+def op6_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines found in 10 documents or more leave every document."""
+    docs = shared.table(spark, sf_dir, "documents").select("doc_id", "text")
+    cleaned = line_runs.drop_frequent_lines(docs, least_docs=10)
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+LINES_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(parts, 1) AS i, unnest(parts) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+), keyed AS (
+  SELECT doc_id, i, line,
+    translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM lines
+), frequent AS (
+  SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(f.k)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE f.k IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN frequent f USING (k) GROUP BY doc_id
+"""
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of 4-word shingles and the groups that link at 4 differing bits or fewer."""
+    docs = shared.table(spark, sf_dir, "documents")
+    found = simhash.near_duplicates(docs, width=4, distance=4)
+    return found.select(
+        F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+QUERIES = {"op4_byte_bpe": op4_byte_bpe, "op6_line_runs": op6_line_runs, "op8_simhash": op8_simhash}
+SQL = {"op6_line_runs": LINES_SQL}
