@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyshelf.llm import bpe, line_runs, shared, simhash
+from tallyshelf.llm import bpe, line_runs, mixture, shared, simhash
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -54,5 +54,45 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op4_byte_bpe": op4_byte_bpe, "op6_line_runs": op6_line_runs, "op8_simhash": op8_simhash}
-SQL = {"op6_line_runs": LINES_SQL}
+def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of all sources takes from every document."""
+    docs = shared.table(spark, sf_dir, "documents")
+    plan, _ = mixture.mix(docs)
+    return plan.select("doc_id", "size", "source_size", "target", "taken")
+
+
+MIXTURE_SQL = r"""
+WITH base AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    md5(concat('mix-', doc_id)) AS k
+  FROM documents
+), sums AS (SELECT source, sum(size)::BIGINT AS source_size FROM base GROUP BY source
+), weighed AS (
+  SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS w
+  FROM sums
+), running AS (
+  SELECT *, 2.0::DOUBLE * source_size / w AS full_at, 1.5::DOUBLE * sum(source_size) OVER () AS everything,
+    sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS w_left, coalesce(2 * sum(source_size) OVER before, 0) AS limited
+  FROM weighed WINDOW before AS (ORDER BY 2.0::DOUBLE * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), unit AS (
+  SELECT max((everything - limited) / w_left) AS u FROM running WHERE (everything - limited) / w_left <= full_at
+), goals AS (
+  SELECT source, source_size, least(2.0::DOUBLE * source_size, u * w) AS target FROM running, unit
+), placed AS (
+  SELECT doc_id, size, source_size, target, floor(target + 0.5)::BIGINT AS wanted,
+    (sum(size) OVER (PARTITION BY base.source ORDER BY k, doc_id ROWS UNBOUNDED PRECEDING))::BIGINT - size AS start
+  FROM base JOIN goals ON base.source IS NOT DISTINCT FROM goals.source
+)
+SELECT doc_id, size, source_size, target,
+  (greatest(0, least(start + size, wanted) - start) + greatest(0, least(start + size, wanted - source_size) - start))::BIGINT AS taken
+FROM placed
+"""
+
+
+QUERIES = {
+    "op4_byte_bpe": op4_byte_bpe,
+    "op6_line_runs": op6_line_runs,
+    "op8_simhash": op8_simhash,
+    "op10_mixture": op10_mixture,
+}
+SQL = {"op6_line_runs": LINES_SQL, "op10_mixture": MIXTURE_SQL}
