@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyshelf.llm import bpe, line_runs, mixture, shared, simhash
+from tallyshelf.llm import bpe, chunks, line_runs, mixture, shared, simhash
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -54,6 +54,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunk fingerprints of every text and of its edited text, and likeness to that and to the next text."""
+    return chunks.next_document_likeness(shared.table(spark, sf_dir, "documents"))
+
+
 def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix of all sources takes from every document."""
     docs = shared.table(spark, sf_dir, "documents")
@@ -93,6 +98,7 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op6_line_runs": op6_line_runs,
     "op8_simhash": op8_simhash,
+    "op9_chunks": op9_chunks,
     "op10_mixture": op10_mixture,
 }
 SQL = {"op6_line_runs": LINES_SQL, "op10_mixture": MIXTURE_SQL}
