@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyshelf.llm import bpe, chunks, line_runs, mixture, shared, simhash
+from tallyshelf.llm import bpe, chunks, line_runs, mixture, shared, simhash, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -20,6 +20,19 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learned from labelled rows that are not held out."""
+    docs = shared.table(spark, sf_dir, "documents").select("doc_id", "text")
+    learn = toxicity.learnable(F.col("doc_id"))
+    found = toxicity.scored(docs, shared.table(spark, sf_dir, "labels"), learn)
+    return found.select(
+        "doc_id",
+        (~toxicity.learnable(F.col("doc_id"))).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op6_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines found in 10 documents or more leave every document."""
     docs = shared.table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -96,6 +109,7 @@ FROM placed
 
 QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_toxicity": op5_toxicity,
     "op6_line_runs": op6_line_runs,
     "op8_simhash": op8_simhash,
     "op9_chunks": op9_chunks,
