@@ -105,7 +105,7 @@ def slot_counts(rows: DataFrame, settings: Settings) -> tuple[np.ndarray, np.nda
         counts, texts = np.zeros((2, size), np.int64), np.zeros(2, np.int64)
         for batch in batches:
             for body, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts[y > 0, slots(body, settings)] += 1
+                counts[int(y > 0), slots(body, settings)] += 1
                 texts[int(y > 0)] += 1
         held = np.flatnonzero(counts.any(axis=0))
         if texts.any():
