@@ -5,12 +5,48 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyshelf.llm import bpe, chunks, line_runs, mixture, shared, simhash, toxicity
+from tallyshelf.llm import bpe, chunks, licenses, line_runs, mixture, shared, simhash, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates in every text."""
+    return licenses.scan(shared.table(spark, sf_dir, "documents"))
+
+
+def _licenses_sql() -> str:
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    low = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    phrases = ", ".join(f"({p.split()!r}, '{label}')" for p, label in licenses.PHRASES.items())
+    templates = ", ".join(f"({words!r}, '{label}')" for label, words in licenses.template_sets(licenses.TEMPLATES))
+    return f"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all({low.format("coalesce(text, '')")}, '{word}') AS w FROM documents
+), phrases(p, label) AS (VALUES {phrases}
+), templates(t, label) AS (VALUES {templates}
+), starts AS (
+  SELECT doc_id, w, unnest(range(len(w))) AS i FROM words
+  WHERE list_has_any(w, ['gnu', 'apache', 'cc', 'mit'])
+), base AS (
+  SELECT doc_id, count(*) AS n, min(i) AS lo, max(i) AS hi, list(DISTINCT label) AS labels
+  FROM starts, phrases WHERE w[i + 1:i + len(p)] = p GROUP BY doc_id
+), blocks AS (
+  SELECT DISTINCT doc_id, list_distinct(regexp_extract_all(line, '{word}')) AS b
+  FROM (SELECT doc_id, unnest(string_split({low.format("coalesce(text, '')")}, chr(10))) AS line FROM documents)
+), met AS (
+  SELECT doc_id, list(DISTINCT label) AS labels, max(len(list_intersect(t, b)) / len(t)) AS share
+  FROM blocks, templates WHERE len(list_intersect(t, b)) >= ceil(0.8 * len(t) - 1e-9) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, lo::BIGINT AS first_word, hi::BIGINT AS last_word,
+  coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(met.labels, [])))), ',') AS labels,
+  CASE WHEN n > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
+FROM words LEFT JOIN base USING (doc_id) LEFT JOIN met USING (doc_id)
+"""
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every text, decode the ids; digests of both."""
     docs = shared.table(spark, sf_dir, "documents")
@@ -108,6 +144,7 @@ FROM placed
 
 
 QUERIES = {
+    "op3_licenses": op3_licenses,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_toxicity": op5_toxicity,
     "op6_line_runs": op6_line_runs,
@@ -115,4 +152,4 @@ QUERIES = {
     "op9_chunks": op9_chunks,
     "op10_mixture": op10_mixture,
 }
-SQL = {"op6_line_runs": LINES_SQL, "op10_mixture": MIXTURE_SQL}
+SQL = {"op3_licenses": _licenses_sql(), "op6_line_runs": LINES_SQL, "op10_mixture": MIXTURE_SQL}
