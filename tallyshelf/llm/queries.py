@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyshelf.llm import bpe, chunks, licenses, line_runs, mixture, shared, simhash, toxicity
+from tallyshelf.llm import bpe, chunks, licenses, line_runs, mixture, pii, shared, simhash, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -94,6 +94,11 @@ FROM keyed LEFT JOIN frequent f USING (k) GROUP BY doc_id
 """
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text: base patterns, and spans that the trained span classifier adds."""
+    return pii.report(shared.table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of 4-word shingles and the groups that link at 4 differing bits or fewer."""
     docs = shared.table(spark, sf_dir, "documents")
@@ -148,6 +153,7 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_toxicity": op5_toxicity,
     "op6_line_runs": op6_line_runs,
+    "op7_pii": op7_pii,
     "op8_simhash": op8_simhash,
     "op9_chunks": op9_chunks,
     "op10_mixture": op10_mixture,
