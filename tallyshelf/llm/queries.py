@@ -5,12 +5,36 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyshelf.llm import bpe, chunks, licenses, line_runs, mixture, pii, shared, simhash, toxicity
+from tallyshelf.llm import bpe, chunks, embedding_codes, licenses, line_runs, mixture, pii, shared, simhash, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 
+def op1_embedding_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors that link at a cosine of 0.95 or more, and their groups."""
+    return embedding_codes.near_duplicates(shared.table(spark, sf_dir, "embeddings"))
+
+
+EMBEDDINGS_SQL = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, [x::DOUBLE for x in embedding] AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len([x for x in embedding if x IS NOT NULL AND isfinite(x)]) = len(embedding)
+    AND len([x for x in embedding if x <> 0]) > 0
+), pairs AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reach AS (
+  SELECT vec_id AS u, vec_id AS v FROM embeddings
+  UNION
+  SELECT reach.u, pairs.v FROM reach JOIN pairs ON reach.v = pairs.u
+)
+SELECT e.vec_id, (SELECT count(*) FROM pairs p WHERE p.u = e.vec_id)::BIGINT AS n_links, min(r.v) AS component_id,
+  e.vec_id = min(r.v) AS kept
+FROM embeddings e JOIN reach r ON r.u = e.vec_id GROUP BY e.vec_id
+"""
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and templates in every text."""
     return licenses.scan(shared.table(spark, sf_dir, "documents"))
@@ -149,6 +173,7 @@ FROM placed
 
 
 QUERIES = {
+    "op1_embedding_codes": op1_embedding_codes,
     "op3_licenses": op3_licenses,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_toxicity": op5_toxicity,
@@ -158,4 +183,4 @@ QUERIES = {
     "op9_chunks": op9_chunks,
     "op10_mixture": op10_mixture,
 }
-SQL = {"op3_licenses": _licenses_sql(), "op6_line_runs": LINES_SQL, "op10_mixture": MIXTURE_SQL}
+SQL = {"op1_embedding_codes": EMBEDDINGS_SQL, "op3_licenses": _licenses_sql(), "op6_line_runs": LINES_SQL, "op10_mixture": MIXTURE_SQL}
