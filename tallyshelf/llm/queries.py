@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyshelf.llm import bpe, chunks, embedding_codes, licenses, line_runs, mixture, pii, shared, simhash, toxicity
+from tallyshelf.llm import bpe, chunks, embedding_codes, licenses, line_runs, mixture, pii, shared, simhash, suffix_arrays, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -35,6 +35,38 @@ FROM embeddings e JOIN reach r ON r.u = e.vec_id GROUP BY e.vec_id
 """
 
 
+def op2_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of strings of 100 bytes that also start earlier leave every text."""
+    found = suffix_arrays.remove_repeats(shared.table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+REPEATS_SQL = """
+WITH docs AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), windows AS (
+  SELECT doc_id, p, md5_number(substr(h, 2 * p + 1, 200)) AS w
+  FROM (SELECT doc_id, h, unnest(range(greatest(0, len(h) // 2 - 99))) AS p FROM docs)
+), repeated AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY w ORDER BY doc_id, p) AS n FROM windows) WHERE n > 1
+), runs AS (
+  SELECT doc_id, p, sum(CASE WHEN p <= before + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS run
+  FROM (SELECT doc_id, p, coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p), -1000) AS before FROM repeated)
+), spans AS (
+  SELECT doc_id, min(p) AS lo, max(p) + 100 AS hi FROM runs GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS kept_from FROM spans
+), cut AS (
+  SELECT doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans, max(hi) AS last,
+    string_agg(substr(h, 2 * kept_from + 1, 2 * (lo - kept_from)), '' ORDER BY lo) AS kept
+  FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM docs LEFT JOIN cut USING (doc_id)
+"""
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and templates in every text."""
     return licenses.scan(shared.table(spark, sf_dir, "documents"))
@@ -174,6 +206,7 @@ FROM placed
 
 QUERIES = {
     "op1_embedding_codes": op1_embedding_codes,
+    "op2_suffix_arrays": op2_suffix_arrays,
     "op3_licenses": op3_licenses,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_toxicity": op5_toxicity,
@@ -183,4 +216,10 @@ QUERIES = {
     "op9_chunks": op9_chunks,
     "op10_mixture": op10_mixture,
 }
-SQL = {"op1_embedding_codes": EMBEDDINGS_SQL, "op3_licenses": _licenses_sql(), "op6_line_runs": LINES_SQL, "op10_mixture": MIXTURE_SQL}
+SQL = {
+    "op1_embedding_codes": EMBEDDINGS_SQL,
+    "op2_suffix_arrays": REPEATS_SQL,
+    "op3_licenses": _licenses_sql(),
+    "op6_line_runs": LINES_SQL,
+    "op10_mixture": MIXTURE_SQL,
+}
