@@ -158,7 +158,7 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of 4-word shingles and the groups that link at 4 differing bits or fewer."""
     docs = shared.table(spark, sf_dir, "documents")
-    found = simhash.near_duplicates(docs, width=4, distance=4)
+    found = simhash.near_duplicates(docs, width=4, rule=simhash.Bits(4))
     return found.select(
         F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )

@@ -1,16 +1,23 @@
 """SimHash near-duplicates through deletion-variant signatures.
 
-A fingerprint has 64 bits, one for each bit position set in more than half of the hashes of the
-text's word shingles (repeats counted). Fingerprints link at up to ``distance`` differing bits.
-Cut into 3 segments, two linked fingerprints (4 bits at most) differ by at most one bit in some
-segment. So each segment is indexed once for every bit position left out, and linked fingerprints
-are equal in at least one such one-wildcard variant. Equal variants meet in one group, and every
-pair of a group is compared. Only links that tie a group together are put out, never all pairs, and
-only distinct fingerprints are indexed, so copies cost nothing.
+A fingerprint has one or more words of 64 bits, one for each bit position set in more than half of
+the hashes of the text's word shingles (repeats counted; further words hash the hashes). The first
+word is cut into segments, and every segment is indexed once for each bit position left out: two
+fingerprints that differ by at most one bit in some segment are equal in one of these one-wildcard
+variants and meet in a group. Every pair of a group is compared. Only links that tie a group
+together are put out, never all pairs, and only distinct fingerprints are indexed, so copies cost
+nothing. Two rules are offered:
+
+* ``Bits(4)``: link at up to 4 differing bits of one word. 3 segments hold for 4 bits, so no link is
+  lost.
+* ``SIMILAR``: link at an estimated shingle similarity of 0.8: up to 44 differing bits of 256. The
+  first word in 5 segments brings 95 of 100 pairs at similarity 0.8 together, 99 at 0.85.
 
 Groups above ``group_limit`` are not compared as they are: their members, which agree in the bits
-of their variant, are regrouped by fifths of the other bits (4 differing bits leave one fifth
-equal), again and again until every group is small. This loses no link.
+of their variant, are regrouped by parts of the other bits, one part more than bits may differ in the
+word, so that one part is equal; again and again until every group is small. This loses no link of
+the first rule, and of the second none that differs in no more bits of the first word than 64 times
+44 / 256.
 
 Defined cases: a null or empty text, or one of white space only, has fingerprint zero and links like
 any other; fewer words than a shingle make one shingle of all words; rows are told apart by content,
@@ -21,6 +28,7 @@ an empty table gives an empty result; other columns are ignored or carried by th
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
@@ -33,70 +41,118 @@ from tallyshelf.llm import shared
 SEED = 42
 #: Hashes whose bits are counted at a time.
 _CHUNK = 1 << 16
-SEGMENTS = ((0, 22), (22, 43), (43, 64))
-#: A group up to this size is compared pair by pair in one go of arrays.
+#: A group up to this size is compared place by place, all groups at once.
 SMALL_GROUP = 12
+#: Up to this size a group is compared as one matrix.
+MATRIX_GROUP = 1024
+
+
+@dataclass(frozen=True)
+class Rule:
+    """When fingerprints link: up to ``most`` differing bits of ``words`` words, found over ``segments``."""
+
+    most: int
+    segments: int
+    words: int = 1
+
+    @property
+    def first_word(self) -> int:
+        """Differing bits of the first word that a search must stand."""
+        return self.most // self.words
+
+    def cuts(self) -> list[tuple[int, int]]:
+        ends = [64 * i // self.segments for i in range(self.segments + 1)]
+        return list(zip(ends, ends[1:]))
+
+
+def Bits(most: int) -> Rule:
+    """Exact search for up to ``most`` differing bits of one word."""
+    return Rule(most, most // 2 + 1)
+
+
+SIMILAR = Rule(most=44, segments=5, words=4)
 
 
 def signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def fingerprint(text: str | None, width: int) -> int:
-    """Bits set in more than half of the XXH64 values of the text's shingles."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    if len(words) <= width:
-        return xxh64_intdigest(b" ".join(words), SEED)
-    shingles = map(b" ".join, zip(*(words[i:] for i in range(width))))
-    n = len(words) - width + 1
+def fingerprint(text: str | None, width: int, words: int = 1) -> list[int]:
+    """Bits set in more than half of the XXH64 values of the text's shingles, and of what they mix to."""
+    tokens = (text or "").encode().lower().split()
+    if not tokens:
+        return [0] * words
+    n = max(1, len(tokens) - width + 1)
+    shingles = map(b" ".join, zip(*(tokens[i:] for i in range(width)))) if n > 1 else [b" ".join(tokens)]
     hashes = np.fromiter(map(xxh64_intdigest, shingles, repeat(SEED)), np.uint64, n)
-    counts = np.zeros(64, np.int64)
-    for at in range(0, n, _CHUNK):
-        bits = np.unpackbits(hashes[at : at + _CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
+    out = []
+    for word in range(words):
+        counts = np.zeros(64, np.int64)
+        for at in range(0, n, _CHUNK):
+            bits = np.unpackbits(hashes[at : at + _CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            counts += bits.sum(axis=0, dtype=np.int64)
+        out.append(int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0]))
+        if word + 1 < words:
+            hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+            hashes = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            hashes ^= hashes >> np.uint64(32)
+    return out
 
 
-def fingerprints(docs: DataFrame, width: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: the row's id and key of its content, and ``fp`` (long, bits as signed)."""
+def fingerprints(docs: DataFrame, width: int = 5, words: int = 1, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: id, key of its content, ``fp`` (long, bits as signed) and the words after it."""
     picked = docs.select(
         F.col(key).alias("id"), *shared.row_key(F.col(key), F.col(text)), shared.whole(F.col(text)).alias("body")
     )
-    schema = T.StructType([*picked.schema.fields[:3], T.StructField("fp", T.LongType(), False)])
+    schema = T.StructType(
+        [*picked.schema.fields[:3], T.StructField("fp", T.LongType(), False), T.StructField("rest", T.BinaryType(), False)]
+    )
 
     def run(batches):
         for batch in batches:
-            found = [signed(fingerprint(t.as_py(), width)) for t in batch.column(3)]
+            found = [fingerprint(t.as_py(), width, words) for t in batch.column(3)]
+            rest = [np.array(f[1:], np.uint64).tobytes() for f in found]
+            first = pa.array([signed(f[0]) for f in found], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(found, pa.int64())], schema=pa.schema([*list(batch.schema)[:3], ("fp", pa.int64())])
+                [*batch.columns[:3], first, pa.array(rest, pa.binary())], ["id", "row_a", "row_b", "fp", "rest"]
             )
 
     return picked.mapInArrow(run, schema)
 
 
-def _near(a: np.ndarray, b: np.ndarray, distance: int) -> np.ndarray:
-    return np.bitwise_count(a ^ b) <= distance
+def _near(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+    """Whether fingerprints (rows of words) differ in up to ``most`` bits."""
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64) <= most
 
 
-def _tie(group: np.ndarray, distance: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def _tie(group: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Links that hold together what is linked in the group: each member meets all members not yet reached."""
     links, waiting = [], group
-    while waiting.size:
+    while len(waiting):
         frontier, waiting = [waiting[0]], waiting[1:]
-        while frontier and waiting.size:
+        while frontier and len(waiting):
             one = frontier.pop()
-            near = _near(waiting, one, distance)
+            near = _near(waiting, one, most)
             if near.any():
                 reached = waiting[near]
-                links.append((np.full(reached.size, one), reached))
+                links.append((np.full(len(reached), one[0]), reached[:, 0]))
                 frontier.extend(reached)
                 waiting = waiting[~near]
     return links
 
 
-def _links(masks: np.ndarray, values: np.ndarray, fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+def _matrix_links(group: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """As ``_tie``, from the matrix of all pairs, which is looked through only where it holds many links."""
+    first = group[:, 0]
+    # No pair within ``most`` bits differs by more in its first word.
+    a, b = np.nonzero(np.triu(np.bitwise_count(first[:, None] ^ first[None, :]) <= most, 1))
+    near = _near(group[a], group[b], most)
+    if near.sum() > 4 * len(group):
+        return _tie(group, most)
+    return [(first[a[near]], first[b[near]])]
+
+
+def _links(masks: np.ndarray, values: np.ndarray, prints: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Links within the groups of equal mask and value; rows arrive sorted by both."""
     cut = np.flatnonzero((masks[1:] != masks[:-1]) | (values[1:] != values[:-1])) + 1
     starts = np.concatenate(([0], cut))
@@ -104,45 +160,56 @@ def _links(masks: np.ndarray, values: np.ndarray, fps: np.ndarray, distance: int
     left, right = [], []
     small = (sizes > 1) & (sizes <= SMALL_GROUP)
     begin, size = starts[small], sizes[small]
-    for i in range(int(size.max(initial=0)) - 1):
-        for j in range(i + 1, int(size.max(initial=0))):
+    for j in range(1, int(size.max(initial=0))):
+        for i in range(j):
             at = begin[size > j]
-            a, b = fps[at + i], fps[at + j]
-            near = _near(a, b, distance)
-            left.append(a[near])
-            right.append(b[near])
+            near = _near(prints[at + i], prints[at + j], most)
+            left.append(prints[at + i, 0][near])
+            right.append(prints[at + j, 0][near])
     for at in np.flatnonzero(sizes > SMALL_GROUP):
-        for a, b in _tie(fps[starts[at] : starts[at] + sizes[at]], distance):
+        group = prints[starts[at] : starts[at] + sizes[at]]
+        for a, b in (_matrix_links if len(group) <= MATRIX_GROUP else _tie)(group, most):
             left.append(a)
             right.append(b)
     none = np.empty(0, np.uint64)
     return np.concatenate(left or [none]), np.concatenate(right or [none])
 
 
-def _group_links(distance: int):
+def _group_links(rule: Rule):
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def column(batch: pa.RecordBatch, name: str) -> np.ndarray:
         return batch.column(name).to_numpy(zero_copy_only=False).view(np.uint64)
 
+    def prints(batch: pa.RecordBatch) -> np.ndarray:
+        first = column(batch, "fp")[:, None]
+        if rule.words == 1:
+            return first
+        rest = np.frombuffer(b"".join(batch.column("rest").to_pylist()), np.uint64).reshape(-1, rule.words - 1)
+        return np.concatenate((first, rest), axis=1)
+
+    def out(rows: list[np.ndarray]) -> pa.RecordBatch:
+        u, v = _links(*rows, rule.most)
+        # A pair that meets in several groups of the batch is put out once.
+        pairs = np.unique(np.stack((u, v), axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, i].copy().view(np.int64)) for i in (0, 1)], schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = [column(batch, name) for name in ("mask", "value", "fp")]
+            now = [column(batch, "mask"), column(batch, "value"), prints(batch)]
             if held is not None:
                 now = [np.concatenate(x) for x in zip(held, now)]
             # The last group may go on in the next batch.
             last = np.flatnonzero((now[0] != now[0][-1]) | (now[1] != now[1][-1]))
             whole = int(last[-1]) + 1 if last.size else 0
             if whole:
-                u, v = _links(*(x[:whole] for x in now), distance)
-                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], schema=schema)
+                yield out([x[:whole] for x in now])
             held = [x[whole:] for x in now]
         if held is not None:
-            u, v = _links(*held, distance)
-            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], schema=schema)
+            yield out(held)
 
     return run
 
@@ -151,35 +218,25 @@ def _mask(bits) -> int:
     return sum(1 << b for b in bits)
 
 
-def variant_masks() -> list[int]:
+def variant_masks(rule: Rule) -> list[int]:
     """The 64 masks that keep one segment without one of its bits."""
-    return [_mask(b for b in range(lo, hi) if b != out) for lo, hi in SEGMENTS for out in range(lo, hi)]
+    return [_mask(b for b in range(lo, hi) if b != out) for lo, hi in rule.cuts() for out in range(lo, hi)]
 
 
 def refined_masks(mask: int, distance: int) -> list[int]:
     """``mask`` with each of ``distance`` + 1 parts of the bits that it leaves out."""
     rest = [b for b in range(64) if not mask >> b & 1]
-    n = distance + 1
+    n = min(distance + 1, len(rest))
     return [mask | _mask(rest[len(rest) * i // n : len(rest) * (i + 1) // n]) for i in range(n)]
 
 
-def _indexed(rows: DataFrame, masks: DataFrame | None = None) -> DataFrame:
-    """Rows (fp, mask) with the masked value."""
-    return rows.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value"), "fp")
-
-
-def links(distinct: DataFrame, scratch: shared.Scratch, distance: int = 4, group_limit: int = 50_000) -> DataFrame:
-    """Links (u, v) between distinct fingerprints ``fp`` that tie together all that differ by up to ``distance`` bits.
-
-    ``distance`` is 4 at most: 3 segments with one wildcard hold for 4 differing bits.
-    """
-    if distance > 4:
-        raise ValueError("three segments with one wildcard find up to 4 differing bits")
-    masks = variant_masks()
+def links(distinct: DataFrame, scratch: shared.Scratch, rule: Rule, group_limit: int = 50_000) -> DataFrame:
+    """Links (u, v) between first words ``fp`` of ``distinct`` (fp, rest) that tie together all that link."""
+    masks = variant_masks(rule)
     found = []
-    rows = distinct.select("fp", F.explode(F.array(*(F.lit(signed(m)) for m in masks))).alias("mask"))
-    # A group can exceed the limit only if a segment's exact value is frequent: three counts per row.
-    segments = F.array(*(F.lit(signed(_mask(range(lo, hi)))) for lo, hi in SEGMENTS))
+    rows = distinct.select("fp", "rest", F.explode(F.array(*(F.lit(signed(m)) for m in masks))).alias("mask"))
+    # A group can exceed the limit only if a segment's exact value is frequent: few counts per row.
+    segments = F.array(*(F.lit(signed(_mask(range(lo, hi)))) for lo, hi in rule.cuts()))
     frequent = (
         distinct.select("fp", F.explode(segments).alias("mask"))
         .groupBy("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value"))
@@ -188,27 +245,24 @@ def links(distinct: DataFrame, scratch: shared.Scratch, distance: int = 4, group
     )
     large = not frequent.isEmpty()
     while True:
-        now = _indexed(rows)
+        now = rows.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value"), "fp", "rest")
         if large:
             now = scratch.write(now)
             hot = scratch.write(now.groupBy("mask", "value").count().where(F.col("count") > group_limit))
             large = not hot.isEmpty()
         if large:
-            finer = F.create_map(
-                *(
-                    x
-                    for m in masks
-                    for x in (F.lit(signed(m)), F.array(*(F.lit(signed(r)) for r in refined_masks(m, distance))))
-                )
+            finer = {m: refined_masks(m, rule.first_word) for m in masks}
+            table = F.create_map(
+                *(x for m, to in finer.items() for x in (F.lit(signed(m)), F.array(*(F.lit(signed(r)) for r in to))))
             )
             again = now.join(hot, ["mask", "value"], "left_semi")
             now = now.join(hot, ["mask", "value"], "left_anti")
         dealt = now.repartition("mask", "value").sortWithinPartitions("mask", "value")
-        found.append(scratch.write(dealt.mapInArrow(_group_links(distance), "u long, v long").distinct()))
+        found.append(scratch.write(dealt.mapInArrow(_group_links(rule), "u long, v long").distinct()))
         if not large:
             break
-        rows = scratch.write(again.select("fp", F.explode(finer[F.col("mask")]).alias("mask")).distinct())
-        masks = [r for m in masks for r in refined_masks(m, distance)]
+        rows = scratch.write(again.select("fp", "rest", F.explode(table[F.col("mask")]).alias("mask")).distinct())
+        masks = sorted({r for to in finer.values() for r in to})
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
@@ -218,19 +272,19 @@ def links(distinct: DataFrame, scratch: shared.Scratch, distance: int = 4, group
 def near_duplicates(
     docs: DataFrame,
     width: int = 5,
-    distance: int = 4,
+    rule: Rule = SIMILAR,
     key: str = "doc_id",
     text: str = "text",
     group_limit: int = 50_000,
 ) -> DataFrame:
     """One row per row of ``docs``: id, row key, fp, component_id (smallest id reachable over links).
 
-    Intermediate tables are written when this is called.
+    Texts whose first words are equal link. Intermediate tables are written when this is called.
     """
     scratch = shared.Scratch(docs.sparkSession, "simhash")
-    rows = scratch.write(fingerprints(docs, width, key, text))
-    groups = rows.groupBy("fp").agg(F.min("id").alias("least"))
-    tied = shared.components(links(groups.select("fp"), scratch, distance, group_limit), scratch)
+    rows = scratch.write(fingerprints(docs, width, rule.words, key, text))
+    groups = rows.groupBy("fp").agg(F.min("id").alias("least"), F.min("rest").alias("rest"))
+    tied = shared.components(links(groups.select("fp", "rest"), scratch, rule, group_limit), scratch)
     known = groups.join(tied, groups["fp"] == tied["node"], "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "least"
     )
@@ -240,13 +294,13 @@ def near_duplicates(
     return rows.join(by_fp, "fp").select("id", "row_a", "row_b", "fp", "component_id")
 
 
-def kept(docs: DataFrame, width: int = 5, distance: int = 4) -> DataFrame:
+def kept(docs: DataFrame, width: int = 5, rule: Rule = SIMILAR) -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest doc_id.
 
     Rows with the same doc_id and text are copies of one row; one of them stays. A row with a null
     doc_id stays only if no row of its group has an id, once for each text.
     """
-    found = near_duplicates(docs, width, distance)
+    found = near_duplicates(docs, width, rule)
     stay = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select("row_a", "row_b", "component_id", "fp")
     # Rows that share the smallest id may differ in text: one of them stays.
     one = stay.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("fp")).agg(
