@@ -12,8 +12,8 @@ fingerprints are alike by 1; a text below the smallest size is one chunk; a chun
 counts once; rows follow each other by id (null first) and then text, and the row after the last one
 is the first, which may be the row itself; an empty table gives an empty result.
 
-Scale: documents are dealt by ranges of their id once; each task walks its sorted rows and holds two
-of them. Only the first and last row of each range meet their neighbours afterwards.
+Scale: documents are dealt by ranges of their id once, and the first row of each range goes to the
+range before it as well; each task walks its sorted rows and holds two of them.
 """
 
 from __future__ import annotations
@@ -23,8 +23,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from xxhash import xxh3_64_digest
 
 from tallyshelf.llm import shared
@@ -164,88 +163,85 @@ FACTS = (
 
 
 
-def _walk(rows: Iterable[tuple], part: int) -> Iterator[tuple]:
-    """Rows with their facts; the range's first and last text are put out to meet their neighbours."""
+def _walk(rows: Iterable[tuple]) -> Iterator[tuple]:
+    """Facts of each row with the row that follows it; rows are (part, guest, id, text) in order.
+
+    A guest is the first row of the next range: it ends its part and has no facts here.
+    """
     before = None
-    for id_, text in rows:
+    for part, guest, id_, text in rows:
+        if before is None and guest:
+            continue
         chunks = chunk_set(text.encode())
-        if before is None:
-            yield (part, "first", id_, text, *([None] * 6))
-        else:
-            yield (part, "done", before[0], None, *_facts(before[1], before[2], text, chunks))
-        before = (id_, text, chunks)
-    if before is not None:
-        yield (part, "last", before[0], before[1], *([None] * 6))
+        if before is not None:
+            yield (before[0], *_facts(before[1], before[2], text, chunks))
+        before = None if guest else (id_, text, chunks)
+
+
+def _ranges(ids: DataFrame, parts: int) -> tuple[list[int], list[tuple[int, int]]]:
+    """Bounds of about equal ranges of ``ord``, and (first ord of a range, number of the range before it).
+
+    Both have one entry for each range; the first range comes behind the last one.
+    """
+    fractions = [i / parts for i in range(1, parts)]
+    found = ids.agg(F.percentile_approx("ord", fractions, 10_000)).first()[0] if fractions else []
+    bounds = sorted(set(found or []))
+    firsts = ids.groupBy(_range_of(F.col("ord"), bounds).alias("part")).agg(F.min("ord").alias("first")).collect()
+    firsts = sorted((r["part"], r["first"]) for r in firsts)
+    return bounds, [(first, firsts[i - 1][0]) for i, (_, first) in enumerate(firsts)]
+
+
+def _range_of(ord_: Column, bounds: list[int]) -> Column:
+    """Number of bounds that are not above ``ord``."""
+    if not bounds:
+        return F.lit(0)
+    return F.size(F.filter(F.lit(bounds), lambda b: b <= ord_))
 
 
 def next_document_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text", parts: int | None = None) -> DataFrame:
-    """One row per row of ``docs``: key and the columns of ``FACTS``.
+    """One row per row of ``docs``: key and the columns of ``FACTS``; ids are whole numbers.
 
-    An intermediate table is written when this is called.
+    Two passes over the ids run when this is called.
     """
     spark = docs.sparkSession
-    scratch = shared.Scratch(spark, "chunks")
-    picked = docs.select(F.col(key).alias("id"), shared.whole(F.col(text)).alias("body"))
-    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = picked.repartitionByRange(n, F.col("id").asc_nulls_first()).sortWithinPartitions(
-        F.col("id").asc_nulls_first(), "body"
-    )
+    id_ = F.col(key)
+    ord_ = F.coalesce(id_.cast("long"), F.lit(-(2**63)))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bounds, firsts = _ranges(docs.select(ord_.alias("ord")), parts or 4 * n)
+    picked = docs.select(id_.alias("id"), ord_.alias("ord"), shared.whole(F.col(text)).alias("body"))
+    # One row for each range.
+    hosts = F.broadcast(spark.createDataFrame(firsts, "first long, host int"))
+    placed = picked.withColumn("own", _range_of(F.col("ord"), bounds)).join(hosts, F.col("ord") == F.col("first"), "left")
+    own = F.struct(F.col("own").alias("part"), F.lit(False).alias("guest"))
+    guest = F.struct(F.col("host").alias("part"), F.lit(True).alias("guest"))
+    places = F.when(F.col("host").isNull(), F.array(own)).otherwise(F.array(own, guest))
+    dealt = placed.select("id", "ord", "body", F.explode(places).alias("place"))
+    dealt = dealt.select("place.part", "place.guest", "id", "ord", "body").repartition(n, "part")
+    dealt = dealt.sortWithinPartitions("part", "guest", "ord", "body").select("part", "guest", "id", "body")
     fact_fields = T._parse_datatype_string(FACTS).fields
-    schema = T.StructType(
-        [
-            T.StructField("part", T.IntegerType()),
-            T.StructField("kind", T.StringType()),
-            T.StructField("id", picked.schema["id"].dataType),
-            T.StructField("body", T.StringType()),
-            *fact_fields,
-        ]
-    )
+    schema = T.StructType([T.StructField(key, picked.schema["id"].dataType), *fact_fields])
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
     names = [f.name for f in schema]
-    kinds = [pa.int32(), pa.string(), None, pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-
-    def table(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
-        columns = zip(*rows)
-        return pa.RecordBatch.from_arrays([pa.array(c, k or id_type) for c, k in zip(columns, kinds)], names)
 
     def run(batches):
-        id_type = [None]
+        id_type = [pa.int64()]
 
         def rows():
             for batch in batches:
-                id_type[0] = batch.schema.field(0).type
-                yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                id_type[0] = batch.schema.field("id").type
+                yield from zip(*(batch.column(i).to_pylist() for i in range(4)))
 
         held: list[tuple] = []
-        for row in _walk(rows(), TaskContext.get().partitionId()):
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), [id_type[0], *kinds])], names)
+
+        for row in _walk(rows()):
             held.append(row)
             if len(held) >= 256:
-                yield table(held, id_type[0])
-                held = []
+                yield out()
+                held.clear()
         if held:
-            yield table(held, id_type[0])
-
-    walked = scratch.write(ordered.mapInArrow(run, schema))
-    done = walked.where("kind = 'done'").select("id", *(f.name for f in fact_fields))
-    # One first and one last row for each range: the last of one range is followed by the first of the next.
-    ends = walked.where("kind <> 'done'")
-    firsts = ends.where("kind = 'first'").select("part", F.col("body").alias("following"))
-    lasts = ends.where("kind = 'last'").select("part", "id", "body")
-    order = Window.orderBy("part")
-    firsts = firsts.withColumn("place", F.row_number().over(order))
-    count = Window.partitionBy()
-    lasts = lasts.withColumn("place", F.row_number().over(order)).withColumn("n", F.count("*").over(count))
-    lasts = lasts.withColumn("place", F.pmod(F.col("place"), F.col("n").cast("int")) + 1)
-    pairs = lasts.join(firsts.drop("part"), "place").select("id", "body", "following")
-    end_schema = T.StructType([T.StructField("id", picked.schema["id"].dataType), *fact_fields])
-
-    def meet(batches):
-        for batch in batches:
-            rows = [
-                _facts(a, chunk_set(a.encode()), b, chunk_set(b.encode()))
-                for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
-            ]
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds[4:])] if rows else [pa.array([], k) for k in kinds[4:]]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], [f.name for f in end_schema])
-
-    last_rows = pairs.mapInArrow(meet, end_schema)
-    return done.union(last_rows).withColumnRenamed("id", key)
+            yield out()
+
+    return dealt.mapInArrow(run, schema)
