@@ -17,7 +17,7 @@ import base64
 import codecs
 import hashlib
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tallyshelf.llm import shared
 
 #: Pieces a worker remembers before it starts anew; bounds memory, changes no result.
-REMEMBERED_PIECES = 400_000
+REMEMBERED_PIECES = 150_000
 #: Longest piece that is remembered, in characters.
 REMEMBERED_LENGTH = 64
 
@@ -45,35 +45,46 @@ def read_ranks(lines: bytes) -> dict[bytes, int]:
 
 
 class Coder:
-    """Encoder and decoder of one rank file and one splitting pattern."""
+    """Encoder and decoder of one rank file and one splitting pattern; the encoder is made at first use."""
 
     def __init__(self, rank_lines: bytes, pattern: str):
-        import regex
-        from tokenizers import Tokenizer, models, pre_tokenizers
-
         self.ranks = read_ranks(rank_lines)
+        self.pattern = pattern
         self.characters = byte_characters()
-        mapped = {token: "".join(map(self.characters.__getitem__, token)) for token in self.ranks}
+        # The byte table, and the way back from a token's characters.
+        self.mapped = {t: "".join(map(self.characters.__getitem__, t)) for t in self.ranks}
+        back = {c: b for b, c in enumerate(self.characters)}
+        self.token_bytes: list[bytes | None] = [None] * (max(self.ranks.values(), default=-1) + 1)
+        for token, rank in self.ranks.items():
+            self.token_bytes[rank] = bytes(map(back.__getitem__, self.mapped[token]))
+        self.known: dict[str, bytes] = {}
+
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer, models, pre_tokenizers
+
+        ranks, mapped = self.ranks, self.mapped
         merges = []
-        for token in sorted((t for t in self.ranks if len(t) > 1), key=self.ranks.__getitem__):
+        for token in sorted((t for t in ranks if len(t) > 1), key=ranks.__getitem__):
             halves = ((token[:i], token[i:]) for i in range(1, len(token)))
-            known = [(self.ranks[a], self.ranks[b], mapped[a], mapped[b]) for a, b in halves if a in self.ranks and b in self.ranks]
+            known = [(ranks[a], ranks[b], mapped[a], mapped[b]) for a, b in halves if a in ranks and b in ranks]
             merges += [(a, b) for _, _, a, b in sorted(known)]
-        model = models.BPE(
-            vocab={mapped[t]: r for t, r in self.ranks.items()}, merges=merges, ignore_merges=True, cache_capacity=0
-        )
-        self.tokenizer = Tokenizer(model)
-        self.tokenizer.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocabulary = {mapped[t]: r for t, r in ranks.items()}
+        found = Tokenizer(models.BPE(vocab=vocabulary, merges=merges, ignore_merges=True, cache_capacity=0))
+        found.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        return found
+
+    @cached_property
+    def split(self):
+        import regex
+
         # White space by its Unicode property, as the rank file's own library takes it.
-        self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
+        return regex.compile(self.pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
+
+    @cached_property
+    def to_characters(self) -> dict[int, str]:
         # 0xFF never occurs in UTF-8, so it can part pieces; white space has no mapped character.
-        self.to_characters = {b: c for b, c in enumerate(self.characters)} | {0xFF: " "}
-        back = {c: b for b, c in enumerate(self.characters)}
-        size = max(self.ranks.values(), default=-1) + 1
-        self.token_bytes: list[bytes | None] = [None] * size
-        for characters, rank in self.tokenizer.get_vocab().items():
-            self.token_bytes[rank] = bytes(map(back.__getitem__, characters))
-        self.known: dict[str, bytes] = {}
+        return {b: c for b, c in enumerate(self.characters)} | {0xFF: " "}
 
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
         raw = "\udcff".join(pieces).encode("utf-8", "surrogateescape")

@@ -38,8 +38,13 @@ def _hash(key: bytes) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
 
 
+def _hashable(docs: DataFrame) -> list[Column]:
+    """Columns that name a row by content; maps have no hash."""
+    return shared.every(docs, but=[f.name for f in docs.schema if "map<" in f.dataType.simpleString()])
+
+
 def _keyed(docs: DataFrame, text: str, batch: Column) -> DataFrame:
-    row = shared.row_key(*(F.col(c) for c in docs.columns if not isinstance(docs.schema[c].dataType, T.MapType)))
+    row = shared.row_key(*_hashable(docs))
     return docs.select(*row, batch.alias("batch"), shared.whole(F.col(text)).alias("body"))
 
 
@@ -169,9 +174,7 @@ def drop_frequent_lines(
     lost = places.join(salted, ["h1", "h2", "salt"], "left_semi").groupBy("row_a", "row_b").agg(
         F.collect_set("line").alias("lost")
     )
-    names = docs.columns
-    row = shared.row_key(*(F.col(c) for c in names if not isinstance(docs.schema[c].dataType, T.MapType)))
-    keyed = docs.select(F.struct(*names).alias("doc"), shared.whole(F.col(text)).alias("body"), *row)
+    keyed = docs.select(shared.packed(docs, but=[text]), shared.whole(F.col(text)).alias("body"), *shared.row_key(*_hashable(docs)))
     with_lost = keyed.join(lost, ["row_a", "row_b"], "left").select("doc", "body", "lost")
     schema = T.StructType(
         [
@@ -197,5 +200,6 @@ def drop_frequent_lines(
             )
 
     cleaned = with_lost.mapInArrow(run, schema)
-    columns = [F.col("kept").alias(c) if c == text else F.col(f"doc.`{c}`").alias(c) for c in names if c not in ("n_lines", "n_dropped")]
+    back = shared.unpacked(docs, but=[text])
+    columns = [F.col("kept").alias(c) if c == text else back[c] for c in docs.columns if c not in ("n_lines", "n_dropped")]
     return cleaned.select(*columns, "n_lines", "n_dropped")

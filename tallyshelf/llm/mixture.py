@@ -212,10 +212,9 @@ def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
     # Rows with the same content share their key: their copies are listed and dealt out by number.
     plan = plan.where("taken > 0").groupBy("row_a", "row_b").agg(F.sort_array(F.collect_list(copies), False).alias("copies"))
-    names = docs.columns
     row = shared.row_key(F.col("doc_id"), F.col("source"), F.col("text"))
-    keyed = docs.select(F.struct(*names).alias("doc"), *row)
+    keyed = docs.select(shared.packed(docs), *row)
     number = F.row_number().over(Window.partitionBy("row_a", "row_b").orderBy(F.lit(1)))
     joined = keyed.join(plan, ["row_a", "row_b"]).withColumn("number", number)
     times = F.coalesce(F.get("copies", F.col("number") - 1), F.lit(0))
-    return joined.withColumn("copy", F.explode(F.array_repeat(F.lit(0), times))).select("doc.*")
+    return joined.withColumn("copy", F.explode(F.array_repeat(F.lit(0), times))).select(*shared.unpacked(docs).values())

@@ -12,7 +12,7 @@ from tallyshelf import session
 # Rows of an Arrow batch; long texts are bounded by bytes instead.
 ARROW_SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "20000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 * 1024 * 1024),
 }
 
 
@@ -33,6 +33,24 @@ def whole(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
+def every(df: DataFrame, *, but: Iterable[str] = ()) -> list[Column]:
+    """The columns of ``df``, whatever characters their names hold."""
+    left_out = set(but)
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c not in left_out]
+
+
+def packed(df: DataFrame, *, but: Iterable[str] = ()) -> Column:
+    """A struct ``doc`` of the columns, numbered, so that no name can clash with an operator's own."""
+    return F.struct(F.lit(0).alias("no"), *(c.alias(f"c{i}") for i, c in enumerate(every(df, but=but)))).alias("doc")
+
+
+def unpacked(df: DataFrame, *, but: Iterable[str] = ()) -> dict[str, Column]:
+    """The columns of ``df`` back from ``packed(df, but=but)``, by name and in order."""
+    left_out = set(but)
+    names = [c for c in df.columns if c not in left_out]
+    return {n: F.col("doc").getField(f"c{i}").alias(n) for i, n in enumerate(names)}
+
+
 def row_key(*columns: Column) -> list[Column]:
     """128 bits that name a row by its content; rows with the same key are copies of one row."""
     return [

@@ -33,7 +33,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 from xxhash import xxh64_intdigest
 
 from tallyshelf.llm import shared
@@ -307,7 +307,8 @@ def kept(docs: DataFrame, width: int = 5, rule: Rule = SIMILAR) -> DataFrame:
         F.min(F.struct("row_a", "row_b")).alias("row")
     )
     one = one.select("row.row_a", "row.row_b")
-    keyed = docs.select("*", *(c.alias(f"_{i}") for i, c in enumerate(shared.row_key(F.col("doc_id"), F.col("text")))))
-    one = one.select(F.col("row_a").alias("_0"), F.col("row_b").alias("_1"))
-    copy = keyed.join(one, ["_0", "_1"], "left_semi")
-    return copy.select(*docs.columns, "_0", "_1").dropDuplicates(["_0", "_1"]).select(*docs.columns)
+    row = shared.row_key(F.col("doc_id"), F.col("text"))
+    keyed = docs.select(shared.packed(docs), *row)
+    first = F.row_number().over(Window.partitionBy("row_a", "row_b").orderBy(F.lit(1)))
+    copy = keyed.join(one, ["row_a", "row_b"], "left_semi").withColumn("copy", first)
+    return copy.where("copy = 1").select(*shared.unpacked(docs).values())

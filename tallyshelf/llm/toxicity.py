@@ -184,12 +184,12 @@ def train(rows: DataFrame, settings: Settings) -> tuple[bytes, float] | None:
 
 def score(docs: DataFrame, model: tuple[bytes, float] | None, settings: Settings, text: str = "text") -> DataFrame:
     """``docs`` with ``score`` (double, 0 to 1). The weights sent out have the size of the feature space."""
-    names = [c for c in docs.columns if c != "score"]
+    names = shared.every(docs, but=["score"])
     if model is None:
         return docs.select(*names, F.lit(0.0).alias("score"))
     weights = docs.sparkSession.sparkContext.broadcast(model[0])
     offset = model[1]
-    picked = docs.select(F.struct(*names).alias("doc"), shared.whole(F.col(text)).alias("body"))
+    picked = docs.select(shared.packed(docs, but=["score"]), shared.whole(F.col(text)).alias("body"))
     schema = T.StructType([picked.schema["doc"], T.StructField("score", T.DoubleType())])
 
     def run(batches):
@@ -199,7 +199,7 @@ def score(docs: DataFrame, model: tuple[bytes, float] | None, settings: Settings
             values = 1 / (1 + np.exp(-np.clip(margins, -500, 500)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], ["doc", "score"])
 
-    return picked.mapInArrow(run, schema).select(*(F.col(f"doc.`{c}`").alias(c) for c in names), "score")
+    return picked.mapInArrow(run, schema).select(*shared.unpacked(docs, but=["score"]).values(), "score")
 
 
 def scored(
@@ -212,7 +212,11 @@ def scored(
     settings: Settings = Settings(),
 ) -> DataFrame:
     """``docs`` with ``score``, learned from the rows with ``learn``. Training runs when this is called."""
-    return score(docs, train(labelled(docs, labels, key, text, label, learn), settings), settings, text)
+    scratch = shared.Scratch(docs.sparkSession, "toxicity")
+    rows = scratch.write(labelled(docs, labels, key, text, label, learn))
+    model = train(rows, settings)
+    scratch.drop(rows)
+    return score(docs, model, settings, text)
 
 
 def learnable(key: Column) -> Column:
