@@ -70,7 +70,10 @@ def filled(*choices: Column) -> Column:
 
 
 def category_label(slug: Column) -> Column:
-    return F.initcap(F.replace(slug, F.lit("-"), F.lit(" ")))
+    """Words in title case: every letter run starts with a capital, also behind a digit or an apostrophe."""
+    spaced = F.lower(F.replace(slug, F.lit("-"), F.lit(" ")))
+    runs = F.regexp_extract_all(spaced, F.lit(r"(?:\p{L}+|[^\p{L}]+)"), F.lit(0))
+    return F.when(spaced.rlike(r"[^\p{L} ]"), F.array_join(F.transform(runs, F.initcap), "")).otherwise(F.initcap(spaced))
 
 
 def distinct_join(items: Column, sep: str = " - ") -> Column:
@@ -78,10 +81,6 @@ def distinct_join(items: Column, sep: str = " - ") -> Column:
     return F.array_join(F.array_distinct(items), sep)
 
 
-def mentions(c: Column, phrase: str) -> Column:
-    return F.lower(c).contains(phrase)
-
-
 def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 

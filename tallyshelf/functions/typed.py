@@ -1,8 +1,10 @@
-"""Text to number / time / boolean conversion with fixed, row-independent grammars."""
+"""Text to number / time / boolean conversion with fixed grammars."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed pattern: the decimal grammar accepted for a number cell. Narrower than a SQL cast
 # (no type suffixes such as 5d), wider than plain digits (1e3, .5, 5., inf).
@@ -10,9 +12,10 @@ NUMBER = r"(?i)^\s*[+-]?(?:\d+\.?\d*(?:e[+-]?\d+)?|\.\d+(?:e[+-]?\d+)?|inf|infin
 WHOLE = r"^\s*[+-]?\d{1,18}\s*$"
 FRACTIONAL_MARK = r"(?i)[.e]|inf"
 
-ISO_STAMP = r"^\d{4}-\d{2}-\d{2}(?:[ T]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?$"
-SLASH_YEAR_FIRST = r"^\d{4}/\d{2}/\d{2}(?: \d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?$"
-SLASH_MONTH_FIRST = r"^(\d{2})/(\d{2})/(\d{4})((?: \d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?)$"
+_CLOCK = r"(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?)?"
+ISO_STAMP = rf"^\d{{4}}-\d{{1,2}}-\d{{1,2}}{_CLOCK}$"
+SLASH_YEAR_FIRST = rf"^\d{{4}}/\d{{1,2}}/\d{{1,2}}{_CLOCK}$"
+SLASH_YEAR_LAST = rf"^(\d{{1,2}})/(\d{{1,2}})/(\d{{4}})({_CLOCK})$"
 
 
 def number_or_null(c: Column) -> Column:
@@ -60,18 +63,38 @@ def whole_or_null(c: Column, on_fraction: str = "error", as_double: Column | Non
     )
 
 
-def stamp_or_null(c: Column, kind: Column | None = None) -> Column:
-    """Coercing timestamp over fixed shapes: ISO, ``yyyy/MM/dd`` and ``MM/dd/yyyy``.
+def day_first_columns(df: DataFrame, columns: Mapping[str, Column]) -> dict[str, bool]:
+    """Whether a column of ``dd/MM/yyyy`` or ``MM/dd/yyyy`` texts puts the day first.
 
-    Each row is judged alone, so the result does not depend on which row a reader met first.
-    With ``kind`` given, number cells (``n``) count as nanoseconds since the epoch.
+    One partially aggregated pass over ``df`` for all columns; one row comes to the driver. A
+    column is day-first if some text fits only that order and none fits only the other.
+    """
+    if not columns:
+        return {}
+    part = lambda c, n: F.regexp_extract(c, SLASH_YEAR_LAST, n).try_cast("int")
+    counts = []
+    for name, c in columns.items():
+        counts.append(F.count_if((part(c, 1) > 12) & (part(c, 2) <= 12)).alias(f"{name}:day"))
+        counts.append(F.count_if((part(c, 1) <= 12) & (part(c, 2) > 12)).alias(f"{name}:month"))
+    found = df.agg(*counts).first()
+    return {name: found[f"{name}:day"] > 0 and not found[f"{name}:month"] for name in columns}
+
+
+def stamp_or_null(c: Column, kind: Column | None = None, day_first: bool = False) -> Column:
+    """Coercing timestamp over fixed shapes: ISO, ``yyyy/MM/dd``, and ``MM/dd/yyyy`` or, with
+    ``day_first``, ``dd/MM/yyyy``. Fractions beyond microseconds are cut, zones are honoured.
+
+    A slashed date's order is a matter of its column (``day_first_columns``); a text that does
+    not fit it becomes NULL, never a date with day and month swapped. With ``kind`` given,
+    number cells (``n``) count as nanoseconds since the epoch.
     """
+    order = "$3-$2-$1$4" if day_first else "$3-$1-$2$4"
     iso = (
         F.when(c.rlike(ISO_STAMP), c)
         .when(c.rlike(SLASH_YEAR_FIRST), F.translate(c, "/", "-"))
-        .when(c.rlike(SLASH_MONTH_FIRST), F.regexp_replace(c, SLASH_MONTH_FIRST, "$3-$1-$2$4"))
+        .when(c.rlike(SLASH_YEAR_LAST), F.regexp_replace(c, SLASH_YEAR_LAST, order))
     )
-    stamp = iso.try_cast("timestamp")
+    stamp = F.regexp_replace(iso, r"(\.\d{6})\d+", "$1").try_cast("timestamp")
     if kind is None:
         return stamp
     nanos = F.trim(c).try_cast("bigint")
@@ -80,8 +103,8 @@ def stamp_or_null(c: Column, kind: Column | None = None) -> Column:
     return F.when(kind == "n", F.timestamp_micros(micros)).otherwise(stamp)
 
 
-def date_or_null(c: Column, kind: Column | None = None) -> Column:
-    return F.to_date(stamp_or_null(c, kind))
+def date_or_null(c: Column, kind: Column | None = None, day_first: bool = False) -> Column:
+    return F.to_date(stamp_or_null(c, kind, day_first))
 
 
 def flag_or_null(c: Column) -> Column:

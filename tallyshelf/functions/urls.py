@@ -95,10 +95,14 @@ def product_slug(url: Column) -> Column:
 
 
 def query_value(url: Column, key: str) -> Column:
-    """First non-blank value of one query parameter, decoded; empty text when absent."""
+    """First non-blank value of one query parameter, decoded; empty text when absent.
+
+    A percent sign without two hex digits stands for itself; bytes that are no UTF-8 become the
+    replacement character.
+    """
     query = F.regexp_extract(_tidy(url), r"^[^#?]*\?([^#]*)", 1)
     raw = F.regexp_extract(F.concat(F.lit("&"), query), rf"&{key}=([^&]+)", 1)
-    return F.coalesce(F.try_url_decode(raw), F.translate(raw, "+", " "))
+    return F.try_url_decode(F.regexp_replace(raw, "%(?![0-9A-Fa-f]{2})", "%25"))
 
 
 def without_query(url: Column) -> Column:

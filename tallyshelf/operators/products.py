@@ -47,14 +47,23 @@ def feature_list(key_items: Column, lists: Column) -> Column:
     return F.when(F.size(key_items) > 0, key_items).otherwise(fullest_list(lists))
 
 
-def valid_json(raw: Column) -> Column:
-    return F.try_parse_json(raw).isNotNull()
+def plain_json(raw: Column) -> Column:
+    """The text written anew from its parsed value; NULL unless the whole text is one JSON value.
+
+    The parser stops at the end of a value, so text behind it is found by parsing the text as
+    an array element and as a field too. A repeated key needs
+    ``spark.sql.variant.allowDuplicateKeys``, under which the last one counts.
+    """
+    as_item = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
+    as_field = F.try_parse_json(F.concat(F.lit('{"v":'), raw, F.lit("}")))
+    one = F.size(F.try_variant_get(as_item, "$", "array<variant>")) == 1
+    return F.when(one & as_field.isNotNull(), F.to_json(F.try_parse_json(raw)))
 
 
 def variants_json(raw: Column, options: Column) -> Column:
     """``{"variations": ..., "options": {...}}``; unreadable variations become ``[]``."""
     unescaped = F.replace(raw, F.lit("&quot;"), F.lit('"'))
-    variations = F.when(valid_json(raw), raw).when(valid_json(unescaped), unescaped).otherwise(F.lit("[]"))
+    variations = F.coalesce(plain_json(raw), plain_json(unescaped), F.lit("[]"))
     chosen = F.coalesce(options, F.create_map().cast("map<string,array<string>>"))
     return F.concat(F.lit('{"variations": '), variations, F.lit(', "options": '), F.to_json(chosen), F.lit("}"))
 

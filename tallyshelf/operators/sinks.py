@@ -6,7 +6,7 @@ import uuid
 import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
@@ -76,10 +76,33 @@ def append_snapshot(df: DataFrame, table: str, schema: StructType, time_column:
     rows.write.mode("append").insertInto(table)
 
 
+# A line break within a text is written as an escape, so that a row stays one line and files split.
+_SHEET = {"header": True, "escape": '"', "emptyValue": ""}
+
+
+def _one_line(c: Column) -> Column:
+    escaped = F.replace(c.cast(StringType()), F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(escaped, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def read_sheet(spark: SparkSession, location: str) -> DataFrame:
+    """A text sheet as ``append_under_header`` wrote it."""
+    raw = spark.read.options(**_SHEET).csv(location)
+    pattern = F.lit(r"\\[\\nr]|[^\\]+|\\")
+    whole = lambda c: F.array_join(
+        F.transform(
+            F.regexp_extract_all(c, pattern, F.lit(0)),
+            lambda x: F.when(x == "\\n", "\n").when(x == "\\r", "\r").when(x == "\\\\", "\\").otherwise(x),
+        ),
+        "",
+    )
+    return raw.select(*[F.when(F.contains(F.col(f"`{c}`"), F.lit("\\")), whole(F.col(f"`{c}`"))).otherwise(F.col(f"`{c}`")).alias(c) for c in raw.columns])
+
+
 def header_of(spark: SparkSession, location: str) -> list[str] | None:
     """Column names of a text sheet; None when nothing is stored there yet."""
     try:
-        stored = spark.read.option("header", True).csv(location).columns
+        stored = read_sheet(spark, location).columns
     except AnalysisException as problem:
         if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -91,17 +114,18 @@ def append_under_header(df: DataFrame, location: str, header: Sequence[str]) ->
     """Append text rows to a CSV sheet; returns the header they were written under.
 
     A new sheet gets ``header``. Where the stored header differs, rows go in by position under
-    the old one and a warning is raised; a different column count cannot be placed.
+    the old one and a warning is raised; columns beyond a shorter header have no place and are
+    left out, those that a longer one has in addition stay empty. ``read_sheet`` reads it back.
     """
     spark = df.sparkSession
     stored = header_of(spark, location)
     names = list(header) if stored is None else stored
     if stored is not None and stored != list(header):
         warnings.warn(f"sheet header differs from expected; appending by position: {stored}", stacklevel=2)
-        if len(stored) != len(header):
-            raise ValueError(f"{len(header)} columns do not fit a sheet of {len(stored)}")
-    shown = df.select(*[F.col(c).cast(StringType()) for c in header]).toDF(*names)
-    shown.write.mode("append").option("header", True).option("emptyValue", "").csv(location)
+    cells = [_one_line(F.col(c)) for c in header][: len(names)]
+    cells += [F.lit(None).cast(StringType())] * (len(names) - len(cells))
+    shown = df.select(*[c.alias(n) for c, n in zip(cells, names)])
+    shown.write.mode("append").options(**_SHEET).csv(location)
     return names
 
 

@@ -32,7 +32,7 @@ def page_tiles(
     seeds: DataFrame,
     base_url: Column | str,
     keys: Sequence[str],
-    cap: int = crawl.MAX_COLLECTION_PAGES,
+    cap: int | None = None,
 ) -> DataFrame:
     """Tile records of every present page of a seeded category, as a written table.
 
@@ -42,7 +42,7 @@ def page_tiles(
     beyond the broadcast limit is applied to the facts instead, so HTML is never shuffled.
     Pages are parsed and records built once, because the later steps read different columns.
     """
-    wanted = pages.filter(F.col("page_no").between(1, cap) & crawl.page_present(F.col("html")))
+    wanted = pages.filter(crawl.within(F.col("page_no"), cap) & crawl.page_present(F.col("html")))
     wanted = session.spread_if_small(wanted.select(*keys, "page_no", "html"))
     named = session.sized(seeds.select("category"), "seeds")
     small = session.fits_broadcast(named)
@@ -57,15 +57,14 @@ def page_tiles(
 
 
 def scan_result(
-    rows: DataFrame, keys: Sequence[str], cap: int = crawl.MAX_COLLECTION_PAGES
+    rows: DataFrame, keys: Sequence[str], cap: int | None = None
 ) -> DataFrame:
     """Of ``page_tiles``, what a page-by-page scan keeps: no repeats of earlier pages, nothing
     from the page it stopped at on."""
     found = tiles.usable(rows)
     firsts = page_order.first_pages(found, keys)
     stops = page_order.collection_stops(rows.select(*keys, "page_no", "total_pages"), firsts, keys, cap)
-    found = found.drop("total_pages")
-    return page_order.drop_repeats(page_order.before_stop(found, stops, keys), firsts, keys)
+    return page_order.kept_tiles(found.drop("total_pages"), firsts, stops, keys)
 
 
 def shaped(rows: DataFrame, run_ts: dt.datetime | str | None = None) -> DataFrame:
@@ -82,7 +81,7 @@ def catalogue_snapshot(
     base_url: Column | str,
     run_ts: dt.datetime | str | None = None,
     keys: Sequence[str] = ("category",),
-    cap: int = crawl.MAX_COLLECTION_PAGES,
+    cap: int | None = None,
 ) -> DataFrame:
     """The whole job. ``keys`` identify one scan: category alone, or site/run plus category.
 

@@ -27,12 +27,18 @@ def data_rows(raw: DataFrame) -> DataFrame:
     return raw.filter("error IS NULL AND row_idx > 0")
 
 
-def _typed(c: Column, field: StructField, numbers: dict[str, Callable[[Column], Column]], kind: Column | None) -> Column:
+def _typed(
+    c: Column,
+    field: StructField,
+    numbers: dict[str, Callable[[Column], Column]],
+    kind: Column | None,
+    day_first: bool = False,
+) -> Column:
     match field.dataType.simpleString():
         case "string":
             pass
         case "timestamp":
-            c = typed.stamp_or_null(c, kind)
+            c = typed.stamp_or_null(c, kind, day_first)
         case number:
             c = numbers[number](c)
     return c.alias(field.name)
@@ -41,7 +47,8 @@ def _typed(c: Column, field: StructField, numbers: dict[str, Callable[[Column],
 def completed_orders(raw: DataFrame, shop_name: str) -> DataFrame:
     """Order history by column position; surplus columns are cut, too few fail the job.
 
-    Cells are looked up in one projection and converted in the next, so a cell's text is
+    Whether a time column puts the day first is found out by one pass over the time columns
+    when this is called. Cells are looked up in one projection and converted in the next, so a cell's text is
     produced once however often its conversion looks at it.
     """
     named = [f for f in COMPLETED_ORDERS.fields if f.name != "shop_name"]
@@ -51,7 +58,9 @@ def completed_orders(raw: DataFrame, shop_name: str) -> DataFrame:
         looked_up.append((text.null_text(c) if field.dataType == StringType() else c).alias(field.name))
     strict = {"bigint": typed.whole_or_fail, "double": typed.number_or_fail}
     rows = data_rows(raw).select("kinds", *looked_up)
-    columns = [_typed(F.col(f.name), f, strict, F.get("kinds", F.lit(i))) for i, f in enumerate(named)]
+    times = {f.name: F.col(f.name) for f in named if f.dataType.simpleString() == "timestamp"}
+    order = typed.day_first_columns(rows, times)
+    columns = [_typed(F.col(f.name), f, strict, F.get("kinds", F.lit(i)), order.get(f.name, False)) for i, f in enumerate(named)]
     return rows.select(*columns, F.lit(shop_name).alias("shop_name")).to(COMPLETED_ORDERS)
 
 

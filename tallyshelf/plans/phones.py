@@ -17,7 +17,7 @@ from tallyshelf.sources.page_facts import listing_facts, product_facts
 
 
 def listing_links(
-    pages: DataFrame, seeds: DataFrame, keys: Sequence[str] = ("brand",), cap: int = crawl.MAX_BRAND_PAGES
+    pages: DataFrame, seeds: DataFrame, keys: Sequence[str] = ("brand",), cap: int | None = None
 ) -> DataFrame:
     """Links of every present listing page of a seeded brand, as a written table.
 
@@ -26,7 +26,7 @@ def listing_links(
     resolved once, because the later steps read different columns of them. A seed list beyond
     the broadcast limit meets the facts instead of the pages, so HTML is never shuffled.
     """
-    wanted = pages.filter(F.col("page_no").between(1, cap) & crawl.page_present(F.col("html")))
+    wanted = pages.filter(crawl.within(F.col("page_no"), cap) & crawl.page_present(F.col("html")))
     wanted = session.spread_if_small(wanted.select(*keys, "page_no", "html"))
     starts = session.sized(seeds.select(*keys, "start_url"), "seeds")
     small = session.fits_broadcast(starts)
@@ -58,7 +58,7 @@ def link_rows(facts: DataFrame, others: Sequence[str]) -> DataFrame:
 
 
 def scan_urls(
-    links: DataFrame, keys: Sequence[str] = ("brand",), cap: int = crawl.MAX_BRAND_PAGES
+    links: DataFrame, keys: Sequence[str] = ("brand",), cap: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(URLs a next-link scan of every brand finds, stop page of every scan)."""
     firsts = page_order.first_links(links.filter("url IS NOT NULL"), keys, ["price_raw"])
@@ -68,7 +68,7 @@ def scan_urls(
 
 
 def brand_product_urls(
-    pages: DataFrame, seeds: DataFrame, keys: Sequence[str] = ("brand",), cap: int = crawl.MAX_BRAND_PAGES
+    pages: DataFrame, seeds: DataFrame, keys: Sequence[str] = ("brand",), cap: int | None = None
 ) -> DataFrame:
     """``*keys, brand_rank, url, price_raw, first_page, pos``: the URLs found under each brand.
 
@@ -85,7 +85,7 @@ def product_records(owned: DataFrame, product_pages: DataFrame, filter_leaks: bo
     """Attach page facts to every URL, then drop pages of other brands and mark failures.
 
     ``owned`` is ``url, brand, price_raw`` with one row per URL; ``product_pages`` is
-    ``url, html`` with one row per URL. Pages are parsed where they lie and only their facts
+    ``url, html``; of several rows of one URL a readable one counts. Pages are parsed where they lie and only their facts
     are joined, so HTML is not shuffled. When the URL list is small enough to broadcast it
     first removes the pages nobody asked for.
     """
@@ -95,6 +95,9 @@ def product_records(owned: DataFrame, product_pages: DataFrame, filter_leaks: bo
     if session.fits_broadcast(owned):
         pages = pages.join(F.broadcast(owned.select("url")), "url", "left_semi")
     facts = pages.select("url", product_facts(F.col("html")).alias("f"))
+    # A page landed more than once counts once: a readable one before others, then by its facts.
+    order = F.struct(~F.col("f.ok"), F.to_json(F.col("f")).alias("text"))
+    facts = facts.groupBy("url").agg(F.min_by("f", order).alias("f"))
     joined = owned.join(facts, "url", "left")
 
     f = F.col("f")

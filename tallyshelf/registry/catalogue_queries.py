@@ -27,6 +27,12 @@ def catalogue_snapshot(spark, sf):
     return catalogue.catalogue_snapshot(pages, seeds, F.col("site"), RUN_TS, KEYS)
 
 
+def capped_catalogue(spark, sf):
+    """The same with a limit of five pages a scan."""
+    pages, seeds = rp.collection_pages(spark, sf), rp.category_seeds(spark)
+    return catalogue.catalogue_snapshot(pages, seeds, F.col("site"), RUN_TS, KEYS, cap=5)
+
+
 def tile_records(spark, sf):
     rows = tiles.usable(_rows(spark, sf))
     return rows.select("site", "category", "page_no", *tiles.TILE_COLUMNS)
@@ -77,7 +83,7 @@ def crawl_plan(spark, sf):
         .select("site", F.posexplode(slugs).alias("pos", "category"))
         .withColumn("rank", F.col("pos") + 1)
     )
-    planned = crawl.crawl_plan(seeds, F.col("site"))
+    planned = crawl.crawl_plan(seeds, F.col("site"), 60)
     return planned.select("rank", "category", "page_no", "page_url")
 
 
@@ -123,7 +129,7 @@ def prefix_stop(spark, sf):
     pages = pages.distinct()
     firsts = page_order.first_pages(rows, ["category"])
     stops = page_order.collection_stops(pages, firsts, ["category"])
-    kept = page_order.drop_repeats(page_order.before_stop(rows, stops, ["category"]), firsts, ["category"])
+    kept = page_order.kept_tiles(rows, firsts, stops, ["category"])
     return kept.select("category", F.col("page_no").cast("bigint"), "product_url", "line", "l_orderkey")
 
 
@@ -158,6 +164,7 @@ def catalogue_stream(spark, sf):
 
 
 QUERIES = {
+    "capped_catalogue": capped_catalogue,
     "catalogue_snapshot": catalogue_snapshot,
     "tile_records": tile_records,
     "tile_stock_counts": tile_stock_counts,
@@ -177,14 +184,16 @@ _RECORD = ", ".join(tiles.TILE_COLUMNS)
 _HEAD = f"{rp.SITE_SQL} AS site, {rp.SLUG_SQL} AS category"
 
 SQL = {
+    "capped_catalogue": f"""WITH {rp.tiles_sql(5)}
+        SELECT TIMESTAMP '{RUN_TS}' AS ts, {rp.CATEGORY_SQL} AS category, {_RECORD} FROM kept""",
     "catalogue_snapshot": f"""WITH {rp.TILES_SQL}
         SELECT TIMESTAMP '{RUN_TS}' AS ts, {rp.CATEGORY_SQL} AS category, {_RECORD} FROM kept""",
     "catalogue_stream": f"""WITH {rp.TILES_SQL}
         SELECT TIMESTAMP '{RUN_TS}' AS ts, {rp.CATEGORY_SQL} AS category, product_url, title, price_now, stock_status FROM kept""",
     "tile_records": f"""WITH {rp.TILES_SQL}
-        SELECT {_HEAD}, CAST(page_no AS INTEGER) AS page_no, {_RECORD} FROM scan_rows WHERE page_no <= 60""",
+        SELECT {_HEAD}, CAST(page_no AS INTEGER) AS page_no, {_RECORD} FROM scan_rows""",
     "tile_stock_counts": f"""WITH {rp.TILES_SQL}
-        SELECT {_HEAD}, stock_status, count(*) AS tiles FROM scan_rows WHERE page_no <= 60 GROUP BY ALL""",
+        SELECT {_HEAD}, stock_status, count(*) AS tiles FROM scan_rows GROUP BY ALL""",
     "total_pages": f"""WITH {rp.TILES_SQL}
         SELECT {_HEAD}, CAST(CASE WHEN r = 5 THEN 1 WHEN r IN (1, 4) THEN greatest(n_pages, 2) ELSE n_pages END AS BIGINT) AS total_pages
         FROM extent""",
@@ -193,7 +202,7 @@ SQL = {
     "page_metrics": f"""WITH {rp.TILES_SQL}
         SELECT {_HEAD}, CAST(s.page_no AS BIGINT) AS page_no, count(*) AS found,
           CAST(count(DISTINCT CASE WHEN f.first_page = s.page_no THEN s.product_url END) AS BIGINT) AS new_urls
-        FROM scan_rows s JOIN first_seen f USING (site_no, r, product_url) WHERE s.page_no <= 60 GROUP BY ALL""",
+        FROM scan_rows s JOIN first_seen f USING (site_no, r, product_url) GROUP BY ALL""",
     "category_totals": f"""WITH {rp.TILES_SQL}
         SELECT {rp.CATEGORY_SQL} AS category, count(*) AS rows, count(*) FILTER (price_now = '') AS without_price,
           count(*) FILTER (main_image_url = '') AS without_image, count(*) FILTER (ean <> '') AS with_ean
@@ -219,11 +228,11 @@ SQL = {
         f AS (SELECT category, product_url, min(page_no) AS first_page FROM t GROUP BY ALL),
         s AS (SELECT DISTINCT category, 30 + category % 40 AS last_page FROM t WHERE page_no = 1),
         gaps AS (
-          SELECT s.category, min(n) AS gap FROM s, generate_series(2, 60) g(n)
+          SELECT s.category, min(n) AS gap FROM s, generate_series(2, 80) g(n)
           WHERE n <= last_page AND NOT EXISTS (SELECT 1 FROM f WHERE f.category = s.category AND f.first_page = n)
           GROUP BY ALL)
         SELECT t.* FROM t JOIN f USING (category, product_url) JOIN s USING (category) LEFT JOIN gaps USING (category)
-        WHERE t.page_no = f.first_page AND t.page_no < coalesce(gap, least(last_page, 60) + 1)""",
+        WHERE t.page_no = f.first_page AND t.page_no < coalesce(gap, last_page + 1)""",
     "crawl_attempts": """
         WITH a AS (
           SELECT 'https://a.example/' || (event_id // 3) AS url, CAST(event_id % 3 + 1 AS INTEGER) AS attempt,

@@ -149,6 +149,42 @@ def variants_json(spark, sf):
     )
 
 
+def variant_texts(spark, sf):
+    """Texts behind a value, several values, and keys that come twice."""
+    raw = F.expr(
+        """CASE p_size % 5 WHEN 0 THEN concat('[{"a":1,"a":', p_size, '}]') WHEN 1 THEN concat('[', p_size, '] x')
+             WHEN 2 THEN '1,2' WHEN 3 THEN concat(' {"k": "', p_type, '"} ') ELSE concat('[{&quot;n&quot;:', p_size, '}]') END"""
+    )
+    none = F.lit(None).cast("map<string,array<string>>")
+    return table(spark, sf, "part").select("p_partkey", products.variants_json(raw, none).alias("variants_json"))
+
+
+def capped_brand_urls(spark, sf):
+    """Brand scans that stop after two pages."""
+    found = phones.brand_product_urls(rp.brand_pages(spark, sf), rp.brand_seeds(spark, sf), KEYS, cap=2)
+    return found.select("site", "brand", "url", "price_raw", F.col("first_page").cast("bigint"))
+
+
+def repeated_product_pages(spark, sf):
+    """Product pages landed twice give one record each."""
+    pages = rp.product_pages(spark, sf)
+    snapshot = phones.phone_snapshot(_found(spark, sf), pages.unionByName(pages), RUN_TS)
+    return snapshot.select("brand", "product_url", "scrape_error", "in_stock")
+
+
+def chain_of_repeated_pages(spark, sf):
+    """Page numbers from next links where every page was landed twice and the last one links back."""
+    part = table(spark, sf, "part")
+    pages = part.selectExpr(
+        "concat('b', p_size) AS brand", "concat('/', p_partkey) AS url", "p_partkey",
+        "concat('/', coalesce(lead(p_partkey) OVER (PARTITION BY p_size ORDER BY p_partkey), min(p_partkey) OVER (PARTITION BY p_size))) AS next_url",
+    )
+    seeds = pages.groupBy("brand").agg(F.min_by("url", "p_partkey").alias("start_url"))
+    links = pages.select("brand", "url", "next_url")
+    found = page_order.numbered_chain(links.unionByName(links), seeds, ["brand"])
+    return found.select("brand", F.col("page_no").cast("bigint"), "url")
+
+
 def page_prices(spark, sf):
     return _facts(spark, sf).select("url", products.price_text(F.col("f.price")).alias("price_raw"))
 
@@ -171,6 +207,10 @@ QUERIES = {
     "feature_list": feature_list,
     "product_descriptions": product_descriptions,
     "variants_json": variants_json,
+    "variant_texts": variant_texts,
+    "capped_brand_urls": capped_brand_urls,
+    "repeated_product_pages": repeated_product_pages,
+    "chain_of_repeated_pages": chain_of_repeated_pages,
     "page_prices": page_prices,
 }
 
@@ -215,7 +255,7 @@ SQL = {
           FROM (SELECT DISTINCT site_no FROM p0), generate_series(1, 25) g(b)
           UNION ALL
           SELECT c.site_no, c.b, c.page_no + 1 FROM chain c JOIN hops h
-            ON h.site_no = c.site_no AND h.b = c.b AND h.page_no = c.page_no WHERE h.onward AND c.page_no < 120)
+            ON h.site_no = c.site_no AND h.b = c.b AND h.page_no = c.page_no WHERE h.onward AND c.page_no < 400)
         SELECT {_KEYS}, CAST(page_no AS BIGINT) AS page_no, {_SITE} || '/category/brand-' || b || '/' ||
           CASE WHEN page_no = 1 THEN '' ELSE 'page/' || page_no || '/' END AS url FROM chain""",
     "brand_stops": f"WITH {_LISTED} SELECT {_KEYS}, CAST(stop_page AS BIGINT) AS stop_page FROM brand_stops",
@@ -243,6 +283,16 @@ SQL = {
     "stock_tristate": f"WITH {_FACTS} SELECT url, in_stock FROM facts",
     "feature_list": f"WITH {_FACTS} SELECT url, specs_json FROM facts",
     "product_descriptions": f"WITH {_FACTS} SELECT url, description FROM facts",
+    "variant_texts": """
+        SELECT p_partkey, '{"variations": ' || CASE p_size % 5 WHEN 0 THEN '[{"a":' || p_size || '}]' WHEN 3 THEN '{"k":"' || p_type || '"}'
+          WHEN 4 THEN '[{"n":' || p_size || '}]' ELSE '[]' END || ', "options": {}}' AS variants_json FROM part""",
+    "capped_brand_urls": f"""WITH {_LISTED}
+        SELECT {_KEYS}, f.url, f.price_raw, CAST(f.first_page AS BIGINT) AS first_page
+        FROM first_seen f JOIN brand_stops x USING (site_no, b) WHERE f.first_page < least(x.stop_page, 3)""",
+    "repeated_product_pages": f"""WITH {_ALL}
+        SELECT brand, product_url, scrape_error, in_stock FROM snapshot WHERE NOT leaked""",
+    "chain_of_repeated_pages": """
+        SELECT 'b' || p_size AS brand, row_number() OVER (PARTITION BY p_size ORDER BY p_partkey) AS page_no, '/' || p_partkey AS url FROM part""",
     "variants_json": f"""WITH {_FACTS}
         SELECT url, variants_json, json_extract_string(variants_json, '$.variations[0].sku') AS first_sku,
           json_extract_string(variants_json, '$.options.attribute_color[1]') AS second_colour FROM facts""",

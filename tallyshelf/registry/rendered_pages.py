@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyshelf.registry.tables import table
 from tallyshelf.sources import crawl
 
-SLUGS = (*crawl.CATEGORY_SLUGS, "gift-cards")
+SLUGS = ("audio", "power", "smart-office", "personal-care", "home-appliances", "gift-cards")
 
 
 def _case(subject: str, *values: str) -> str:
@@ -124,7 +124,7 @@ def category_seeds(spark: SparkSession) -> DataFrame:
 
 # SQL over ``part``: tiles as shown on pages (scan_rows), then what a page-by-page scan keeps
 # (kept). Names match the record columns.
-TILES_SQL = """
+_TILES = """
 p0 AS (
   SELECT *, CAST(p_partkey // 9000 AS INTEGER) AS site_no, CAST((p_partkey % 9000) % 6 AS INTEGER) AS r,
          CAST((p_partkey % 9000) // 6 AS INTEGER) AS i, CAST(round(p_retailprice * 100) AS BIGINT) AS cents
@@ -159,8 +159,8 @@ scan_rows AS (
   FROM spots
   WHERE p_partkey % 101 <> 0 AND p_size % 11 NOT IN (2, 4) AND NOT (r = 3 AND page_no = 10)),
 limits AS (
-  SELECT site_no, r, CASE WHEN r = 5 THEN 1 ELSE least(n_pages, 60) END AS last_page FROM extent),
-first_seen AS (SELECT site_no, r, product_url, min(page_no) AS first_page FROM scan_rows WHERE page_no <= 60 GROUP BY ALL),
+  SELECT site_no, r, CASE WHEN r = 5 THEN 1 ELSE least(n_pages, {cap}) END AS last_page FROM extent),
+first_seen AS (SELECT site_no, r, product_url, min(page_no) AS first_page FROM scan_rows WHERE page_no <= {cap} GROUP BY ALL),
 wanted AS (SELECT site_no, r, last_page, unnest(generate_series(2, last_page)) AS page_no FROM limits),
 stops AS (
   SELECT l.site_no, l.r, l.last_page, coalesce(min(w.page_no), l.last_page + 1) AS stop_page
@@ -173,6 +173,14 @@ kept AS (
   SELECT s.* FROM scan_rows s JOIN first_seen f USING (site_no, r, product_url) JOIN stops x USING (site_no, r)
   WHERE s.page_no = f.first_page AND s.page_no < x.stop_page)
 """
+
+
+def tiles_sql(cap: int = 1_000_000) -> str:
+    """``scan_rows`` and ``kept`` of scans of up to ``cap`` pages."""
+    return _TILES.replace("{cap}", str(cap))
+
+
+TILES_SQL = tiles_sql()
 CATEGORY_SQL = (
     "CASE r WHEN 0 THEN 'Audio' WHEN 1 THEN 'Power' WHEN 2 THEN 'Smart Office' WHEN 3 THEN 'Personal Care' "
     "WHEN 4 THEN 'Home Appliances' ELSE 'Gift Cards' END"
@@ -293,7 +301,7 @@ links AS (
 first_seen AS (
   SELECT site_no, b, url, min(page_no) AS first_page, arg_min(price_raw, page_no) AS price_raw FROM links GROUP BY ALL),
 ends AS (
-  SELECT s.site_no, s.b, n AS page_no FROM (SELECT DISTINCT site_no, b FROM listing_pages) s, generate_series(1, 120) g(n)
+  SELECT s.site_no, s.b, n AS page_no FROM (SELECT DISTINCT site_no, b FROM listing_pages) s, generate_series(1, 400) g(n)
   WHERE NOT EXISTS (SELECT 1 FROM listing_pages l WHERE l.site_no = s.site_no AND l.b = s.b AND l.page_no = n)
      OR (n > 1 AND NOT EXISTS (SELECT 1 FROM first_seen f WHERE f.site_no = s.site_no AND f.b = s.b AND f.first_page = n))
   UNION ALL
@@ -355,7 +363,7 @@ facts AS (
     CASE p_size % 4 WHEN 0 THEN '["Size: ' || p_size || '","Type ' || p_type || '"]'
       WHEN 1 THEN '["Size: ' || p_size || '","Type: ' || p_type || '","plain"]' ELSE '[]' END AS specs_json,
     CASE WHEN p_size % 2 = 0 THEN 'Details About ' || p_name || '.' ELSE 'Brief on ' || p_name END AS description,
-    '{"variations": ' || CASE p_size % 5 WHEN 0 THEN '[{"sku":"' || p_partkey || '","price":' || cents || '}]'
+    '{"variations": ' || CASE p_size % 5 WHEN 0 THEN '[{"price":' || cents || ',"sku":"' || p_partkey || '"}]'
       WHEN 1 THEN 'false' ELSE '[]' END || ', "options": ' ||
       CASE WHEN p_size % 5 = 4 THEN '{}' ELSE '{"attribute_color":["Red","Blue ' || p_size || '"]}' END || '}' AS variants_json
   FROM p0 WHERE p_size NOT IN (13, 26))

@@ -205,6 +205,26 @@ def timestamp_coerce(spark, sf):
     return rows.select("event_id", stamp.alias("stamp"), typed.date_or_null(F.col("cell")).alias("day"))
 
 
+def day_first_stamps(spark, sf):
+    """A column of day-first texts, of which many would fit the other order too."""
+    cell = F.expr("IF(event_id % 3 = 0, date_format(ts, 'd/M/yyyy'), date_format(ts, 'dd/MM/yyyy HH:mm:ss'))")
+    rows = table(spark, sf, "events").select("event_id", cell.alias("cell"))
+    order = typed.day_first_columns(rows, {"cell": F.col("cell")})
+    return rows.select("event_id", typed.stamp_or_null(F.col("cell"), day_first=order["cell"]).alias("stamp"))
+
+
+def mixed_fraction_stamps(spark, sf):
+    """Long fractions, zones, one-digit parts and month-first texts."""
+    cell = F.expr(
+        """CASE event_id % 6 WHEN 0 THEN date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'789Z'")
+             WHEN 1 THEN date_format(ts, "yyyy-MM-dd HH:mm:ss'+03:00'") WHEN 2 THEN date_format(ts, 'M/d/yyyy H:mm')
+             WHEN 3 THEN date_format(ts, 'yyyy-M-d H:mm:ss.S') WHEN 4 THEN '31/12/2024' ELSE date_format(ts, 'yyyy/M/d') END"""
+    )
+    rows = table(spark, sf, "events").select("event_id", cell.alias("cell"))
+    order = typed.day_first_columns(rows, {"cell": F.col("cell")})
+    return rows.select("event_id", typed.stamp_or_null(F.col("cell"), day_first=order["cell"]).alias("stamp"))
+
+
 def epoch_numbers(spark, sf):
     """Number cells in a time column count nanoseconds since the epoch."""
     rows = table(spark, sf, "events").selectExpr(
@@ -255,6 +275,8 @@ def snake_headers(spark, sf):
 
 
 QUERIES = {
+    "day_first_stamps": day_first_stamps,
+    "mixed_fraction_stamps": mixed_fraction_stamps,
     "strip_query": strip_query,
     "url_slug": url_slug,
     "url_param": url_param,
@@ -292,6 +314,13 @@ _DECODED = (
 _SPACE = "[\\s\\v\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{1c}-\\x{1f}]"
 
 SQL = {
+    "day_first_stamps": """
+        SELECT event_id, CASE WHEN event_id % 3 = 0 THEN date_trunc('day', ts) ELSE date_trunc('second', ts) END AS stamp FROM events""",
+    "mixed_fraction_stamps": """
+        SELECT event_id, CASE event_id % 6 WHEN 0 THEN ts WHEN 1 THEN date_trunc('second', ts) - INTERVAL 3 HOUR
+          WHEN 2 THEN date_trunc('minute', ts)
+          WHEN 3 THEN date_trunc('second', ts) + to_milliseconds(100 * (millisecond(ts) % 1000 // 100))
+          WHEN 5 THEN CAST(date_trunc('day', ts) AS TIMESTAMP) END AS stamp FROM events""",
     "strip_query": "SELECT page_id, regexp_replace(url, '[?#].*$', '') AS clean_url FROM pages",
     "url_slug": """
         SELECT page_id, trim(regexp_replace(regexp_replace(url, '[?#].*$', ''), '^[a-z]+://[^/]*', ''), '/') AS slug FROM pages""",

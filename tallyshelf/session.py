@@ -21,6 +21,8 @@ RUNTIME_SETTINGS = {
     # Wide projections make one generated method per stage too long for the JVM to compile;
     # past this size Spark splits the work into per-expression methods that do get compiled.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Page scripts repeat keys; the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(32 * 1024 * 1024),
 }

@@ -10,14 +10,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# Collections in seed order, and the page and attempt limits of a crawl.
-CATEGORY_SLUGS = ("audio", "power", "smart-office", "personal-care", "home-appliances")
-MAX_COLLECTION_PAGES = 60
-MAX_BRAND_PAGES = 120
-MAX_ATTEMPTS = 3
 
+def within(number: Column, cap: int | None) -> Column:
+    """From 1 up to ``cap``; without a cap every number from 1 on."""
+    return number >= 1 if cap is None else number.between(1, cap)
 
-def category_seeds(spark: SparkSession, slugs: Sequence[str] = CATEGORY_SLUGS) -> DataFrame:
+
+def category_seeds(spark: SparkSession, slugs: Sequence[str]) -> DataFrame:
     """``rank, category`` in the order in which collections are visited."""
     rows = [{"rank": rank, "category": slug} for rank, slug in enumerate(slugs, start=1)]
     return _inline(spark, rows)
@@ -38,7 +37,7 @@ def _inline(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
-def crawl_plan(seeds: DataFrame, base_url: Column | str, pages: int = MAX_COLLECTION_PAGES) -> DataFrame:
+def crawl_plan(seeds: DataFrame, base_url: Column | str, pages: int) -> DataFrame:
     """One row per page address to fetch: every seed category times pages 1..``pages``."""
     base = F.lit(base_url) if isinstance(base_url, str) else base_url
     address = F.format_string("%s/collections/%s?page=%d", base, F.col("category"), F.col("page_no"))
@@ -52,22 +51,23 @@ def is_html_response(status: Column, content_type: Column) -> Column:
 
 
 def resolve_attempts(
-    attempts: DataFrame, keys: Sequence[str] = ("url",), max_attempts: int = MAX_ATTEMPTS
+    attempts: DataFrame, keys: Sequence[str] = ("url",), max_attempts: int | None = None
 ) -> DataFrame:
     """The attempt that yields the page of each address; addresses without one are absent.
 
+    Attempts above ``max_attempts`` do not count; by default all do.
     The first usable attempt wins unless a client error came before it. A usable first
     attempt cannot have been preceded by anything, so those rows - nearly all of a healthy
     crawl, and all of its HTML volume - pass straight through. Only retries meet the narrow
     list of earlier outcomes.
     """
-    attempts = attempts.filter(F.col("attempt").between(1, max_attempts))
+    attempts = attempts.filter(within(F.col("attempt"), max_attempts))
     usable = is_html_response(F.col("status"), F.col("content_type"))
     decisive = usable | F.col("status").between(400, 499)
     direct = attempts.filter(usable & (F.col("attempt") == 1))
     retried = attempts.filter(usable & (F.col("attempt") > 1))
     decided = (
-        attempts.filter(decisive & (F.col("attempt") < max_attempts))
+        attempts.filter(decisive)
         .groupBy(*keys)
         .agg(F.min("attempt").alias("_decided_at"))
     )

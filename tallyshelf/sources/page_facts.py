@@ -53,7 +53,9 @@ def _one_line(text: str) -> str:
 
 
 def _page_number(digits: str) -> int:
-    return min(int(digits), _INT_MAX)
+    """A page number; one that no page table can hold counts as the largest that it can."""
+    digits = digits.lstrip("0")
+    return min(int(digits or "0"), _INT_MAX) if len(digits) <= 10 else _INT_MAX
 
 
 # --- product tiles on collection pages ---------------------------------------------------

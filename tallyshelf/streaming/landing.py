@@ -36,7 +36,8 @@ def run_pages(spark: SparkSession, location: str, runs: DataFrame) -> tuple[Data
     """
     pages = spark.read.schema(PAGE_TYPE).parquet(location).withColumn("run_id", F.col("run_id").cast("string"))
     joined = pages.join(F.broadcast(runs.select("run_id", "closed_at")), "run_id")
-    late = F.col("landed_at") > F.col("closed_at")
+    # A page or run without a time counts as landed in time.
+    late = F.coalesce(F.col("landed_at") > F.col("closed_at"), F.lit(False))
     return joined.filter(~late).drop("closed_at"), joined.filter(late).drop("closed_at")
 
 

@@ -12,6 +12,8 @@ from tallyshelf.plans import phones
 from tallyshelf.sources import page_facts
 from tallyshelf.sources.page_facts import collection_page, listing_page, product_page
 
+SLUGS = ("audio", "power", "smart-office", "personal-care", "home-appliances")
+
 BASE = "https://shop.example"
 
 
@@ -323,7 +325,7 @@ def test_html_is_not_shuffled_for_a_seed_list(spark, tmp_path):
 
     pages = spark.createDataFrame([("audio", 1, "x"), ("none", 1, "y")], "category STRING, page_no INT, html STRING")
     pages.write.parquet(str(tmp_path / "p"))
-    for seeds in (crawl.category_seeds(spark), spark.createDataFrame([(1, "audio")], "rank INT, category STRING")):
+    for seeds in (crawl.category_seeds(spark, SLUGS), spark.createDataFrame([(1, "audio")], "rank INT, category STRING")):
         named = session.sized(seeds.select("category"), "seeds")
         assert session.fits_broadcast(named)
         joined = spark.read.parquet(str(tmp_path / "p")).join(F.broadcast(named), "category", "left_semi")

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from tallyshelf.operators import page_order
 from tallyshelf.sources import crawl
 
+SLUGS = ("audio", "power", "smart-office", "personal-care", "home-appliances")
+
 
 def read_collection(pages: dict[int, list[str] | None], total: int, cap: int) -> list[tuple[int, str]]:
     """A crawler reading one collection page after page."""
@@ -142,7 +144,7 @@ def test_attempts_equal_a_sequential_fetch(spark):
 
 
 def test_plan_and_seeds(spark):
-    plan = crawl.crawl_plan(crawl.category_seeds(spark), "https://shop.example", pages=3)
+    plan = crawl.crawl_plan(crawl.category_seeds(spark, SLUGS), "https://shop.example", pages=3)
     assert plan.count() == 15
     first = plan.orderBy("rank", "page_no").first()
     assert first["page_url"] == "https://shop.example/collections/audio?page=1"

@@ -16,7 +16,7 @@ import __spark_entry__ as entry_points
 from check_queries import TABLES, normal, oracle
 
 SF = os.environ.get("QUERY_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = entry_points.registry.QUERIES, entry_points.registry.SQL
 
 
 @pytest.fixture(scope="module")

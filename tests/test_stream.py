@@ -11,6 +11,8 @@ from tallyshelf.plans import catalogue
 from tallyshelf.sources import crawl
 from tallyshelf.streaming import landing
 
+SLUGS = ("audio", "power", "smart-office", "personal-care", "home-appliances")
+
 AT = dt.datetime(2024, 5, 1, 6, 0)
 
 
@@ -33,7 +35,7 @@ def close(root, run, at=AT):
 
 def run_stream(spark, root):
     query = landing.catalogue_stream(
-        spark, str(root), str(root / "out"), crawl.category_seeds(spark), "https://shop.example", runs_per_batch=1
+        spark, str(root), str(root / "out"), crawl.category_seeds(spark, SLUGS), "https://shop.example", runs_per_batch=1
     )
     query.awaitTermination(120)
     found = spark.read.parquet(str(root / "out" / "snapshot"))
@@ -55,7 +57,7 @@ def test_runs_are_processed_once_and_whole(spark, tmp_path):
 def test_a_retried_batch_leaves_the_same_rows(spark, tmp_path):
     land(spark, tmp_path, "r1", [page("power", 1, ["a"], total=1)])
     runs = spark.createDataFrame([("r1", AT, AT)], landing.MANIFEST_TYPE)
-    args = (runs, f"{tmp_path}/pages", f"{tmp_path}/s", f"{tmp_path}/l", crawl.category_seeds(spark), "https://shop.example")
+    args = (runs, f"{tmp_path}/pages", f"{tmp_path}/s", f"{tmp_path}/l", crawl.category_seeds(spark, SLUGS), "https://shop.example")
     landing.land_runs(*args)
     landing.land_runs(*args)
     rows = spark.read.parquet(f"{tmp_path}/s").collect()
@@ -68,6 +70,6 @@ def test_stream_equals_batch(spark, tmp_path):
     close(tmp_path, "r9")
     batch = catalogue.catalogue_snapshot(
         spark.read.parquet(f"{tmp_path}/pages").filter(F.col("run_id") == "r9"),
-        crawl.category_seeds(spark), "https://shop.example", "2024-05-01 06:30:00",
+        crawl.category_seeds(spark, SLUGS), "https://shop.example", "2024-05-01 06:30:00",
     )
     assert run_stream(spark, tmp_path) == sorted(("r9", r["title"]) for r in batch.collect())
