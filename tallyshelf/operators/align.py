@@ -28,8 +28,6 @@ from pyspark.sql.types import (
 
 from tallyshelf.functions import text, typed
 
-# A statement folder with more distinct header rows than this is not a set of statements.
-MAX_LAYOUTS = 20_000
 
 _FINANCE_NAME = str.maketrans({" ": "_", ".": None, "(": "_", ")": None, "（": "_", "）": None})
 
@@ -137,11 +135,8 @@ def tab_layouts(rows: DataFrame) -> dict[str, TabLayouts]:
     per_file = rows.select("tab", "path", "header").distinct()
     first = F.min(F.struct(text.file_name(F.col("path")).alias("file"), "path")).alias("first")
     layouts = per_file.groupBy("tab", "header").agg(first, F.count("*").alias("files"))
-    found = layouts.limit(MAX_LAYOUTS + 1).collect()
-    if len(found) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} distinct header rows; is this a statement folder?")
     result: dict[str, list] = {}
-    for r in found:
+    for r in layouts.collect():  # one row per header row that the exports ever had
         result.setdefault(r["tab"], []).append((tuple(r["header"]), tuple(r["first"]), r["files"]))
     return {tab: TabLayouts(tuple(own)) for tab, own in result.items()}
 
@@ -149,8 +144,9 @@ def tab_layouts(rows: DataFrame) -> dict[str, TabLayouts]:
 def placed(rows: DataFrame, tab: str, layouts: TabLayouts, sources: Sequence[Source]) -> DataFrame:
     """Rows of one tab with ``at``: for every header of every source, its place in the row.
 
-    Places are worked out once per distinct header row on the driver; the list is at most
-    ``MAX_LAYOUTS`` entries long, so it is broadcast, and no row searches its header again.
+    Places are worked out once per distinct header row on the driver; rows meet them by the
+    number of their header, and no row searches its header again. The planner knows the size of
+    the list and chooses the join.
     """
     wanted = [h for s in sources for h in s.headers]
     listed = []
@@ -158,7 +154,12 @@ def placed(rows: DataFrame, tab: str, layouts: TabLayouts, sources: Sequence[Sou
         spot = {name: i for i, name in reversed(list(enumerate(header)))}
         listed.append((list(header), [spot.get(h, -1) for h in wanted]))
     table = rows.sparkSession.createDataFrame(listed, "header ARRAY<STRING>, at ARRAY<INT>")
-    return rows.filter(F.col("tab") == tab).join(F.broadcast(table), "header")
+    table = table.select(layout_number().alias("layout"), "at")
+    return rows.filter(F.col("tab") == tab).withColumn("layout", layout_number()).drop("header").join(table, "layout")
+
+
+def layout_number() -> Column:
+    return F.xxhash64("header")
 
 
 def lookups(sources: Sequence[Source]) -> list[Column]:

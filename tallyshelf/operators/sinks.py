@@ -1,4 +1,4 @@
-"""Table writers. Every overwrite builds the new table beside the old one first."""
+"""Table writers. Every overwrite builds the new rows beside the old table first."""
 
 from __future__ import annotations
 
@@ -27,23 +27,32 @@ def _staging(table: str) -> str:
     return f"{table}__new_{uuid.uuid4().hex[:8]}"
 
 
-def _swap(spark: SparkSession, staged: str, table: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+def _install(spark: SparkSession, staged: str, table: str) -> None:
+    """Finished rows into the table. A table of the same columns is overwritten in place, so it
+    is there at all times and keeps its grants; only other columns make a new table."""
+    columns = lambda name: [(f.name, f.dataType) for f in spark.table(name).schema]
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    elif columns(table) == columns(staged):
+        spark.table(staged).write.insertInto(table, overwrite=True)
+        spark.sql(f"DROP TABLE {staged}")
+    else:
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
 
 
 def replace_table(df: DataFrame, table: str, schema: StructType | None = None) -> None:
-    """Create or replace. The old table is dropped after the new one is fully written, so a
-    failed load leaves the old rows in place; column changes are allowed."""
+    """Create or replace. The old rows go after the new ones are fully written, so a failed load
+    leaves them in place; column changes are allowed."""
     spark, staged = df.sparkSession, _staging(table)
     if "." in table:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
     try:
         (fit(df, schema) if schema is not None else df).write.saveAsTable(staged)
+        _install(spark, staged, table)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {staged}")
         raise
-    _swap(spark, staged, table)
 
 
 def guarded_overwrite(df: DataFrame, table: str, schema: StructType) -> int:
@@ -54,13 +63,15 @@ def guarded_overwrite(df: DataFrame, table: str, schema: StructType) -> int:
     spark, staged = df.sparkSession, _staging(table)
     if "." in table:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
-    fit(df, schema).write.saveAsTable(staged)
-    rows = spark.table(staged).count()
-    if rows == 0:
-        spark.sql(f"DROP TABLE {staged}")
-        warnings.warn(f"no rows collected; {table} keeps its previous snapshot", stacklevel=2)
-        return 0
-    _swap(spark, staged, table)
+    try:
+        fit(df, schema).write.saveAsTable(staged)
+        rows = spark.table(staged).count()
+        if rows:
+            _install(spark, staged, table)
+        else:
+            warnings.warn(f"no rows collected; {table} keeps its previous snapshot", stacklevel=2)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
     return rows
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import cache
 from pathlib import Path
 
@@ -33,7 +34,11 @@ _shipped: set[str] = set()
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
-    """Set what every job relies on and make this package importable on the executors."""
+    """Set what every job relies on and make this package importable on the executors.
+
+    The settings hold for the whole session; give the jobs a session of their own
+    (``spark.newSession()``) where others must not meet them.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     _ship_package(spark.sparkContext)
@@ -106,6 +111,18 @@ def release_written(spark: SparkSession) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the scratch tables written within; for jobs that store their results."""
+    outside = list(_written)
+    _written.clear()
+    try:
+        yield
+    finally:
+        release_written(spark)
+        _written.extend(outside)
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Planner's size estimate; exact file size for a plain or freshly written scan."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

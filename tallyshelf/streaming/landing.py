@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tallyshelf import session
 from tallyshelf.plans import catalogue
 from tallyshelf.plans.schemas import CATALOGUE
 from tallyshelf.sources import crawl
@@ -28,14 +29,34 @@ def manifests(spark: SparkSession, location: str, runs_per_batch: int = 16) -> D
     return spark.readStream.schema(MANIFEST_TYPE).option("maxFilesPerTrigger", runs_per_batch).json(location)
 
 
+def _file_system(spark: SparkSession, location: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def _exists(spark: SparkSession, location: str) -> bool:
+    files, path = _file_system(spark, location)
+    return files.exists(path)
+
+
+def _clear(spark: SparkSession, location: str) -> None:
+    files, path = _file_system(spark, location)
+    files.delete(path, True)
+
+
 def run_pages(spark: SparkSession, location: str, runs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(pages landed in time, pages landed late) of the given runs.
 
-    ``runs`` holds at most one manifest file per run of the batch, so it is broadcast and
-    prunes the page partitions.
+    Only the folders of these runs are listed and read; a run without a folder has no pages.
     """
-    pages = spark.read.schema(PAGE_TYPE).parquet(location).withColumn("run_id", F.col("run_id").cast("string"))
-    joined = pages.join(F.broadcast(runs.select("run_id", "closed_at")), "run_id")
+    ids = [r["run_id"] for r in runs.select("run_id").distinct().collect()]  # the runs of one batch
+    folders = [f for f in (f"{location}/run_id={i}" for i in ids) if _exists(spark, f)]
+    if folders:
+        pages = spark.read.schema(PAGE_TYPE).option("basePath", location).parquet(*folders)
+    else:
+        pages = spark.createDataFrame([], PAGE_TYPE)
+    pages = pages.withColumn("run_id", F.col("run_id").cast("string"))
+    joined = pages.join(runs.select("run_id", "closed_at"), "run_id")
     # A page or run without a time counts as landed in time.
     late = F.coalesce(F.col("landed_at") > F.col("closed_at"), F.lit(False))
     return joined.filter(~late).drop("closed_at"), joined.filter(late).drop("closed_at")
@@ -47,13 +68,21 @@ def land_runs(
     """Process whole runs and store each in its own partition.
 
     Partitions are overwritten by run, so a batch that is retried after a failure leaves the
-    same rows it would have left the first time.
+    same rows it would have left the first time; a run that has no rows now has none stored.
+    Scratch tables of the batch are deleted at its end.
     """
     spark = runs.sparkSession
+    with session.scratch_scope(spark):
+        _land(spark, runs, pages_at, snapshot_at, late_at, seeds, base_url)
+
+
+def _land(
+    spark: SparkSession, runs: DataFrame, pages_at: str, snapshot_at: str, late_at: str, seeds: DataFrame, base_url: Column | str
+) -> None:
     in_time, late = run_pages(spark, pages_at, runs)
     usable = in_time.filter(crawl.is_html_response(F.col("status"), F.col("content_type")))
     rows = catalogue.scan_result(catalogue.page_tiles(usable, seeds, base_url, KEYS), KEYS)
-    stamped = rows.join(F.broadcast(runs.select("run_id", "run_ts")), "run_id")
+    stamped = rows.join(runs.select("run_id", "run_ts"), "run_id")
     snapshot = stamped.select(
         F.date_trunc("second", "run_ts").alias("ts"),
         catalogue.text.category_label(F.col("category")).alias("category"),
@@ -61,6 +90,9 @@ def land_runs(
         "run_id",
     )
     by_run = {"partitionOverwriteMode": "dynamic"}
+    for run in runs.select("run_id").distinct().collect():
+        for stored in (snapshot_at, late_at):
+            _clear(spark, f"{stored}/run_id={run['run_id']}")
     snapshot.write.mode("overwrite").options(**by_run).partitionBy("run_id").parquet(snapshot_at)
     counted = late.groupBy("run_id").agg(F.count("*").alias("late_pages"))
     counted.write.mode("overwrite").options(**by_run).partitionBy("run_id").parquet(late_at)
