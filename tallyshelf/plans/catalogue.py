@@ -27,6 +27,12 @@ def local_stamp_text(run_ts: dt.datetime | str | None, zone: str = "Africa/Nairo
     return F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(zone), ntz), "yyyy-MM-dd HH:mm:ss")
 
 
+def sheet_rows(snapshot: DataFrame, run_ts: dt.datetime | str | None, zone: str = "Africa/Nairobi") -> DataFrame:
+    """The snapshot as 13 text columns for ``append_under_header``, the run time in local time."""
+    others = [F.col(c).cast("string").alias(c) for c in CATALOGUE.names if c != "ts"]
+    return snapshot.select(local_stamp_text(run_ts, zone).alias("ts"), *others)
+
+
 def page_tiles(
     pages: DataFrame,
     seeds: DataFrame,

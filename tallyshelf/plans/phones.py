@@ -17,17 +17,24 @@ from tallyshelf.sources.page_facts import listing_facts, product_facts
 
 
 def listing_links(
-    pages: DataFrame, seeds: DataFrame, keys: Sequence[str] = ("brand",), cap: int | None = None
+    pages: DataFrame,
+    seeds: DataFrame,
+    keys: Sequence[str] = ("brand",),
+    cap: int | None = None,
+    page: str = "page_no",
 ) -> DataFrame:
     """Links of every present listing page of a seeded brand, as a written table.
 
+    ``page`` names a page within its scan: a number, or an address where pages have none.
+
     ``*keys, page_no, next_url, pos, url, price_raw``; a page without links has one row, and
     an anchor that is no product link a row, without ``url``. Pages are parsed and addresses
     resolved once, because the later steps read different columns of them. A seed list beyond
     the broadcast limit meets the facts instead of the pages, so HTML is never shuffled.
     """
-    wanted = pages.filter(crawl.within(F.col("page_no"), cap) & crawl.page_present(F.col("html")))
-    wanted = session.spread_if_small(wanted.select(*keys, "page_no", "html"))
+    numbered = crawl.within(F.col(page), cap) if page == "page_no" else F.lit(True)
+    wanted = pages.filter(numbered & crawl.page_present(F.col("html")))
+    wanted = session.spread_if_small(wanted.select(*keys, page, "html"))
     starts = session.sized(seeds.select(*keys, "start_url"), "seeds")
     small = session.fits_broadcast(starts)
     if small:
@@ -37,9 +44,9 @@ def listing_links(
         facts = facts.join(starts, list(keys))
     next_href = F.coalesce(F.nullif("f.next_anchor", F.lit("")), F.nullif("f.next_link", F.lit("")))
     facts = facts.select(
-        *keys, "page_no", "start_url", F.col("f.links").alias("links"), urls.absolute_url(next_href, F.col("start_url")).alias("next_url")
+        *keys, page, "start_url", F.col("f.links").alias("links"), urls.absolute_url(next_href, F.col("start_url")).alias("next_url")
     )
-    return session.written(link_rows(facts, [*keys, "page_no", "next_url"]), "listing-links")
+    return session.written(link_rows(facts, [*keys, page, "next_url"]), "listing-links")
 
 
 def link_rows(facts: DataFrame, others: Sequence[str]) -> DataFrame:
@@ -74,7 +81,27 @@ def brand_product_urls(
 
     ``seeds`` holds ``*keys, brand_rank, start_url``; ``keys`` identify one scan.
     """
-    found, _ = scan_urls(listing_links(pages, seeds, keys, cap), keys, cap)
+    return _ranked_urls(listing_links(pages, seeds, keys, cap), seeds, keys, cap)
+
+
+def brand_urls_by_links(
+    pages: DataFrame, seeds: DataFrame, keys: Sequence[str] = ("brand",), cap: int | None = None
+) -> DataFrame:
+    """As ``brand_product_urls`` for ``pages`` (``*keys, url, html``) that carry no number.
+
+    Pages are numbered by following next links from ``start_url``; pages that no link leads to
+    do not count, and a page landed twice counts once.
+    """
+    named = pages.select(*keys, F.col("url").alias("page_url"), "html")
+    links = listing_links(named, seeds, keys, page="page_url")
+    steps = links.select(*keys, F.col("page_url").alias("url"), "next_url").distinct()
+    chain = page_order.numbered_chain(steps, seeds, keys, cap).withColumnRenamed("url", "page_url")
+    numbered = links.distinct().join(chain, [*keys, "page_url"])
+    return _ranked_urls(session.written(numbered, "numbered-links"), seeds, keys, cap)
+
+
+def _ranked_urls(links: DataFrame, seeds: DataFrame, keys: Sequence[str], cap: int | None) -> DataFrame:
+    found, _ = scan_urls(links, keys, cap)
     ranks = session.sized(seeds.select(*keys, "brand_rank"), "seeds")
     return found.join(ranks, list(keys)).select(
         *keys, "brand_rank", "url", "price_raw", "first_page", "pos"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyshelf import session
 from tallyshelf.functions import text
-from tallyshelf.operators import metrics, page_order, tiles
+from tallyshelf.operators import metrics, page_order, sinks, tiles
 from tallyshelf.plans import catalogue
 from tallyshelf.registry import rendered_pages as rp
 from tallyshelf.registry.tables import RUN_TS, table
@@ -33,6 +33,17 @@ def capped_catalogue(spark, sf):
     return catalogue.catalogue_snapshot(pages, seeds, F.col("site"), RUN_TS, KEYS, cap=5)
 
 
+def catalogue_sheet(spark, sf):
+    """Two runs of the catalogue in one text sheet, under local time, read back."""
+    spot = f"{session.scratch_root(spark)}/catalogue-sheet-{uuid.uuid4().hex}"
+    snapshot = session.written(catalogue_snapshot(spark, sf), "sheet-snapshot")
+    for run in (RUN_TS, "2024-05-02 22:15:00"):
+        rows = catalogue.sheet_rows(snapshot, run)
+        sinks.append_under_header(rows, spot, rows.columns)
+    stored = sinks.read_sheet(spark, spot)
+    return stored.select("ts", "category", "product_url", "title", "price_now", "stock_status")
+
+
 def tile_records(spark, sf):
     rows = tiles.usable(_rows(spark, sf))
     return rows.select("site", "category", "page_no", *tiles.TILE_COLUMNS)
@@ -165,6 +176,7 @@ def catalogue_stream(spark, sf):
 
 QUERIES = {
     "capped_catalogue": capped_catalogue,
+    "catalogue_sheet": catalogue_sheet,
     "catalogue_snapshot": catalogue_snapshot,
     "tile_records": tile_records,
     "tile_stock_counts": tile_stock_counts,
@@ -184,6 +196,9 @@ _RECORD = ", ".join(tiles.TILE_COLUMNS)
 _HEAD = f"{rp.SITE_SQL} AS site, {rp.SLUG_SQL} AS category"
 
 SQL = {
+    "catalogue_sheet": f"""WITH {rp.TILES_SQL}
+        SELECT t.ts, {rp.CATEGORY_SQL} AS category, product_url, title, nullif(price_now, '') AS price_now, stock_status
+        FROM kept, (VALUES ('2024-05-01 09:30:00'), ('2024-05-03 01:15:00')) t(ts)""",
     "capped_catalogue": f"""WITH {rp.tiles_sql(5)}
         SELECT TIMESTAMP '{RUN_TS}' AS ts, {rp.CATEGORY_SQL} AS category, {_RECORD} FROM kept""",
     "catalogue_snapshot": f"""WITH {rp.TILES_SQL}

@@ -165,6 +165,20 @@ def capped_brand_urls(spark, sf):
     return found.select("site", "brand", "url", "price_raw", F.col("first_page").cast("bigint"))
 
 
+def brand_urls_by_links(spark, sf):
+    """The URLs found when pages, landed twice and without numbers, are followed by their links."""
+    seeds = rp.brand_seeds(spark, sf)
+    pages = rp.brand_pages(spark, sf).join(seeds.select(*KEYS, "start_url"), list(KEYS))
+    own = F.when(F.col("page_no") == 1, F.col("start_url")).otherwise(
+        F.concat("start_url", F.lit("page/"), "page_no", F.lit("/"))
+    )
+    pages = pages.select(*KEYS, own.alias("url"), "html")
+    found = phones.brand_urls_by_links(pages.unionByName(pages), seeds, KEYS)
+    return found.select(
+        "site", "brand", F.col("brand_rank").cast("bigint"), "url", "price_raw", F.col("first_page").cast("bigint")
+    )
+
+
 def repeated_product_pages(spark, sf):
     """Product pages landed twice give one record each."""
     pages = rp.product_pages(spark, sf)
@@ -209,6 +223,7 @@ QUERIES = {
     "variants_json": variants_json,
     "variant_texts": variant_texts,
     "capped_brand_urls": capped_brand_urls,
+    "brand_urls_by_links": brand_urls_by_links,
     "repeated_product_pages": repeated_product_pages,
     "chain_of_repeated_pages": chain_of_repeated_pages,
     "page_prices": page_prices,
@@ -298,3 +313,4 @@ SQL = {
           json_extract_string(variants_json, '$.options.attribute_color[1]') AS second_colour FROM facts""",
     "page_prices": f"WITH {_FACTS} SELECT url, page_price AS price_raw FROM facts",
 }
+SQL["brand_urls_by_links"] = SQL["brand_product_urls"]

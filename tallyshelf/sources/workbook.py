@@ -11,17 +11,22 @@ Spark hands out files to tasks. A workbook cannot be split, but the format limit
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import io
 import re
+import warnings
 import zipfile
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from urllib.parse import unquote
 from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DataType
+from pyspark.sql.utils import AnalysisException
 
 from tallyshelf.functions import text
 from tallyshelf.functions.text import NA_TOKENS
@@ -249,16 +254,21 @@ def workbook_rows(spark: SparkSession, location: str, tabs: Sequence[str] | None
     """Raw sheet layer of every ``*.xlsx`` directly in ``location`` (or of one file).
 
     ``tabs=None`` reads the first sheet of each; otherwise the wanted tabs, matched without
-    case and outer spaces, the first such sheet in workbook order.
+    case and outer spaces, the first such sheet in workbook order. A place that is not there
+    gives a warning and no rows.
     """
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.xlsx")
         .option("recursiveFileLookup", "false")
-        .load(location)
-        .select("path", "content")
     )
-    return decoded(files, tabs)
+    try:
+        return decoded(files.load(location).select("path", "content"), tabs)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        warnings.warn(f"nothing to read at {location}", stacklevel=2)
+        return spark.createDataFrame([], RAW_TYPE)
 
 
 def decoded(files: DataFrame, tabs: Sequence[str] | None = None) -> DataFrame:
@@ -267,11 +277,28 @@ def decoded(files: DataFrame, tabs: Sequence[str] | None = None) -> DataFrame:
     return files.select("path", "content").mapInArrow(_reader(wanted), RAW_TYPE)
 
 
-def csv_rows(spark: SparkSession, location: str) -> DataFrame:
-    """Raw sheet layer of CSV exports that share one header line."""
-    table = spark.read.option("header", True).option("multiLine", True).csv(location)
-    names = table.columns
-    cells = F.array(*[F.when(~F.col(f"`{n}`").isin(*NA_TOKENS), F.col(f"`{n}`")) for n in names])
+def csv_rows(spark: SparkSession, location: str | Sequence[str], line_breaks: bool = True) -> DataFrame:
+    """Raw sheet layer of CSV exports; every file is read under its own header line.
+
+    Files are grouped by header line, of which there are few. With ``line_breaks`` a cell may
+    hold line breaks, and then a file cannot be split; without, large files are split.
+    """
+    start = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = spark.read.text(location).select("value", F.col("_metadata.file_path").alias("path"), start.alias("at"))
+    firsts = lines.filter("at.file_block_start = 0").groupBy("path").agg(F.min_by("value", "at").alias("line"))
+    files: dict[str, list[str]] = {}
+    for r in firsts.collect():  # one row per file
+        files.setdefault(r["line"], []).append(unquote(r["path"]))
+    found = [_csv_of(spark, paths, next(csv.reader([line])), line_breaks) for line, paths in files.items()]
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], RAW_TYPE)
+
+
+def _csv_of(spark: SparkSession, paths: list[str], header: list[str], line_breaks: bool) -> DataFrame:
+    names = unique_names(header)
+    schema = ", ".join(f"c{i} STRING" for i in range(len(names)))
+    reader = spark.read.schema(schema).option("header", True).option("escape", '"')
+    table = reader.option("multiLine", line_breaks).csv(paths)
+    cells = F.array(*[F.when(~F.col(f"c{i}").isin(*NA_TOKENS), F.col(f"c{i}")) for i in range(len(names))])
     return table.select(
         F.col("_metadata.file_path").alias("path"),
         F.lit("csv").alias("sheet"),
