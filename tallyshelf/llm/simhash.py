@@ -251,18 +251,17 @@ def links(distinct: DataFrame, scratch: shared.Scratch, rule: Rule, group_limit:
             hot = scratch.write(now.groupBy("mask", "value").count().where(F.col("count") > group_limit))
             large = not hot.isEmpty()
         if large:
-            finer = {m: refined_masks(m, rule.first_word) for m in masks}
-            table = F.create_map(
-                *(x for m, to in finer.items() for x in (F.lit(signed(m)), F.array(*(F.lit(signed(r)) for r in to))))
-            )
+            # One row for each crowded mask, of which there are no more than masks of the round.
+            crowded = [r["mask"] for r in hot.select("mask").distinct().collect()]
+            finer = [(m, signed(r)) for m in crowded for r in refined_masks(m & (1 << 64) - 1, rule.first_word)]
+            finer = distinct.sparkSession.createDataFrame(finer, "mask long, finer long")
             again = now.join(hot, ["mask", "value"], "left_semi")
             now = now.join(hot, ["mask", "value"], "left_anti")
         dealt = now.repartition("mask", "value").sortWithinPartitions("mask", "value")
         found.append(scratch.write(dealt.mapInArrow(_group_links(rule), "u long, v long").distinct()))
         if not large:
             break
-        rows = scratch.write(again.select("fp", "rest", F.explode(table[F.col("mask")]).alias("mask")).distinct())
-        masks = sorted({r for to in finer.values() for r in to})
+        rows = scratch.write(again.join(finer, "mask").select("fp", "rest", F.col("finer").alias("mask")).distinct())
     out = found[0]
     for more in found[1:]:
         out = out.union(more)

@@ -199,7 +199,7 @@ def test_random_fingerprints_lose_no_link(spark):
             prints.append(changed)
     prints = list(dict.fromkeys(prints))
     frame_ = spark.createDataFrame([(simhash.signed(p), bytearray()) for p in prints], "fp long, rest binary")
-    for limit in (50_000, 2):
+    for limit in (50_000, 12):
         scratch = shared.Scratch(spark, "test")
         ties = simhash.links(frame_, scratch, simhash.Bits(4), group_limit=limit)
         tied = {r["node"]: r["root"] for r in shared.components(ties, scratch).collect()}
