@@ -64,7 +64,7 @@ GAZETTEER = {
     "national_phone": r"^\(?[2-9]",
     "secret": r"AKIA|[0-9a-f]{12}|[A-Za-z0-9+/]{16}",
 }
-NOT_IN_GAZETTEER = r"^(?:127\.|0\.|255\.)|^([0-9])(?:[\x20-]?\1)+$"
+NOT_IN_GAZETTEER = r"^(?:127\.|0\.|255\.)|^([0-9])(?:[\x20-]?\1)++$"
 CONTEXT = r"(?i)(?:mail|contact|phone|call|tel|fax|card|visa|credit|ip|host|server|address|login|password|key|user|konto|karte|telefon|correo|tarjeta|carte|courriel)[^0-9A-Za-z]{0,3}[A-Za-z]{0,12}[^0-9A-Za-z]{0,3}$"
 AGAINST = r"(?i)(?:version|section|chapter|isbn|release|figure|page)[^0-9A-Za-z]{0,3}$"
 #: Code points before and after a span that labelers look at.

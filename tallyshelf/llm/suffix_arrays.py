@@ -30,7 +30,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -170,6 +169,10 @@ def _anchor_rows(settings: Settings):
             again = np.concatenate(([False], (h[1:] == h[:-1]) & (c[1:] == c[:-1])))
             first = ~again
             yield _mark_rows(0, h[first].view(np.int64), c[first].view(np.int64), docs[row[first]], crcs[row[first]], lo[first], left[first], (hi - lo)[first])
+            # Copies of one row are one document: the same place again is no repeat.
+            begin = np.maximum.accumulate(np.where(first, np.arange(first.size), 0))
+            at_begin = row[begin]
+            again &= ~((docs[row] == docs[at_begin]) & (crcs[row] == crcs[at_begin]) & (lo == lo[begin]))
             r, a, b = _merged(row[again], lo[again], hi[again])
             yield _mark_rows(1, docs[r], 0, docs[r], crcs[r], a, 0, b - a)
 
@@ -192,9 +195,13 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not cols[0].size:
             continue
         h, c = cols[1], cols[2]
-        again = np.concatenate(([seen == (h[0], c[0])], (h[1:] == h[:-1]) & (c[1:] == c[:-1])))
-        seen = (h[-1], c[-1])
-        _, _, _, doc, crc, lo, _, size = (x[again] for x in cols)
+        again = np.concatenate(([seen is not None and seen[:2] == (h[0], c[0])], (h[1:] == h[:-1]) & (c[1:] == c[:-1])))
+        # Where the run of each row began; -1: in an earlier batch.
+        begin = np.maximum.accumulate(np.where(again, -1, np.arange(again.size)))
+        origin = [np.where(begin < 0, seen[i] if seen is not None else 0, x[begin]) for i, x in ((2, cols[3]), (3, cols[4]), (4, cols[5]))]
+        repeat = again & ~((cols[3] == origin[0]) & (cols[4] == origin[1]) & (cols[5] == origin[2]))
+        seen = (h[-1], c[-1], origin[0][-1], origin[1][-1], origin[2][-1])
+        _, _, _, doc, crc, lo, _, size = (x[repeat] for x in cols)
         if doc.size:
             yield _mark_rows(1, doc, 0, doc, crc, lo, 0, size)
         cols = [x[~again] for x in cols]
