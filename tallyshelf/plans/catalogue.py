@@ -49,7 +49,7 @@ def page_tiles(
     Pages are parsed and records built once, because the later steps read different columns.
     """
     wanted = pages.filter(crawl.within(F.col("page_no"), cap) & crawl.page_present(F.col("html")))
-    wanted = session.spread_if_small(wanted.select(*keys, "page_no", "html"))
+    wanted = wanted.select(*keys, "page_no", "html")
     named = session.sized(seeds.select("category"), "seeds")
     small = session.fits_broadcast(named)
     if small:

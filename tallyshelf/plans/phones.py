@@ -34,7 +34,7 @@ def listing_links(
     """
     numbered = crawl.within(F.col(page), cap) if page == "page_no" else F.lit(True)
     wanted = pages.filter(numbered & crawl.page_present(F.col("html")))
-    wanted = session.spread_if_small(wanted.select(*keys, page, "html"))
+    wanted = wanted.select(*keys, page, "html")
     starts = session.sized(seeds.select(*keys, "start_url"), "seeds")
     small = session.fits_broadcast(starts)
     if small:
@@ -118,7 +118,6 @@ def product_records(owned: DataFrame, product_pages: DataFrame, filter_leaks: bo
     """
     owned = session.written(owned, "owned-urls")
     pages = product_pages.select("url", "html").filter(crawl.page_present(F.col("html")))
-    pages = session.spread_if_small(pages)
     if session.fits_broadcast(owned):
         pages = pages.join(F.broadcast(owned.select("url")), "url", "left_semi")
     facts = pages.select("url", product_facts(F.col("html")).alias("f"))

@@ -75,6 +75,21 @@ def statement_tables(spark, sf):
     return reduce(DataFrame.unionByName, stored)
 
 
+def tab_failures(spark, sf):
+    """Four tabs, of which one fails while it is written: the others are stored, the failure is reported."""
+    prefix = _fresh("tabs") + "_"
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    broken = rows.withColumn("bad", F.when(F.col("o_orderkey") % 2 == 1, F.raise_error(F.lit("no such fee")).cast("int")))
+    frames = {"bill": rows, "fine": broken, "storage fee": rows.filter("o_orderstatus = 'F'"), "compensation": rows.filter("false")}
+    outcome = sinks.write_tabs(frames, STATEMENT_TABS, prefix)
+    found = []
+    for tab, said in outcome.items():
+        stored = spark.table(prefix + STATEMENT_TABS[tab]) if said == "ok" else rows.filter("false")
+        failed = F.lit(said).contains("no such fee")
+        found.append(stored.agg(F.lit(tab).alias("tab"), failed.alias("failed"), F.count("*").alias("rows")))
+    return reduce(DataFrame.unionByName, found)
+
+
 def csv_export(spark, sf):
     """The stock list as a CSV export: the same job from another file format."""
     spot = f"{session.scratch_root(spark)}/{_fresh('stock_csv')}"
@@ -190,10 +205,11 @@ def guarded_overwrite(spark, sf):
 
 
 def append_snapshot(spark, sf):
-    """Two runs of a catalogue-shaped frame; both stay, one partition per day."""
+    """Two runs of a catalogue-shaped frame and an empty one; both stay, one partition per day."""
     name = _fresh("catalogue_history")
     part = table(spark, sf, "part").selectExpr("p_name AS title", "p_type AS category", "CAST(p_partkey AS STRING) AS model")
-    for day, rows in (("2024-05-01 06:30:00", part), ("2024-05-02 06:30:00", part.filter("category = 'PROMO'"))):
+    runs = [("2024-05-01 06:30:00", part), ("2024-05-03 06:30:00", part.filter("false"))]
+    for day, rows in [*runs, ("2024-05-02 06:30:00", part.filter("category = 'PROMO'"))]:
         blank = [F.lit("").alias(c) for c in CATALOGUE.names if c not in ("ts", "category", "title", "model")]
         run = rows.select(F.lit(day).cast("timestamp").alias("ts"), "category", "title", "model", *blank)
         sinks.append_snapshot(run, name, CATALOGUE)
@@ -238,6 +254,7 @@ QUERIES = {
     "weekly_storage_fee": weekly_storage_fee,
     "all_statement_tabs": all_statement_tabs,
     "statement_tables": statement_tables,
+    "tab_failures": tab_failures,
     "csv_export": csv_export,
     "csv_mixed_headers": csv_mixed_headers,
     "create_if_missing": create_if_missing,
@@ -400,6 +417,9 @@ SQL = {
         SELECT o_orderstatus AS status, count(*) AS rows,
           CAST(sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE CAST(l_quantity AS BIGINT) END) AS BIGINT) AS sold
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY ALL""",
+    "tab_failures": """
+        SELECT t.tab, t.tab = 'fine' AS failed, (SELECT count(*) FROM orders WHERE t.tab = 'bill' OR (t.tab = 'storage fee' AND o_orderstatus = 'F')) AS rows
+        FROM (VALUES ('bill'), ('fine'), ('storage fee'), ('compensation')) t(tab)""",
     "append_snapshot": """
         SELECT TIMESTAMP '2024-05-01 06:30:00' AS ts, DATE '2024-05-01' AS ts_date, p_type AS category, count(*) AS rows FROM part GROUP BY ALL
         UNION ALL SELECT TIMESTAMP '2024-05-02 06:30:00', DATE '2024-05-02', p_type, count(*) FROM part WHERE p_type = 'PROMO' GROUP BY ALL""",

@@ -23,7 +23,8 @@ def _header(*names: str) -> str:
 
 
 def _spread(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return session.spread_if_small(table(spark, sf, name))
+    """Rows dealt to all cores, so that the sheets rendered from them lie in several files."""
+    return table(spark, sf, name).repartition(spark.sparkContext.defaultParallelism)
 
 
 def _sheet(rows: DataFrame, path: str, sheet: str, header: str, cells: list[str], kinds: list[str], *extra: str) -> DataFrame:

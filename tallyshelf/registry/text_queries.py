@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyshelf import session
 from tallyshelf.functions import text, typed, urls
 from tallyshelf.operators import align, products, tiles
 from tallyshelf.registry.tables import table
@@ -13,8 +12,9 @@ from tallyshelf.sources.page_facts import outline_facts
 BASE = "https://shop.example/category/list/"
 
 
-def _outline(spark: SparkSession, sf: str) -> DataFrame:
-    pages = session.spread_if_small(table(spark, sf, "pages").select("page_id", "html"))
+def _outline(spark: SparkSession, sf: str, added: str = "''") -> DataFrame:
+    """Outlines of the given pages, with ``added`` markup at their end."""
+    pages = table(spark, sf, "pages").select("page_id", F.concat("html", F.expr(added)).alias("html"))
     return pages.select("page_id", outline_facts(F.col("html")).alias("f"))
 
 
@@ -58,10 +58,11 @@ def product_links(spark, sf):
 
 
 def page_links_max(spark, sf):
-    """Page count from links alone, 1 where no link carries a page number."""
+    """Page count from links alone, 1 where no link carries a page number; every third page has a pager."""
     hrefs = F.col("f.hrefs")
     numbers = F.transform(hrefs, lambda h: F.regexp_extract(h, r"page=(\d+)", 1).try_cast("int"))
-    rows = _outline(spark, sf).select("page_id", F.array_max(numbers).alias("top"), F.size(hrefs).alias("links"))
+    pager = """IF(page_id % 3 = 0, concat('<p><a href="/list?page=2">2</a> <a href="/list?page=', page_id % 40 + 3, '">last</a></p>'), '')"""
+    rows = _outline(spark, sf, pager).select("page_id", F.array_max(numbers).alias("top"), F.size(hrefs).alias("links"))
     return rows.select("page_id", tiles.total_pages(F.lit(None).cast("int"), F.col("top")).alias("total_pages"), "links")
 
 
@@ -70,15 +71,20 @@ def page_heading(spark, sf):
 
 
 def page_feature_lists(spark, sf):
-    """Densest list of every given page (its only list is the navigation)."""
+    """Densest list of every given page: its navigation, and on every second page a list of features."""
     lists = F.col("f.lists")
-    return _outline(spark, sf).select(
+    features = "IF(page_id % 2 = 0, concat('<ul><li>Size: ', page_id, '</li><li>plain</li><li>Type: b</li></ul>'), '')"
+    return _outline(spark, sf, features).select(
         "page_id", F.size(lists).alias("lists"), F.to_json(products.fullest_list(lists)).alias("features")
     )
 
 
 def document_stock_state(spark, sf):
-    state = products.stock_state_of(text.collapse_space(F.col("text")))
+    """Document texts with a stock phrase behind them by id, spread over two lines."""
+    phrase = F.expr(
+        "CASE doc_id % 5 WHEN 0 THEN ' Sold\n OUT' WHEN 1 THEN ' now In\tStock.' WHEN 2 THEN ' reinstock' WHEN 3 THEN ' in stock, out of  stock' ELSE '' END"
+    )
+    state = products.stock_state_of(text.collapse_space(F.concat("text", phrase)))
     return table(spark, sf, "documents").select("doc_id", state.alias("in_stock"))
 
 
@@ -337,18 +343,20 @@ SQL = {
         FROM part WHERE p_size % 5 IN (0, 3, 4)""",
     "page_links_max": """
         SELECT page_id, CAST(coalesce(list_max(list_transform(regexp_extract_all(html, '<a [^>]*href="[^"]*page=(\\d+)', 1), lambda x: CAST(x AS INTEGER))), 1) AS INTEGER) AS total_pages,
-          CAST(len(regexp_extract_all(html, '<a [^>]*href=')) AS INTEGER) AS links FROM pages""",
+          CAST(len(regexp_extract_all(html, '<a [^>]*href=')) AS INTEGER) AS links
+        FROM (SELECT page_id, html || CASE WHEN page_id % 3 = 0 THEN '<a href="?page=' || (page_id % 40 + 3) || '"><a href="?page=2">' ELSE '' END AS html FROM pages)""",
     "page_heading": f"""
         SELECT page_id, trim(regexp_replace({_DECODED.format("regexp_replace(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1), '&amp$', '&amp;')")}, '{_SPACE}+', ' ', 'g')) AS heading FROM pages""",
     "page_feature_lists": """
-        SELECT page_id, CAST(len(regexp_extract_all(html, '<ul[ >]')) AS INTEGER) AS lists,
-          CASE WHEN len(items) >= 3 AND len(list_filter(items, lambda x: contains(x, ':'))) > 0
+        SELECT page_id, CAST(len(regexp_extract_all(html, '<ul[ >]')) + 1 - page_id % 2 AS INTEGER) AS lists,
+          CASE WHEN page_id % 2 = 0 THEN '["Size: ' || page_id || '","plain","Type: b"]' WHEN len(items) >= 3 AND len(list_filter(items, lambda x: contains(x, ':'))) > 0
                THEN '[' || array_to_string(list_transform(items, lambda x: '"' || x || '"'), ',') || ']' ELSE '[]' END AS features
         FROM (SELECT page_id, html, regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1) AS items FROM pages)""",
     "document_stock_state": """
         SELECT doc_id, CASE WHEN contains(lower(t), 'sold out') OR contains(lower(t), 'out of stock') THEN false
           WHEN regexp_matches(lower(t), '\\bin stock\\b') THEN true END AS in_stock
-        FROM (SELECT doc_id, regexp_replace(text, '\\s+', ' ', 'g') AS t FROM documents)""",
+        FROM (SELECT doc_id, regexp_replace(text || CASE doc_id % 5 WHEN 0 THEN ' sold out' WHEN 1 THEN ' in stock.' WHEN 2 THEN ' reinstock'
+          WHEN 3 THEN ' out of stock' ELSE '' END, '\\s+', ' ', 'g') AS t FROM documents)""",
     "conversation_stock_state": """
         SELECT conv_id, turn, CASE WHEN contains(said, 'sold out') OR contains(said, 'out of stock') THEN false
           WHEN regexp_matches(said, '\\bin stock\\b') THEN true END AS in_stock

@@ -64,6 +64,9 @@ def local_session(cores: str | int = "*", app: str = "tallyshelf") -> SparkSessi
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
+        # Small tables are read in several parts too.
+        .config("spark.sql.files.maxPartitionBytes", str(2 * 1024 * 1024))
+        .config("spark.sql.files.openCostInBytes", str(256 * 1024))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tallyshelf-warehouse-"))
         .getOrCreate()
     )
@@ -143,15 +146,3 @@ def sized(df: DataFrame, name: str) -> DataFrame:
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether the known size of ``df`` is within the session's broadcast limit."""
     return plan_bytes(df) <= broadcast_limit(df.sparkSession)
-
-
-def spread_if_small(df: DataFrame, per_task_bytes: int = 4 * 1024 * 1024) -> DataFrame:
-    """Round-robin a scan that is too small to occupy every core before Python-heavy work.
-
-    A large table already has many input splits and is returned untouched, so HTML is never
-    shuffled at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if plan_bytes(df) < cores * per_task_bytes:
-        return df.repartition(cores)
-    return df
