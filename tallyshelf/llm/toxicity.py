@@ -3,15 +3,17 @@
 Features of a text are its character n-grams, lower-cased, white space as one space, hashed into
 ``2 ** bits`` slots; a slot counts once per text. Every slot is scaled by its log-count ratio: how
 much more often labelled toxic texts hold it than the others, smoothed towards no difference by the
-slot's overall rate, so that rare n-grams weigh nothing. The ratios come from all labelled rows, as
-partial sums per task. A logistic regression over the scaled slots is then fitted on at most
-``fit_rows`` labelled rows, those with the smallest hash of their id, in one task.
+slot's overall rate, so that rare n-grams weigh nothing. The ratios come from at most ``count_rows``
+labelled rows, as partial sums per task, and a logistic regression over the scaled slots is fitted
+on at most ``fit_rows`` of them in one task; half of either come from each class, those with the
+smallest hash of their id. The sample is drawn from ids and labels alone, so only its texts move.
 
 Texts are looked at as a whole; a text's scaled slots are summed, so a few telling words in a long
 text still stand out, because common slots have ratios near zero.
 
 Defined cases: a null text is an empty text and gets the score of no features; a text without a
-label, or with several labels, is scored like any other (several: the largest counts for learning);
+label, or with several labels, is scored like any other (several: the largest counts for learning, and of
+several texts with one id the smallest);
 repeated rows get the same score; without any labelled row of one class all scores are 0; an empty
 table gives an empty result. Labels, language, source and id are never features.
 """
@@ -35,8 +37,9 @@ class Settings:
     bits: int = 20
     #: Texts that the smoothing adds to each side.
     smoothing: float = 2.0
-    #: Labelled rows that the linear classifier is fitted on, at most.
-    fit_rows: int = 6000
+    #: Labelled rows that the ratios are counted on, and that the linear classifier is fitted on, at most.
+    count_rows: int = 40_000
+    fit_rows: int = 6_000
     rounds: int = 100
     #: Slots whose log-count ratio is nearer to zero say nothing and are left out.
     least_ratio: float = 0.5
@@ -87,11 +90,23 @@ def slots(text: str, settings: Settings) -> np.ndarray:
     return parts[0][stamps[parts[0]] == own]
 
 
-def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, learn: Column) -> DataFrame:
-    """(id, body, y) of the rows that may be learned from."""
-    marks = labels.groupBy(F.col(key).alias("label_id")).agg(F.max(F.col(label)).alias("y")).where("y is not null")
+def _halves(rows: DataFrame, most: int) -> DataFrame:
+    """Up to ``most`` rows, half of each class, by the hash of their id."""
+    order = [F.xxhash64("id"), "id"]
+    toxic, rest = (rows.where(c).orderBy(*order).limit(most // 2) for c in ("y > 0", "y <= 0"))
+    return toxic.union(rest)
+
+
+def labelled(
+    docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, learn: Column, settings: Settings
+) -> DataFrame:
+    """(id, body, y) of a sample of the rows that may be learned from, ``count_rows`` at most."""
+    marks = labels.groupBy(F.col(key).alias("id")).agg(F.max(F.col(label)).cast("int").alias("y")).where("y is not null")
     rows = docs.where(learn).select(F.col(key).alias("id"), shared.whole(F.col(text)).alias("body"))
-    return rows.join(marks, rows["id"] == marks["label_id"]).select("id", "body", F.col("y").cast("int").alias("y"))
+    # Ids only; the sample's size is bounded, so it can be sent to all tasks.
+    sample = _halves(marks.join(rows.select("id").distinct(), "id"), settings.count_rows)
+    picked = rows.join(F.broadcast(sample), "id")
+    return picked.groupBy("id").agg(F.min("body").alias("body"), F.max("y").alias("y"))
 
 
 def slot_counts(rows: DataFrame, settings: Settings) -> tuple[np.ndarray, np.ndarray, int, int]:
@@ -165,11 +180,7 @@ def train(rows: DataFrame, settings: Settings) -> tuple[bytes, float] | None:
     if not n_toxic or not n_rest:
         return None
     ratios = log_count_ratios(toxic, rest, n_toxic, n_rest, settings)
-    # Half of the bounded sample from each class, or all rows of a class that has fewer.
-    spark = rows.sparkSession
-    shared_ratios = spark.sparkContext.broadcast(ratios)
-    order = [F.xxhash64("id"), "id"]
-    halves = [rows.where(c).orderBy(*order).limit(settings.fit_rows // 2) for c in ("y > 0", "y <= 0")]
+    shared_ratios = rows.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches):
         sample = [(t, y) for b in batches for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
@@ -177,7 +188,7 @@ def train(rows: DataFrame, settings: Settings) -> tuple[bytes, float] | None:
             weights, offset = fit(sample, shared_ratios.value, settings)
             yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary()), pa.array([offset])], ["w", "offset"])
 
-    sample = halves[0].union(halves[1]).select("body", "y").repartition(1).sortWithinPartitions("y", "body")
+    sample = _halves(rows, settings.fit_rows).select("body", "y").repartition(1).sortWithinPartitions("y", "body")
     weights, offset = sample.mapInArrow(run, "w binary, offset double").first()
     return bytes(weights), offset
 
@@ -213,7 +224,7 @@ def scored(
 ) -> DataFrame:
     """``docs`` with ``score``, learned from the rows with ``learn``. Training runs when this is called."""
     scratch = shared.Scratch(docs.sparkSession, "toxicity")
-    rows = scratch.write(labelled(docs, labels, key, text, label, learn))
+    rows = scratch.write(labelled(docs, labels, key, text, label, learn, settings))
     model = train(rows, settings)
     scratch.drop(rows)
     return score(docs, model, settings, text)
