@@ -338,8 +338,11 @@ def test_append_under_header(spark, tmp_path):
         assert sinks.append_under_header(rows.toDF("b", "c"), spot, ["b", "c"]) == ["a", "b"]
     found = spark.read.option("header", True).csv(spot)
     assert found.columns == ["a", "b"] and {tuple(r) for r in found.collect()} == {("007", "x,y")} and found.count() == 3
-    with pytest.raises(ValueError), pytest.warns(UserWarning):
-        sinks.append_under_header(rows, spot, ["a"])
+    odd = spark.createDataFrame([("two\nlines\\n", None)], "a STRING, b STRING")
+    with pytest.warns(UserWarning):
+        sinks.append_under_header(odd, spot, ["a"])
+    stored = sinks.read_sheet(spark, spot)
+    assert stored.count() == 4 and ("two\nlines\\n", None) in {tuple(r) for r in stored.collect()}
 
 
 def test_observed_rows(spark, table):

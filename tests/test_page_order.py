@@ -103,19 +103,39 @@ def test_page_cap_of_a_brand(spark):
     links = spark.createDataFrame(rows, "brand STRING, page_no INT, pos INT, url STRING, price_raw STRING")
     pages = links.select("brand", "page_no", F.lit(True).alias("has_next"))
     firsts = page_order.first_links(links, ["brand"], ["price_raw"])
-    stops = page_order.brand_stops(pages, firsts, ["brand"])
-    assert page_order.before_stop(firsts, stops, ["brand"], "first_page").count() == 120
+    for cap, pages_read in ((120, 120), (None, 130)):
+        stops = page_order.brand_stops(pages, firsts, ["brand"], cap)
+        assert page_order.before_stop(firsts, stops, ["brand"], "first_page").count() == pages_read
+
+
+def test_wide_rows_move_once(spark):
+    rows = spark.createDataFrame([("c", 1, "u", "wide")], "category STRING, page_no INT, product_url STRING, html STRING")
+    pages = spark.createDataFrame([("c", 1, 3)], "category STRING, page_no INT, total_pages INT")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        firsts = page_order.first_pages(rows, ["category"])
+        stops = page_order.collection_stops(pages, firsts, ["category"])
+        kept = page_order.kept_tiles(rows, firsts, stops, ["category"])
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert kept.count() == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    wide = [line for line in moved if "page_no" in line.split("hashpartitioning(")[1].split(")")[0]]
+    # Both sides of the one semi join; the wide side is dealt by nothing else.
+    assert len(wide) == 2 and all("product_url" in w for w in wide)
 
 
 def test_chain_of_next_links(spark):
     pages = [("b", f"p{n}", f"p{n + 1}") for n in range(1, 125)] + [("c", "q1", None)]
-    chain = page_order.numbered_chain(
-        spark.createDataFrame(pages, "brand STRING, url STRING, next_url STRING"),
-        spark.createDataFrame([("b", "p1"), ("c", "q1")], "brand STRING, start_url STRING"),
-        ["brand"],
-    ).collect()
-    assert {r["url"]: r["page_no"] for r in chain if r["brand"] == "b"} == {f"p{n}": n for n in range(1, 121)}
-    assert [r["url"] for r in chain if r["brand"] == "c"] == ["q1"]
+    pages += pages[:40] + [("d", "r1", "r2"), ("d", "r2", "r1")]
+    steps = spark.createDataFrame(pages, "brand STRING, url STRING, next_url STRING")
+    seeds = spark.createDataFrame([("b", "p1"), ("c", "q1"), ("d", "r1")], "brand STRING, start_url STRING")
+    for cap, last in ((120, 120), (None, 125)):
+        chain = page_order.numbered_chain(steps, seeds, ["brand"], cap).collect()
+        assert {r["url"]: r["page_no"] for r in chain if r["brand"] == "b"} == {f"p{n}": n for n in range(1, last + 1)}
+        assert [r["url"] for r in chain if r["brand"] == "c"] == ["q1"]
+        assert sorted((r["page_no"], r["url"]) for r in chain if r["brand"] == "d") == [(1, "r1"), (2, "r2")]
 
 
 def fetch(attempts: list[tuple[int, int, str | None]]) -> int | None:
@@ -129,18 +149,19 @@ def fetch(attempts: list[tuple[int, int, str | None]]) -> int | None:
 
 def test_attempts_equal_a_sequential_fetch(spark):
     rng = random.Random(2)
-    rows, expected = [], {}
+    rows, expected, without_cap = [], {}, {}
     for n in range(400):
         tries = [
             (a, rng.choice([200, 200, 500, 404, 0]), rng.choice(["text/html; charset=utf-8", "text/html", "image/png", None]))
             for a in range(1, rng.randint(1, 4) + 1)
         ]
-        won = fetch(tries[:3])
-        if won:
-            expected[f"u{n}"] = f"{won}"
+        for cap, into in ((3, expected), (None, without_cap)):
+            if won := fetch(tries[:cap]):
+                into[f"u{n}"] = f"{won}"
         rows += [(f"u{n}", a, s, k, f"{a}") for a, s, k in tries]
     df = spark.createDataFrame(rows, "url STRING, attempt INT, status INT, content_type STRING, html STRING")
-    assert {r["url"]: r["html"] for r in crawl.resolve_attempts(df).collect()} == expected
+    assert {r["url"]: r["html"] for r in crawl.resolve_attempts(df, max_attempts=3).collect()} == expected
+    assert {r["url"]: r["html"] for r in crawl.resolve_attempts(df).collect()} == without_cap
 
 
 def test_plan_and_seeds(spark):
