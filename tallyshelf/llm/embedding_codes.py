@@ -143,6 +143,9 @@ def _units(vectors: list[bytes], dims: int) -> np.ndarray:
 
 _CODED = "node long, dims int, t int, bucket long, keys binary, code binary, factor double, level binary, low double, step double"
 
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "double": pa.float64()}
+_CODED_ARROW = pa.schema([(name, _ARROW[kind]) for name, kind in (f.split() for f in _CODED.split(", "))])
+
 
 def _coder(bits: int, count: int, settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +174,7 @@ def _coder(bits: int, count: int, settings: Settings):
                             pa.array(np.repeat(low, count)),
                             pa.array(np.repeat(step, count)),
                         ],
-                        schema=pa.schema([(f.split()[0], {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "double": pa.float64()}[f.split()[1]]) for f in _CODED.split(", ")]),
+                        schema=_CODED_ARROW,
                     )
 
     return run

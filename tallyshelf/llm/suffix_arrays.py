@@ -27,12 +27,12 @@ other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
@@ -198,10 +198,12 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         again = np.concatenate(([seen is not None and seen[:2] == (h[0], c[0])], (h[1:] == h[:-1]) & (c[1:] == c[:-1])))
         # Where the run of each row began; -1: in an earlier batch.
         begin = np.maximum.accumulate(np.where(again, -1, np.arange(again.size)))
-        origin = [np.where(begin < 0, seen[i] if seen is not None else 0, x[begin]) for i, x in ((2, cols[3]), (3, cols[4]), (4, cols[5]))]
-        repeat = again & ~((cols[3] == origin[0]) & (cols[4] == origin[1]) & (cols[5] == origin[2]))
-        seen = (h[-1], c[-1], origin[0][-1], origin[1][-1], origin[2][-1])
-        _, _, _, doc, crc, lo, _, size = (x[repeat] for x in cols)
+        places = cols[3:6]
+        before = seen[2:] if seen is not None else (0, 0, 0)
+        origin = [np.where(begin < 0, old, x[begin]) for old, x in zip(before, places)]
+        later = again & ~np.logical_and.reduce([x == o for x, o in zip(places, origin)])
+        seen = (h[-1], c[-1], *(o[-1] for o in origin))
+        _, _, _, doc, crc, lo, _, size = (x[later] for x in cols)
         if doc.size:
             yield _mark_rows(1, doc, 0, doc, crc, lo, 0, size)
         cols = [x[~again] for x in cols]
@@ -472,8 +474,7 @@ def _shards(settings: Settings):
                 continue
             h = batch.column("h").to_numpy()
             edges = [0, *(np.flatnonzero(h[1:] != h[:-1]) + 1).tolist(), batch.num_rows]
-            bytes_ = np.diff(batch.column("bytes").buffers()[1] and np.frombuffer(batch.column("bytes").buffers()[1], np.int32, batch.num_rows + 1, 4 * batch.column("bytes").offset))
-            upto = np.concatenate(([0], np.cumsum(bytes_)))
+            upto = np.concatenate(([0], np.cumsum(pc.binary_length(batch.column("bytes")).to_numpy())))
             begin = 0
             for a, b in zip(edges, edges[1:]):
                 if size + upto[a] - upto[begin] >= settings.shard_bytes and h[a] != last:
