@@ -52,18 +52,20 @@ class Coder:
         self.pattern = pattern
         self.characters = byte_characters()
         # The byte table, and the way back from a token's characters.
-        self.mapped = {t: "".join(map(self.characters.__getitem__, t)) for t in self.ranks}
         back = {c: b for b, c in enumerate(self.characters)}
         self.token_bytes: list[bytes | None] = [None] * (max(self.ranks.values(), default=-1) + 1)
         for token, rank in self.ranks.items():
-            self.token_bytes[rank] = bytes(map(back.__getitem__, self.mapped[token]))
+            self.token_bytes[rank] = bytes(map(back.__getitem__, self._mapped(token)))
         self.known: dict[str, bytes] = {}
 
+    def _mapped(self, token: bytes) -> str:
+        return "".join(map(self.characters.__getitem__, token))
+
     @cached_property
     def tokenizer(self):
         from tokenizers import Tokenizer, models, pre_tokenizers
 
-        ranks, mapped = self.ranks, self.mapped
+        ranks, mapped = self.ranks, {t: self._mapped(t) for t in self.ranks}
         merges = []
         for token in sorted((t for t in ranks if len(t) > 1), key=ranks.__getitem__):
             halves = ((token[:i], token[i:]) for i in range(1, len(token)))
@@ -162,6 +164,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id",
             ids = [x for part in _some(texts) for x in own.encode(part)]
             counts = pa.array([len(x) // 4 for x in ids], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), counts, pa.array(ids, pa.binary())], [key, "n_tokens", "ids"])
+        # Workers outlive their tasks; what they remember must not.
+        del own
+        coder.cache_clear()
 
     return picked.mapInArrow(run, schema)
 
@@ -179,6 +184,8 @@ def decode(tokens: DataFrame, ranks_path: str, pattern: str, ids: str = "ids") -
         for batch in batches:
             raw = [own.decode(x or b"") for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())], [*rest, "decoded"])
+        del own
+        coder.cache_clear()
 
     return tokens.select(*rest).mapInArrow(run, schema)
 

@@ -44,7 +44,7 @@ _CHUNK = 1 << 16
 #: A group up to this size is compared place by place, all groups at once.
 SMALL_GROUP = 12
 #: Up to this size a group is compared as one matrix.
-MATRIX_GROUP = 1024
+MATRIX_GROUP = 512
 
 
 @dataclass(frozen=True)
@@ -144,8 +144,9 @@ def _tie(group: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
 def _matrix_links(group: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """As ``_tie``, from the matrix of all pairs, which is looked through only where it holds many links."""
     first = group[:, 0]
-    # No pair within ``most`` bits differs by more in its first word.
-    a, b = np.nonzero(np.triu(np.bitwise_count(first[:, None] ^ first[None, :]) <= most, 1))
+    # No pair within ``most`` bits differs by more in its first words.
+    differing = sum(np.bitwise_count(w[:, None] ^ w[None, :]) for w in group.T[:2])
+    a, b = np.nonzero(np.triu(differing <= most, 1))
     near = _near(group[a], group[b], most)
     if near.sum() > 4 * len(group):
         return _tie(group, most)
