@@ -10,14 +10,18 @@ nothing. Two rules are offered:
 
 * ``Bits(4)``: link at up to 4 differing bits of one word. 3 segments hold for 4 bits, so no link is
   lost.
-* ``SIMILAR``: link at an estimated shingle similarity of 0.8: up to 44 differing bits of 256. The
-  first word in 5 segments brings 95 of 100 pairs at similarity 0.8 together, 99 at 0.85.
+* ``SIMILAR``: link at a Jaccard similarity of the sets of shingles of 0.8 or more. Fingerprints
+  (4 words, each different shingle counted once) only propose pairs: up to 56 differing bits of 256,
+  found over 5 segments of each of the first two words. A proposed pair links if its sets of 64-bit
+  shingle hashes are that similar. Texts with equal sets are one node.
 
-Groups above ``group_limit`` are not compared as they are: their members, which agree in the bits
-of their variant, are regrouped by parts of the other bits, one part more than bits may differ in the
-word, so that one part is equal; again and again until every group is small. This loses no link of
-the first rule, and of the second none that differs in no more bits of the first word than 64 times
-44 / 256.
+Proposed pairs are checked in two rounds, so that large groups of near copies cost no square of
+checks: first those that tie the groups together; then, where a tied group falls apart because checks
+fail, every proposed pair between its parts.
+
+Groups above ``group_limit`` of the first rule are not compared as they are: their members, which
+agree in the bits of their variant, are regrouped by parts of the other bits, one part more than bits
+may differ, so that one part is equal; again and again until every group is small. This loses no link.
 
 Defined cases: a null or empty text, or one of white space only, has fingerprint zero and links like
 any other; fewer words than a shingle make one shingle of all words; rows are told apart by content,
@@ -34,7 +38,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
-from xxhash import xxh64_intdigest
+from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from tallyshelf.llm import shared
 
@@ -49,16 +53,17 @@ MATRIX_GROUP = 512
 
 @dataclass(frozen=True)
 class Rule:
-    """When fingerprints link: up to ``most`` differing bits of ``words`` words, found over ``segments``."""
+    """When fingerprints link: up to ``most`` differing bits of ``words`` words, found over ``segments``.
+
+    With a ``similarity`` such fingerprints, found over segments of the first ``searched`` words, only
+    propose a pair; it links if its shingle sets are that similar.
+    """
 
     most: int
     segments: int
     words: int = 1
-
-    @property
-    def first_word(self) -> int:
-        """Differing bits of the first word that a search must stand."""
-        return self.most // self.words
+    searched: int = 1
+    similarity: float | None = None
 
     def cuts(self) -> list[tuple[int, int]]:
         ends = [64 * i // self.segments for i in range(self.segments + 1)]
@@ -70,21 +75,37 @@ def Bits(most: int) -> Rule:
     return Rule(most, most // 2 + 1)
 
 
-SIMILAR = Rule(most=44, segments=5, words=4)
+SIMILAR = Rule(most=56, segments=5, words=4, searched=2, similarity=0.8)
+#: Differing bits at which near copies are tied first; nearly all such pairs are similar enough.
+CLOSE = 36
+#: Up to so many nodes their list is sent to all tasks, and no text is moved to meet it.
+SENT_NODES = 500_000
 
 
 def signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def fingerprint(text: str | None, width: int, words: int = 1) -> list[int]:
-    """Bits set in more than half of the XXH64 values of the text's shingles, and of what they mix to."""
+def shingle_hashes(text: str | None, width: int) -> np.ndarray:
+    """XXH64 values of the text's shingles."""
     tokens = (text or "").encode().lower().split()
     if not tokens:
-        return [0] * words
+        return np.empty(0, np.uint64)
     n = max(1, len(tokens) - width + 1)
     shingles = map(b" ".join, zip(*(tokens[i:] for i in range(width)))) if n > 1 else [b" ".join(tokens)]
-    hashes = np.fromiter(map(xxh64_intdigest, shingles, repeat(SEED)), np.uint64, n)
+    return np.fromiter(map(xxh64_intdigest, shingles, repeat(SEED)), np.uint64, n)
+
+
+def fingerprint(text: str | None, width: int, words: int = 1) -> list[int]:
+    """Bits set in more than half of the XXH64 values of the text's shingles, and of what they mix to."""
+    return majority(shingle_hashes(text, width), words)
+
+
+def majority(hashes: np.ndarray, words: int) -> list[int]:
+    """Bits set in more than half of the values, and of what they mix to."""
+    n = len(hashes)
+    if not n:
+        return [0] * words
     out = []
     for word in range(words):
         counts = np.zeros(64, np.int64)
@@ -99,25 +120,55 @@ def fingerprint(text: str | None, width: int, words: int = 1) -> list[int]:
     return out
 
 
-def fingerprints(docs: DataFrame, width: int = 5, words: int = 1, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, key of its content, ``fp`` (long, bits as signed) and the words after it."""
+def fingerprints(docs: DataFrame, width: int = 5, rule: Rule = SIMILAR, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: id, key of its content, ``fp`` (first word, long, bits as signed).
+
+    With a similarity also ``prints`` (all words), the words searched after the first (``w1`` ...), and
+    ``set_a``, ``set_b``, a digest of the set of shingles.
+    """
     picked = docs.select(
         F.col(key).alias("id"), *shared.row_key(F.col(key), F.col(text)), shared.whole(F.col(text)).alias("body")
     )
-    schema = T.StructType(
-        [*picked.schema.fields[:3], T.StructField("fp", T.LongType(), False), T.StructField("rest", T.BinaryType(), False)]
-    )
+    fields = [*picked.schema.fields[:3], T.StructField("fp", T.LongType(), False)]
+    sets = rule.similarity is not None
+    if sets:
+        longs = [*(f"w{i}" for i in range(1, rule.searched)), "set_a", "set_b"]
+        fields += [T.StructField("prints", T.BinaryType(), False), *(T.StructField(n, T.LongType(), False) for n in longs)]
 
     def run(batches):
         for batch in batches:
-            found = [fingerprint(t.as_py(), width, words) for t in batch.column(3)]
-            rest = [np.array(f[1:], np.uint64).tobytes() for f in found]
-            first = pa.array([signed(f[0]) for f in found], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], first, pa.array(rest, pa.binary())], ["id", "row_a", "row_b", "fp", "rest"]
-            )
+            hashes = (shingle_hashes(t.as_py(), width) for t in batch.column(3))
+            found, more = [], []
+            for h in hashes:
+                h = np.unique(h) if sets else h
+                found.append(majority(h, rule.words))
+                if sets:
+                    more.append(np.frombuffer(xxh3_128_digest(h.tobytes()), np.int64))
+            columns = [*batch.columns[:3], pa.array([signed(f[0]) for f in found], pa.int64())]
+            if sets:
+                digests = np.array(more, np.int64).reshape(-1, 2)
+                columns.append(pa.array([np.array(f, np.uint64).tobytes() for f in found], pa.binary()))
+                columns += [pa.array([signed(f[i]) for f in found], pa.int64()) for i in range(1, rule.searched)]
+                columns += [pa.array(digests[:, i].copy()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
+
+    return picked.mapInArrow(run, T.StructType(fields))
+
+
+def shingle_sets(docs: DataFrame, nodes: DataFrame, width: int, key: str, text: str) -> DataFrame:
+    """The different shingle hashes of each of ``nodes`` (node, row_a, row_b): node, shingles."""
+    rows = docs.select(*shared.row_key(F.col(key), F.col(text)), shared.whole(F.col(text)).alias("body"))
+    if nodes.count() <= SENT_NODES:
+        nodes = F.broadcast(nodes)
+    picked = rows.join(nodes, ["row_a", "row_b"]).select("node", "body")
 
-    return picked.mapInArrow(run, schema)
+    def run(batches):
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t.as_py(), width)).view(np.int64) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    # Copies of a row are the same node.
+    return picked.mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
 
 
 def _near(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
@@ -126,38 +177,50 @@ def _near(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
 
 
 def _tie(group: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Links that hold together what is linked in the group: each member meets all members not yet reached."""
-    links, waiting = [], group
+    """Links that hold together what is linked in the group: each member meets all members not yet reached.
+
+    Members are given by their places, as in all functions that find links within a group.
+    """
+    links, waiting = [], np.arange(len(group))
     while len(waiting):
         frontier, waiting = [waiting[0]], waiting[1:]
         while frontier and len(waiting):
             one = frontier.pop()
-            near = _near(waiting, one, most)
+            near = _near(group[waiting], group[one], most)
             if near.any():
                 reached = waiting[near]
-                links.append((np.full(len(reached), one[0]), reached[:, 0]))
+                links.append((np.full(len(reached), one), reached))
                 frontier.extend(reached)
                 waiting = waiting[~near]
     return links
 
 
-def _matrix_links(group: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """As ``_tie``, from the matrix of all pairs, which is looked through only where it holds many links."""
-    first = group[:, 0]
+def _pairs(group: np.ndarray, lo: int, hi: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs within ``most`` bits of the members ``lo`` to ``hi`` with later members."""
     # No pair within ``most`` bits differs by more in its first words.
-    differing = sum(np.bitwise_count(w[:, None] ^ w[None, :]) for w in group.T[:2])
+    differing = sum(np.bitwise_count(w[lo:hi, None] ^ w[None, lo:]) for w in group.T[:3])
     a, b = np.nonzero(np.triu(differing <= most, 1))
-    near = _near(group[a], group[b], most)
-    if near.sum() > 4 * len(group):
-        return _tie(group, most)
-    return [(first[a[near]], first[b[near]])]
+    near = _near(group[a + lo], group[b + lo], most)
+    return a[near] + lo, b[near] + lo
+
+
+def _matrix_links(group: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """As ``_tie``, from the matrix of all pairs, which is looked through only where it holds many links."""
+    a, b = _pairs(group, 0, len(group), most)
+    return _tie(group, most) if len(a) > 4 * len(group) else [(a, b)]
 
 
-def _links(masks: np.ndarray, values: np.ndarray, prints: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links within the groups of equal mask and value; rows arrive sorted by both."""
-    cut = np.flatnonzero((masks[1:] != masks[:-1]) | (values[1:] != values[:-1])) + 1
+def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of the groups of equal keys; rows arrive sorted by them."""
+    cut = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
     starts = np.concatenate(([0], cut))
-    sizes = np.diff(np.concatenate((starts, [masks.size])))
+    return starts, np.diff(np.concatenate((starts, [len(keys[0])])))
+
+
+def _links(keys: list[np.ndarray], prints: np.ndarray, levels: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Links within the groups of equal keys, as places of rows: ties at each level, at most at the last."""
+    most = levels[-1]
+    starts, sizes = _groups(*keys)
     left, right = [], []
     small = (sizes > 1) & (sizes <= SMALL_GROUP)
     begin, size = starts[small], sizes[small]
@@ -165,52 +228,86 @@ def _links(masks: np.ndarray, values: np.ndarray, prints: np.ndarray, most: int)
         for i in range(j):
             at = begin[size > j]
             near = _near(prints[at + i], prints[at + j], most)
-            left.append(prints[at + i, 0][near])
-            right.append(prints[at + j, 0][near])
-    for at in np.flatnonzero(sizes > SMALL_GROUP):
-        group = prints[starts[at] : starts[at] + sizes[at]]
-        for a, b in (_matrix_links if len(group) <= MATRIX_GROUP else _tie)(group, most):
-            left.append(a)
-            right.append(b)
-    none = np.empty(0, np.uint64)
+            left.append(at[near] + i)
+            right.append(at[near] + j)
+    for at, size in zip(starts[sizes > SMALL_GROUP], sizes[sizes > SMALL_GROUP]):
+        group = prints[at : at + size]
+        for level in levels:
+            for a, b in (_matrix_links if size <= MATRIX_GROUP else _tie)(group, level):
+                left.append(a + at)
+                right.append(b + at)
+    none = np.empty(0, np.int64)
     return np.concatenate(left or [none]), np.concatenate(right or [none])
 
 
+def _pairs_between(keys: list[np.ndarray], labels: np.ndarray, prints: np.ndarray, most: int):
+    """All pairs within ``most`` bits of a group whose labels differ, as places of rows, a part at a time."""
+    for at, size in zip(*_groups(*keys)):
+        group = prints[at : at + size]
+        step = max(1, MATRIX_GROUP * MATRIX_GROUP // size)
+        for lo in range(0, size, step):
+            a, b = _pairs(group, lo, min(size, lo + step), most)
+            apart = labels[at + a] != labels[at + b]
+            if apart.any():
+                yield a[apart] + at, b[apart] + at
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], read) -> Iterator[list[np.ndarray]]:
+    """Columns of whole groups; ``read`` makes arrays of a batch, the two keys first."""
+    held: list[np.ndarray] | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = read(batch)
+        if held is not None:
+            now = [np.concatenate(x) for x in zip(held, now)]
+        # The last group may go on in the next batch.
+        last = np.flatnonzero((now[0] != now[0][-1]) | (now[1] != now[1][-1]))
+        whole = int(last[-1]) + 1 if last.size else 0
+        if whole:
+            yield [x[:whole] for x in now]
+        held = [x[whole:] for x in now]
+    if held is not None:
+        yield held
+
+
+_LINK = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+
+def _put(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+    # A pair that meets in several groups of the batch is put out once.
+    pairs = np.unique(np.stack((u, v), axis=1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, i].copy().view(np.int64)) for i in (0, 1)], schema=_LINK)
+
+
 def _group_links(rule: Rule):
-    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+    def read(batch: pa.RecordBatch) -> list[np.ndarray]:
+        return [batch.column(name).to_numpy(zero_copy_only=False).view(np.uint64) for name in ("mask", "value", "fp")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for mask, value, fp in _whole_groups(batches, read):
+            a, b = _links([mask, value], fp[:, None], [rule.most])
+            yield _put(fp[a], fp[b])
+
+    return run
 
-    def column(batch: pa.RecordBatch, name: str) -> np.ndarray:
-        return batch.column(name).to_numpy(zero_copy_only=False).view(np.uint64)
 
-    def prints(batch: pa.RecordBatch) -> np.ndarray:
-        first = column(batch, "fp")[:, None]
-        if rule.words == 1:
-            return first
-        rest = np.frombuffer(b"".join(batch.column("rest").to_pylist()), np.uint64).reshape(-1, rule.words - 1)
-        return np.concatenate((first, rest), axis=1)
+def _proposals(rule: Rule, between: bool):
+    """Pairs of nodes that ``rule`` proposes: ties of each group, or all ``between`` different labels."""
 
-    def out(rows: list[np.ndarray]) -> pa.RecordBatch:
-        u, v = _links(*rows, rule.most)
-        # A pair that meets in several groups of the batch is put out once.
-        pairs = np.unique(np.stack((u, v), axis=1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, i].copy().view(np.int64)) for i in (0, 1)], schema=schema)
+    def read(batch: pa.RecordBatch) -> list[np.ndarray]:
+        keys = [batch.column(name).to_numpy(zero_copy_only=False) for name in ("part", "value", "node", "label")]
+        prints = np.frombuffer(b"".join(batch.column("prints").to_pylist()), np.uint64).reshape(-1, rule.words)
+        return [*keys, prints]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            now = [column(batch, "mask"), column(batch, "value"), prints(batch)]
-            if held is not None:
-                now = [np.concatenate(x) for x in zip(held, now)]
-            # The last group may go on in the next batch.
-            last = np.flatnonzero((now[0] != now[0][-1]) | (now[1] != now[1][-1]))
-            whole = int(last[-1]) + 1 if last.size else 0
-            if whole:
-                yield out([x[:whole] for x in now])
-            held = [x[whole:] for x in now]
-        if held is not None:
-            yield out(held)
+        for part, value, node, label, prints in _whole_groups(batches, read):
+            if between:
+                found = _pairs_between([part, value], label, prints, rule.most)
+            else:
+                found = [_links([part, value], prints, [CLOSE, rule.most])]
+            for a, b in found:
+                yield _put(np.minimum(node[a], node[b]), np.maximum(node[a], node[b]))
 
     return run
 
@@ -232,10 +329,10 @@ def refined_masks(mask: int, distance: int) -> list[int]:
 
 
 def links(distinct: DataFrame, scratch: shared.Scratch, rule: Rule, group_limit: int = 50_000) -> DataFrame:
-    """Links (u, v) between first words ``fp`` of ``distinct`` (fp, rest) that tie together all that link."""
+    """Links (u, v) between one-word fingerprints ``fp`` of ``distinct`` that tie together all that link."""
     masks = variant_masks(rule)
     found = []
-    rows = distinct.select("fp", "rest", F.explode(F.array(*(F.lit(signed(m)) for m in masks))).alias("mask"))
+    rows = distinct.select("fp", F.explode(F.array(*(F.lit(signed(m)) for m in masks))).alias("mask"))
     # A group can exceed the limit only if a segment's exact value is frequent: few counts per row.
     segments = F.array(*(F.lit(signed(_mask(range(lo, hi)))) for lo, hi in rule.cuts()))
     frequent = (
@@ -246,7 +343,7 @@ def links(distinct: DataFrame, scratch: shared.Scratch, rule: Rule, group_limit:
     )
     large = not frequent.isEmpty()
     while True:
-        now = rows.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value"), "fp", "rest")
+        now = rows.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value"), "fp")
         if large:
             now = scratch.write(now)
             hot = scratch.write(now.groupBy("mask", "value").count().where(F.col("count") > group_limit))
@@ -254,7 +351,7 @@ def links(distinct: DataFrame, scratch: shared.Scratch, rule: Rule, group_limit:
         if large:
             # One row for each crowded mask, of which there are no more than masks of the round.
             crowded = [r["mask"] for r in hot.select("mask").distinct().collect()]
-            finer = [(m, signed(r)) for m in crowded for r in refined_masks(m & (1 << 64) - 1, rule.first_word)]
+            finer = [(m, signed(r)) for m in crowded for r in refined_masks(m & (1 << 64) - 1, rule.most)]
             finer = distinct.sparkSession.createDataFrame(finer, "mask long, finer long")
             again = now.join(hot, ["mask", "value"], "left_semi")
             now = now.join(hot, ["mask", "value"], "left_anti")
@@ -262,13 +359,54 @@ def links(distinct: DataFrame, scratch: shared.Scratch, rule: Rule, group_limit:
         found.append(scratch.write(dealt.mapInArrow(_group_links(rule), "u long, v long").distinct()))
         if not large:
             break
-        rows = scratch.write(again.join(finer, "mask").select("fp", "rest", F.col("finer").alias("mask")).distinct())
+        rows = scratch.write(again.join(finer, "mask").select("fp", F.col("finer").alias("mask")).distinct())
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
     return out
 
 
+def proposed(nodes: DataFrame, scratch: shared.Scratch, rule: Rule, between: bool = False) -> DataFrame:
+    """Pairs (u, v) of ``nodes`` (node, label, prints, w0, w1...) that ``rule`` proposes, see ``_proposals``."""
+    masks = [signed(m) for m in variant_masks(rule)]
+    variants = F.array(*(
+        F.struct(F.lit(w * len(masks) + i).cast("long").alias("part"), F.col(f"w{w}").bitwiseAND(F.lit(m)).alias("value"))
+        for w in range(rule.searched) for i, m in enumerate(masks)
+    ))
+    rows = nodes.select("node", "label", "prints", F.explode(variants).alias("at")).select("at.*", "node", "label", "prints")
+    dealt = rows.repartition("part", "value").sortWithinPartitions("part", "value", "node")
+    return scratch.write(dealt.mapInArrow(_proposals(rule, between), "u long, v long").distinct())
+
+
+def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those of ``pairs`` whose shingle sets are similar enough."""
+    left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
+    right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
+    met = pairs.join(right, "v").join(left, "u")
+    # Unlike sizes need no count of common shingles.
+    met = met.where(F.least(F.size("a"), F.size("b")) >= similarity * F.greatest(F.size("a"), F.size("b")) - 1e-9)
+    common = F.size(F.array_intersect("a", "b"))
+    return met.where(common >= similarity * (F.size("a") + F.size("b") - common) - 1e-9).select("u", "v")
+
+
+def similar_links(docs: DataFrame, nodes: DataFrame, scratch: shared.Scratch, rule: Rule, width: int, key: str, text: str) -> DataFrame:
+    """Links (u, v) that tie together all ``nodes`` whose proposed pairs are similar."""
+    own = nodes.withColumn("label", F.col("node"))
+    pairs = proposed(own, scratch, rule)
+    tied = scratch.write(shared.components(pairs, scratch))
+    sets = scratch.write(shingle_sets(docs, nodes.join(tied, "node", "left_semi").select("node", "row_a", "row_b"), width, key, text))
+    good = scratch.write(similar(pairs, sets, rule.similarity))
+    label = shared.components(good, scratch).select("node", F.col("root").alias("label"))
+    parts = scratch.write(tied.join(label, "node", "left").select("node", "root", F.coalesce("label", "node").alias("label")))
+    # What was tied by proposals and is not by links: every proposed pair between its parts is checked.
+    apart = parts.groupBy("root").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
+    left = scratch.write(nodes.join(parts.join(apart, "root", "left_semi").select("node", "label"), "node"))
+    if left.isEmpty():
+        return good
+    more = proposed(left, scratch, rule, between=True).join(pairs, ["u", "v"], "left_anti")
+    return good.union(scratch.write(similar(more, sets, rule.similarity)))
+
+
 def near_duplicates(
     docs: DataFrame,
     width: int = 5,
@@ -279,19 +417,33 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per row of ``docs``: id, row key, fp, component_id (smallest id reachable over links).
 
-    Texts whose first words are equal link. Intermediate tables are written when this is called.
+    Intermediate tables are written when this is called.
     """
     scratch = shared.Scratch(docs.sparkSession, "simhash")
-    rows = scratch.write(fingerprints(docs, width, rule.words, key, text))
-    groups = rows.groupBy("fp").agg(F.min("id").alias("least"), F.min("rest").alias("rest"))
-    tied = shared.components(links(groups.select("fp", "rest"), scratch, rule, group_limit), scratch)
-    known = groups.join(tied, groups["fp"] == tied["node"], "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), "least"
+    rows = scratch.write(fingerprints(docs, width, rule, key, text))
+    if rule.similarity is None:
+        same = ["fp"]
+        groups = rows.groupBy("fp").agg(F.min("id").alias("least")).withColumn("node", F.col("fp"))
+        found = links(groups.select("fp"), scratch, rule, group_limit)
+    else:
+        same = ["set_a", "set_b"]
+        # Equal sets have equal words.
+        words = ["fp", *(f"w{i}" for i in range(1, rule.searched)), "prints"]
+        groups = rows.groupBy(same).agg(
+            F.min("id").alias("least"), F.min(F.struct("row_a", "row_b")).alias("row"), *(F.min(w).alias(w) for w in words)
+        )
+        # Numbers hold once they are written.
+        groups = scratch.write(groups.withColumn("node", F.monotonically_increasing_id()))
+        nodes = groups.select("node", "row.*", *words).withColumnRenamed("fp", "w0")
+        found = similar_links(docs, nodes, scratch, rule, width, key, text)
+    tied = shared.components(found, scratch).withColumnRenamed("node", "tied")
+    known = groups.join(tied, groups["node"] == tied["tied"], "left").select(
+        *same, F.coalesce("root", "node").alias("root"), "least"
     )
     known = scratch.write(known)
     smallest = known.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = known.join(smallest, "root").select("fp", "component_id")
-    return rows.join(by_fp, "fp").select("id", "row_a", "row_b", "fp", "component_id")
+    by_node = known.join(smallest, "root").select(*same, "component_id")
+    return rows.join(by_node, same).select("id", "row_a", "row_b", "fp", "component_id")
 
 
 def kept(docs: DataFrame, width: int = 5, rule: Rule = SIMILAR) -> DataFrame:
@@ -301,11 +453,10 @@ def kept(docs: DataFrame, width: int = 5, rule: Rule = SIMILAR) -> DataFrame:
     doc_id stays only if no row of its group has an id, once for each text.
     """
     found = near_duplicates(docs, width, rule)
-    stay = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select("row_a", "row_b", "component_id", "fp")
+    stay = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select("row_a", "row_b", "component_id")
     # Rows that share the smallest id may differ in text: one of them stays.
-    one = stay.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("fp")).agg(
-        F.min(F.struct("row_a", "row_b")).alias("row")
-    )
+    without = F.when(F.col("component_id").isNull(), F.struct("row_a", "row_b")).alias("without")
+    one = stay.groupBy("component_id", without).agg(F.min(F.struct("row_a", "row_b")).alias("row"))
     one = one.select("row.row_a", "row.row_b")
     row = shared.row_key(F.col("doc_id"), F.col("text"))
     keyed = docs.select(shared.packed(docs), *row)

@@ -226,6 +226,54 @@ def test_similar_texts_keep_one(spark):
     assert sum(ids[i] for i in range(100, 130)) <= 1 and not any(ids[i] for i in range(200, 230))
 
 
+def shingle_sets_by_hand(texts, width=5):
+    out = []
+    for t in texts:
+        words = (t or "").split()
+        out.append({tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set())
+    return out
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def near_the_limit(rng, n, size=300):
+    """Pairs of texts whose last words differ, so that their similarity is 0.6 to 0.95."""
+    texts = []
+    for _ in range(n):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+        other = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+        cut = rng.randrange(int(0.74 * size), int(0.99 * size))
+        texts += [" ".join(words), " ".join(words[:cut] + other[cut:])]
+    return texts
+
+
+def test_similar_texts_link_at_their_jaccard(spark):
+    rng = random.Random(21)
+    texts = near_the_limit(rng, 150)
+    # A family whose members are near one another in the fingerprint, but of which only some are similar.
+    base = texts[0].split()
+    for n in range(40):
+        words = list(base)
+        for at in rng.sample(range(len(words)), rng.choice([2, 6, 9])):
+            words[at] = f"x{n}-{at}"
+        texts.append(" ".join(words))
+    # Few different shingles, one of them many times.
+    texts += ["same words over and over " * 100 + " ".join(base[:20]), "", None, " \n", "one two", "one two"]
+    found = {r["id"]: r["component_id"] for r in simhash.near_duplicates(frame(spark, list(enumerate(texts)))).collect()}
+    sets = shingle_sets_by_hand(texts)
+    pairs = [(i, j) for j in range(len(texts)) for i in range(j)]
+    alike = {(i, j): jaccard(sets[i], sets[j]) for i, j in pairs}
+    exact = groups_by_hand(list(range(len(texts))), lambda i, j: alike[min(i, j), max(i, j)] >= 0.8)
+    # Nothing links that is not similar, and no more than a few links of pairs close to the limit are lost.
+    assert all(exact[i] == exact[c] for i, c in found.items())
+    at_limit = [(i, j) for i, j in pairs if 0.8 <= alike[i, j]]
+    assert sum(0.6 < s < 0.8 for s in alike.values()) > 50 and len(at_limit) > 100
+    lost = [p for p in at_limit if found[p[0]] != found[p[1]]]
+    assert len(lost) <= 0.02 * len(at_limit) and not [p for p in lost if alike[p] > 0.85]
+
+
 # ---- chunks ----------------------------------------------------------------------------------
 
 
