@@ -21,7 +21,8 @@ fail, every proposed pair between its parts.
 
 Groups above ``group_limit`` of the first rule are not compared as they are: their members, which
 agree in the bits of their variant, are regrouped by parts of the other bits, one part more than bits
-may differ, so that one part is equal; again and again until every group is small. This loses no link.
+may differ, so that one part is equal; again and again until every group is small. Of the second rule
+they are cut into blocks, and every two blocks are compared by themselves. Neither loses a link.
 
 Defined cases: a null or empty text, or one of white space only, has fingerprint zero and links like
 any other; fewer words than a shingle make one shingle of all words; rows are told apart by content,
@@ -366,7 +367,20 @@ def links(distinct: DataFrame, scratch: shared.Scratch, rule: Rule, group_limit:
     return out
 
 
-def proposed(nodes: DataFrame, scratch: shared.Scratch, rule: Rule, between: bool = False) -> DataFrame:
+def _crowded(nodes: DataFrame, rows: DataFrame, scratch: shared.Scratch, rule: Rule, group_limit: int) -> DataFrame | None:
+    """Groups (part, value, blocks) of ``rows`` above the limit, and the number of blocks to cut them into."""
+    # A group can exceed the limit only if a segment's exact value is frequent: few counts per row.
+    segments = [(w, signed(_mask(range(lo, hi)))) for w in range(rule.searched) for lo, hi in rule.cuts()]
+    exact = F.array(*(F.struct(F.lit(i).alias("i"), F.col(f"w{w}").bitwiseAND(F.lit(m)).alias("value")) for i, (w, m) in enumerate(segments)))
+    counts = nodes.select(F.explode(exact).alias("at")).groupBy("at").count()
+    if counts.where(F.col("count") > group_limit // 2).isEmpty():
+        return None
+    half = max(1, group_limit // 2)
+    hot = rows.groupBy("part", "value").count().where(F.col("count") > group_limit)
+    return scratch.write(hot.select("part", "value", F.ceil(F.col("count") / half).alias("blocks")))
+
+
+def proposed(nodes: DataFrame, scratch: shared.Scratch, rule: Rule, group_limit: int, between: bool = False) -> DataFrame:
     """Pairs (u, v) of ``nodes`` (node, label, prints, w0, w1...) that ``rule`` proposes, see ``_proposals``."""
     masks = [signed(m) for m in variant_masks(rule)]
     variants = F.array(*(
@@ -374,6 +388,14 @@ def proposed(nodes: DataFrame, scratch: shared.Scratch, rule: Rule, between: boo
         for w in range(rule.searched) for i, m in enumerate(masks)
     ))
     rows = nodes.select("node", "label", "prints", F.explode(variants).alias("at")).select("at.*", "node", "label", "prints")
+    hot = _crowded(nodes, rows, scratch, rule, group_limit)
+    if hot is not None:
+        # A member goes with its block to every pair of blocks that holds it; pairs are told apart by the part.
+        dealt = rows.join(hot, ["part", "value"], "left").withColumn("n", F.coalesce("blocks", F.lit(1).cast("long")))
+        dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("n")))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+        cell = F.least("own", "other") * F.col("n") + F.greatest("own", "other")
+        rows = dealt.select((F.col("part") + cell * (rule.searched * len(masks))).alias("part"), "value", "node", "label", "prints")
     dealt = rows.repartition("part", "value").sortWithinPartitions("part", "value", "node")
     return scratch.write(dealt.mapInArrow(_proposals(rule, between), "u long, v long").distinct())
 
@@ -389,10 +411,12 @@ def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return met.where(common >= similarity * (F.size("a") + F.size("b") - common) - 1e-9).select("u", "v")
 
 
-def similar_links(docs: DataFrame, nodes: DataFrame, scratch: shared.Scratch, rule: Rule, width: int, key: str, text: str) -> DataFrame:
+def similar_links(
+    docs: DataFrame, nodes: DataFrame, scratch: shared.Scratch, rule: Rule, width: int, key: str, text: str, group_limit: int
+) -> DataFrame:
     """Links (u, v) that tie together all ``nodes`` whose proposed pairs are similar."""
     own = nodes.withColumn("label", F.col("node"))
-    pairs = proposed(own, scratch, rule)
+    pairs = proposed(own, scratch, rule, group_limit)
     tied = scratch.write(shared.components(pairs, scratch))
     sets = scratch.write(shingle_sets(docs, nodes.join(tied, "node", "left_semi").select("node", "row_a", "row_b"), width, key, text))
     good = scratch.write(similar(pairs, sets, rule.similarity))
@@ -403,7 +427,7 @@ def similar_links(docs: DataFrame, nodes: DataFrame, scratch: shared.Scratch, ru
     left = scratch.write(nodes.join(parts.join(apart, "root", "left_semi").select("node", "label"), "node"))
     if left.isEmpty():
         return good
-    more = proposed(left, scratch, rule, between=True).join(pairs, ["u", "v"], "left_anti")
+    more = proposed(left, scratch, rule, group_limit, between=True).join(pairs, ["u", "v"], "left_anti")
     return good.union(scratch.write(similar(more, sets, rule.similarity)))
 
 
@@ -435,7 +459,7 @@ def near_duplicates(
         # Numbers hold once they are written.
         groups = scratch.write(groups.withColumn("node", F.monotonically_increasing_id()))
         nodes = groups.select("node", "row.*", *words).withColumnRenamed("fp", "w0")
-        found = similar_links(docs, nodes, scratch, rule, width, key, text)
+        found = similar_links(docs, nodes, scratch, rule, width, key, text, group_limit)
     tied = shared.components(found, scratch).withColumnRenamed("node", "tied")
     known = groups.join(tied, groups["node"] == tied["tied"], "left").select(
         *same, F.coalesce("root", "node").alias("root"), "least"

@@ -274,6 +274,24 @@ def test_similar_texts_link_at_their_jaccard(spark):
     assert len(lost) <= 0.02 * len(at_limit) and not [p for p in lost if alike[p] > 0.85]
 
 
+def test_crowded_groups_lose_no_similar_text(spark):
+    rng = random.Random(22)
+    base = [f"b{n}" for n in range(300)]
+    texts = []
+    # Similar to their neighbours only; groups of 8 are crowded.
+    for n in range(60):
+        at = n * 4
+        base[at : at + 4] = [f"n{n}-{k}" for k in range(4)]
+        texts.append(" ".join(base))
+    # One shingle many times: equal in every bit where repeats count, with nothing else in common.
+    texts += ["over " * 400 + " ".join(f"t{i}-{k}" for k in range(20)) for i in range(2)]
+    texts += near_the_limit(rng, 20)
+    rows = frame(spark, list(enumerate(texts)))
+    few, many = ({r["id"]: r["component_id"] for r in simhash.near_duplicates(rows, group_limit=n).collect()} for n in (8, 50_000))
+    assert few == many
+    assert {few[i] for i in range(60)} == {0} and few[60] != few[61]
+
+
 # ---- chunks ----------------------------------------------------------------------------------
 
 
