@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyshelf.llm import bpe, chunks, embedding_codes, licenses, line_runs, mixture, pii, shared, simhash, suffix_arrays, toxicity
+from tallyshelf.llm import bpe, chunks, collocations, embedding_codes, licenses, line_runs, mixture, pii, shared, sharding, simhash, suffix_arrays, toxicity, vector_codes
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -204,6 +204,140 @@ FROM placed
 """
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of two to five words of each language."""
+    return collocations.collocations(shared.table(spark, sf_dir, "documents"))
+
+
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (
+    SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+  )
+), totals AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang
+), counts AS MATERIALIZED (
+  SELECT lang, m, array_to_string(g, ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, m, w[i:i + m - 1] AS g FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces, range(1, 6) AS t(m)))
+  GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT lang, phrase, m, f AS a, k, array_to_string(string_split(phrase, ' ')[:k], ' ') AS one, array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS two
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM counts WHERE m > 1)
+), weighed AS (
+  SELECT c.*, x.f AS l, y.f AS r, n, (1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS score,
+    row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY (1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f), k) AS place
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = one JOIN counts y ON y.lang = c.lang AND y.phrase = two JOIN totals t ON t.lang = c.lang
+), inner_phrases AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, max(f) AS longer
+  FROM (SELECT lang, f, m, string_split(phrase, ' ') AS w, k, unnest(range(1, m - k + 2)) AS i FROM counts, range(2, 5) AS t(k) WHERE k < m)
+  GROUP BY ALL
+), ranked AS (
+  SELECT w.*, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank
+  FROM weighed w LEFT JOIN inner_phrases i ON i.lang = w.lang AND i.phrase = w.phrase WHERE place = 1 AND (longer IS NULL OR 100 * longer < 100 * a)
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of four parts of every vector, their errors, and a digest of the codebooks."""
+    found, books = vector_codes.compress(shared.table(spark, sf_dir, "embeddings"))
+    return found.select(
+        "vec_id", "code", "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256")
+    )
+
+
+def _vector_codes_sql() -> str:
+    distance = "(list_inner_product(p.v, p.v) + e.n - 2 * list_inner_product(p.v, e.v))::BIGINT"
+    best = f"""SELECT p.vec, p.part, min({distance} * 256 + e.entry) AS best
+  FROM points p JOIN {{book}} e USING (part) GROUP BY p.vec, p.part"""
+    rounds = "".join(
+        f""", near{r} AS MATERIALIZED ({best.format(book=f"book{r}")}
+), means{r} AS (
+  SELECT n.part, (n.best % 256)::INTEGER AS entry, p.i, floor(sum(p.x)::DOUBLE / count(*)) AS x
+  FROM near{r} n JOIN flat p USING (vec, part) GROUP BY ALL
+), book{r + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.v, b.v) AS v, list_inner_product(coalesce(m.v, b.v), coalesce(m.v, b.v)) AS n
+  FROM book{r} b LEFT JOIN (SELECT part, entry, list(x ORDER BY i) AS v FROM means{r} GROUP BY part, entry) m USING (part, entry)
+)"""
+        for r in range(4)
+    )
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) AS vec, vec_id, label, [floor(x::DOUBLE * 1024) FOR x IN embedding] AS v
+  FROM embeddings WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)
+), points AS MATERIALIZED (
+  SELECT vec, part, v[part * (len(v) // 4) + 1:(part + 1) * (len(v) // 4)] AS v FROM kept, range(4) AS t(part)
+), flat AS MATERIALIZED (
+  SELECT vec, part, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM points
+), book0 AS MATERIALIZED (
+  SELECT part, (vec - 1)::INTEGER AS entry, v, list_inner_product(v, v) AS n FROM points WHERE vec <= 256
+){rounds}, near4 AS MATERIALIZED ({best.format(book="book4")}
+), coded AS (
+  SELECT vec, string_agg(printf('%02x', (best % 256)::INTEGER), '' ORDER BY part) AS code, sum(best // 256)::BIGINT AS error
+  FROM near4 GROUP BY vec
+), digest AS (
+  SELECT sha256(string_agg(array_to_string([x::BIGINT FOR x IN v], ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book4
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (vec), digest
+"""
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards 0 to 23 of all documents by the smallest capacity, copies together, and places within them."""
+    docs = shared.table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = sharding.sharded(docs, shards=24, keep_text=False)
+    return found.select(
+        shared.unpacked(docs, but=["text"])["doc_id"],
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+SHARDING_SQL = """
+WITH RECURSIVE table_of(i, c, k) AS (
+  SELECT i, i, 0 FROM range(256) AS t(i)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM table_of WHERE k < 8
+), remainders AS (SELECT list(c ORDER BY i) AS r FROM table_of WHERE k = 8
+), docs AS MATERIALIZED (
+  SELECT doc_id, strlen(coalesce(text, '')) + 8 AS size, ('0x' || substr(md5(coalesce(text, '')), 1, 15))::BIGINT AS key,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS turn,
+    xor(list_reduce(list_prepend(4294967295, [('0x' || b)::BIGINT FOR b IN regexp_extract_all(hex(encode(coalesce(text, ''))), '..')]),
+      lambda c, b: xor(c >> 8, r[xor(c & 255, b) + 1])), 4294967295) AS text_crc32
+  FROM documents, remainders
+), groups AS MATERIALIZED (
+  SELECT key, (sum(sum(size)) OVER (ORDER BY key))::BIGINT AS upto, (sum(sum(size)) OVER ())::BIGINT AS everything FROM docs GROUP BY key
+), search(low, high, k, filled) AS (
+  SELECT (max(everything) + 23) // 24, max(everything), 0, 0::BIGINT FROM groups
+  UNION ALL
+  SELECT CASE WHEN n < everything AND k = 23 THEN (low + high) // 2 + 1 ELSE low END, CASE WHEN n = everything THEN (low + high) // 2 ELSE high END,
+    CASE WHEN n = everything OR k = 23 THEN 0 ELSE k + 1 END, CASE WHEN n = everything OR k = 23 THEN 0 ELSE n END
+  FROM (
+    SELECT low, high, k, (SELECT max(everything) FROM groups) AS everything,
+      coalesce((SELECT max(upto) FROM groups WHERE upto <= filled + (low + high) // 2), 0) AS n
+    FROM search WHERE low < high
+  )
+), capacity AS (SELECT min(high) AS c FROM search
+), cuts(shard, filled) AS (
+  SELECT 0, 0::BIGINT
+  UNION ALL
+  SELECT shard + 1, (SELECT max(upto) FROM groups WHERE upto <= filled + (SELECT c FROM capacity)) FROM cuts WHERE shard < 23
+), placed AS (
+  SELECT docs.*, (SELECT max(shard) FROM cuts WHERE cuts.filled < upto)::INTEGER AS shard FROM docs JOIN groups USING (key)
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY key, turn, doc_id) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM placed
+"""
+
+
 QUERIES = {
     "op1_embedding_codes": op1_embedding_codes,
     "op2_suffix_arrays": op2_suffix_arrays,
@@ -215,6 +349,9 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_chunks": op9_chunks,
     "op10_mixture": op10_mixture,
+    "op11_collocations": op11_collocations,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_sharding": op13_sharding,
 }
 SQL = {
     "op1_embedding_codes": EMBEDDINGS_SQL,
@@ -222,4 +359,7 @@ SQL = {
     "op3_licenses": _licenses_sql(),
     "op6_line_runs": LINES_SQL,
     "op10_mixture": MIXTURE_SQL,
+    "op11_collocations": COLLOCATIONS_SQL,
+    "op12_vector_codes": _vector_codes_sql(),
+    "op13_sharding": SHARDING_SQL,
 }
