@@ -8,10 +8,10 @@ passages are parsed alike wherever they stand, so copies only raise a frequency.
 ``most_words`` words is counted in the one chunk in which it begins before the chunk's end word, so
 overlaps are counted once; counts inside a distinct chunk are weighted by its frequency.
 
-Counting takes two passes over the dictionary. The first adds up words and pairs of words in bins by
+Counting takes three passes over the dictionary. The first adds up words and pairs of words in bins by
 their hash, one byte per bin and task, saturating at ``least``: a bin that stays below ``least`` holds
-nothing frequent. The second counts words, and n-grams all of whose pairs pass the bins, by their
-text. Bins never lose a frequent phrase, they only keep rare ones from being moved; their number
+nothing frequent. The second does so with the triples whose pairs pass. The third counts words, pairs
+that pass, and n-grams all of whose triples pass, by their text. Bins never lose a frequent phrase, they only keep rare ones from being moved; their number
 follows the size of the dictionary and ends at ``most_bins``, beyond which more rare phrases are moved
 and counted, with the same result. The driver and each task hold one bit per bin.
 
@@ -124,30 +124,48 @@ class Grams:
         before = ended[first] if at.size else ended
         self.room[ended > before] = 0
 
-    def pair_bins(self, bins: int) -> np.ndarray:
-        """The bin of each pair of neighbours, by its first token; the last is of no use."""
-        left, right = self.hash[self.codes], self.hash[np.roll(self.codes, -1)]
-        mixed = (left * np.uint64(0x9E3779B97F4A7C15)) ^ (right + (left >> np.uint64(29)))
+    def bins_of(self, words: int, bins: int) -> np.ndarray:
+        """The bin of the n-gram of ``words`` words at each token; of no use where it has not as much room."""
+        mixed = self.hash[self.codes]
+        for i in range(1, words):
+            mixed = (mixed * np.uint64(0x9E3779B97F4A7C15)) ^ (self.hash[np.roll(self.codes, -i)] + (mixed >> np.uint64(29)))
         return _bin(mixed, bins)
 
 
+class Dense:
+    """One bit per bin."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.bins = bits.tobytes(), bits.size * 8
+
+    def passes(self, at: np.ndarray) -> np.ndarray:
+        packed = np.frombuffer(self.bits, np.uint8)
+        return (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+
+
 def _bin(hashes: np.ndarray, bins: int) -> np.ndarray:
     mixed = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return (mixed >> np.uint64(64 - (bins.bit_length() - 1))).astype(np.int64)
 
 
-def _dense_bins(chunks: DataFrame, bins: int, least: int, every: int, most_words: int) -> np.ndarray:
-    """One bit per bin: whether words or pairs that fall there occur ``least`` times or more in all."""
+def _dense_bins(
+    chunks: DataFrame, bins: int, least: int, every: int, most_words: int, pairs: Dense | None = None
+) -> Dense:
+    """Bins in which words and pairs - or, given dense ``pairs``, triples of such - occur ``least`` times or more in all."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(bins, np.uint8)
         top = min(least, 255)
         for batch in batches:
             grams = Grams(batch, every, most_words)
-            one, two = grams.room > 0, grams.room > 1
-            at = np.concatenate([_bin(grams.hash, bins)[grams.codes[one]], grams.pair_bins(bins)[two]])
+            if pairs is None:
+                counted = {1: grams.room > 0, 2: grams.room > 1}
+            else:
+                dense = pairs.passes(grams.bins_of(2, pairs.bins))
+                counted = {3: (grams.room > 2) & dense & np.roll(dense, -1)}
+            at = np.concatenate([grams.bins_of(k, bins)[on] for k, on in counted.items()])
             used, where = np.unique(at, return_inverse=True)
-            sums = np.bincount(where, np.concatenate([grams.weight[one], grams.weight[two]]), used.size)
+            sums = np.bincount(where, np.concatenate([grams.weight[on] for on in counted.values()]), used.size)
             held[used] = np.minimum(held[used] + sums, top).astype(np.uint8)
         used = np.flatnonzero(held)
         blocks, begins = np.unique(used // _BLOCK, return_index=True)
@@ -174,16 +192,13 @@ def _dense_bins(chunks: DataFrame, bins: int, least: int, every: int, most_words
     bits = np.zeros((bins // _BLOCK, _BLOCK // 8), np.uint8)
     for block, part in counted.mapInArrow(add, "block long, bits binary").collect():
         bits[block] = np.frombuffer(part, np.uint8)
-    return bits.reshape(-1)
+    return Dense(bits.reshape(-1))
 
 
-def phrase_counts(chunks: DataFrame, bits: np.ndarray, least: int, every: int, most_words: int) -> DataFrame:
+def phrase_counts(chunks: DataFrame, pairs: Dense, triples: Dense, least: int, every: int, most_words: int) -> DataFrame:
     """(lang, phrase, words, n): phrases that occur ``least`` times or more; words is 0 for all words of a language."""
-    bins, bitmap = bits.size * 8, bits.tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = np.frombuffer(bitmap, np.uint8)
-        dense = lambda at: (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
         for batch in batches:
             grams = Grams(batch, every, most_words)
             words = np.array(grams.words, object)
@@ -191,10 +206,10 @@ def phrase_counts(chunks: DataFrame, bits: np.ndarray, least: int, every: int, m
             start = np.flatnonzero(grams.room > 0)
             totals = np.bincount(grams.lang[start], grams.weight[start], len(grams.langs))
             out.append((list(range(len(grams.langs))), [b""] * len(grams.langs), 0, totals))
-            pair_passes = dense(grams.pair_bins(bins))
-            start = start[dense(_bin(grams.hash, bins))[grams.codes[start]]]
+            dense = {2: pairs.passes(grams.bins_of(2, pairs.bins)), 3: triples.passes(grams.bins_of(3, triples.bins))}
+            start = start[pairs.passes(grams.bins_of(1, pairs.bins))[start]]
             # Phrases of k words as numbers; k + 1 words are a phrase and one more word.
-            number, texts = grams.lang[start] * np.int64(len(words)) + grams.codes[start], None
+            number = grams.lang[start] * np.int64(len(words)) + grams.codes[start]
             for k in range(1, most_words + 1):
                 used, firsts, where = np.unique(number, return_index=True, return_inverse=True)
                 if not used.size:
@@ -202,10 +217,12 @@ def phrase_counts(chunks: DataFrame, bits: np.ndarray, least: int, every: int, m
                 tokens_of = [words[grams.codes[start[firsts] + i]] for i in range(k)]
                 texts = [b" ".join(t) for t in zip(*tokens_of)]
                 out.append((grams.lang[start[firsts]].tolist(), texts, k, np.bincount(where, grams.weight[start], used.size)))
-                last = start + k - 1
-                on = (grams.room[start] > k) & pair_passes[last]
-                start, last, where = start[on], last[on], where[on]
-                number = where * np.int64(len(words)) + grams.codes[np.minimum(last + 1, grams.codes.size - 1)]
+                on = grams.room[start] > k
+                start, where = start[on], where[on]
+                # The last pair of k + 1 words, or their last triple, must pass.
+                on = dense[2][start] if k == 1 else dense[3][start + k - 2]
+                start, where = start[on], where[on]
+                number = where * np.int64(len(words)) + grams.codes[start + k]
             names = np.array(grams.langs, object)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -253,8 +270,9 @@ def collocations(
     chunks = scratch.write(parse(docs, text, lang, every, most_words))
     # A bin for every two to four words of the dictionary's chunks.
     bins = min(most_bins, max(_BLOCK, 1 << (chunks.count() * every // 4).bit_length()))
-    bits = _dense_bins(chunks, bins, least, every, most_words)
-    counts = scratch.write(phrase_counts(chunks, bits, least, every, most_words))
+    pairs = _dense_bins(chunks, bins, least, every, most_words)
+    triples = _dense_bins(chunks, bins, least, every, most_words, pairs)
+    counts = scratch.write(phrase_counts(chunks, pairs, triples, least, every, most_words))
     found = scored(counts, scratch)
     # Counts fall with length, so a longer phrase that occurs as often has one of one word more between.
     w, size = F.split("phrase", " "), F.col("words") - 1
