@@ -15,9 +15,11 @@ nothing. Two rules are offered:
   found over 5 segments of each of the first two words. A proposed pair links if its sets of 64-bit
   shingle hashes are that similar. Texts with equal sets are one node.
 
-Proposed pairs are checked in two rounds, so that large groups of near copies cost no square of
-checks: first those that tie the groups together; then, where a tied group falls apart because checks
-fail, every proposed pair between its parts.
+Proposals are checked in two rounds, and no step puts out the pairs of a group. First those that tie the
+groups together. Where a tied group falls apart because checks fail, its texts are cut into blocks and
+every two blocks meet in one task: proposed pairs between different parts are checked there, by the
+exact counts of common shingles of all texts of the two blocks, and only links that tie parts together
+come out. The largest part of a group is known to hold together and is not compared with itself.
 
 Groups above ``group_limit`` of the first rule are not compared as they are: their members, which
 agree in the bits of their variant, are regrouped by parts of the other bits, one part more than bits
@@ -32,7 +34,7 @@ an empty table gives an empty result; other columns are ignored or carried by th
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import repeat
 
@@ -241,18 +243,6 @@ def _links(keys: list[np.ndarray], prints: np.ndarray, levels: list[int]) -> tup
     return np.concatenate(left or [none]), np.concatenate(right or [none])
 
 
-def _pairs_between(keys: list[np.ndarray], labels: np.ndarray, prints: np.ndarray, most: int):
-    """All pairs within ``most`` bits of a group whose labels differ, as places of rows, a part at a time."""
-    for at, size in zip(*_groups(*keys)):
-        group = prints[at : at + size]
-        step = max(1, MATRIX_GROUP * MATRIX_GROUP // size)
-        for lo in range(0, size, step):
-            a, b = _pairs(group, lo, min(size, lo + step), most)
-            apart = labels[at + a] != labels[at + b]
-            if apart.any():
-                yield a[apart] + at, b[apart] + at
-
-
 def _whole_groups(batches: Iterator[pa.RecordBatch], read) -> Iterator[list[np.ndarray]]:
     """Columns of whole groups; ``read`` makes arrays of a batch, the two keys first."""
     held: list[np.ndarray] | None = None
@@ -293,22 +283,95 @@ def _group_links(rule: Rule):
     return run
 
 
-def _proposals(rule: Rule, between: bool):
-    """Pairs of nodes that ``rule`` proposes: ties of each group, or all ``between`` different labels."""
+def _proposals(rule: Rule):
+    """Pairs of nodes that ``rule`` proposes and that tie each group together."""
 
     def read(batch: pa.RecordBatch) -> list[np.ndarray]:
-        keys = [batch.column(name).to_numpy(zero_copy_only=False) for name in ("part", "value", "node", "label")]
+        keys = [batch.column(name).to_numpy(zero_copy_only=False) for name in ("part", "value", "node")]
         prints = np.frombuffer(b"".join(batch.column("prints").to_pylist()), np.uint64).reshape(-1, rule.words)
         return [*keys, prints]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, value, node, label, prints in _whole_groups(batches, read):
-            if between:
-                found = _pairs_between([part, value], label, prints, rule.most)
-            else:
-                found = [_links([part, value], prints, [CLOSE, rule.most])]
-            for a, b in found:
-                yield _put(np.minimum(node[a], node[b]), np.maximum(node[a], node[b]))
+        for part, value, node, prints in _whole_groups(batches, read):
+            a, b = _links([part, value], prints, [CLOSE, rule.most])
+            yield _put(np.minimum(node[a], node[b]), np.maximum(node[a], node[b]))
+
+    return run
+
+
+def _would_propose(rule: Rule, prints: np.ndarray) -> np.ndarray:
+    """The matrix of pairs of ``prints`` that ``rule`` proposes."""
+    apart = prints[:, None] ^ prints[None, :]
+    near = np.bitwise_count(apart).sum(axis=2, dtype=np.int64) <= rule.most
+    masks = [np.uint64(_mask(range(lo, hi))) for lo, hi in rule.cuts()]
+    met = np.any([np.bitwise_count(apart[:, :, w] & m) <= 1 for w in range(rule.searched) for m in masks], axis=0)
+    return near & met
+
+
+def common_counts(sets: Sequence[np.ndarray], step: int = 8192) -> np.ndarray:
+    """Exact numbers of common members of all pairs of ``sets`` (each without repeats)."""
+    n, sizes = len(sets), [len(x) for x in sets]
+    _, member, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(n), sizes)
+    # Members of one set only count on the diagonal, which nobody asks for.
+    shared_by = np.flatnonzero(times > 1)
+    place = np.full(len(times), -1)
+    place[shared_by] = np.arange(len(shared_by))
+    held = place[member]
+    owner, held = owner[held >= 0], held[held >= 0]
+    counts = np.zeros((n, n), np.float32)
+    for low in range(0, len(shared_by), step):
+        now = (held >= low) & (held < low + step)
+        table = np.zeros((n, step), np.float32)
+        table[owner[now], held[now] - low] = 1
+        counts += table @ table.T
+    return counts
+
+
+def _forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of the symmetric matrix ``linked`` that hold together what it holds together."""
+    left, right, waiting = [], [], np.arange(len(linked))
+    while waiting.size:
+        frontier, waiting = [waiting[0]], waiting[1:]
+        while frontier and waiting.size:
+            one = frontier.pop()
+            now = linked[one, waiting]
+            reached = waiting[now]
+            left += [one] * len(reached)
+            right += reached.tolist()
+            frontier += reached.tolist()
+            waiting = waiting[~now]
+    return np.array(left, np.int64), np.array(right, np.int64)
+
+
+def _block_links(rule: Rule):
+    """Links between different parts within each pair of blocks, as a forest."""
+
+    def read(batch: pa.RecordBatch) -> list[np.ndarray]:
+        keys = [batch.column(name).to_numpy(zero_copy_only=False) for name in ("root", "cell", "own", "node", "label")]
+        prints = np.frombuffer(b"".join(batch.column("prints").to_pylist()), np.uint64).reshape(-1, rule.words)
+        sets = np.empty(batch.num_rows, object)
+        sets[:] = [x.values.to_numpy() for x in batch.column("shingles")]
+        return [*keys, prints, sets]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for root, cell, own, node, label, prints, sets in _whole_groups(batches, read):
+            for at, size in zip(*_groups(root, cell)):
+                now = slice(at, at + size)
+                asked = label[now, None] != label[None, now]
+                if (own[now] != own[at]).any():
+                    # Each block meets itself in a cell of its own.
+                    asked &= own[now, None] != own[None, now]
+                asked &= _would_propose(rule, prints[now])
+                rows = np.flatnonzero(asked.any(axis=0))
+                if rows.size:
+                    own_sets = [sets[at + i] for i in rows]
+                    common = common_counts(own_sets).astype(np.float64)
+                    sizes = np.array([len(x) for x in own_sets])
+                    alike = common >= rule.similarity * (sizes[:, None] + sizes[None, :] - common) - 1e-9
+                    a, b = _forest(alike & asked[np.ix_(rows, rows)])
+                    a, b = node[at + rows[a]], node[at + rows[b]]
+                    yield _put(np.minimum(a, b), np.maximum(a, b))
 
     return run
 
@@ -380,14 +443,14 @@ def _crowded(nodes: DataFrame, rows: DataFrame, scratch: shared.Scratch, rule: R
     return scratch.write(hot.select("part", "value", F.ceil(F.col("count") / half).alias("blocks")))
 
 
-def proposed(nodes: DataFrame, scratch: shared.Scratch, rule: Rule, group_limit: int, between: bool = False) -> DataFrame:
-    """Pairs (u, v) of ``nodes`` (node, label, prints, w0, w1...) that ``rule`` proposes, see ``_proposals``."""
+def proposed(nodes: DataFrame, scratch: shared.Scratch, rule: Rule, group_limit: int) -> DataFrame:
+    """Pairs (u, v) of ``nodes`` (node, prints, w0, w1...) that ``rule`` proposes, see ``_proposals``."""
     masks = [signed(m) for m in variant_masks(rule)]
     variants = F.array(*(
         F.struct(F.lit(w * len(masks) + i).cast("long").alias("part"), F.col(f"w{w}").bitwiseAND(F.lit(m)).alias("value"))
         for w in range(rule.searched) for i, m in enumerate(masks)
     ))
-    rows = nodes.select("node", "label", "prints", F.explode(variants).alias("at")).select("at.*", "node", "label", "prints")
+    rows = nodes.select("node", "prints", F.explode(variants).alias("at")).select("at.*", "node", "prints")
     hot = _crowded(nodes, rows, scratch, rule, group_limit)
     if hot is not None:
         # A member goes with its block to every pair of blocks that holds it; pairs are told apart by the part.
@@ -395,9 +458,9 @@ def proposed(nodes: DataFrame, scratch: shared.Scratch, rule: Rule, group_limit:
         dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("n")))
         dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
         cell = F.least("own", "other") * F.col("n") + F.greatest("own", "other")
-        rows = dealt.select((F.col("part") + cell * (rule.searched * len(masks))).alias("part"), "value", "node", "label", "prints")
+        rows = dealt.select((F.col("part") + cell * (rule.searched * len(masks))).alias("part"), "value", "node", "prints")
     dealt = rows.repartition("part", "value").sortWithinPartitions("part", "value", "node")
-    return scratch.write(dealt.mapInArrow(_proposals(rule, between), "u long, v long").distinct())
+    return scratch.write(dealt.mapInArrow(_proposals(rule), "u long, v long").distinct())
 
 
 def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -415,20 +478,49 @@ def similar_links(
     docs: DataFrame, nodes: DataFrame, scratch: shared.Scratch, rule: Rule, width: int, key: str, text: str, group_limit: int
 ) -> DataFrame:
     """Links (u, v) that tie together all ``nodes`` whose proposed pairs are similar."""
-    own = nodes.withColumn("label", F.col("node"))
-    pairs = proposed(own, scratch, rule, group_limit)
+    pairs = proposed(nodes, scratch, rule, group_limit)
     tied = scratch.write(shared.components(pairs, scratch))
     sets = scratch.write(shingle_sets(docs, nodes.join(tied, "node", "left_semi").select("node", "row_a", "row_b"), width, key, text))
     good = scratch.write(similar(pairs, sets, rule.similarity))
     label = shared.components(good, scratch).select("node", F.col("root").alias("label"))
     parts = scratch.write(tied.join(label, "node", "left").select("node", "root", F.coalesce("label", "node").alias("label")))
-    # What was tied by proposals and is not by links: every proposed pair between its parts is checked.
+    # What was tied by proposals and is not by links: its parts meet block by block.
     apart = parts.groupBy("root").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
-    left = scratch.write(nodes.join(parts.join(apart, "root", "left_semi").select("node", "label"), "node"))
+    left = scratch.write(parts.join(apart.select("root"), "root", "left_semi"))
     if left.isEmpty():
         return good
-    more = proposed(left, scratch, rule, group_limit, between=True).join(pairs, ["u", "v"], "left_anti")
-    return good.union(scratch.write(similar(more, sets, rule.similarity)))
+    rows = nodes.select("node", "prints").join(left, "node").join(sets, "node")
+    dealt = block_pairs(rows, left).repartition("root", "cell").sortWithinPartitions("root", "cell", "node")
+    return good.union(scratch.write(dealt.mapInArrow(_block_links(rule), "u long, v long").distinct()))
+
+
+#: Texts of a block; two blocks and their shingles are in one task at a time.
+BLOCK = 256
+
+
+def block_pairs(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """``rows`` (root, node, label ...) with their block ``own``, once for each ``cell`` of two blocks they are in.
+
+    ``parts`` are (root, node, label) of the same rows. Rows of a root's largest part have blocks of
+    their own, which do not meet each other.
+    """
+    sizes = parts.groupBy("root", "label").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("root").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("n"))
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("long")
+    sizes = sizes.select(
+        "root",
+        F.col("main.label").alias("main"),
+        blocks(F.col("main.n")).alias("first"),
+        blocks(F.col("n") - F.col("main.n")).alias("others"),
+    )
+    dealt = rows.join(sizes, "root").withColumn("in_main", F.col("label") == F.col("main"))
+    turn = F.xxhash64("node")
+    own = F.when(F.col("in_main"), F.pmod(turn, "first")).otherwise(F.col("first") + F.pmod(turn, "others"))
+    dealt = dealt.withColumn("own", own)
+    lowest = F.when(F.col("in_main"), F.col("first")).otherwise(F.lit(0).cast("long"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(lowest, F.col("first") + F.col("others") - 1)))
+    cell = F.least("own", "other") * (F.col("first") + F.col("others")) + F.greatest("own", "other")
+    return dealt.withColumn("cell", cell).drop("main", "first", "others", "in_main", "other")
 
 
 def near_duplicates(
