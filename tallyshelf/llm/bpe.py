@@ -168,7 +168,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id",
         del own
         coder.cache_clear()
 
-    return picked.mapInArrow(run, schema)
+    return picked.mapInArrow(shared.released(run), schema)
 
 
 def decode(tokens: DataFrame, ranks_path: str, pattern: str, ids: str = "ids") -> DataFrame:
@@ -187,7 +187,7 @@ def decode(tokens: DataFrame, ranks_path: str, pattern: str, ids: str = "ids") -
         del own
         coder.cache_clear()
 
-    return tokens.select(*rest).mapInArrow(run, schema)
+    return tokens.select(*rest).mapInArrow(shared.released(run), schema)
 
 
 def sha256_of(column: str):

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyshelf import session
@@ -59,6 +62,19 @@ def row_key(*columns: Column) -> list[Column]:
     ]
 
 
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over Arrow batches, after which the worker, which outlives its task, gives free memory back."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+    return wrapped
+
+
 class Scratch:
     """Tables of one operator run in the cluster's shared folder.
 

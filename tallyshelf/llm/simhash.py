@@ -155,7 +155,7 @@ def fingerprints(docs: DataFrame, width: int = 5, rule: Rule = SIMILAR, key: str
                 columns += [pa.array(digests[:, i].copy()) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
 
-    return picked.mapInArrow(run, T.StructType(fields))
+    return picked.mapInArrow(shared.released(run), T.StructType(fields))
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame, width: int, key: str, text: str) -> DataFrame:
@@ -171,7 +171,7 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, width: int, key: str, text:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
     # Copies of a row are the same node.
-    return picked.mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
+    return picked.mapInArrow(shared.released(run), "node long, shingles array<long>").dropDuplicates(["node"])
 
 
 def _near(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
@@ -460,7 +460,7 @@ def proposed(nodes: DataFrame, scratch: shared.Scratch, rule: Rule, group_limit:
         cell = F.least("own", "other") * F.col("n") + F.greatest("own", "other")
         rows = dealt.select((F.col("part") + cell * (rule.searched * len(masks))).alias("part"), "value", "node", "prints")
     dealt = rows.repartition("part", "value").sortWithinPartitions("part", "value", "node")
-    return scratch.write(dealt.mapInArrow(_proposals(rule), "u long, v long").distinct())
+    return scratch.write(dealt.mapInArrow(shared.released(_proposals(rule)), "u long, v long").distinct())
 
 
 def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -491,7 +491,7 @@ def similar_links(
         return good
     rows = nodes.select("node", "prints").join(left, "node").join(sets, "node")
     dealt = block_pairs(rows, left).repartition("root", "cell").sortWithinPartitions("root", "cell", "node")
-    return good.union(scratch.write(dealt.mapInArrow(_block_links(rule), "u long, v long").distinct()))
+    return good.union(scratch.write(dealt.mapInArrow(shared.released(_block_links(rule)), "u long, v long").distinct()))
 
 
 #: Texts of a block; two blocks and their shingles are in one task at a time.
