@@ -16,7 +16,7 @@ nothing. Two rules are offered:
   shingle hashes are that similar. Texts with equal sets are one node.
 
 Proposals are checked in two rounds, and no step puts out the pairs of a group. First those that tie the
-groups together. Where a tied group falls apart because checks fail, its texts are cut into blocks and
+groups together, each in the first group in which its texts meet. Where a tied group falls apart because checks fail, its texts are cut into blocks and
 every two blocks meet in one task: proposed pairs between different parts are checked there, by the
 exact counts of common shingles of all texts of the two blocks, and only links that tie parts together
 come out. The largest part of a group is known to hold together and is not compared with itself.
@@ -294,11 +294,27 @@ def _proposals(rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, value, node, prints in _whole_groups(batches, read):
             a, b = _links([part, value], prints, [CLOSE, rule.most])
+            # A pair counts in the first part that it shares: there the same texts are tied together.
+            first = _first_part(rule, prints[a] ^ prints[b]) == part[a] % (64 * rule.searched)
+            a, b = a[first], b[first]
             yield _put(np.minimum(node[a], node[b]), np.maximum(node[a], node[b]))
 
     return run
 
 
+def _first_part(rule: Rule, apart: np.ndarray) -> np.ndarray:
+    """The lowest part (64 * word + left out bit) in which fingerprints that differ in ``apart`` meet, for each row."""
+    found = np.full(len(apart), np.iinfo(np.int64).max)
+    for w in range(rule.searched):
+        for lo, hi in rule.cuts():
+            own = apart[:, w] & np.uint64(_mask(range(lo, hi)))
+            bits = np.bitwise_count(own)
+            # Equal segments meet whichever bit is left out; one differing bit must be that one.
+            out = np.where(bits == 1, np.bitwise_count(own - (bits == 1)), lo)
+            found = np.where(bits <= 1, np.minimum(found, 64 * w + out.astype(np.int64)), found)
+    return found
+
+
 def _would_propose(rule: Rule, prints: np.ndarray) -> np.ndarray:
     """The matrix of pairs of ``prints`` that ``rule`` proposes."""
     apart = prints[:, None] ^ prints[None, :]

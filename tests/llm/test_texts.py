@@ -611,3 +611,13 @@ def test_block_pairs_meet_all_rows_but_the_main_part(spark, block, monkeypatch):
     pairs = {(a, b) for cell in met.values() for a, _ in cell for b, _ in cell}
     wanted = {(a, b) for p, a, x in rows for q, b, y in rows if p == q and x != y}
     assert wanted <= pairs
+
+
+def test_first_part_in_which_fingerprints_meet():
+    rule, rng = simhash.SIMILAR, random.Random(2)
+    masks = simhash.variant_masks(rule)
+    rows = [[0, 0, 0, 0]] + [[sum(1 << b for b in rng.sample(range(64), rng.randrange(6))) for _ in range(4)] for _ in range(300)]
+    found = simhash._first_part(rule, np.array(rows, np.uint64))
+    for row, got in zip(rows, found):
+        parts = [w * 64 + i for w in range(2) for i, m in enumerate(masks) if row[w] & m == 0]
+        assert got == min(parts, default=np.iinfo(np.int64).max)
