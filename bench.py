@@ -52,7 +52,7 @@ def main() -> None:
         "catalogue_snapshot": lambda: catalogue.catalogue_snapshot(shop_pages, shop_seeds, F.col("site"), RUN_TS, site),
         "brand_product_urls": found,
         "phone_snapshot": lambda: phones.phone_snapshot(found(), products, RUN_TS),
-        "completed_orders": lambda: ledger.completed_orders(order_sheet, "shop"),
+        "completed_orders": lambda: ledger.completed_orders(order_sheet, "shop", land=False),
         "stock": lambda: ledger.stock(stock_sheet, "shop", RUN_TS),
         "weekly_bill_details": lambda: ledger.weekly_statements(ledger.statement_rows(details), land=False)["bill details"],
         "weekly_bill": lambda: ledger.weekly_statements(ledger.statement_rows(bills), land=False)["bill"],

@@ -63,6 +63,22 @@ def whole_or_null(c: Column, on_fraction: str = "error", as_double: Column | Non
     )
 
 
+#: Orders of day and month that a text of a slashed date fits, as bits; a text without such a date fits both.
+MONTH_FIRST, DAY_FIRST = 1, 2
+
+
+def order_mask(c: Column) -> Column:
+    """The orders that fit ``c``; a column's order is the ``bit_and`` of its masks, NULL cells left out.
+
+    Only texts with a slash are looked at closely, and only one of two numbers beyond 12 tells.
+    """
+    part = lambda n: F.substring_index(F.substring_index(c, "/", n), "/", -1).try_cast("int")
+    one, two = part(1), part(2)
+    tells = F.when(one > 12, F.when(two <= 12, DAY_FIRST)).when((one <= 12) & (two > 12), MONTH_FIRST)
+    held = F.when(F.contains(c, F.lit("/")), F.when(tells.isNotNull() & c.rlike(SLASH_YEAR_LAST), tells))
+    return F.coalesce(held, F.lit(MONTH_FIRST | DAY_FIRST))
+
+
 def day_first_columns(df: DataFrame, columns: Mapping[str, Column]) -> dict[str, bool]:
     """Whether a column of ``dd/MM/yyyy`` or ``MM/dd/yyyy`` texts puts the day first.
 
@@ -71,13 +87,8 @@ def day_first_columns(df: DataFrame, columns: Mapping[str, Column]) -> dict[str,
     """
     if not columns:
         return {}
-    part = lambda c, n: F.regexp_extract(c, SLASH_YEAR_LAST, n).try_cast("int")
-    counts = []
-    for name, c in columns.items():
-        counts.append(F.count_if((part(c, 1) > 12) & (part(c, 2) <= 12)).alias(f"{name}:day"))
-        counts.append(F.count_if((part(c, 1) <= 12) & (part(c, 2) > 12)).alias(f"{name}:month"))
-    found = df.agg(*counts).first()
-    return {name: found[f"{name}:day"] > 0 and not found[f"{name}:month"] for name in columns}
+    found = df.agg(*[F.bit_and(order_mask(c)).alias(name) for name, c in columns.items()]).first()
+    return {name: found[name] == DAY_FIRST for name in columns}
 
 
 def stamp_or_null(c: Column, kind: Column | None = None, day_first: bool = False) -> Column:

@@ -1,9 +1,9 @@
 """Columns of many differently headed sheets to one declared, typed table.
 
-Rows come from the raw sheet layer (``header``, ``cells``, ``kinds``). Names are worked out on
-the driver from a distinct list of headers, which is schema-sized; cell values never leave
-the executors. Names stay ordinals into ``cells`` until they are final, because raw headers
-may differ in case only.
+Rows come from the raw sheet layer (``header``, ``cells``, ``kinds``). Header rows lie in a dictionary
+of their own, keyed by ``layout``; rows carry that key only. The driver sees one row per different
+column name, as many as the result has columns; cell values never leave the executors. Names stay
+ordinals into ``cells`` until they are final, because raw headers may differ in case only.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from tallyshelf import session
 from tallyshelf.functions import text, typed
 
 
@@ -96,15 +97,17 @@ class Source:
         return "order" in self.name or "sn" in self.name
 
 
-@dataclass(frozen=True)
-class TabLayouts:
-    """Distinct header rows of one tab, with the first file and the number of files of each."""
+def layout_key() -> Column:
+    """128 bits that name a header row."""
+    return F.md5(F.array_join("header", "\x1f", "\x00"))
 
-    layouts: tuple[tuple[tuple[str, ...], tuple[str, str], int], ...]  # (header, (file, path), files)
 
-    @property
-    def files(self) -> int:
-        return sum(files for _, _, files in self.layouts)
+@dataclass(frozen=True)
+class TabHeaders:
+    """Raw column names of one tab in order of first appearance, and the number of its files."""
+
+    raws: tuple[str, ...]
+    files: int
 
     def sources(self, mode: str = "first") -> dict[str, Source]:
         """Cleaned name to source, in order of first appearance.
@@ -114,52 +117,57 @@ class TabLayouts:
         """
         if mode not in ("first", "coalesce"):
             raise ValueError(f"mode must be 'first' or 'coalesce', not {mode!r}")
-        spots: dict[str, tuple] = {}
-        for header, first, _ in self.layouts:
-            for pos, raw in enumerate(header):
-                spots[raw] = min(spots.get(raw, (first, pos)), (first, pos))
         merged: dict[str, list[str]] = {}
-        for raw in sorted(spots, key=spots.get):
+        for raw in self.raws:
             merged.setdefault(clean_header(raw), []).append(raw)
         return {
             name: Source(name, tuple(raws if mode == "coalesce" else raws[:1])) for name, raws in merged.items()
         }
 
 
-def tab_layouts(rows: DataFrame) -> dict[str, TabLayouts]:
-    """Distinct header rows of all tabs at once, files taken in file-name order.
+@dataclass(frozen=True)
+class Layouts:
+    """The header dictionary ``tab, layout, header`` as a written table, and what each tab's headers come to."""
+
+    table: DataFrame
+    tabs: Mapping[str, TabHeaders]
+
+    def places(self, tab: str, headers: Sequence[str]) -> DataFrame:
+        """``layout, at``: for each of ``headers`` its place in the layout, -1 where it is missing."""
+        wanted = F.array(*[F.lit(h) for h in headers]).cast("array<string>")
+        at = F.transform(wanted, lambda h: F.array_position("header", h).cast("int") - 1)
+        found = self.table.filter(F.col("tab") == tab).select("layout", at.alias("at"))
+        return F.broadcast(found) if session.fits_broadcast(self.table) else found
+
+
+def tab_layouts(rows: DataFrame) -> Layouts:
+    """Header dictionary of all tabs at once, files taken in file-name order.
 
     Headers travel with data rows, so sheets without data do not count. Column pruning leaves
-    this pass three columns, and both aggregates are reduced before they are shuffled.
+    this pass four columns, and its aggregates are reduced before they are shuffled.
     """
-    per_file = rows.select("tab", "path", "header").distinct()
+    per_file = rows.select("tab", "path", "layout", "header").distinct()
     first = F.min(F.struct(text.file_name(F.col("path")).alias("file"), "path")).alias("first")
-    layouts = per_file.groupBy("tab", "header").agg(first, F.count("*").alias("files"))
-    result: dict[str, list] = {}
-    for r in layouts.collect():  # one row per header row that the exports ever had
-        result.setdefault(r["tab"], []).append((tuple(r["header"]), tuple(r["first"]), r["files"]))
-    return {tab: TabLayouts(tuple(own)) for tab, own in result.items()}
-
-
-def placed(rows: DataFrame, tab: str, layouts: TabLayouts, sources: Sequence[Source]) -> DataFrame:
+    layouts = per_file.groupBy("tab", "layout", "header").agg(first, F.count("*").alias("files"))
+    table = session.written(layouts, "layouts")
+    spots = table.select("tab", "first", F.posexplode("header").alias("at", "raw"))
+    spots = spots.groupBy("tab", "raw").agg(F.min(F.struct("first", "at")).alias("spot"))
+    files = {r["tab"]: r["files"] for r in table.groupBy("tab").agg(F.sum("files").alias("files")).collect()}
+    found: dict[str, list[tuple]] = {}
+    for r in spots.collect():  # one row per different column name
+        found.setdefault(r["tab"], []).append((r["spot"], r["raw"]))
+    tabs = {tab: TabHeaders(tuple(raw for _, raw in sorted(own)), files[tab]) for tab, own in found.items()}
+    return Layouts(table.select("tab", "layout", "header"), tabs)
+
+
+def placed(rows: DataFrame, tab: str, layouts: Layouts, sources: Sequence[Source]) -> DataFrame:
     """Rows of one tab with ``at``: for every header of every source, its place in the row.
 
-    Places are worked out once per distinct header row on the driver; rows meet them by the
-    number of their header, and no row searches its header again. The planner knows the size of
-    the list and chooses the join.
+    Places are worked out once per header row. The dictionary is broadcast within the session's
+    limit; beyond it there are tens of thousands of layouts, and rows are dealt by theirs.
     """
-    wanted = [h for s in sources for h in s.headers]
-    listed = []
-    for header, _, _ in layouts.layouts:
-        spot = {name: i for i, name in reversed(list(enumerate(header)))}
-        listed.append((list(header), [spot.get(h, -1) for h in wanted]))
-    table = rows.sparkSession.createDataFrame(listed, "header ARRAY<STRING>, at ARRAY<INT>")
-    table = table.select(layout_number().alias("layout"), "at")
-    return rows.filter(F.col("tab") == tab).withColumn("layout", layout_number()).drop("header").join(table, "layout")
-
-
-def layout_number() -> Column:
-    return F.xxhash64("header")
+    places = layouts.places(tab, [h for s in sources for h in s.headers])
+    return rows.filter(F.col("tab") == tab).drop("header").join(places, "layout")
 
 
 def lookups(sources: Sequence[Source]) -> list[Column]:
@@ -199,7 +207,7 @@ def numbers(positions: Iterable[int]) -> list[Column]:
 
 
 def typed_column(
-    at: int | None, field: StructField, on_fraction: str = "error", loses_commas: bool = True
+    at: int | None, field: StructField, on_fraction: str = "error", loses_commas: bool = True, day_first: bool = False
 ) -> Column:
     """A declared column from cleaned source ``at``; typed NULL when the tab lacks it."""
     if at is None:
@@ -213,11 +221,11 @@ def typed_column(
         case StringType():
             c = text.strip(c) if loses_commas else c  # other texts are trimmed already
         case DateType():
-            c = typed.date_or_null(c, kind)
+            c = typed.date_or_null(c, kind, day_first)
         case TimestampType():
-            c = typed.stamp_or_null(c, kind)
+            c = typed.stamp_or_null(c, kind, day_first)
         case TimestampNTZType():
-            c = typed.stamp_or_null(c, kind).cast("timestamp_ntz")
+            c = typed.stamp_or_null(c, kind, day_first).cast("timestamp_ntz")
         case BooleanType():
             c = typed.flag_or_null(c)
         case other:
@@ -225,78 +233,124 @@ def typed_column(
     return c.alias(field.name)
 
 
-def sheet_classes(rows: DataFrame, tab: str, layouts: TabLayouts, extras: Sequence[Source]) -> DataFrame:
-    """Per file and undeclared column of a tab: what a reader of that one file would call it.
+# What a cell can be, as bits that add up over the cells of a column.
+MISSING, DATE, FLAG, FLAG_WORD, WHOLE, FRACTION, OTHER = (1 << i for i in range(7))
+CLASSES = ("empty", "stamp", "flag", "whole", "real", "text")
 
-    Only the undeclared cells are exploded, and partial aggregation shrinks them again before
-    the shuffle.
-    """
-    single = [Source(s.name, (h,)) for s in extras for h in s.headers]
-    entries = [
-        F.struct(
-            F.lit(s.name).alias("name"),
-            F.get("at", F.lit(n)).alias("place"),
-            F.get("cells", F.get("at", F.lit(n))).alias("said"),
-            F.get("kinds", F.get("at", F.lit(n))).alias("kind"),
-        )
-        for n, s in enumerate(single)
-    ]
-    cells = placed(rows, tab, layouts, single).select("path", F.inline(F.array(*entries))).filter("place >= 0")
-    value = text.na_to_null(F.col("said"))
-    cells = cells.select("path", "name", value.alias("value"), F.when(value.isNull(), "e").otherwise(F.col("kind")).alias("kind"))
-    value, kind, number = F.col("value"), F.col("kind"), F.col("value").try_cast("double")
-    as_number = F.when(kind == "s", value.rlike(typed.NUMBER)).otherwise(kind == "n")
-    marked = F.when(kind == "n", number != F.floor(number)).otherwise(value.rlike(typed.FRACTIONAL_MARK))
-    counted = cells.groupBy("path", "name").agg(
-        F.count("*").alias("n"),
-        F.count_if(kind != "e").alias("filled"),
-        F.count_if(kind == "d").alias("dates"),
-        F.count_if(kind == "b").alias("flags"),
-        F.count_if((kind == "s") & value.isin("True", "TRUE", "true", "False", "FALSE", "false")).alias("flag_words"),
-        F.count_if(as_number).alias("numbers"),
-        F.count_if(as_number & marked).alias("fractions"),
-    )
-    whole = (F.col("n") == F.col("filled")) & (F.col("fractions") == 0)
-    return counted.select(
-        F.lit(tab).alias("tab"),
-        "path",
-        "name",
-        F.when(F.col("filled") == 0, "empty")
-        .when(F.col("dates") == F.col("filled"), "stamp")
-        .when((F.col("flags") + F.col("flag_words") == F.col("n")), "flag")
-        .when((F.col("flags") + F.col("numbers") == F.col("filled")) & whole, "whole")
-        .when(F.col("flags") + F.col("numbers") == F.col("filled"), "real")
-        .otherwise("text")
-        .alias("class"),
+
+def cell_bit(said: Column, kind: Column) -> Column:
+    """The bit of one cell, given its text without missing tokens and its kind."""
+    number = F.when(kind == "s", said.rlike(typed.NUMBER)).otherwise(kind == "n")
+    d = said.try_cast("double")
+    marked = F.when(kind == "n", d != F.floor(d)).otherwise(said.rlike(typed.FRACTIONAL_MARK))
+    return (
+        F.when(said.isNull() | (kind == "e"), MISSING)
+        .when(kind == "d", DATE)
+        .when(kind == "b", FLAG)
+        .when(said.isin("True", "TRUE", "true", "False", "FALSE", "false"), FLAG_WORD)
+        .when(~number, OTHER)
+        .when(marked, FRACTION)
+        .otherwise(WHOLE)
     )
 
 
-def combined_type(classes: Column, complete: Column) -> Column:
-    """Type name of a column over all files: ``classes`` seen, and whether no file lacks it."""
-    has = lambda *names: F.arrays_overlap(classes, F.array(*[F.lit(n) for n in names]))
-    solid = complete & ~has("empty")
+def class_bit(bits: Column) -> Column:
+    """What a reader of one file would call a column whose cells come to ``bits``, as the bit of its class."""
+    only = lambda *kinds: bits.bitwiseAND(F.lit(~sum(kinds))) == 0
+    has = lambda *kinds: bits.bitwiseAND(F.lit(sum(kinds))) != 0
+    at = {name: 1 << i for i, name in enumerate(CLASSES)}
     return (
-        F.when(has("text"), "STRING")
-        .when(has("stamp"), F.when(has("flag", "whole", "real"), "STRING").otherwise("TIMESTAMP"))
-        .when(has("flag") & ~has("whole", "real"), F.when(solid, "BOOLEAN").otherwise("STRING"))
-        .when(has("flag"), F.when(solid & ~has("real"), "BIGINT").otherwise("STRING"))
-        .when(has("whole") & ~has("real") & solid, "BIGINT")
-        .otherwise("DOUBLE")
+        F.when(only(MISSING), at["empty"])
+        .when(only(MISSING, DATE), at["stamp"])
+        .when(only(FLAG, FLAG_WORD), at["flag"])
+        .when(only(MISSING, FLAG, WHOLE, FRACTION) & ~has(MISSING, FRACTION), at["whole"])
+        .when(only(MISSING, FLAG, WHOLE, FRACTION), at["real"])
+        .otherwise(at["text"])
     )
 
 
-def extra_types(
-    rows: DataFrame, layouts: Mapping[str, TabLayouts], extras: Mapping[str, Sequence[Source]]
+def combined_type(classes: set[str], complete: bool) -> str:
+    """Type name of a column over all files: ``classes`` seen, and whether no file lacks it."""
+    solid = complete and "empty" not in classes
+    seen = classes - {"empty"}
+    if "text" in seen or ("stamp" in seen and len(seen) > 1):
+        return "STRING"
+    if "stamp" in seen:
+        return "TIMESTAMP"
+    if "flag" in seen:
+        if not solid or "real" in seen:
+            return "STRING"
+        return "BIGINT" if "whole" in seen else "BOOLEAN"
+    return "BIGINT" if seen == {"whole"} and solid else "DOUBLE"
+
+
+@dataclass(frozen=True)
+class Findings:
+    """What one pass over the cells tells of a tab: types of undeclared columns, time columns with the day first."""
+
+    types: Mapping[str, str]
+    day_first: frozenset[str]
+
+
+def file_classes(
+    rows: DataFrame, tab: str, layouts: Layouts, extras: Sequence[Source], times: Sequence[Source], width: tuple[int, int]
 ) -> DataFrame:
-    """``tab, name, type`` of undeclared columns, decided over the whole tab."""
-    found = [sheet_classes(rows, tab, layouts[tab], own) for tab, own in extras.items() if own]
-    classes = reduce(DataFrame.unionByName, found)
-    per_name = classes.groupBy("tab", "name").agg(
-        F.collect_set("class").alias("classes"), F.count("*").alias("having")
+    """``tab, path`` of each file of a tab, class bits ``x0``, ``x1`` ... and format masks ``t0`` ..., padded to ``width``.
+
+    The bits of a row's cells are added up per file as they are read; no cell is moved. A column
+    that the file lacks has NULL.
+    """
+    found = placed(rows, tab, layouts, [*extras, *times])
+    n, columns = 0, []
+    for source in [*extras, *times]:
+        spots = [F.get("at", F.lit(n + j)) for j in range(len(source.headers))]
+        n += len(spots)
+        said = [text.na_to_null(F.get("cells", spot)) for spot in spots]
+        if source in times:
+            masks = [typed.order_mask(text.strip(c)) for c in said]
+        else:
+            masks = [F.when(spot >= 0, cell_bit(c, F.get("kinds", spot))) for spot, c in zip(spots, said)]
+        columns.append(masks)
+    added = lambda masks: reduce(lambda a, b: F.coalesce(a.bitwiseOR(b), a, b), masks)
+    kept = lambda masks: reduce(lambda a, b: a.bitwiseAND(b), masks)
+    narrow = found.select(
+        "path",
+        *[added(m).alias(f"x{i}") for i, m in enumerate(columns[: len(extras)])],
+        *[kept(m).alias(f"t{i}") for i, m in enumerate(columns[len(extras) :])],
     )
-    totals = F.create_map(*[F.lit(v) for tab in extras for v in (tab, layouts[tab].files)])
-    complete = F.col("having") == F.element_at(totals, F.col("tab"))
-    return per_name.select("tab", "name", combined_type(F.col("classes"), complete).alias("type"))
+    none = F.lit(None).cast("int")
+    sums = [(F.bit_or(f"x{i}") if i < len(extras) else F.first(none)).alias(f"x{i}") for i in range(width[0])]
+    sums += [(F.bit_and(f"t{i}") if i < len(times) else F.first(none)).alias(f"t{i}") for i in range(width[1])]
+    files = narrow.groupBy("path").agg(*sums) if sums else narrow.select("path").distinct()
+    classes = [class_bit(F.col(f"x{i}")) for i in range(width[0])]
+    known = [F.when(F.col(f"x{i}").isNotNull(), c).alias(f"x{i}") for i, c in enumerate(classes)]
+    return files.select(F.lit(tab).alias("tab"), "path", *known, *[f"t{i}" for i in range(width[1])])
+
+
+def findings(
+    rows: DataFrame, layouts: Layouts, extras: Mapping[str, Sequence[Source]], times: Mapping[str, Sequence[Source]]
+) -> dict[str, Findings]:
+    """Types of undeclared columns and the order of day and month in time columns, of all tabs in one pass.
+
+    One row per tab comes to the driver.
+    """
+    asked = [tab for tab in layouts.tabs if extras.get(tab) or times.get(tab)]
+    if not asked:
+        return {}
+    width = (max(len(extras.get(t, ())) for t in asked), max(len(times.get(t, ())) for t in asked))
+    files = [file_classes(rows, t, layouts, list(extras.get(t, ())), list(times.get(t, ())), width) for t in asked]
+    sums = [f(f"x{i}").alias(f"{name}{i}") for i in range(width[0]) for name, f in (("seen", F.bit_or), ("having", F.count))]
+    sums += [F.bit_and(f"t{i}").alias(f"t{i}") for i in range(width[1])]
+    out = {}
+    for r in reduce(DataFrame.unionByName, files).groupBy("tab").agg(*sums).collect():
+        tab = r["tab"]
+        types = {}
+        for i, source in enumerate(extras.get(tab, ())):
+            seen = {name for k, name in enumerate(CLASSES) if (r[f"seen{i}"] or 0) >> k & 1}
+            types[source.name] = combined_type(seen, r[f"having{i}"] == layouts.tabs[tab].files)
+        first = frozenset(s.name for i, s in enumerate(times.get(tab, ())) if r[f"t{i}"] == typed.DAY_FIRST)
+        out[tab] = Findings(types, first)
+    return out
 
 
 def extra_column(at: int, source: Source, type_name: str) -> Column:

@@ -1,7 +1,8 @@
 """Marketplace exports to typed ledger tables: completed orders, stock, weekly statements.
 
 All three are narrow: rows go from raw cells to typed columns without a shuffle. The weekly
-statements add two schema-sized aggregates (header inventory, types of undeclared columns).
+statements add two schema-sized aggregates (header dictionary; types of undeclared columns and
+orders of time columns).
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ import datetime as dt
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType, TimestampType
 
 from tallyshelf import session
 from tallyshelf.functions import text, typed
@@ -44,11 +45,12 @@ def _typed(
     return c.alias(field.name)
 
 
-def completed_orders(raw: DataFrame, shop_name: str) -> DataFrame:
+def completed_orders(raw: DataFrame, shop_name: str, land: bool = True) -> DataFrame:
     """Order history by column position; surplus columns are cut, too few fail the job.
 
     Whether a time column puts the day first is found out by one pass over the time columns
-    when this is called. Cells are looked up in one projection and converted in the next, so a cell's text is
+    when this is called, so the cells are landed first and the input is read once; ``land=False``
+    is for sheets that lie in a table already. Cells are looked up in one projection and converted in the next, so a cell's text is
     produced once however often its conversion looks at it.
     """
     named = [f for f in COMPLETED_ORDERS.fields if f.name != "shop_name"]
@@ -58,6 +60,8 @@ def completed_orders(raw: DataFrame, shop_name: str) -> DataFrame:
         looked_up.append((text.null_text(c) if field.dataType == StringType() else c).alias(field.name))
     strict = {"bigint": typed.whole_or_fail, "double": typed.number_or_fail}
     rows = data_rows(raw).select("kinds", *looked_up)
+    if land:
+        rows = session.written(rows, "order-cells")
     times = {f.name: F.col(f.name) for f in named if f.dataType.simpleString() == "timestamp"}
     order = typed.day_first_columns(rows, times)
     columns = [_typed(F.col(f.name), f, strict, F.get("kinds", F.lit(i)), order.get(f.name, False)) for i, f in enumerate(named)]
@@ -77,9 +81,9 @@ def stock(
 
 
 def statement_rows(raw: DataFrame) -> DataFrame:
-    """Data rows with ``tab``; a raw layer read by tab already holds one sheet per tab."""
+    """Data rows with ``tab`` and ``layout``; a raw layer read by tab already holds one sheet per tab."""
     name = F.lower(text.strip(F.col("sheet")))
-    return data_rows(raw).withColumn("tab", name)
+    return data_rows(raw).withColumns({"tab": name, "layout": align.layout_key()})
 
 
 def weekly_statements(
@@ -97,32 +101,36 @@ def weekly_statements(
     """
     rows = rows.filter(F.col("tab").isin(*schemas))
     if land:
-        rows = session.written(rows.select("tab", "path", "header", "cells", "kinds"), "statement-rows", ["tab"])
+        rows = session.written(rows.select("tab", "path", "layout", "header", "cells", "kinds"), "statement-rows", ["tab"])
     layouts = align.tab_layouts(rows)
-    sources = {tab: found.sources(mode) for tab, found in layouts.items()}
+    sources = {tab: found.sources(mode) for tab, found in layouts.tabs.items()}
     extras = {
         tab: [s for name, s in found.items() if name not in schemas[tab].names] for tab, found in sources.items()
     }
-    types: dict[tuple[str, str], str] = {}
-    if any(extras.values()):
-        found = align.extra_types(rows, layouts, extras).collect()  # one row per undeclared column
-        types = {(r["tab"], r["name"]): r["type"] for r in found}
+    is_time = lambda f: isinstance(f.dataType, (DateType, TimestampType)) and f.name not in LINEAGE_COLUMNS
+    times = {
+        tab: [found[f.name] for f in schemas[tab].fields if is_time(f) and f.name in found] for tab, found in sources.items()
+    }
+    told = align.findings(rows, layouts, extras, times)
 
     frames = {}
     for tab in schemas:
-        if tab in layouts:
-            own = {s.name: types[tab, s.name] for s in extras[tab]}
-            frames[tab] = _statement(rows, tab, layouts[tab], schemas[tab], sources[tab], own, on_fraction)
+        if tab in layouts.tabs:
+            own = told.get(tab, align.Findings({}, frozenset()))
+            frames[tab] = _statement(rows, tab, layouts, schemas[tab], sources[tab], own, on_fraction)
     return frames
 
 
+LINEAGE_COLUMNS = ("source_filename", "statement_start_date", "statement_end_date")
+
+
 def _statement(
     rows: DataFrame,
     tab: str,
-    layouts: align.TabLayouts,
+    layouts: align.Layouts,
     schema: StructType,
     sources: Mapping[str, align.Source],
-    extras: Mapping[str, str],
+    told: align.Findings,
     on_fraction: str,
 ) -> DataFrame:
     """Typed rows of one tab: look cells up, clean the texts, read numbers, convert.
@@ -134,7 +142,7 @@ def _statement(
         F.col("_dates.start").alias("statement_start_date"),
         F.col("_dates.end").alias("statement_end_date"),
     ]
-    own = ("source_filename", "statement_start_date", "statement_end_date")
+    own, extras = LINEAGE_COLUMNS, told.types
     used = [s for n, s in sources.items() if n not in own and (n in schema.names or n in extras)]
     at = {s.name: i for i, s in enumerate(used)}
     kinds = [f"_k{i}" for i in range(len(used))]
@@ -148,7 +156,7 @@ def _statement(
     dates = text.file_dates(F.col("path")).alias("_dates")
     found = found.select("path", dates, *kinds, *texts, *align.numbers(at[n] for n in at if n in numeric))
     declared = [
-        align.typed_column(at.get(f.name), f, on_fraction, f.name in at and sources[f.name].loses_commas)
+        align.typed_column(at.get(f.name), f, on_fraction, f.name in at and sources[f.name].loses_commas, f.name in told.day_first)
         for f in schema.fields
         if f.name not in own
     ]

@@ -19,7 +19,7 @@ SHOP = "Example Store"
 
 
 def completed_orders(spark, sf):
-    return ledger.completed_orders(rs.order_sheet(spark, sf), SHOP)
+    return ledger.completed_orders(rs.order_sheet(spark, sf), SHOP, land=False)
 
 
 def stock(spark, sf):
@@ -49,9 +49,21 @@ def weekly_storage_fee(spark, sf):
     return _statement(spark, rs.storage_sheets(spark, sf), "storage fee")
 
 
+def weekly_day_first(spark, sf):
+    """Each time column follows its own order of day and month."""
+    return _statement(spark, rs.day_first_sheets(spark, sf), "bill details").select(
+        "source_filename", "order_sn", "payment_time", "finnshed_time"
+    )
+
+
+def _every_tab(spark: SparkSession, sf: str) -> DataFrame:
+    sheets = [rs.detail_sheets(spark, sf), rs.bill_sheets(spark, sf).drop("o_orderkey"), rs.storage_sheets(spark, sf), rs.fee_sheets(spark, sf)]
+    return reduce(DataFrame.unionByName, sheets)
+
+
 def all_statement_tabs(spark, sf):
-    """Rows per file of three tabs read in one go."""
-    raw = rs.detail_sheets(spark, sf).unionByName(rs.bill_sheets(spark, sf).drop("o_orderkey")).unionByName(rs.storage_sheets(spark, sf))
+    """Rows per file of all ten tabs read in one go."""
+    raw = _every_tab(spark, sf)
     frames = ledger.weekly_statements(ledger.statement_rows(raw))
     counts = None
     for tab, frame in frames.items():
@@ -62,7 +74,7 @@ def all_statement_tabs(spark, sf):
 
 def statement_tables(spark, sf):
     """Every tab into its own table; rows and columns read back from the tables."""
-    raw = rs.detail_sheets(spark, sf).unionByName(rs.bill_sheets(spark, sf).drop("o_orderkey")).unionByName(rs.storage_sheets(spark, sf))
+    raw = _every_tab(spark, sf)
     prefix = _fresh("weekly") + "_"
     outcome = sinks.write_tabs(ledger.weekly_statements(ledger.statement_rows(raw)), STATEMENT_TABS, prefix)
     stored = [
@@ -122,8 +134,9 @@ def extra_type_inference(spark, sf):
     rows = ledger.statement_rows(rs.detail_sheets(spark, sf))
     layouts = align.tab_layouts(rows)
     declared = STATEMENT_SCHEMAS["bill details"].names
-    extras = {tab: [s for n, s in found.sources().items() if n not in declared] for tab, found in layouts.items()}
-    return align.extra_types(rows, layouts, extras).select("name", "type")
+    extras = {tab: [s for n, s in found.sources().items() if n not in declared] for tab, found in layouts.tabs.items()}
+    found = [(name, kind) for told in align.findings(rows, layouts, extras, {}).values() for name, kind in told.types.items()]
+    return spark.createDataFrame(found, "name STRING, type STRING")
 
 
 def header_inventory(spark, sf):
@@ -252,6 +265,7 @@ QUERIES = {
     "weekly_bill": weekly_bill,
     "weekly_bill_coalesced": weekly_bill_coalesced,
     "weekly_storage_fee": weekly_storage_fee,
+    "weekly_day_first": weekly_day_first,
     "all_statement_tabs": all_statement_tabs,
     "statement_tables": statement_tables,
     "tab_failures": tab_failures,
@@ -309,6 +323,9 @@ _DETAILS = f"""
 _BILLS = f"""
   d AS (SELECT *, {_lineage("o_orderdate", "o_custkey")}, month(o_orderdate) % 2 = 1 AS odd FROM orders),
   lead AS (SELECT arg_min(odd, source_filename) AS odd_first FROM d)"""
+_FEES = "SELECT CASE o_orderkey % {} {} END, {} FROM orders WHERE month(o_orderdate) <> 6".format(
+    len(rs.FEE_TABS), " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(rs.FEE_TABS)), _lineage("o_orderdate", "o_custkey")
+)
 _REMARK = "CASE o_orderstatus WHEN 'P' THEN o_orderpriority END"
 _BOOKS = "'/in/lines-' || (l_orderkey // 100) || '.xlsx'"
 
@@ -367,12 +384,15 @@ SQL = {
         SELECT tab, source_filename, statement_start_date, count(*) AS rows FROM (
           SELECT 'bill details' AS tab, {_lineage("l_shipdate", "l_suppkey")} FROM lineitem JOIN part ON l_partkey = p_partkey
           UNION ALL SELECT 'bill', {_lineage("o_orderdate", "o_custkey")} FROM orders
-          UNION ALL SELECT 'storage fee', {_lineage("ts", "user_id")} FROM events) GROUP BY ALL""",
+          UNION ALL SELECT 'storage fee', {_lineage("ts", "user_id")} FROM events UNION ALL {_FEES}) GROUP BY ALL""",
     "statement_tables": f"""
         SELECT tab, 'ok' AS outcome, count(*) AS rows, count(statement_start_date) AS dated, count(DISTINCT source_filename) AS files FROM (
           SELECT 'bill details' AS tab, {_lineage("l_shipdate", "l_suppkey")} FROM lineitem JOIN part ON l_partkey = p_partkey
           UNION ALL SELECT 'bill', {_lineage("o_orderdate", "o_custkey")} FROM orders
-          UNION ALL SELECT 'storage fee', {_lineage("ts", "user_id")} FROM events) GROUP BY tab""",
+          UNION ALL SELECT 'storage fee', {_lineage("ts", "user_id")} FROM events UNION ALL {_FEES}) GROUP BY tab""",
+    "weekly_day_first": f"""
+        SELECT {_file("l_shipdate", "l_suppkey")} AS source_filename, 'SN' || l_orderkey AS order_sn, date_trunc('minute', l_shipdate) AS payment_time,
+          CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS finnshed_time FROM lineitem""",
     "create_if_missing": f"""
         SELECT lower(p_type) AS status, '{SHOP}' AS shop_name, count(*) AS rows FROM part GROUP BY ALL""",
     "extra_type_inference": """

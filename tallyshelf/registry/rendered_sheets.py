@@ -233,6 +233,46 @@ def storage_sheets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: Statement tabs that declare no columns of their own.
+FEE_TABS = (
+    "operation fee", "ds processing fee", "fine", "other deductions", "customer service discount", "billing appeal", "compensation"
+)
+
+
+def fee_sheets(spark: SparkSession, sf: str) -> DataFrame:
+    """The other tabs, one row per order; some rows are blank, and sheets of June have no data."""
+    names = _header(*(f" {t.title()}" for t in FEE_TABS))
+    blank = "IF(o_orderkey % 11 = 0, '', {})".format
+    cells = [blank("concat('T', o_custkey % 5)"), blank("CAST(o_totalprice AS STRING)"), blank("o_orderpriority")]
+    rows = _sheet(
+        _spread(spark, sf, "orders"),
+        _path("o_orderdate", "o_custkey"),
+        f"element_at({names}, CAST(1 + o_orderkey % {len(FEE_TABS)} AS INT))",
+        _header("Store", "Amount (KES)", "Reason"),
+        cells,
+        ["'s'"] * len(cells),
+        "month(o_orderdate) = 6 AS no_data",
+    )
+    return rows.withColumn("row_idx", F.when(F.col("no_data"), 0).otherwise(1)).drop("no_data")
+
+
+def day_first_sheets(spark: SparkSession, sf: str) -> DataFrame:
+    """The ``bill details`` tab with slashed dates: one column puts the day first, one the month, one neither."""
+    cells = [
+        "concat('SN', l_orderkey)",
+        "date_format(l_shipdate, 'dd/MM/yyyy HH:mm')",
+        "date_format(l_shipdate, 'MM/dd/yyyy')",
+    ]
+    return _sheet(
+        _spread(spark, sf, "lineitem"),
+        _path("l_shipdate", "l_suppkey"),
+        "'Bill Details'",
+        _header("Order SN", "Payment Time", "Finnshed Time"),
+        cells,
+        ["'s'"] * len(cells),
+    )
+
+
 # --- real workbooks ----------------------------------------------------------------------
 
 

@@ -12,6 +12,7 @@ import pytest
 from pandas.io.parsers import TextParser
 from pyspark.sql import functions as F
 
+from tallyshelf.functions import typed
 from tallyshelf.operators import align, metrics, sinks
 from tallyshelf.plans import ledger
 from tallyshelf.plans.schemas import CATALOGUE, COMPLETED_ORDERS, STATEMENT_SCHEMAS, STATEMENT_TABS, STOCK, STOCK_HEADERS
@@ -150,6 +151,47 @@ def test_time_cells(spark):
     assert rows[1]["payment_time"] == dt.datetime(2024, 4, 1, 19, 33, 20) and rows[1]["finnshed_time"] is None
 
 
+def test_time_columns_follow_their_own_order(spark):
+    lines = [["05/02/2024 10:00", "05/02/2024", "13/02/2024"], ["13/02/2024 10:00", "02/13/2024", "02/13/2024"], [None, "x/y", "2024/05/02"]]
+    header = ["Payment Time", "Finnshed Time", "Note"]
+    frame = load(spark, ("/w/a.xlsx", "bill details", header, lines[:2]), ("/w/b.xlsx", "bill details", header, lines[2:]))["bill details"]
+    rows = frame.orderBy("source_filename", "payment_time").collect()
+    assert [r["payment_time"] and (r["payment_time"].month, r["payment_time"].day) for r in rows] == [(2, 5), (2, 13), None]
+    assert [r["finnshed_time"] and (r["finnshed_time"].month, r["finnshed_time"].day) for r in rows] == [(5, 2), (2, 13), None]
+    both = spark.createDataFrame([("13/02/2024",), ("02/13/2024",), ("14/14/2024",), ("99/1",)], "c STRING")
+    assert typed.day_first_columns(both, {"c": F.col("c")}) == {"c": False}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_statement_rows_are_not_moved(spark):
+    """Places of cells are broadcast, types come from sums: no row of a statement is shuffled or exploded."""
+    sheets = [(f"/w/{i}.xlsx", "bill details", [f"H{i}", "Order SN", "Payment Time", "Extra"], [["a", "b", "2024-01-02", i]] * 3) for i in range(40)]
+    rows = ledger.statement_rows(raw(spark, *sheets))
+    assert {c for c in rows.columns} >= {"tab", "layout"}
+    frame = ledger.weekly_statements(rows)["bill details"]
+    plan = plan_of(frame)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "SortMergeJoin" not in plan and "header" not in plan.split("BroadcastExchange")[0]
+    layouts = align.tab_layouts(rows)
+    classes = align.file_classes(rows, "bill details", layouts, [align.Source("extra", ("Extra",))], [align.Source("payment_time", ("Payment Time",))], (1, 1))
+    assert "Generate" not in plan_of(classes) and "SortAggregate" not in plan_of(classes)
+    assert frame.count() == 120 and frame.schema["extra"].dataType.simpleString() == "bigint"
+
+
+def test_many_layouts_meet_without_a_broadcast(spark):
+    sheets = [(f"/w/{i}.xlsx", "fine", [f"H{i}", "Note"], [["a", f"n{i}"]]) for i in range(30)]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = load(spark, *sheets)["fine"]
+        assert {r["note"] for r in frame.collect()} == {f"n{i}" for i in range(30)}
+        assert "BroadcastHashJoin" not in plan_of(frame)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 VALUES = {"whole": 3, "real": 2.5, "flag": True, "stamp": STAMP, "text": "x", "gap": "", "digits": "7", "point": "1.0", "word": "True"}
 
 
@@ -162,8 +204,8 @@ def test_class_of_one_file_follows_the_spreadsheet_reader(spark):
     sheets = [(f"/w/{'-'.join(c)}.xlsx", "fine", ["A"], [[VALUES[k]] for k in c]) for c in combos]
     rows = ledger.statement_rows(raw(spark, *sheets))
     layouts = align.tab_layouts(rows)
-    classes = align.sheet_classes(rows, "fine", layouts["fine"], [align.Source("a", ("A",))])
-    found = {r["path"]: r["class"] for r in classes.collect()}
+    classes = align.file_classes(rows, "fine", layouts, [align.Source("a", ("A",))], [], (1, 0))
+    found = {r["path"]: align.CLASSES[r["x0"].bit_length() - 1] for r in classes.collect()}
     kinds = {"i": "whole", "f": "real", "b": "flag", "M": "stamp", "O": "text"}
     for combo, (path, *_) in zip(combos, sheets):
         frame = read_one([VALUES[k] for k in combo])
