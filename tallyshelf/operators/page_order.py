@@ -82,14 +82,38 @@ def kept_tiles(
     return drop_repeats(tiles, reached, keys, url)
 
 
+def first_spots(links: DataFrame, keys: Sequence[str], url: str = "url") -> DataFrame:
+    """First (page, position) of every URL within its scan: ``*keys, url, first_page, pos``.
+
+    Page and position are one number in page order, so the minimum is a hash aggregate.
+    """
+    kinds = {c: links.schema[c].dataType for c in ("page_no", "pos")}
+    spot = F.shiftleft(F.col("page_no").cast("long"), 32) + F.col("pos")
+    found = links.groupBy(*keys, url).agg(F.min(spot).alias("_spot"))
+    return found.select(
+        *keys,
+        url,
+        F.shiftright("_spot", 32).cast(kinds["page_no"]).alias("first_page"),
+        F.col("_spot").bitwiseAND(F.lit((1 << 32) - 1)).cast(kinds["pos"]).alias("pos"),
+    )
+
+
+def _carried(links: DataFrame, best: DataFrame, on: Sequence[str], carry: Sequence[str]) -> DataFrame:
+    """``best`` (``on``) with the columns found there; of several rows of one spot the least."""
+    met = links.select(*on, *carry).join(best.select(*on), list(on), "left_semi")
+    one = met.groupBy(*on).agg(F.array_min(F.collect_set(F.struct(*carry))).alias("_there"))
+    return one.select(*on, *[f"_there.{c}" for c in carry])
+
+
+def at_spots(links: DataFrame, spots: DataFrame, keys: Sequence[str], carry: Sequence[str], url: str = "url") -> DataFrame:
+    """``spots`` with the columns ``carry`` of the links that stand there."""
+    named = links.withColumnRenamed("page_no", "first_page")
+    return _carried(named, spots, [*keys, url, "first_page", "pos"], carry)
+
+
 def first_links(links: DataFrame, keys: Sequence[str], carry: Sequence[str], url: str = "url") -> DataFrame:
     """First (page, position) of every URL within its scan, with the columns found there."""
-    spot = F.struct("page_no", "pos", *carry)
-    return (
-        links.groupBy(*keys, url)
-        .agg(F.min(spot).alias("_spot"))
-        .select(*keys, url, F.col("_spot.page_no").alias("first_page"), "_spot.pos", *[f"_spot.{c}" for c in carry])
-    )
+    return at_spots(links, first_spots(links, keys, url), keys, carry, url)
 
 
 def brand_stops(pages: DataFrame, firsts: DataFrame, keys: Sequence[str], cap: int | None = None) -> DataFrame:
@@ -114,9 +138,9 @@ def brand_stops(pages: DataFrame, firsts: DataFrame, keys: Sequence[str], cap: i
 
 
 def owned_urls(links: DataFrame, rank: str, carry: Sequence[str], url: str = "url") -> DataFrame:
-    """Every URL once, under the earliest-ranked brand that lists it."""
-    best = F.struct(rank, *carry)
-    return links.groupBy(url).agg(F.min(best).alias("_best")).select(url, "_best.*")
+    """Every URL once, under the earliest-ranked brand that lists it. ``links`` are read twice."""
+    best = links.groupBy(url).agg(F.min(rank).alias(rank))
+    return _carried(links, best, [url, rank], carry)
 
 
 def numbered_chain(pages: DataFrame, seeds: DataFrame, keys: Sequence[str], cap: int | None = None) -> DataFrame:

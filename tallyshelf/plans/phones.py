@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyshelf import session
 from tallyshelf.functions import urls
-from tallyshelf.operators import page_order, products
+from tallyshelf.operators import members, page_order, products
 from tallyshelf.plans.catalogue import run_stamp
 from tallyshelf.plans.schemas import PHONES
 from tallyshelf.sources import crawl
@@ -68,10 +68,13 @@ def scan_urls(
     links: DataFrame, keys: Sequence[str] = ("brand",), cap: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(URLs a next-link scan of every brand finds, stop page of every scan)."""
-    firsts = page_order.first_links(links.filter("url IS NOT NULL"), keys, ["price_raw"])
+    named = links.filter("url IS NOT NULL")
+    # Read for the stops and for the URLs.
+    spots = session.written(page_order.first_spots(named, keys), "first-spots")
     present = links.select(*keys, "page_no", F.col("next_url").isNotNull().alias("has_next"))
-    stops = page_order.brand_stops(present, firsts, keys, cap)
-    return page_order.before_stop(firsts, stops, keys, "first_page"), stops
+    stops = page_order.brand_stops(present, spots, keys, cap)
+    reached = page_order.before_stop(spots, stops, keys, "first_page")
+    return page_order.at_spots(named, reached, keys, ["price_raw"]), stops
 
 
 def brand_product_urls(
@@ -108,22 +111,31 @@ def _ranked_urls(links: DataFrame, seeds: DataFrame, keys: Sequence[str], cap: i
     )
 
 
+def asked_pages(owned: DataFrame, product_pages: DataFrame) -> DataFrame:
+    """``url, html`` of present pages, nearly all of them among the URLs of ``owned``."""
+    pages = product_pages.select("url", "html").filter(crawl.page_present(F.col("html")))
+    return members.pruned(pages, owned, "url")
+
+
 def product_records(owned: DataFrame, product_pages: DataFrame, filter_leaks: bool = True) -> DataFrame:
     """Attach page facts to every URL, then drop pages of other brands and mark failures.
 
     ``owned`` is ``url, brand, price_raw`` with one row per URL; ``product_pages`` is
-    ``url, html``; of several rows of one URL a readable one counts. Pages are parsed where they lie and only their facts
-    are joined, so HTML is not shuffled. When the URL list is small enough to broadcast it
-    first removes the pages nobody asked for.
+    ``url, html``; of several rows of one URL a readable one counts. Pages nobody asked for go by
+    a bitmap of the URLs, whatever their number; the others are parsed where they lie, and only
+    their facts are written and joined, so HTML is not shuffled.
     """
     owned = session.written(owned, "owned-urls")
-    pages = product_pages.select("url", "html").filter(crawl.page_present(F.col("html")))
-    if session.fits_broadcast(owned):
-        pages = pages.join(F.broadcast(owned.select("url")), "url", "left_semi")
-    facts = pages.select("url", product_facts(F.col("html")).alias("f"))
-    # A page landed more than once counts once: a readable one before others, then by its facts.
-    order = F.struct(~F.col("f.ok"), F.to_json(F.col("f")).alias("text"))
-    facts = facts.groupBy("url").agg(F.min_by("f", order).alias("f"))
+    pages = asked_pages(owned, product_pages)
+    facts = pages.select(
+        "url", product_facts(F.col("html")).alias("f"), F.xxhash64("html").alias("digest"), F.monotonically_increasing_id().alias("id")
+    )
+    facts = session.written(facts, "product-facts")
+    # A page landed more than once counts once: a readable one before others, then by its digest.
+    # Only (url, number, number) is aggregated; pages with equal digests have equal facts.
+    order = F.when(F.col("f.ok"), F.lit(0)).otherwise(F.lit(1 << 62)) + F.shiftrightunsigned("digest", 2)
+    counted = facts.groupBy("url").agg(F.min_by("id", order).alias("id"))
+    facts = facts.join(counted, ["url", "id"], "left_semi").select("url", "f")
     joined = owned.join(facts, "url", "left")
 
     f = F.col("f")
@@ -162,6 +174,7 @@ def phone_snapshot(
     Ownership is settled before the brand filter: a URL whose owner fails the filter is gone,
     later brands do not get it.
     """
+    found = session.written(found.select("url", "brand_rank", "brand", "price_raw"), "found-urls")
     owned = page_order.owned_urls(found, "brand_rank", ["brand", "price_raw"])
     records = product_records(owned.select("url", "brand", "price_raw"), product_pages, filter_leaks)
     return records.withColumn("ts", run_stamp(run_ts)).to(PHONES)

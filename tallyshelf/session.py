@@ -93,15 +93,16 @@ def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="tallyshelf-scratch-")
 
 
-def written(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write ``df`` once as parquet under the scratch root and read it back.
+def written(df: DataFrame, name: str, partition_by: Sequence[str] = (), files: int | None = None) -> DataFrame:
+    """Write ``df`` once as parquet under the scratch root and read it back; ``files`` deals its rows to so many files.
 
     Used where several branches need one expensive result (parsed pages). The files outlive
     executors, keep column pruning, and give the planner an exact size for join choices.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path)
+    dealt = df if files is None else df.repartition(files)
+    dealt.write.partitionBy(*partition_by).parquet(path)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -7,6 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from tallyshelf.operators import page_order
+from tallyshelf.plans import phones
 from tallyshelf.sources import crawl
 
 SLUGS = ("audio", "power", "smart-office", "personal-care", "home-appliances")
@@ -171,3 +172,35 @@ def test_plan_and_seeds(spark):
     assert first["page_url"] == "https://shop.example/collections/audio?page=1"
     brands = crawl.brand_seeds(spark, {"b": "https://x/b/", "a": "https://x/a/"})
     assert [(r["brand_rank"], r["brand"]) for r in brands.orderBy("brand_rank").collect()] == [(1, "b"), (2, "a")]
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_wins_by_hash_aggregates(spark):
+    links = spark.createDataFrame(
+        [("a", "u", 2, 7, "9"), ("a", "u", 1, 9, "x"), ("a", "u", 1, 3, "b"), ("a", "u", 1, 3, None), ("b", "u", 1, 1, "c"), ("a", "v", 40000, 0, "d")],
+        "brand STRING, url STRING, page_no INT, pos INT, price STRING",
+    )
+    firsts = page_order.first_links(links, ["brand"], ["price"])
+    assert sorted(tuple(r) for r in firsts.collect()) == [("a", "u", 1, 3, None), ("a", "v", 40000, 0, "d"), ("b", "u", 1, 1, "c")]
+    ranked = links.withColumn("rank", F.when(F.col("brand") == "b", 1).otherwise(2))
+    owned = page_order.owned_urls(ranked, "rank", ["brand", "price"])
+    assert sorted(tuple(r) for r in owned.collect()) == [("u", 1, "b", "c"), ("v", 2, "a", "d")]
+    assert "SortAggregate" not in physical(firsts) and "SortAggregate" not in physical(owned)
+
+
+def test_pages_go_before_the_parse_whatever_the_list(spark):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        owned = spark.range(3000).selectExpr("concat('u', id) AS url")
+        pages = spark.range(30000).selectExpr("concat('u', id) AS url", "IF(id % 2 = 0, 'x', '') AS html")
+        kept = {r["url"] for r in phones.asked_pages(owned, pages).collect()}
+        assert {f"u{i}" for i in range(0, 3000, 2)} <= kept and len(kept) < 1500 + 13500 / 10
+        assert "Exchange hashpartitioning(url" not in physical(phones.asked_pages(owned, pages))
+        nothing = phones.asked_pages(owned.limit(0), pages)
+        assert nothing.count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
