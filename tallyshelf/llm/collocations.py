@@ -41,6 +41,8 @@ _BREAK = b"\xff"
 _TO_BREAK = bytes.maketrans(_BREAKS, _BREAK * len(_BREAKS))
 #: Bins that are added up together; places within a block fit 16 bits.
 _BLOCK = 1 << 16
+#: Phrases whose counts a task adds up before it sends them on.
+_HELD = 400_000
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -198,7 +200,17 @@ def _dense_bins(
 def phrase_counts(chunks: DataFrame, pairs: Dense, triples: Dense, least: int, every: int, most_words: int) -> DataFrame:
     """(lang, phrase, words, n): phrases that occur ``least`` times or more; words is 0 for all words of a language."""
 
+    def put(held: dict[tuple[str, int, bytes], int]) -> pa.RecordBatch:
+        columns = [
+            pa.array([lang for lang, _, _ in held], pa.string()),
+            pa.array([phrase for _, _, phrase in held], pa.binary()).cast(pa.string()),
+            pa.array([k for _, k, _ in held], pa.int32()),
+            pa.array(list(held.values()), pa.int64()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "words", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, int, bytes], int] = {}
         for batch in batches:
             grams = Grams(batch, every, most_words)
             words = np.array(grams.words, object)
@@ -223,16 +235,14 @@ def phrase_counts(chunks: DataFrame, pairs: Dense, triples: Dense, least: int, e
                 on = dense[2][start] if k == 1 else dense[3][start + k - 2]
                 start, where = start[on], where[on]
                 number = where * np.int64(len(words)) + grams.codes[start + k]
-            names = np.array(grams.langs, object)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([names[i] for part in out for i in part[0]], pa.string()),
-                    pa.array([t for part in out for t in part[1]], pa.binary()).cast(pa.string()),
-                    pa.array([part[2] for part in out for _ in part[1]], pa.int32()),
-                    pa.array(np.concatenate([part[3] for part in out]).astype(np.int64)),
-                ],
-                ["lang", "phrase", "words", "n"],
-            )
+            for at, phrases, k, sums in out:
+                for i, phrase, n in zip(at, phrases, sums.tolist()):
+                    key = grams.langs[i], k, phrase
+                    held[key] = held.get(key, 0) + int(n)
+            if len(held) > _HELD:
+                yield put(held)
+                held = {}
+        yield put(held)
 
     counted = chunks.mapInArrow(run, "lang string, phrase string, words int, n long")
     sums = counted.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
