@@ -9,7 +9,7 @@ or URL never gathers its rows in one task. Page limits hold only where a caller
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -71,14 +71,22 @@ def before_stop(rows: DataFrame, stops: DataFrame, keys: Sequence[str], page: st
 
 
 def kept_tiles(
-    tiles: DataFrame, firsts: DataFrame, stops: DataFrame, keys: Sequence[str], url: str = "product_url"
+    tiles: DataFrame,
+    firsts: DataFrame,
+    stops: DataFrame,
+    keys: Sequence[str],
+    seen: Callable[[DataFrame], DataFrame] | None = None,
+    url: str = "product_url",
 ) -> DataFrame:
     """Tiles on the first page of their URL and before the page where the scan stopped.
 
     A kept tile's page is its URL's first page, so the narrow list of first pages meets the
-    stops and the wide tiles move once, dealt by scan, URL and page.
+    stops and the wide tiles move once, dealt by scan, URL and page. ``seen`` may observe that
+    list: a row per scan and URL the scan reached.
     """
     reached = before_stop(firsts, stops, keys, "first_page")
+    if seen:
+        reached = seen(reached)
     return drop_repeats(tiles, reached, keys, url)
 
 

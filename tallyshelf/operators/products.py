@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyshelf.functions import text
 
@@ -68,6 +70,29 @@ def variants_json(raw: Column, options: Column) -> Column:
     return F.concat(F.lit('{"variations": '), variations, F.lit(', "options": '), F.to_json(chosen), F.lit("}"))
 
 
+def variation_rows(records: DataFrame, keys: Sequence[str], variants: str = "variants_json") -> DataFrame:
+    """One row per variation of a record: ``*keys, pos, sku, price, regular_price, in_stock, options``.
+
+    ``variants`` is what ``variants_json`` made. ``pos`` counts from 0; ``options`` maps the variation's own option names
+    to the chosen values. A field that is missing or of another kind is NULL, a price in quotes is read as a number.
+    Variations that are no list, and list entries that are no object, have no rows.
+    """
+    listed = F.try_variant_get(F.try_parse_json(variants), "$.variations", "variant")
+    named = records.select(*keys, listed.alias("_listed"))
+    each = records.sparkSession.tvf.variant_explode(F.col("_listed").outer())
+    rows = named.lateralJoin(each).where("key IS NULL AND startswith(schema_of_variant(value), 'OBJECT')")
+    read = lambda path, kind: F.try_variant_get("value", path, kind)
+    return rows.select(
+        *keys,
+        F.col("pos").cast("bigint").alias("pos"),
+        read("$.sku", "string").alias("sku"),
+        F.coalesce(read("$.display_price", "double"), read("$.price", "double")).alias("price"),
+        read("$.display_regular_price", "double").alias("regular_price"),
+        read("$.is_in_stock", "boolean").alias("in_stock"),
+        read("$.attributes", "map<string,string>").alias("options"),
+    )
+
+
 def names_brand(breadcrumb: Column, brand: Column) -> Column:
     """False for a page whose breadcrumb exists and does not name the brand."""
     return (breadcrumb == "") | F.lower(breadcrumb).contains(F.lower(brand))

@@ -1,11 +1,13 @@
-"""Table writers. Every overwrite builds the new rows beside the old table first."""
+"""Table writers. Every overwrite writes a new version beside the old one, then lets the table name it."""
 
 from __future__ import annotations
 
 import uuid
 import warnings
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
@@ -23,55 +25,103 @@ def create_if_missing(
         empty.write.partitionBy(*partition_by).saveAsTable(table)
 
 
-def _staging(table: str) -> str:
-    return f"{table}__new_{uuid.uuid4().hex[:8]}"
+def _versions(spark: SparkSession, table: str) -> str:
+    """Folder of a table's versions: beside the tables of its database."""
+    database, _, name = table.rpartition(".")
+    home = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{home.rstrip('/')}/{name}__versions"
 
 
-def _install(spark: SparkSession, staged: str, table: str) -> None:
-    """Finished rows into the table. A table of the same columns is overwritten in place, so it
-    is there at all times and keeps its grants; only other columns make a new table."""
-    columns = lambda name: [(f.name, f.dataType) for f in spark.table(name).schema]
-    if not spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
-    elif columns(table) == columns(staged):
-        spark.table(staged).write.insertInto(table, overwrite=True)
-        spark.sql(f"DROP TABLE {staged}")
-    else:
-        spark.sql(f"DROP TABLE {table}")
-        spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+def _stored_at(spark: SparkSession, table: str) -> str:
+    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    return detail["data_type"].rstrip("/")
 
 
-def replace_table(df: DataFrame, table: str, schema: StructType | None = None) -> None:
-    """Create or replace. The old rows go after the new ones are fully written, so a failed load
-    leaves them in place; column changes are allowed."""
-    spark, staged = df.sparkSession, _staging(table)
+def _file_system(spark: SparkSession, location: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def _remove(spark: SparkSession, location: str) -> None:
+    files, path = _file_system(spark, location)
+    files.delete(path, True)
+
+
+def _forget(spark: SparkSession, versions: str, keep: set[str]) -> None:
+    """Delete the versions that are not in ``keep``, leftovers of killed loads among them."""
+    files, path = _file_system(spark, versions)
+    for status in files.listStatus(path):
+        if status.getPath().getName() not in keep:
+            files.delete(status.getPath(), True)
+
+
+def _new_version(df: DataFrame, table: str) -> str:
+    """Write ``df`` as a version of its own that no table names yet; a failed write leaves none."""
+    spark = df.sparkSession
     if "." in table:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
+    spot = f"{_versions(spark, table)}/{uuid.uuid4().hex}"
     try:
-        (fit(df, schema) if schema is not None else df).write.saveAsTable(staged)
-        _install(spark, staged, table)
+        df.write.parquet(spot)
     except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        _remove(spark, spot)
         raise
+    return spot
+
+
+def _install(spark: SparkSession, spot: str, table: str) -> None:
+    """Let ``table`` name the finished version at ``spot``.
+
+    Where the columns are the same this is one change in the catalogue (``SET LOCATION``): the table is there
+    at all times, keeps its grants, and each query reads one version or the other. The version before it
+    stays for queries that have begun. Other columns need a new table, made under another name and
+    renamed. A partitioned table keeps its partitions and is overwritten in place.
+    """
+    columns = lambda df: [(f.name, f.dataType) for f in df.schema]
+    made = spark.read.parquet(spot)
+    versions, keep = _versions(spark, table), {spot.rsplit("/", 1)[-1]}
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{spot}'")
+    elif any(c.isPartition for c in spark.catalog.listColumns(table)):
+        made.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+        keep.clear()
+    elif columns(spark.table(table)) == columns(made):
+        before = _stored_at(spark, table)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{spot}'")
+        spark.catalog.refreshTable(table)
+        keep.add(before.rsplit("/", 1)[-1])
+    else:
+        staged = f"{table}__new_{uuid.uuid4().hex[:8]}"
+        spark.sql(f"CREATE TABLE {staged} USING parquet LOCATION '{spot}'")
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    _forget(spark, versions, keep)
+
+
+def replace_table(df: DataFrame, table: str, schema: StructType | None = None) -> None:
+    """Create or replace; the rows are written once, as a version of their own.
+
+    A load that fails or is killed leaves the table as it was, and what it has written is deleted by the next
+    load. Column changes are allowed. One load of a table runs at a time. Other sessions that have the
+    table in their cache see its old version until they refresh it, or until two loads later.
+    """
+    spot = _new_version(fit(df, schema) if schema is not None else df, table)
+    _install(df.sparkSession, spot, table)
 
 
 def guarded_overwrite(df: DataFrame, table: str, schema: StructType) -> int:
     """Overwrite unless the result is empty; returns rows written.
 
-    The result is computed once, into the staging table, and judged there.
+    The result is computed once, into its version, and counted there from the file footers.
     """
-    spark, staged = df.sparkSession, _staging(table)
-    if "." in table:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
-    try:
-        fit(df, schema).write.saveAsTable(staged)
-        rows = spark.table(staged).count()
-        if rows:
-            _install(spark, staged, table)
-        else:
-            warnings.warn(f"no rows collected; {table} keeps its previous snapshot", stacklevel=2)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    spark = df.sparkSession
+    spot = _new_version(fit(df, schema), table)
+    rows = spark.read.parquet(spot).count()
+    if rows:
+        _install(spark, spot, table)
+    else:
+        _remove(spark, spot)
+        warnings.warn(f"no rows collected; {table} keeps its previous snapshot", stacklevel=2)
     return rows
 
 
@@ -140,13 +190,27 @@ def append_under_header(df: DataFrame, location: str, header: Sequence[str]) ->
     return names
 
 
-def write_tabs(frames: dict[str, DataFrame], tables: dict[str, str], prefix: str = "") -> dict[str, str]:
-    """One table per tab; a tab that fails is reported and the others go on."""
-    outcome = {}
-    for tab, frame in frames.items():
+def write_tabs(
+    frames: dict[str, DataFrame], tables: dict[str, str], prefix: str = "", at_once: int = 4
+) -> dict[str, str]:
+    """One table per tab, ``at_once`` tabs at a time; a tab that fails is reported and the others go on.
+
+    Small tabs fill the cores that a large one leaves idle towards its end. Each tab is a scheduler pool of its
+    own, so with ``spark.scheduler.mode=FAIR`` they share the cores evenly. Outcomes are in the tabs' order.
+    """
+    if not frames:
+        return {}
+    spark = next(iter(frames.values())).sparkSession
+
+    def store(tab: str) -> str:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"tab {tab}")
         try:
-            replace_table(frame, prefix + tables[tab])
-            outcome[tab] = "ok"
+            replace_table(frames[tab], prefix + tables[tab])
         except Exception as problem:
-            outcome[tab] = f"{type(problem).__name__}: {problem}"
-    return outcome
+            return f"{type(problem).__name__}: {problem}"
+        return "ok"
+
+    with ThreadPoolExecutor(at_once) as pool:
+        # Each call gets a copy of this thread's job properties.
+        begun = {tab: pool.submit(inheritable_thread_target(spark)(store), tab) for tab in frames}
+        return {tab: work.result() for tab, work in begun.items()}

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyshelf import session
 from tallyshelf.functions import text
 from tallyshelf.operators import page_order, tiles
+from tallyshelf.operators.metrics import Tally
 from tallyshelf.plans.schemas import CATALOGUE
 from tallyshelf.sources import crawl
 from tallyshelf.sources.page_facts import collection_facts
@@ -39,6 +40,7 @@ def page_tiles(
     base_url: Column | str,
     keys: Sequence[str],
     cap: int | None = None,
+    tally: Tally | None = None,
 ) -> DataFrame:
     """Tile records of every present page of a seeded category, as a written table.
 
@@ -47,6 +49,7 @@ def page_tiles(
     before the parse, and the scan reads the keys, ``page_no`` and ``html`` only. A seed list
     beyond the broadcast limit is applied to the facts instead, so HTML is never shuffled.
     Pages are parsed and records built once, because the later steps read different columns.
+    A ``tally`` counts the pages and their tiles.
     """
     wanted = pages.filter(crawl.within(F.col("page_no"), cap) & crawl.page_present(F.col("html")))
     wanted = wanted.select(*keys, "page_no", "html")
@@ -59,18 +62,22 @@ def page_tiles(
         facts = facts.join(named, "category", "left_semi")
     total = tiles.total_pages(F.col("f.total_hit"), F.col("f.link_max")).alias("total_pages")
     facts = facts.select(*keys, "page_no", total, F.col("f.tiles").alias("tiles"))
-    return session.written(tiles.tile_rows(facts, base_url), "collection-tiles")
+    rows = tiles.tile_rows(tally.watch("pages", facts) if tally else facts, base_url)
+    if tally:
+        rows = tally.watch("tiles", rows, usable=F.count("product_url"))
+    return session.written(rows, "collection-tiles")
 
 
 def scan_result(
-    rows: DataFrame, keys: Sequence[str], cap: int | None = None
+    rows: DataFrame, keys: Sequence[str], cap: int | None = None, tally: Tally | None = None
 ) -> DataFrame:
     """Of ``page_tiles``, what a page-by-page scan keeps: no repeats of earlier pages, nothing
-    from the page it stopped at on."""
+    from the page it stopped at on. A ``tally`` counts the URLs that are new to their scan."""
     found = tiles.usable(rows)
     firsts = page_order.first_pages(found, keys)
     stops = page_order.collection_stops(rows.select(*keys, "page_no", "total_pages"), firsts, keys, cap)
-    return page_order.kept_tiles(found.drop("total_pages"), firsts, stops, keys)
+    seen = (lambda new: tally.watch("new URLs", new)) if tally else None
+    return page_order.kept_tiles(found.drop("total_pages"), firsts, stops, keys, seen)
 
 
 def shaped(rows: DataFrame, run_ts: dt.datetime | str | None = None) -> DataFrame:
@@ -88,9 +95,13 @@ def catalogue_snapshot(
     run_ts: dt.datetime | str | None = None,
     keys: Sequence[str] = ("category",),
     cap: int | None = None,
+    tally: Tally | None = None,
 ) -> DataFrame:
     """The whole job. ``keys`` identify one scan: category alone, or site/run plus category.
 
-    ``base_url`` may be a column of ``keys`` when several sites are read at once.
+    ``base_url`` may be a column of ``keys`` when several sites are read at once. A ``tally``
+    has its counters once the snapshot is written.
     """
-    return shaped(scan_result(page_tiles(pages, seeds, base_url, keys, cap), keys, cap), run_ts)
+    found = page_tiles(pages, seeds, base_url, keys, cap, tally)
+    rows = shaped(scan_result(found, keys, cap, tally), run_ts)
+    return tally.watch("snapshot", rows) if tally else rows

@@ -10,6 +10,7 @@ from tallyshelf import session
 from tallyshelf.functions import text
 from tallyshelf.operators import metrics, page_order, sinks, tiles
 from tallyshelf.plans import catalogue
+from tallyshelf.plans.schemas import CATALOGUE
 from tallyshelf.registry import rendered_pages as rp
 from tallyshelf.registry.tables import RUN_TS, table
 from tallyshelf.sources import crawl
@@ -155,9 +156,8 @@ def crawl_attempts(spark, sf):
     return crawl.resolve_attempts(events).select("url", "attempt", "html")
 
 
-def catalogue_stream(spark, sf):
-    """Every shop lands as one run with a manifest; the stream turns whole runs into snapshots."""
-    root = f"{session.scratch_root(spark)}/landing-{uuid.uuid4().hex}"
+def _land_shops(spark: SparkSession, sf: str, root: str, counters: str | None = None) -> None:
+    """Every shop lands as one run with a manifest, its first pages once more and late; the stream takes the runs in."""
     run = F.regexp_extract("site", r"^https://(\w+)\.", 1).alias("run_id")
     at = F.lit("2024-05-01 06:00:00").cast("timestamp")
     pages = rp.collection_pages(spark, sf).select(
@@ -169,12 +169,37 @@ def catalogue_stream(spark, sf):
     stamped = runs.select("run_id", F.lit(RUN_TS).alias("run_ts"), (at + F.expr("INTERVAL 1 HOUR")).alias("closed_at"))
     stamped.write.json(f"{root}/manifests")
     base = F.concat(F.lit("https://"), "run_id", F.lit(".example"))
-    landing.catalogue_stream(spark, root, f"{root}/out", rp.category_seeds(spark), base).awaitTermination()
-    found = spark.read.parquet(f"{root}/out/snapshot")
+    landing.catalogue_stream(spark, root, f"{root}/out", rp.category_seeds(spark), base, metrics_table=counters).awaitTermination()
+
+
+def catalogue_stream(spark, sf):
+    """Every shop lands as one run with a manifest; the stream turns whole runs into snapshots."""
+    root = f"{session.scratch_root(spark)}/landing-{uuid.uuid4().hex}"
+    _land_shops(spark, sf, root)
+    found = landing.landed(spark, f"{root}/out")
     return found.select("ts", "category", "product_url", "title", "price_now", "stock_status")
 
 
+def run_metrics(spark, sf):
+    """Counters of a run of all shops, taken while its rows are written, read back from the metrics table."""
+    stored, counters = f"counted_{uuid.uuid4().hex[:10]}", f"run_metrics_{uuid.uuid4().hex[:10]}"
+    tally = metrics.Tally()
+    pages, seeds = rp.collection_pages(spark, sf), rp.category_seeds(spark)
+    sinks.append_snapshot(catalogue.catalogue_snapshot(pages, seeds, F.col("site"), RUN_TS, KEYS, tally=tally), stored, CATALOGUE)
+    metrics.append_run(tally, spark, counters, "all shops", RUN_TS)
+    return spark.table(counters).select("run", "run_ts", "step", "counter", "value")
+
+
+def stream_metrics(spark, sf):
+    """What the recurring runs counted, late pages among it, added up over their batches."""
+    root, counters = f"{session.scratch_root(spark)}/landing-{uuid.uuid4().hex}", f"stream_metrics_{uuid.uuid4().hex[:10]}"
+    _land_shops(spark, sf, root, counters)
+    return spark.table(counters).groupBy("step", "counter").agg(F.sum("value").alias("value"))
+
+
 QUERIES = {
+    "run_metrics": run_metrics,
+    "stream_metrics": stream_metrics,
     "capped_catalogue": capped_catalogue,
     "catalogue_sheet": catalogue_sheet,
     "catalogue_snapshot": catalogue_snapshot,
@@ -194,6 +219,16 @@ QUERIES = {
 
 _RECORD = ", ".join(tiles.TILE_COLUMNS)
 _HEAD = f"{rp.SITE_SQL} AS site, {rp.SLUG_SQL} AS category"
+_COUNTED = f"""{rp.TILES_SQL},
+landed_pages AS (
+  SELECT DISTINCT site_no, r, page_no FROM (SELECT site_no, r, own_page AS page_no FROM p1 UNION ALL SELECT site_no, r, page_no FROM spots)
+  WHERE NOT (r = 3 AND page_no = 10)),
+counted AS (
+  SELECT 'pages' AS step, 'rows' AS counter, count(*) AS value FROM landed_pages
+  UNION ALL SELECT 'tiles', 'usable', count(*) FROM scan_rows
+  UNION ALL SELECT 'new URLs', 'rows', count(*) FROM first_seen JOIN stops USING (site_no, r) WHERE first_page < stop_page
+  UNION ALL SELECT 'snapshot', 'rows', count(*) FROM kept)
+"""
 
 SQL = {
     "catalogue_sheet": f"""WITH {rp.TILES_SQL}
@@ -214,6 +249,11 @@ SQL = {
         FROM extent""",
     "scan_stops": f"""WITH {rp.TILES_SQL}
         SELECT {_HEAD}, CAST(last_page AS BIGINT) AS last_page, CAST(stop_page AS BIGINT) AS stop_page FROM stops""",
+    "run_metrics": f"""WITH {_COUNTED}
+        SELECT 'all shops' AS run, TIMESTAMP '{RUN_TS}' AS run_ts, step, counter, value FROM counted""",
+    "stream_metrics": f"""WITH {_COUNTED}
+        SELECT step, counter, value FROM counted
+        UNION ALL SELECT 'late pages', 'rows', (SELECT count(*) FROM landed_pages WHERE page_no = 1)""",
     "page_metrics": f"""WITH {rp.TILES_SQL}
         SELECT {_HEAD}, CAST(s.page_no AS BIGINT) AS page_no, count(*) AS found,
           CAST(count(DISTINCT CASE WHEN f.first_page = s.page_no THEN s.product_url END) AS BIGINT) AS new_urls

@@ -159,6 +159,35 @@ def variant_texts(spark, sf):
     return table(spark, sf, "part").select("p_partkey", products.variants_json(raw, none).alias("variants_json"))
 
 
+def variation_rows(spark, sf):
+    """Variations of every part, read with their types: two or one a part, some no list, some with odd fields."""
+    raw = F.expr(
+        """CASE p_size % 6
+             WHEN 0 THEN concat('[{"sku":"A', p_partkey, '","display_price":', p_size, '.5,"display_regular_price":', p_size + 1,
+               ',"is_in_stock":true,"attributes":{"attribute_color":"', p_type, '","attribute_size":"', p_size, '"}},',
+               '{"sku":', p_partkey, ',"price":"', p_size, '.25","is_in_stock":false,"attributes":{"attribute_color":null}}]')
+             WHEN 1 THEN 'false'
+             WHEN 2 THEN concat('[{&quot;sku&quot;:&quot;B', p_partkey, '&quot;,&quot;display_price&quot;:&quot;on request&quot;}]')
+             WHEN 3 THEN concat('{"sku":"C', p_partkey, '"}')
+             WHEN 4 THEN concat('[', p_size, ',null,{"attributes":[],"price":', p_size, '}]')
+             ELSE '{oops' END"""
+    )
+    none = F.lit(None).cast("map<string,array<string>>")
+    records = table(spark, sf, "part").select("p_partkey", products.variants_json(raw, none).alias("variants_json"))
+    rows = products.variation_rows(records, ["p_partkey"])
+    return rows.select(
+        "p_partkey", "pos", "sku", "price", "regular_price", "in_stock",
+        F.col("options")["attribute_color"].alias("colour"), F.col("options")["attribute_size"].alias("size"),
+    )
+
+
+def page_variations(spark, sf):
+    """Variations of the product pages, price by price."""
+    f = F.col("f")
+    records = _facts(spark, sf).select("url", products.variants_json(f["variations"], f["options"]).alias("variants_json"))
+    return products.variation_rows(records, ["url"]).select("url", "pos", "sku", "price")
+
+
 def capped_brand_urls(spark, sf):
     """Brand scans that stop after two pages."""
     found = phones.brand_product_urls(rp.brand_pages(spark, sf), rp.brand_seeds(spark, sf), KEYS, cap=2)
@@ -222,6 +251,8 @@ QUERIES = {
     "product_descriptions": product_descriptions,
     "variants_json": variants_json,
     "variant_texts": variant_texts,
+    "variation_rows": variation_rows,
+    "page_variations": page_variations,
     "capped_brand_urls": capped_brand_urls,
     "brand_urls_by_links": brand_urls_by_links,
     "repeated_product_pages": repeated_product_pages,
@@ -301,6 +332,16 @@ SQL = {
     "variant_texts": """
         SELECT p_partkey, '{"variations": ' || CASE p_size % 5 WHEN 0 THEN '[{"a":' || p_size || '}]' WHEN 3 THEN '{"k":"' || p_type || '"}'
           WHEN 4 THEN '[{"n":' || p_size || '}]' ELSE '[]' END || ', "options": {}}' AS variants_json FROM part""",
+    "variation_rows": """
+        SELECT p_partkey, CAST(0 AS BIGINT) AS pos, 'A' || p_partkey AS sku, p_size + 0.5::DOUBLE AS price, CAST(p_size + 1 AS DOUBLE) AS regular_price,
+          true AS in_stock, p_type AS colour, CAST(p_size AS VARCHAR) AS size FROM part WHERE p_size % 6 = 0
+        UNION ALL SELECT p_partkey, 1, CAST(p_partkey AS VARCHAR), p_size + 0.25::DOUBLE, NULL, false, NULL, NULL FROM part WHERE p_size % 6 = 0
+        UNION ALL SELECT p_partkey, 0, 'B' || p_partkey, NULL, NULL, NULL, NULL, NULL FROM part WHERE p_size % 6 = 2
+        UNION ALL SELECT p_partkey, 2, NULL, CAST(p_size AS DOUBLE), NULL, NULL, NULL, NULL FROM part WHERE p_size % 6 = 4""",
+    "page_variations": f"""WITH {_FACTS}
+        SELECT url, CAST(json_extract_string(variants_json, '$.variations[0].price') AS DOUBLE) AS price, CAST(0 AS BIGINT) AS pos,
+          json_extract_string(variants_json, '$.variations[0].sku') AS sku
+        FROM facts WHERE json_extract_string(variants_json, '$.variations[0].sku') IS NOT NULL""",
     "capped_brand_urls": f"""WITH {_LISTED}
         SELECT {_KEYS}, f.url, f.price_raw, CAST(f.first_page AS BIGINT) AS first_page
         FROM first_seen f JOIN brand_stops x USING (site_no, b) WHERE f.first_page < least(x.stop_page, 3)""",

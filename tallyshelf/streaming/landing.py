@@ -4,15 +4,20 @@ A crawler lands a run as ``pages/run_id=<id>/`` and writes a manifest last, so a
 means the run is whole. The stream reads manifests; the pages of the runs in a batch are
 read from their own partitions. Page rules therefore always see complete runs and need no
 watermark and no state across runs. Pages landed after the manifest was closed are counted
-and left out.
+and left out. Results become visible by a manifest too: see ``land_runs`` and ``landed``.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyshelf import session
+from tallyshelf.operators import metrics
 from tallyshelf.plans import catalogue
 from tallyshelf.plans.schemas import CATALOGUE
 from tallyshelf.sources import crawl
@@ -23,6 +28,11 @@ PAGE_TYPE = (
     "landed_at TIMESTAMP, run_id STRING"
 )
 KEYS = ("run_id", "category")
+#: What a batch stores, without the folder columns ``run_id`` and ``attempt``.
+STORED = {
+    "snapshot": ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CATALOGUE.fields),
+    "late": "late_pages BIGINT",
+}
 
 
 def manifests(spark: SparkSession, location: str, runs_per_batch: int = 16) -> DataFrame:
@@ -39,11 +49,6 @@ def _exists(spark: SparkSession, location: str) -> bool:
     return files.exists(path)
 
 
-def _clear(spark: SparkSession, location: str) -> None:
-    files, path = _file_system(spark, location)
-    files.delete(path, True)
-
-
 def run_pages(spark: SparkSession, location: str, runs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(pages landed in time, pages landed late) of the given runs.
 
@@ -62,26 +67,90 @@ def run_pages(spark: SparkSession, location: str, runs: DataFrame) -> tuple[Data
     return joined.filter(~late).drop("closed_at"), joined.filter(late).drop("closed_at")
 
 
+def _publish(spark: SparkSession, output: str, runs: Sequence[str], attempt: str) -> None:
+    """Make an attempt's rows the rows of its runs: one small file, numbered after the ones before it.
+
+    The file gets its name when it is whole, so readers see all of the attempt or nothing.
+    """
+    files, folder = _file_system(spark, f"{output}/published")
+    files.mkdirs(folder)
+    # One file a batch, only their names are listed.
+    before = [f.getPath().getName() for f in files.listStatus(folder)]
+    number = max((int(n.split("-")[0]) for n in before if n[0].isdigit()), default=0) + 1
+    whole = spark._jvm.org.apache.hadoop.fs.Path(folder, f"{number:012d}-{attempt}.json")
+    begun = spark._jvm.org.apache.hadoop.fs.Path(folder, f"_{attempt}.tmp")
+    stream = files.create(begun, True)
+    stream.write("".join(json.dumps({"run_id": r, "attempt": attempt}) + "\n" for r in runs).encode())
+    stream.close()
+    if not files.rename(begun, whole):
+        raise OSError(f"could not publish {whole.toString()}")
+
+
+def published(spark: SparkSession, output: str) -> DataFrame:
+    """``run_id, attempt``: the attempt that holds each run's rows, the last one that was published."""
+    if not _exists(spark, f"{output}/published"):
+        return spark.createDataFrame([], "run_id STRING, attempt STRING")
+    said = spark.read.schema("run_id STRING, attempt STRING").json(f"{output}/published")
+    named = said.select("run_id", "attempt", F.col("_metadata.file_name").alias("file"))
+    return named.groupBy("run_id").agg(F.max_by("attempt", "file").alias("attempt"))
+
+
+def _valid(spark: SparkSession, output: str) -> set[str]:
+    """Attempts that hold some run's rows: one name a batch at most."""
+    return {r["attempt"] for r in published(spark, output).select("attempt").distinct().collect()}
+
+
+def landed(spark: SparkSession, output: str, kind: str = "snapshot") -> DataFrame:
+    """The published rows of all runs: ``snapshot``, or ``late`` for counts of late pages.
+
+    Only the folders of attempts that hold a run are listed and read.
+    """
+    stored, valid = f"{STORED[kind]}, run_id STRING, attempt STRING", sorted(_valid(spark, output))
+    if not valid:
+        return spark.createDataFrame([], stored).drop("attempt")
+    folders = [f"{output}/{kind}/attempt={a}" for a in valid]
+    rows = spark.read.schema(stored).option("basePath", f"{output}/{kind}").parquet(*folders)
+    return rows.join(published(spark, output), ["run_id", "attempt"], "left_semi").drop("attempt")
+
+
+def discard_unpublished(spark: SparkSession, output: str) -> None:
+    """Delete attempts that hold no run any more: failed, killed or replaced ones. Not for use while a batch runs."""
+    valid = _valid(spark, output)
+    for kind in STORED:
+        files, folder = _file_system(spark, f"{output}/{kind}")
+        for status in files.listStatus(folder):
+            name = status.getPath().getName()
+            if name.startswith("attempt=") and name.removeprefix("attempt=") not in valid:
+                files.delete(status.getPath(), True)
+
+
 def land_runs(
-    runs: DataFrame, pages_at: str, snapshot_at: str, late_at: str, seeds: DataFrame, base_url: Column | str
+    runs: DataFrame, pages_at: str, output: str, seeds: DataFrame, base_url: Column | str, metrics_table: str | None = None
 ) -> None:
-    """Process whole runs and store each in its own partition.
+    """Process whole runs and publish them.
 
-    Partitions are overwritten by run, so a batch that is retried after a failure leaves the
-    same rows it would have left the first time; a run that has no rows now has none stored.
-    Scratch tables of the batch are deleted at its end.
+    A batch writes its rows to a folder of its own, an attempt, and publishes it at the end. Until then, and if
+    the batch fails or is killed, readers of ``landed`` see each run as it was. A batch that is retried
+    replaces the rows of its runs; a run that has no rows now has none then. With ``metrics_table``
+    the batch's counters are added there, under the attempt. Scratch tables are deleted at its end.
     """
-    spark = runs.sparkSession
+    spark, attempt = runs.sparkSession, uuid.uuid4().hex
+    tally = metrics.Tally()
     with session.scratch_scope(spark):
-        _land(spark, runs, pages_at, snapshot_at, late_at, seeds, base_url)
+        _land(runs, pages_at, output, attempt, seeds, base_url, tally)
+    ids = [r["run_id"] for r in runs.select("run_id").distinct().collect()]  # the runs of one batch
+    _publish(spark, output, ids, attempt)
+    if metrics_table:
+        metrics.append_run(tally, spark, metrics_table, attempt)
 
 
 def _land(
-    spark: SparkSession, runs: DataFrame, pages_at: str, snapshot_at: str, late_at: str, seeds: DataFrame, base_url: Column | str
+    runs: DataFrame, pages_at: str, output: str, attempt: str, seeds: DataFrame, base_url: Column | str, tally: metrics.Tally
 ) -> None:
+    spark = runs.sparkSession
     in_time, late = run_pages(spark, pages_at, runs)
     usable = in_time.filter(crawl.is_html_response(F.col("status"), F.col("content_type")))
-    rows = catalogue.scan_result(catalogue.page_tiles(usable, seeds, base_url, KEYS), KEYS)
+    rows = catalogue.scan_result(catalogue.page_tiles(usable, seeds, base_url, KEYS, tally=tally), KEYS, tally=tally)
     stamped = rows.join(runs.select("run_id", "run_ts"), "run_id")
     snapshot = stamped.select(
         F.date_trunc("second", "run_ts").alias("ts"),
@@ -89,13 +158,9 @@ def _land(
         *[c for c in CATALOGUE.names if c not in ("ts", "category")],
         "run_id",
     )
-    by_run = {"partitionOverwriteMode": "dynamic"}
-    for run in runs.select("run_id").distinct().collect():
-        for stored in (snapshot_at, late_at):
-            _clear(spark, f"{stored}/run_id={run['run_id']}")
-    snapshot.write.mode("overwrite").options(**by_run).partitionBy("run_id").parquet(snapshot_at)
-    counted = late.groupBy("run_id").agg(F.count("*").alias("late_pages"))
-    counted.write.mode("overwrite").options(**by_run).partitionBy("run_id").parquet(late_at)
+    counted = tally.watch("late pages", late).groupBy("run_id").agg(F.count("*").alias("late_pages"))
+    for kind, kept in (("snapshot", tally.watch("snapshot", snapshot)), ("late", counted)):
+        kept.write.partitionBy("run_id").parquet(f"{output}/{kind}/attempt={attempt}")
 
 
 def catalogue_stream(
@@ -105,12 +170,13 @@ def catalogue_stream(
     seeds: DataFrame,
     base_url: Column | str,
     runs_per_batch: int = 16,
+    metrics_table: str | None = None,
 ) -> StreamingQuery:
-    """Process every run whose manifest is new since the last call, then stop."""
+    """Process every run whose manifest is new since the last call, then stop. Read it with ``landed``."""
 
     def batch(runs: DataFrame, _: int) -> None:
         runs = runs.dropDuplicates(["run_id"])
-        land_runs(runs, f"{landing}/pages", f"{output}/snapshot", f"{output}/late", seeds, base_url)
+        land_runs(runs, f"{landing}/pages", output, seeds, base_url, metrics_table)
 
     return (
         manifests(spark, f"{landing}/manifests", runs_per_batch)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import itertools
+import threading
 import uuid
 import warnings
 
@@ -353,6 +354,85 @@ def test_guarded_overwrite(spark, table):
     assert spark.table(table).schema["sold_qty"].dataType.simpleString() == "bigint"
 
 
+def versions(spark, table):
+    files, folder = sinks._file_system(spark, sinks._versions(spark, table))
+    return {f.getPath().getName() for f in files.listStatus(folder)}
+
+
+def test_a_load_is_one_write_and_keeps_one_version_before_it(spark, table):
+    for n in (1, 2, 3):
+        sinks.replace_table(spark.range(n), table)
+        assert spark.table(table).count() == n
+    assert len(versions(spark, table)) == 2
+    sinks.replace_table(spark.table(table).where("id > 0"), table)
+    assert sorted(r["id"] for r in spark.table(table).collect()) == [1, 2]
+    assert len(versions(spark, table)) == 2
+
+
+def test_a_killed_load_leaves_the_old_rows(spark, table, monkeypatch):
+    sinks.replace_table(spark.range(2), table)
+
+    def die(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m, pytest.raises(KeyboardInterrupt):
+        m.setattr(sinks, "_install", die)
+        sinks.replace_table(spark.range(9), table)
+    assert spark.table(table).count() == 2 and len(versions(spark, table)) == 2
+    sinks.replace_table(spark.range(5), table)
+    assert spark.table(table).count() == 5
+    left = {sinks._stored_at(spark, table).rsplit("/", 1)[-1]}
+    assert left < versions(spark, table) and len(versions(spark, table)) == 2
+
+
+def test_readers_always_see_one_whole_version(spark, table):
+    sinks.replace_table(spark.range(100).selectExpr("0 AS version"), table)
+    begun, seen, stop = spark.table(table), [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            seen.append(spark.table(table).groupBy("version").count().collect())
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in range(1, 6):
+        sinks.replace_table(spark.range(100).selectExpr(f"{n} AS version"), table)
+        if n == 1:
+            # A query that was defined on the version before still reads it.
+            assert [tuple(r) for r in begun.distinct().collect()] == [(0,)]
+    stop.set()
+    reader.join()
+    assert seen and all(len(rows) == 1 and rows[0]["count"] == 100 for rows in seen)
+
+
+def test_partitioned_and_other_tables_are_replaced(spark, table):
+    spark.range(4).selectExpr("id", "id % 2 AS part").write.partitionBy("part").saveAsTable(table)
+    sinks.replace_table(spark.range(9).selectExpr("id % 3 AS part", "id"), table)
+    assert spark.table(table).where("part = 2").count() == 3 and spark.table(table).count() == 9
+    assert [c.name for c in spark.catalog.listColumns(table) if c.isPartition] == ["part"]
+
+
+def test_tabs_are_written_side_by_side(spark):
+    prefix = f"side_{uuid.uuid4().hex[:8]}_"
+    # Each tab waits until all have begun, which a writer of one tab after another would never see.
+    met = threading.Barrier(4, timeout=60)
+    store = sinks.replace_table
+
+    def meet(df, table, schema=None):
+        met.wait()
+        if table.endswith("c"):
+            raise ValueError("no such fee")
+        store(df, table, schema)
+
+    frames = {t: spark.range(n) for n, t in enumerate("abcd")}
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(sinks, "replace_table", meet)
+        said = sinks.write_tabs(frames, {t: t for t in "abcd"}, prefix)
+    assert list(said.items()) == [("a", "ok"), ("b", "ok"), ("c", "ValueError: no such fee"), ("d", "ok")]
+    assert spark.table(f"{prefix}d").count() == 3 and not spark.catalog.tableExists(f"{prefix}c")
+    assert sinks.write_tabs({}, {}) == {}
+
+
 def test_append_accumulates_by_run(spark, table):
     row = lambda ts: spark.createDataFrame([(ts, "t")], "ts STRING, title STRING").withColumn("ts", F.col("ts").cast("timestamp"))
     sinks.append_snapshot(row("2024-05-01 01:00:00"), table, CATALOGUE)
@@ -387,6 +467,16 @@ def test_append_under_header(spark, tmp_path):
     assert stored.count() == 4 and ("two\nlines\\n", None) in {tuple(r) for r in stored.collect()}
 
 
+def test_a_step_is_counted_once(spark):
+    tally = metrics.Tally()
+    rows = tally.watch("write", spark.range(6), even=F.count_if(F.col("id") % 2 == 0), none=F.sum(F.lit(None).cast("int")))
+    with pytest.raises(ValueError, match="counted already"):
+        tally.watch("write", spark.range(1))
+    rows.write.format("noop").mode("overwrite").save()
+    found = {(r["run"], r["step"], r["counter"]): r["value"] for r in tally.frame(spark, "r").collect()}
+    assert found == {("r", "write", "even"): 3, ("r", "write", "none"): 0}
+
+
 def test_observed_rows(spark, table):
     rows, seen = metrics.observed(spark.range(7), "n")
     sinks.replace_table(rows, table)
