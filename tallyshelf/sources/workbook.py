@@ -36,7 +36,6 @@ RAW_TYPE = (
     "cells ARRAY<STRING>, kinds ARRAY<STRING>, error STRING"
 )
 _BATCH = 2000
-_SMALL_SHEET = 8 * 1024 * 1024
 
 # Built-in number formats that show a date or time.
 _DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
@@ -143,17 +142,15 @@ class _Book:
         return number, found
 
     def _elements(self, member: str) -> Iterator:
-        """Row elements: of the whole sheet at once when it is small, else as it is read."""
-        if self.zip.getinfo(member).file_size <= _SMALL_SHEET:
-            for part in self._xml(member):
-                if _local(part.tag) == "sheetData":
-                    yield from part
-            return
+        """Row elements of a sheet's data as the file is read; what follows the data is read too, to its end."""
         with self.zip.open(member) as source:
+            ended = False
             for _, element in ElementTree.iterparse(source):
-                if _local(element.tag) == "row":
+                name = _local(element.tag)
+                if name == "row" and not ended:
                     yield element
                     element.clear()
+                ended = ended or name == "sheetData"
 
     def rows(self, member: str) -> Iterator[tuple[int, dict[int, tuple[str | None, str]]]]:
         """``row number, {column: (text, kind)}``, blank text cells left out."""
@@ -181,11 +178,10 @@ def unique_names(raw: Sequence[str | None]) -> list[str]:
 
 def _sheet_rows(book: _Book, path: str, pos: int) -> Iterator[dict]:
     sheet, member = book.sheets[pos]
-    # First pass: extent of the sheet, and proof that it can be read to the end. A small sheet
-    # is kept; a large one is read again.
-    kept = list(book.rows(member)) if book.zip.getinfo(member).file_size <= _SMALL_SHEET else None
+    # First pass: extent of the sheet, and proof that it can be read to the end. The second puts rows out, so
+    # that no sheet is held whole.
     width, last = 0, -1
-    for number, found in kept if kept is not None else book.rows(member):
+    for number, found in book.rows(member):
         if found:
             width, last = max(width, max(found) + 1), max(last, number)
 
@@ -194,7 +190,7 @@ def _sheet_rows(book: _Book, path: str, pos: int) -> Iterator[dict]:
         return [shown for shown, _ in cells], [kind for _, kind in cells]
 
     header, expected = None, 0
-    for number, found in kept if kept is not None else book.rows(member):
+    for number, found in book.rows(member):
         if number > last:
             break
         for at in range(expected, number + 1):

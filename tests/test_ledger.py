@@ -284,13 +284,15 @@ def test_workbook_cells(spark, tmp_path):
     assert (rows[3]["cells"], rows[3]["kinds"]) == ([None, None, "keep", "2024-04-01 00:00:00"], ["e", "e", "s", "d"])
 
 
-def test_large_sheets_are_read_as_a_stream(spark, tmp_path, monkeypatch):
-    body = "".join(f'<row>{text_cell("a" if i == 0 else i)}</row>' for i in range(50))
-    book(tmp_path / "a.xlsx", ("S", body))
-    content = (tmp_path / "a.xlsx").read_bytes()
-    small = list(workbook._book_rows("p", content, None))
-    monkeypatch.setattr(workbook, "_SMALL_SHEET", 0)
-    assert list(workbook._book_rows("p", content, None)) == small and len(small) == 50
+def test_sheets_are_read_as_a_stream(tmp_path):
+    lines = "".join(f'<row>{text_cell("a" if i == 0 else i)}</row>' for i in range(50))
+    # Rows of the data only; the other sheet's XML breaks off behind them.
+    book(tmp_path / "a.xlsx", ("S", f"{lines}</sheetData><controls><anchor><row>7</row></anchor></controls><sheetData>"))
+    rows = list(workbook._book_rows("p", (tmp_path / "a.xlsx").read_bytes(), None))
+    assert [r["cells"] for r in rows] == [["a"], *([str(i)] for i in range(1, 50))]
+    book(tmp_path / "b.xlsx", ("S", f"{lines}</sheetData><controls>"))
+    broken = list(workbook._book_rows("p", (tmp_path / "b.xlsx").read_bytes(), None))
+    assert len(broken) == 1 and "ParseError" in broken[0]["error"]
 
 
 def test_repeated_names():
