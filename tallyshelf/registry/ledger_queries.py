@@ -13,7 +13,7 @@ from tallyshelf.plans import ledger
 from tallyshelf.plans.schemas import CATALOGUE, COMPLETED_ORDERS, STATEMENT_SCHEMAS, STATEMENT_TABS, STOCK
 from tallyshelf.registry import rendered_sheets as rs
 from tallyshelf.registry.tables import RUN_TS, table
-from tallyshelf.sources import workbook
+from tallyshelf.sources import exports, workbook
 
 SHOP = "Example Store"
 
@@ -108,7 +108,7 @@ def csv_export(spark, sf):
     cells = F.col("cells")
     named = [F.get(cells, F.lit(i)).alias(n) for i, n in enumerate(rs.STOCK_NAMES)]
     rs.stock_sheet(spark, sf).select(*named).write.option("header", True).csv(spot)
-    return ledger.stock(workbook.csv_rows(spark, spot), SHOP, RUN_TS)
+    return ledger.stock(exports.csv_rows(spark, spot), SHOP, RUN_TS)
 
 
 def csv_mixed_headers(spark, sf):
@@ -118,7 +118,18 @@ def csv_mixed_headers(spark, sf):
     rows = ledger.data_rows(rs.stock_sheet(spark, sf)).withColumn("half", F.pmod(F.xxhash64("cells"), F.lit(2)))
     for half, (spot, columns) in enumerate(zip(spots, (named, named[::-1]))):
         rows.filter(F.col("half") == half).select(*columns).write.option("header", True).csv(spot)
-    return ledger.stock(workbook.csv_rows(spark, spots), SHOP, RUN_TS)
+    return ledger.stock(exports.csv_rows(spark, spots), SHOP, RUN_TS)
+
+
+def csv_texts(spark, sf):
+    """Whole texts, line breaks and quotes among them, through a CSV export that Spark splits anywhere."""
+    spot = f"{session.scratch_root(spark)}/{_fresh('texts_csv')}"
+    docs = load(spark, sf, "documents").select("doc_id", "source", "text")
+    plain = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    docs.write.options(**plain).csv(spot)
+    cell = lambda i: F.get("cells", F.lit(i))
+    found = exports.csv_rows(spark, spot)
+    return found.select(cell(0).cast("long").alias("doc_id"), cell(1).alias("source"), cell(2).alias("text"))
 
 
 def create_if_missing(spark, sf):
@@ -271,6 +282,7 @@ QUERIES = {
     "tab_failures": tab_failures,
     "csv_export": csv_export,
     "csv_mixed_headers": csv_mixed_headers,
+    "csv_texts": csv_texts,
     "create_if_missing": create_if_missing,
     "extra_type_inference": extra_type_inference,
     "header_inventory": header_inventory,
@@ -464,3 +476,7 @@ SQL = {
 
 SQL["csv_export"] = SQL["stock"]
 SQL["csv_mixed_headers"] = SQL["csv_export"]
+SQL["csv_texts"] = f"""
+SELECT doc_id, CASE WHEN source NOT IN {NA_LIST} THEN source END AS source,
+  CASE WHEN text NOT IN {NA_LIST} THEN regexp_replace(text, '\\r\\n?', chr(10), 'g') END AS text FROM documents
+"""

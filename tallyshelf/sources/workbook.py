@@ -1,4 +1,4 @@
-"""Exported workbooks (xlsx) and CSV exports to the raw sheet layer.
+"""Exported workbooks (xlsx) to the raw sheet layer.
 
 One output row per sheet row: ``path, sheet, sheet_pos, row_idx, header, cells, kinds, error``.
 ``row_idx`` 0 repeats the header; every row carries its sheet's header, so later steps find a
@@ -11,15 +11,12 @@ Spark hands out files to tasks. A workbook cannot be split, but the format limit
 
 from __future__ import annotations
 
-import csv
 import datetime as dt
 import io
 import re
 import warnings
 import zipfile
 from collections.abc import Iterator, Sequence
-from functools import reduce
-from urllib.parse import unquote
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -273,40 +270,6 @@ def decoded(files: DataFrame, tabs: Sequence[str] | None = None) -> DataFrame:
     return files.select("path", "content").mapInArrow(_reader(wanted), RAW_TYPE)
 
 
-def csv_rows(spark: SparkSession, location: str | Sequence[str], line_breaks: bool = True) -> DataFrame:
-    """Raw sheet layer of CSV exports; every file is read under its own header line.
-
-    Files are grouped by header line, of which there are few. With ``line_breaks`` a cell may
-    hold line breaks, and then a file cannot be split; without, large files are split.
-    """
-    start = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    lines = spark.read.text(location).select("value", F.col("_metadata.file_path").alias("path"), start.alias("at"))
-    firsts = lines.filter("at.file_block_start = 0").groupBy("path").agg(F.min_by("value", "at").alias("line"))
-    files: dict[str, list[str]] = {}
-    for r in firsts.collect():  # one row per file
-        files.setdefault(r["line"], []).append(unquote(r["path"]))
-    found = [_csv_of(spark, paths, next(csv.reader([line])), line_breaks) for line, paths in files.items()]
-    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], RAW_TYPE)
-
-
-def _csv_of(spark: SparkSession, paths: list[str], header: list[str], line_breaks: bool) -> DataFrame:
-    names = unique_names(header)
-    schema = ", ".join(f"c{i} STRING" for i in range(len(names)))
-    reader = spark.read.schema(schema).option("header", True).option("escape", '"')
-    table = reader.option("multiLine", line_breaks).csv(paths)
-    cells = F.array(*[F.when(~F.col(f"c{i}").isin(*NA_TOKENS), F.col(f"c{i}")) for i in range(len(names))])
-    return table.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.lit("csv").alias("sheet"),
-        F.lit(0).alias("sheet_pos"),
-        F.lit(1).alias("row_idx"),
-        F.array(*[F.lit(n) for n in names]).alias("header"),
-        cells.alias("cells"),
-        F.transform(cells, lambda c: F.when(c.isNull(), "e").otherwise("s")).alias("kinds"),
-        F.lit(None).cast("string").alias("error"),
-    )
-
-
 def read_errors(raw: DataFrame) -> DataFrame:
     return raw.filter("error IS NOT NULL").select("path", "error")
 

@@ -17,7 +17,7 @@ from tallyshelf.functions import typed
 from tallyshelf.operators import align, metrics, sinks
 from tallyshelf.plans import ledger
 from tallyshelf.plans.schemas import CATALOGUE, COMPLETED_ORDERS, STATEMENT_SCHEMAS, STATEMENT_TABS, STOCK, STOCK_HEADERS
-from tallyshelf.sources import workbook
+from tallyshelf.sources import exports, workbook
 from tallyshelf.sources.workbook import RAW_TYPE, unique_names
 
 STAMP = dt.datetime(2024, 4, 1, 10, 0)
@@ -320,7 +320,7 @@ def test_folder_of_workbooks(spark, tmp_path):
 
 def test_csv_export(spark, tmp_path):
     (tmp_path / "s.csv").write_text("Store ID,Fine\ns1,2\nN/A,\n")
-    rows = workbook.csv_rows(spark, str(tmp_path / "s.csv")).select("header", "cells", "kinds").collect()
+    rows = exports.csv_rows(spark, str(tmp_path / "s.csv")).select("header", "cells", "kinds").collect()
     assert rows[0]["cells"] == ["s1", "2"] and rows[1]["cells"] == [None, None] and rows[1]["kinds"] == ["e", "e"]
 
 
