@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyshelf import session
+from tallyshelf.functions.text import NA_TOKENS
 from tallyshelf.operators import align, metrics, sinks
 from tallyshelf.plans import ledger
 from tallyshelf.plans.schemas import CATALOGUE, COMPLETED_ORDERS, STATEMENT_SCHEMAS, STATEMENT_TABS, STOCK
@@ -124,7 +125,7 @@ def csv_mixed_headers(spark, sf):
 def csv_texts(spark, sf):
     """Whole texts, line breaks and quotes among them, through a CSV export that Spark splits anywhere."""
     spot = f"{session.scratch_root(spark)}/{_fresh('texts_csv')}"
-    docs = load(spark, sf, "documents").select("doc_id", "source", "text")
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
     plain = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     docs.write.options(**plain).csv(spot)
     cell = lambda i: F.get("cells", F.lit(i))
@@ -476,7 +477,8 @@ SQL = {
 
 SQL["csv_export"] = SQL["stock"]
 SQL["csv_mixed_headers"] = SQL["csv_export"]
+_MISSING = ", ".join(f"'{token}'" for token in NA_TOKENS)
 SQL["csv_texts"] = f"""
-SELECT doc_id, CASE WHEN source NOT IN {NA_LIST} THEN source END AS source,
-  CASE WHEN text NOT IN {NA_LIST} THEN regexp_replace(text, '\\r\\n?', chr(10), 'g') END AS text FROM documents
+SELECT doc_id, CASE WHEN source NOT IN ({_MISSING}) THEN source END AS source,
+  CASE WHEN text NOT IN ({_MISSING}) THEN regexp_replace(text, '\\r\\n?', chr(10), 'g') END AS text FROM documents
 """
