@@ -3,16 +3,19 @@
 DataFrame functions only. Words are runs of ASCII letters and digits and of non-ASCII characters,
 A-Z lower-cased. Phrases are found where their words follow each other.
 
-Templates are word sets. A block (a line of a text) meets a template if it holds at least
-``threshold`` of the template's words. Template words are ordered by their frequency over all blocks,
-rarest first. A block that meets a template of n words lacks fewer than n - o + 1 of them, with o =
-ceil(threshold * n), so it holds one of the template's n - o + 1 rarest words, its prefix (prefix
-filter). Blocks are joined to templates on prefix words, each pair once, on its first common prefix
-word; a block needs at least o words of any template (length filter), and no more words can be
-common than the template has from the first common word on (positional filter). What is left is
-counted exactly.
-
-The vocabulary and the prefix table have the size of the templates, whatever the corpus; only they
+Templates are sets of word pairs: two words that follow each other, so that word order counts. A block is
+a window of ``2 * stride`` pairs; windows begin at every ``stride``-th word of the whole text, whatever its
+lines, and ``stride`` is the length of the longest template, so a notice that stands in one piece lies
+wholly within a window. A block meets a template of n pairs if it holds at least o = ceil(threshold * n)
+of them. A word that sets licenses apart stands in two pairs, so a notice of another license lacks both.
+
+Pairs are ordered by their frequency over all blocks, rarest first, in templates and blocks. A template and
+a block that meet share one of the template's first n - o + 1 pairs, and one of the block's first m - o + 1
+of m (prefix filter); m is at least o (length filter); no more pairs can be common than either side has from
+the first common one on (positional filter). Blocks are joined to templates on prefix pairs, each two once,
+on their first common one. What is left is counted exactly.
+
+The list of known pairs and the prefix table have the size of the templates, whatever the corpus; only they
 come to the driver or are sent to all tasks.
 
 Defined cases: a null text is empty; a text without words has no places, labels or score; rows are
@@ -49,7 +52,7 @@ TEMPLATES = {
         "redistribution and use in source and binary forms with or without modification are permitted",
         "released under the bsd license",
     ],
-    "cc-by": ["this work is licensed under a creative commons attribution 4 0 international license"],
+    "cc-by": ["creative commons attribution 4 0"],
     "cc-by-nc": ["licensed under cc by nc 4 0"],
     "gpl": [
         "this work is licensed under the gnu general public license version 3",
@@ -113,8 +116,40 @@ def phrase_facts(text: Column, phrases: Mapping[str, str]) -> Column:
     return F.when(text.rlike(any_phrase), F.transform(F.array(starts), summed)[0]).otherwise(none)
 
 
+def pairs_of(words: Sequence[str]) -> list[str]:
+    return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
+
+
 def template_sets(templates: Mapping[str, Sequence[str]]) -> list[tuple[str, list[str]]]:
-    return [(label, sorted(set(text.split()))) for label, texts in templates.items() for text in texts]
+    return [(label, pairs_of(text.split())) for label, texts in templates.items() for text in texts]
+
+
+def stride_of(templates: Mapping[str, Sequence[str]]) -> int:
+    return max(len(text.split()) for texts in templates.values() for text in texts)
+
+
+def least_of(pairs: Sequence[str], threshold: float) -> int:
+    return ceil(threshold * len(pairs) - 1e-9)
+
+
+def known_pairs(text: Column, known: Sequence[str]) -> Column:
+    """``place, pair`` of the known word pairs of a text; the words are listed only where one stands."""
+    followers: dict[str, list[str]] = {}
+    for pair in known:
+        first, second = pair.split()
+        followers.setdefault(first, []).append(second)
+    any_pair = alone("|".join(f"{first}{_GAP}(?:{'|'.join(seconds)})" for first, seconds in followers.items()))
+    words = F.regexp_extract_all(F.translate(text, _UPPER, _LOWER), F.lit(WORD), F.lit(0))
+    firsts, every = F.array(*map(F.lit, followers)), F.array(*map(F.lit, known))
+
+    def found(w: Column) -> Column:
+        # Most words begin no known pair and are passed over before a pair is written down.
+        begun = F.filter(F.sequence(F.lit(0), F.size(w) - 2), lambda i: F.array_contains(firsts, F.get(w, i)))
+        pairs = F.transform(begun, lambda i: F.struct(i.alias("place"), F.concat_ws(" ", F.get(w, i), F.get(w, i + 1)).alias("pair")))
+        return F.filter(pairs, lambda p: F.array_contains(every, p["pair"]))
+
+    none = F.array().cast("array<struct<place:int,pair:string>>")
+    return F.when(text.rlike(any_pair), F.transform(F.array(words), lambda w: found(w))[0]).otherwise(none)
 
 
 def scan(
@@ -132,55 +167,57 @@ def scan(
     """
     spark = docs.sparkSession
     scratch = shared.Scratch(spark, "licenses")
-    sets = template_sets(templates)
-    vocabulary = sorted({w for _, words in sets for w in words})
-    needed = [ceil(threshold * len(words) - 1e-9) for _, words in sets]
-    known = alone("|".join(sorted(vocabulary, key=len, reverse=True)))
+    sets, stride = template_sets(templates), stride_of(templates)
+    known = sorted({pair for _, pairs in sets for pair in pairs})
     body = F.col("body")
-    # Words of the vocabulary in each block; all that the join needs of the text, read in one pass.
-    hits = lambda line: F.array_distinct(
-        F.transform(F.regexp_extract_all(line, F.lit(known), F.lit(0)), lambda w: F.lower(w))
-    )
-    blocks = F.filter(F.transform(F.split(body, "\n", -1), hits), lambda words: F.size(words) > 0)
     rows = docs.select(F.col(key).alias("id"), *shared.row_key(F.col(key), F.col(text)), shared.whole(F.col(text)).alias("body"))
     facts = rows.select(
         "id", "row_a", "row_b",
         F.regexp_count(body, F.lit(WORD)).cast("long").alias("n_words"),
         phrase_facts(body, phrases).alias("found"),
-        blocks.alias("blocks"),
+        known_pairs(body, known).alias("hits"),
     )
-    facts = scratch.write(facts.select("id", "row_a", "row_b", "n_words", "found.*", "blocks"))
-
-    # Global frequency of every vocabulary word, in blocks.
-    counts = facts.select(F.explode(F.flatten("blocks")).alias("word")).groupBy("word").count()
-    frequency = {r["word"]: r["count"] for r in counts.collect()}
-    rank = lambda w: (frequency.get(w, 0), w)
+    facts = scratch.write(facts.select("id", "row_a", "row_b", "n_words", "found.*", "hits"))
+
+    # A pair lies in two windows, at the start of a text in one.
+    hits = facts.select("row_a", "row_b", F.explode("hits").alias("hit")).select("row_a", "row_b", "hit.*")
+    window = F.floor(F.col("place") / F.lit(stride)).cast("int")
+    hits = hits.withColumn("window", F.explode(F.sequence(F.greatest(window - 1, F.lit(0)), window)))
+    blocks = hits.groupBy("row_a", "row_b", "window").agg(F.collect_set("pair").alias("pairs"))
+    least = [least_of(pairs, threshold) for _, pairs in sets]
+    blocks = scratch.write(blocks.where(F.size("pairs") >= min(least)))
+
+    # Global frequency of every known pair, in blocks.
+    counts = blocks.select(F.explode("pairs").alias("pair")).groupBy("pair").count()
+    frequency = {r["pair"]: r["count"] for r in counts.collect()}
+    by_rarity = sorted(known, key=lambda pair: (frequency.get(pair, 0), pair))
+    rank = {pair: n for n, pair in enumerate(by_rarity)}
     prefix_rows = []
-    for number, ((label, words), least) in enumerate(zip(sets, needed)):
-        ordered = sorted(words, key=rank)
-        prefix = ordered[: len(ordered) - least + 1]
-        prefix_rows += [(w, number, label, place, prefix, ordered, least) for place, w in enumerate(prefix)]
+    for (label, pairs), o in zip(sets, least):
+        ordered = sorted(rank[pair] for pair in pairs)
+        prefix = ordered[: len(ordered) - o + 1]
+        prefix_rows += [(r, label, place, prefix, ordered, o) for place, r in enumerate(prefix)]
     table = spark.createDataFrame(
-        prefix_rows,
-        "word string, template int, label string, place int, prefix array<string>, ordered array<string>, least int",
+        prefix_rows, "rank int, label string, place int, prefix array<int>, ordered array<int>, least int"
     )
 
-    prefix_words = F.array(*(F.lit(w) for w in sorted({r[0] for r in prefix_rows})))
-    block = facts.select("row_a", "row_b", F.explode("blocks").alias("words"))
-    block = block.where(F.size("words") >= min(needed)).where(F.arrays_overlap("words", prefix_words))
-    block = block.select("*", F.explode(F.array_intersect("words", prefix_words)).alias("word"))
-    pairs = block.join(F.broadcast(table), "word")
-    pairs = pairs.where(F.size("words") >= F.col("least"))
-    pairs = pairs.where(F.size("ordered") - F.col("place") >= F.col("least"))
-    pairs = pairs.where(F.get(F.array_intersect("prefix", "words"), F.lit(0)) == F.col("word"))
-    common = F.size(F.array_intersect("ordered", "words"))
-    met = pairs.select("row_a", "row_b", "label", "least", common.alias("common"), F.size("ordered").alias("n"))
+    places = F.array(*map(F.lit, by_rarity))
+    ranks = F.sort_array(F.transform("pairs", lambda pair: (F.array_position(places, pair) - 1).cast("int")))
+    block = blocks.select("row_a", "row_b", ranks.alias("own"))
+    begin = F.slice("own", F.lit(1), F.size("own") - min(least) + 1)
+    block = block.select("row_a", "row_b", "own", F.posexplode(begin).alias("at", "rank"))
+    met = block.join(F.broadcast(table), "rank")
+    left = F.least(F.size("own") - F.col("at"), F.size("ordered") - F.col("place"))
+    met = met.where(F.size("own") >= F.col("least")).where(left >= F.col("least"))
+    met = met.where(F.array_min(F.array_intersect("prefix", "own")) == F.col("rank"))
+    common = F.size(F.array_intersect("ordered", "own"))
+    met = met.select("row_a", "row_b", "label", "least", common.alias("common"), F.size("ordered").alias("n"))
     met = met.where(F.col("common") >= F.col("least"))
     met = met.groupBy("row_a", "row_b").agg(
         F.collect_set("label").alias("more"), F.max(F.col("common") / F.col("n")).alias("share")
     )
 
-    joined = facts.drop("blocks").join(met, ["row_a", "row_b"], "left")
+    joined = facts.drop("hits").join(met, ["row_a", "row_b"], "left")
     labels = F.array_union("base", F.coalesce("more", F.array().cast("array<string>")))
     return joined.select(
         F.col("id").alias(key),

@@ -76,7 +76,8 @@ def _licenses_sql() -> str:
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     low = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     phrases = ", ".join(f"({p.split()!r}, '{label}')" for p, label in licenses.PHRASES.items())
-    templates = ", ".join(f"({words!r}, '{label}')" for label, words in licenses.template_sets(licenses.TEMPLATES))
+    templates = ", ".join(f"({pairs!r}, '{label}')" for label, pairs in licenses.template_sets(licenses.TEMPLATES))
+    stride = licenses.stride_of(licenses.TEMPLATES)
     return f"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all({low.format("coalesce(text, '')")}, '{word}') AS w FROM documents
@@ -88,9 +89,13 @@ WITH words AS (
 ), base AS (
   SELECT doc_id, count(*) AS n, min(i) AS lo, max(i) AS hi, list(DISTINCT label) AS labels
   FROM starts, phrases WHERE w[i + 1:i + len(p)] = p GROUP BY doc_id
+), pairs AS (
+  SELECT doc_id, i, w[i + 1] || ' ' || w[i + 2] AS pair FROM (SELECT doc_id, w, unnest(range(len(w) - 1)) AS i FROM words)
 ), blocks AS (
-  SELECT DISTINCT doc_id, list_distinct(regexp_extract_all(line, '{word}')) AS b
-  FROM (SELECT doc_id, unnest(string_split({low.format("coalesce(text, '')")}, chr(10))) AS line FROM documents)
+  SELECT doc_id, win, list(DISTINCT pair) AS b FROM (
+    SELECT doc_id, pair, unnest([i // {stride}, i // {stride} - 1]) AS win FROM pairs
+    WHERE pair IN (SELECT unnest(t) FROM templates)
+  ) WHERE win >= 0 GROUP BY doc_id, win
 ), met AS (
   SELECT doc_id, list(DISTINCT label) AS labels, max(len(list_intersect(t, b)) / len(t)) AS share
   FROM blocks, templates WHERE len(list_intersect(t, b)) >= ceil(0.8 * len(t) - 1e-9) GROUP BY doc_id

@@ -407,6 +407,11 @@ def test_license_phrases_and_templates(spark):
         None, "", "É word_word 12",
         "this program is free software you can redistribute it or else",
         "released under\nthe mit\nlicense " + "word " * 3000,
+        "word " * 29 + "Redistribution and use in source and binary forms, with or without\n * modification, are permitted " + "a b " * 9,
+        "Licensed under the GNU Affero General Public License, version 3", "licensed under CC BY-NC 4.0", "under CC BY 4.0 licensed",
+        "Creative Commons Attribution-NonCommercial 4.0", "Creative Commons Attribution 4.0", "released", "this work " * 40,
+        "This work is licensed under the GNU General Public License, version 3.",
+        "this work is licensed " + "under the " * 20 + "gnu general public license version 3",
     ]
     rows = [(n, t) for n, t in enumerate(texts)] + [(0, texts[0]), (None, texts[1])]
     found = Counter(tuple(r) for r in licenses.scan(frame(spark, rows)).collect())
@@ -417,8 +422,9 @@ def test_license_phrases_and_templates(spark):
         words = word.findall(lower(t or ""))
         at = [(k, label) for p, label in licenses.PHRASES.items() for k in range(len(words)) if words[k : k + len(p.split())] == p.split()]
         share, more = 0.0, set()
-        for line in (t or "").split("\n"):
-            held = set(word.findall(lower(line)))
+        pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
+        for begin in range(0, len(pairs), 16):
+            held = set(pairs[begin : begin + 32])
             for label, wanted in licenses.template_sets(licenses.TEMPLATES):
                 part = len(held & set(wanted)) / len(wanted)
                 if part >= 0.8:
@@ -431,6 +437,24 @@ def test_license_phrases_and_templates(spark):
     assert found == expected
 
 
+def test_notices_get_no_second_license(spark):
+    notices = {
+        "Released under the MIT License.": "mit",
+        "This work is licensed under the GNU General Public License, version 3.": "gpl",
+        "Licensed under the GNU Affero General Public License, version 3": "agpl",
+        "Licensed under the Apache License, Version 2.0.": "apache",
+        "Released under the BSD license": "bsd",
+        "Licensed under CC BY 4.0": "cc-by",
+        "Licensed under CC BY-NC 4.0": "cc-by,cc-by-nc",  # the phrase "cc by" is a base label
+        "Creative Commons Attribution-NonCommercial 4.0 International License": "",
+        "a\n * Redistribution and use in source and binary forms, with or\n * without modification, are permitted": "bsd",
+        "the code is released and the data under a license from the mit and the bsd": "",
+    }
+    texts = [lead + t + tail for t in notices for lead in ("", "word " * 15, "x\n" * 31) for tail in ("", " word" * 40)]
+    found = {r["doc_id"]: r["labels"] for r in licenses.scan(frame(spark, list(enumerate(texts)))).collect()}
+    assert [found[n] for n in range(len(texts))] == [label for label in notices.values() for _ in range(6)]
+
+
 # ---- personal data ---------------------------------------------------------------------------
 
 BASE = {
