@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 # (no type suffixes such as 5d), wider than plain digits (1e3, .5, 5., inf).
 NUMBER = r"(?i)^\s*[+-]?(?:\d+\.?\d*(?:e[+-]?\d+)?|\.\d+(?:e[+-]?\d+)?|inf|infinity)\s*$"
 WHOLE = r"^\s*[+-]?\d{1,18}\s*$"
+LONG_WHOLE = r"^\s*[+-]?\d{19,35}\s*$"
 FRACTIONAL_MARK = r"(?i)[.e]|inf"
 
 _CLOCK = r"(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?)?"
@@ -110,7 +111,11 @@ def stamp_or_null(c: Column, kind: Column | None = None, day_first: bool = False
         return stamp
     nanos = F.trim(c).try_cast("bigint")
     micros = F.when(nanos.isNotNull(), F.call_function("div", nanos - F.pmod(nanos, F.lit(1000)), F.lit(1000)))
-    micros = F.coalesce(micros, F.floor(number_or_null(c) / F.lit(1000)).try_cast("bigint"))
+    # Beyond BIGINT, which ends in the year 2262, digits are counted as decimals, never through DOUBLE.
+    long_nanos = F.when(c.rlike(LONG_WHOLE), F.trim(c).try_cast("decimal(38,0)"))
+    long_micros = F.floor(long_nanos.cast("decimal(38,3)") / F.lit(1000).cast("decimal(4,0)")).try_cast("bigint")
+    other = F.when(~c.rlike(LONG_WHOLE), F.floor(number_or_null(c) / F.lit(1000)).try_cast("bigint"))
+    micros = F.coalesce(micros, long_micros, other)
     return F.when(kind == "n", F.timestamp_micros(micros)).otherwise(stamp)
 
 

@@ -234,7 +234,8 @@ def mixed_fraction_stamps(spark, sf):
 def epoch_numbers(spark, sf):
     """Number cells in a time column count nanoseconds since the epoch."""
     rows = table(spark, sf, "events").selectExpr(
-        "event_id", "CAST(event_id * 86400000000000 + user_id * 1000000000 AS STRING) AS cell"
+        "event_id",
+        "CAST(CAST(event_id AS DECIMAL(20, 0)) * 86400000000000 + CAST(user_id AS DECIMAL(20, 0)) * 1000000000 AS STRING) AS cell",
     )
     return rows.select("event_id", typed.stamp_or_null(F.col("cell"), F.lit("n")).alias("stamp"))
 
