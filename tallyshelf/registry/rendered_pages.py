@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyshelf.registry.tables import table
+from tallyshelf.registry.tables import spread, table
 from tallyshelf.sources import crawl
 
 SLUGS = ("audio", "power", "smart-office", "personal-care", "home-appliances", "gift-cards")
@@ -334,8 +334,11 @@ _VARIATIONS = _case(
 
 
 def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``url, html``; parts of size 13 have no page and parts of size 26 an empty one."""
-    part = table(spark, sf_dir, "part").selectExpr(
+    """``url, html``; parts of size 13 have no page and parts of size 26 an empty one.
+
+    The narrow rows are dealt to all cores: a file of parts is small, but the pages made from it are not.
+    """
+    part = spread(spark, sf_dir, "part").selectExpr(
         "*",
         "CAST(round(p_retailprice * 100) AS BIGINT) AS cents",
         "concat('https://phones', p_partkey div 10000, '.example/product/', replace(p_name, ' ', '-'), '-', p_partkey, '/') AS url",

@@ -12,3 +12,8 @@ RUN_TS = "2024-05-01 06:30:00"
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     session.apply_settings(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same rows dealt to all cores, for work that is far larger than the file they are read from."""
+    return table(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism)

@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from tallyshelf.functions import typed
-from tallyshelf.registry import text_queries
+from tallyshelf.registry import rendered_pages, text_queries
 
 
 def test_epoch_numbers_beyond_bigint(spark, tmp_path):
@@ -28,3 +28,15 @@ def test_long_nanoseconds_are_exact(spark):
     found = {r["cell"]: r["micros"] for r in rows.collect()}
     assert found.pop("1e3") == 1 and found.pop("9" * 30) is None
     assert found == {c: int(c) // 1000 for c in found}
+
+
+def test_product_pages_are_read_by_all_cores(spark, tmp_path):
+    part = {
+        "p_partkey": pa.array(range(100), pa.int64()), "p_name": ["red box"] * 100, "p_brand": ["Brand#1"] * 100,
+        "p_type": ["PROMO"] * 100, "p_size": pa.array([1] * 100, pa.int32()), "p_retailprice": [1.5] * 100,
+    }
+    pq.write_table(pa.table(part), tmp_path / "part.parquet")
+    pages = rendered_pages.product_pages(spark, str(tmp_path))
+    counts = pages.groupBy(F.spark_partition_id()).count().collect()
+    assert len(counts) == spark.sparkContext.defaultParallelism and max(r["count"] for r in counts) <= 50
+    assert pages.count() == 100
