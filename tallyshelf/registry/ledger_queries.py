@@ -185,8 +185,9 @@ def workbook_decode(spark, sf):
 
 def first_sheet_rows(spark, sf):
     """The first sheet of these workbooks is an empty cover: no rows and no error."""
-    raw = workbook.decoded(rs.workbooks(spark, sf))
-    lines = workbook.decoded(rs.workbooks(spark, sf), tabs=["lines", "no such tab"])
+    books = session.written(rs.workbooks(spark, sf), "books")
+    raw = workbook.decoded(books)
+    lines = workbook.decoded(books, tabs=["lines", "no such tab"])
     return raw.select("path", "error").unionByName(lines.filter("row_idx = 0").select("path", "error"))
 
 

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 from xml.sax.saxutils import escape
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyshelf import session
@@ -276,8 +278,11 @@ def day_first_sheets(spark: SparkSession, sf: str) -> DataFrame:
 # --- real workbooks ----------------------------------------------------------------------
 
 
-def _xlsx(rows: list[dict]) -> bytes:
-    """A workbook with the given lines on its second sheet: shared strings, a date style,
+_LINE_COLUMNS = ("l_orderkey", "l_linenumber", "l_extendedprice", "serial", "l_linestatus", "l_returnflag")
+
+
+def _xlsx(rows: Iterable[tuple]) -> bytes:
+    """A workbook with the given lines (``_LINE_COLUMNS``) on its second sheet: shared strings, a date style,
     booleans, numbers, an inline string and a missing cell."""
     strings: dict[str, int] = {}
 
@@ -285,12 +290,12 @@ def _xlsx(rows: list[dict]) -> bytes:
         return f'<c t="s"><v>{strings.setdefault(value, len(strings))}</v></c>'
 
     lines = ["<row>" + "".join(shared(h) for h in ("Order", "Line", "Price", "Shipped", "Open", "Flag", "Empty")) + "</row>"]
-    for r in rows:
-        missing = "<c/>" if r["l_linenumber"] == 7 else f"<c><v>{r['l_linenumber']}</v></c>"
+    for order, line, price, serial, status, flag in rows:
+        missing = "<c/>" if line == 7 else f"<c><v>{line}</v></c>"
         lines.append(
-            f"<row>{shared('00' + str(r['l_orderkey']))}{missing}<c><v>{r['l_extendedprice']!r}</v></c>"
-            f'<c s="1"><v>{r["serial"]}</v></c><c t="b"><v>{int(r["l_linestatus"] == "O")}</v></c>'
-            f'<c t="inlineStr"><is><t>{escape("<" + r["l_returnflag"] + "&")}</t></is></c><c t="e"><v>#N/A</v></c></row>'
+            f"<row>{shared(f'00{order}')}{missing}<c><v>{price!r}</v></c>"
+            f'<c s="1"><v>{serial}</v></c><c t="b"><v>{int(status == "O")}</v></c>'
+            f'<c t="inlineStr"><is><t>{escape("<" + flag + "&")}</t></is></c><c t="e"><v>#N/A</v></c></row>'
         )
     ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
     rel = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
@@ -303,7 +308,7 @@ def _xlsx(rows: list[dict]) -> bytes:
     }
     members["xl/sharedStrings.xml"] = f"<sst {ns}>" + "".join(f"<si><t>{escape(s)}</t></si>" for s in strings) + "</sst>"
     out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as book:
         for name, body in members.items():
             book.writestr(name, body)
     return out.getvalue()
@@ -323,13 +328,16 @@ def workbooks(spark: SparkSession, sf: str) -> DataFrame:
         "l_linestatus",
         "l_returnflag",
     )
-    books = lines.groupBy("path").agg(F.collect_list(F.struct(*[c for c in lines.columns if c != "path"])).alias("rows"))
+    books = lines.groupBy("path").agg(F.collect_list(F.struct(*_LINE_COLUMNS)).alias("rows"))
 
-    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield pd.DataFrame({"path": frame["path"], "content": [_xlsx(list(r)) for r in frame["rows"]]})
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths, rows = batch.column("path"), batch.column("rows")
+            lines = zip(*[c.to_pylist() for c in rows.flatten().flatten()])
+            books = [_xlsx(islice(lines, n)) for n in pc.list_value_length(rows).to_pylist()]
+            yield pa.RecordBatch.from_arrays([paths, pa.array(books, pa.binary())], ["path", "content"])
 
-    return books.mapInPandas(pack, "path STRING, content BINARY")
+    return books.mapInArrow(pack, "path STRING, content BINARY")
 
 
 def cell_text(name: str) -> Column:

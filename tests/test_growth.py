@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from tallyshelf.functions import typed
 from tallyshelf.registry import rendered_pages, text_queries
+from tallyshelf.sources import workbook
 
 
 def test_epoch_numbers_beyond_bigint(spark, tmp_path):
@@ -40,3 +44,51 @@ def test_product_pages_are_read_by_all_cores(spark, tmp_path):
     counts = pages.groupBy(F.spark_partition_id()).count().collect()
     assert len(counts) == spark.sparkContext.defaultParallelism and max(r["count"] for r in counts) <= 50
     assert pages.count() == 100
+
+
+def sheet(body: str) -> bytes:
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rel = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {ns} {rel}><sheets><sheet name="S" r:id="r0"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="r0" Target="worksheets/s.xml"/></Relationships>')
+        z.writestr("xl/worksheets/s.xml", f"<worksheet {ns}><sheetData>{body}</sheetData></worksheet>")
+    return out.getvalue()
+
+
+REGULAR = (
+    '<row r="1"><c r="A1" t="inlineStr"><is><t>a &amp; b</t></is></c><c r="C1" t="str"><v>x&#x41;</v></c></row>'
+    '<row><c><v>12</v></c><c/><c t="b"><v>1</v></c></row><row/><row r="5"><c r="B5"><v>1.50</v></c></row>'
+)
+
+
+def test_regular_sheets_are_parsed_once(monkeypatch):
+    opened = []
+    read = zipfile.ZipFile.open
+    monkeypatch.setattr(zipfile.ZipFile, "open", lambda self, name, *a, **k: opened.append(name) or read(self, name, *a, **k))
+    rows = list(workbook._book_rows("p", sheet(REGULAR), None))
+    assert opened.count("xl/worksheets/s.xml") == 1
+    assert [r["row_idx"] for r in rows] == [0, 1, 2, 3, 4]
+    assert rows[0]["header"] == ["a & b", "Unnamed: 1", "xA"]
+    assert rows[1]["cells"] == ["12", None, "True"] and rows[4]["kinds"] == ["e", "n", "e"]
+
+
+def test_sheets_spelled_otherwise_give_the_same_rows():
+    expected = list(workbook._book_rows("p", sheet(REGULAR), None))
+    others = [
+        REGULAR.replace("<v>12</v>", "<v><![CDATA[12]]></v>"),
+        REGULAR.replace("<row/>", "<row/>\n<!-- note -->"),
+        REGULAR.replace("<is><t>a &amp; b</t></is>", "<is><r><t>a </t></r><rPh><t>no</t></rPh><r><t>&amp; b</t></r></is>"),
+        REGULAR.replace('<c r="A1" t="inlineStr">', "<c t='inlineStr' r='A1'>"),
+    ]
+    for body in others:
+        assert list(workbook._book_rows("p", sheet(body), None)) == expected
+    assert "ParseError" in list(workbook._book_rows("p", sheet(REGULAR + "<row>"), None))[0]["error"]
+
+
+def test_a_spool_on_disk_gives_the_same_rows(monkeypatch):
+    body = "".join(f"<row><c><v>{i}</v></c></row>" for i in range(9_000))
+    expected = list(workbook._book_rows("p", sheet(body), None))
+    monkeypatch.setattr(workbook, "_SPOOL", 1000)
+    assert list(workbook._book_rows("p", sheet(body), None)) == expected and len(expected) == 9_000
