@@ -106,7 +106,9 @@ def stamp_or_null(c: Column, kind: Column | None = None, day_first: bool = False
         .when(c.rlike(SLASH_YEAR_FIRST), F.translate(c, "/", "-"))
         .when(c.rlike(SLASH_YEAR_LAST), F.regexp_replace(c, SLASH_YEAR_LAST, order))
     )
-    stamp = F.regexp_replace(iso, r"(\.\d{6})\d+", "$1").try_cast("timestamp")
+    # The shortest text with more than six places has 24 characters.
+    cut = F.when(F.octet_length(iso) < 24, iso).otherwise(F.regexp_replace(iso, r"(\.\d{6})\d+", "$1"))
+    stamp = cut.try_cast("timestamp")
     if kind is None:
         return stamp
     nanos = F.trim(c).try_cast("bigint")

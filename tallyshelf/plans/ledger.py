@@ -81,9 +81,13 @@ def stock(
 
 
 def statement_rows(raw: DataFrame) -> DataFrame:
-    """Data rows with ``tab`` and ``layout``; a raw layer read by tab already holds one sheet per tab."""
+    """Data rows with ``tab`` and ``layout``; a raw layer read by tab already holds one sheet per tab.
+
+    A raw layer that was landed with its ``layout`` keeps it.
+    """
     name = F.lower(text.strip(F.col("sheet")))
-    return data_rows(raw).withColumns({"tab": name, "layout": align.layout_key()})
+    layout = F.col("layout") if "layout" in raw.columns else align.layout_key()
+    return data_rows(raw).withColumns({"tab": name, "layout": layout})
 
 
 def weekly_statements(

@@ -17,18 +17,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyshelf import session
-from tallyshelf.registry.tables import table
+from tallyshelf.operators import align
+from tallyshelf.registry.tables import spread, table
 
 
 def _header(*names: str) -> str:
     return "array({})".format(", ".join(f"'{n}'" for n in names))
 
 
-def _spread(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """Rows dealt to all cores, so that the sheets rendered from them lie in several files."""
-    return table(spark, sf, name).repartition(spark.sparkContext.defaultParallelism)
-
-
 def _sheet(rows: DataFrame, path: str, sheet: str, header: str, cells: list[str], kinds: list[str], *extra: str) -> DataFrame:
     """Raw sheet rows from SQL expressions, landed as a table; an empty cell is missing."""
     shown = rows.selectExpr(
@@ -42,14 +38,14 @@ def _sheet(rows: DataFrame, path: str, sheet: str, header: str, cells: list[str]
         "array({}) AS said".format(", ".join(kinds)),
         "CAST(NULL AS STRING) AS error",
     )
-    pairs = F.arrays_zip("said", "cells")
-    kinds_col = F.transform(pairs, lambda p: F.when(F.coalesce(p["cells"], F.lit("")) == "", "e").otherwise(p["said"]))
-    return session.written(shown.withColumn("kinds", kinds_col).drop("said"), "sheet")
+    missing = "IF(coalesce(cells[{0}], '') = '', 'e', said[{0}])".format
+    kinds_col = F.expr("array({})".format(", ".join(missing(i) for i in range(len(cells)))))
+    return session.written(shown.withColumns({"kinds": kinds_col, "layout": align.layout_key()}).drop("said"), "sheet")
 
 
 def order_sheet(spark: SparkSession, sf: str) -> DataFrame:
     """Thirteen columns by position; the last is surplus."""
-    lines = _spread(spark, sf, "lineitem")
+    lines = spread(spark, sf, "lineitem")
     rows = lines.join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     rows = rows.join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     cells = [
@@ -168,7 +164,7 @@ DETAIL_EVEN = (
 
 def detail_sheets(spark: SparkSession, sf: str) -> DataFrame:
     """The ``bill details`` tab, one row per order line."""
-    rows = _spread(spark, sf, "lineitem").join(
+    rows = spread(spark, sf, "lineitem").join(
         table(spark, sf, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey")
     )
     odd = "month(l_shipdate) % 2 = 1"
@@ -218,7 +214,7 @@ def bill_sheets(spark: SparkSession, sf: str) -> DataFrame:
     ]
     header = f"IF({odd}, {_header(*BILL_ODD)}, {_header(*BILL_EVEN)})"
     return _sheet(
-        _spread(spark, sf, "orders"), _path("o_orderdate", "o_custkey"), "'Bill'", header, cells, ["'s'"] * len(cells), "o_orderkey"
+        spread(spark, sf, "orders"), _path("o_orderdate", "o_custkey"), "'Bill'", header, cells, ["'s'"] * len(cells), "o_orderkey"
     )
 
 
@@ -226,7 +222,7 @@ def storage_sheets(spark: SparkSession, sf: str) -> DataFrame:
     """The ``storage fee`` tab: no declared columns beyond the lineage."""
     cells = ["event_id", "user_id", "value", "date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS')", "event_type"]
     return _sheet(
-        _spread(spark, sf, "events"),
+        spread(spark, sf, "events"),
         _path("ts", "user_id"),
         "'STORAGE FEE'",
         _header("Row", "Shelf No.", "Fee (KES)", "Stored Since", "Kind"),
@@ -247,7 +243,7 @@ def fee_sheets(spark: SparkSession, sf: str) -> DataFrame:
     blank = "IF(o_orderkey % 11 = 0, '', {})".format
     cells = [blank("concat('T', o_custkey % 5)"), blank("CAST(o_totalprice AS STRING)"), blank("o_orderpriority")]
     rows = _sheet(
-        _spread(spark, sf, "orders"),
+        spread(spark, sf, "orders"),
         _path("o_orderdate", "o_custkey"),
         f"element_at({names}, CAST(1 + o_orderkey % {len(FEE_TABS)} AS INT))",
         _header("Store", "Amount (KES)", "Reason"),
@@ -266,7 +262,7 @@ def day_first_sheets(spark: SparkSession, sf: str) -> DataFrame:
         "date_format(l_shipdate, 'MM/dd/yyyy')",
     ]
     return _sheet(
-        _spread(spark, sf, "lineitem"),
+        spread(spark, sf, "lineitem"),
         _path("l_shipdate", "l_suppkey"),
         "'Bill Details'",
         _header("Order SN", "Payment Time", "Finnshed Time"),

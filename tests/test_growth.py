@@ -9,8 +9,10 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from tallyshelf.functions import typed
-from tallyshelf.registry import rendered_pages, text_queries
+from tallyshelf.functions import text, typed
+from tallyshelf.operators import align
+from tallyshelf.plans import ledger
+from tallyshelf.registry import rendered_pages, rendered_sheets, text_queries
 from tallyshelf.sources import workbook
 
 
@@ -34,6 +36,13 @@ def test_long_nanoseconds_are_exact(spark):
     assert found == {c: int(c) // 1000 for c in found}
 
 
+def test_strip_of_plain_and_odd_texts(spark):
+    cells = ["a", " a", "a ", "", " ", "a b", "\xa0a", "a ", "é", "é ", "\n", "x\n", "\x1fx", "~", "!", "\x7f"]
+    rows = spark.createDataFrame([(c,) for c in [*cells, None]], "c STRING").select("c", text.strip(F.col("c")).alias("s"))
+    for r in rows.collect():
+        assert r["s"] == (None if r["c"] is None else r["c"].strip()), repr(r["c"])
+
+
 def test_product_pages_are_read_by_all_cores(spark, tmp_path):
     part = {
         "p_partkey": pa.array(range(100), pa.int64()), "p_name": ["red box"] * 100, "p_brand": ["Brand#1"] * 100,
@@ -92,3 +101,17 @@ def test_a_spool_on_disk_gives_the_same_rows(monkeypatch):
     expected = list(workbook._book_rows("p", sheet(body), None))
     monkeypatch.setattr(workbook, "_SPOOL", 1000)
     assert list(workbook._book_rows("p", sheet(body), None)) == expected and len(expected) == 9_000
+
+
+def test_landed_sheets_carry_their_layout(spark, tmp_path):
+    orders = {
+        "o_orderkey": pa.array([1, 2], pa.int64()), "o_custkey": pa.array([1, 2], pa.int64()), "o_orderstatus": ["O", None],
+        "o_totalprice": [1.0, None], "o_orderdate": pa.array([0, 40 * 86_400_000_000], pa.timestamp("us")), "o_orderpriority": ["LOW", "LOW"],
+    }
+    pq.write_table(pa.table(orders), tmp_path / "orders.parquet")
+    raw = rendered_sheets.bill_sheets(spark, str(tmp_path))
+    rows = ledger.statement_rows(raw)
+    assert rows.filter(F.col("layout") == align.layout_key()).count() == 2
+    assert "md5" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    kinds = {r["o_orderkey"]: r["kinds"] for r in raw.collect()}
+    assert kinds == {1: ["s"] * 6, 2: ["s", "e", "s", "e", "e", "s"]}
