@@ -11,7 +11,8 @@ overlaps are counted once; counts inside a distinct chunk are weighted by its fr
 Counting takes three passes over the dictionary. The first adds up words and pairs of words in bins by
 their hash, one byte per bin and task, saturating at ``least``: a bin that stays below ``least`` holds
 nothing frequent. The second does so with the triples whose pairs pass. The third counts words, pairs
-that pass, and n-grams all of whose triples pass, by their text. Bins never lose a frequent phrase, they only keep rare ones from being moved; their number
+that pass, and n-grams all of whose triples pass, by their text. Each pass reads the dictionary in two parts a core at most, so what the parts
+send grows with the phrases, not with parts times phrases. Bins never lose a frequent phrase, they only keep rare ones from being moved; their number
 follows the size of the dictionary and ends at ``most_bins``, beyond which more rare phrases are moved
 and counted, with the same result. The driver and each task hold one bit per bin.
 
@@ -150,6 +151,15 @@ def _bin(hashes: np.ndarray, bins: int) -> np.ndarray:
     return (mixed >> np.uint64(64 - (bins.bit_length() - 1))).astype(np.int64)
 
 
+def _dealt(chunks: DataFrame) -> DataFrame:
+    """The same rows in two parts a core at most, read as they lie.
+
+    Every part sends what it found of each frequent phrase, so its rows are added up over as many chunks as
+    the cores allow, and a larger dictionary does not bring more parts.
+    """
+    return chunks.coalesce(2 * chunks.sparkSession.sparkContext.defaultParallelism)
+
+
 def _dense_bins(
     chunks: DataFrame, bins: int, least: int, every: int, most_words: int, pairs: Dense | None = None
 ) -> Dense:
@@ -190,15 +200,15 @@ def _dense_bins(
             [pa.array(list(dense), pa.int64()), pa.array(list(dense.values()), pa.binary())], ["block", "bits"]
         )
 
-    counted = chunks.mapInArrow(count, "block long, places binary, counts binary").repartition("block")
+    counted = _dealt(chunks).mapInArrow(count, "block long, places binary, counts binary").repartition("block")
     bits = np.zeros((bins // _BLOCK, _BLOCK // 8), np.uint8)
     for block, part in counted.mapInArrow(add, "block long, bits binary").collect():
         bits[block] = np.frombuffer(part, np.uint8)
     return Dense(bits.reshape(-1))
 
 
-def phrase_counts(chunks: DataFrame, pairs: Dense, triples: Dense, least: int, every: int, most_words: int) -> DataFrame:
-    """(lang, phrase, words, n): phrases that occur ``least`` times or more; words is 0 for all words of a language."""
+def partial_counts(chunks: DataFrame, pairs: Dense, triples: Dense, every: int, most_words: int) -> DataFrame:
+    """(lang, phrase, words, n): phrases that pass, counted within each part; words is 0 for all words of a language."""
 
     def put(held: dict[tuple[str, int, bytes], int]) -> pa.RecordBatch:
         columns = [
@@ -244,7 +254,12 @@ def phrase_counts(chunks: DataFrame, pairs: Dense, triples: Dense, least: int, e
                 held = {}
         yield put(held)
 
-    counted = chunks.mapInArrow(run, "lang string, phrase string, words int, n long")
+    return _dealt(chunks).mapInArrow(run, "lang string, phrase string, words int, n long")
+
+
+def phrase_counts(chunks: DataFrame, pairs: Dense, triples: Dense, least: int, every: int, most_words: int) -> DataFrame:
+    """(lang, phrase, words, n): phrases that occur ``least`` times or more; words is 0 for all words of a language."""
+    counted = partial_counts(chunks, pairs, triples, every, most_words)
     sums = counted.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
     return sums.where((F.col("n") >= least) | (F.col("words") == 0))
 

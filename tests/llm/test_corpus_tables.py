@@ -88,6 +88,16 @@ def test_no_phrases(spark):
     assert found_phrases(spark, []) == [] and found_phrases(spark, [("a b", "en"), (None, None)]) == []
 
 
+def test_parts_of_the_dictionary_send_a_phrase_once_for_many(spark):
+    rows = [("en", f"a b \n c{i}", 1) for i in range(400)]
+    chunks = spark.createDataFrame(rows, "lang string, chunk string, n long").repartition(100)
+    full = collocations.Dense(np.full(1 << 13, 255, np.uint8))
+    partial = collocations.partial_counts(chunks, full, full, 10**12, 5).where("phrase = 'a b'").collect()
+    assert len(partial) <= 2 * spark.sparkContext.defaultParallelism and sum(r["n"] for r in partial) == 400
+    counts = {r["phrase"]: r["n"] for r in collocations.phrase_counts(chunks, full, full, 100, 10**12, 5).collect()}
+    assert counts["a b"] == counts["a"] == counts["b"] == 400 and counts[""] == 1200 and len(counts) == 4
+
+
 # --- vector codes ------------------------------------------------------------------------
 
 
