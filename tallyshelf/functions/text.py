@@ -89,6 +89,12 @@ def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+def named_day(part: Column) -> Column:
+    """The date that a part of a file name spells as ``yyyyMMdd``, or NULL."""
+    spelled = F.concat_ws("-", F.left(part, F.lit(4)), F.substring(part, 5, 2), F.right(part, F.lit(2)))
+    return F.when(part.rlike(r"^(?!0000)\d{8}$"), spelled.try_cast("date"))
+
+
 # Both dates of a split file name, or NULL: the parts are looked at once each.
 _NAME_DATES = r"""p -> transform(array(named_struct(
     'start', IF(rlike(get(p, 0), r'^(?!0000)\d{8}$'),

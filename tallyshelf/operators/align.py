@@ -301,16 +301,24 @@ def file_classes(
     that the file lacks has NULL.
     """
     found = placed(rows, tab, layouts, [*extras, *times])
-    n, columns = 0, []
-    for source in [*extras, *times]:
-        spots = [F.get("at", F.lit(n + j)) for j in range(len(source.headers))]
-        n += len(spots)
-        said = [text.na_to_null(F.get("cells", spot)) for spot in spots]
-        if source in times:
-            masks = [typed.order_mask(text.strip(c)) for c in said]
-        else:
-            masks = [F.when(spot >= 0, cell_bit(c, F.get("kinds", spot))) for spot, c in zip(spots, said)]
+    # Looked up in one projection, cleaned in the next, so a cell's text is produced once however often it is looked at.
+    n, columns, looked_up, cleaned_up = 0, [], [], []
+    for i, source in enumerate([*extras, *times]):
+        masks = []
+        for _ in source.headers:
+            spot = F.get("at", F.lit(n))
+            said, kind, spot_name = f"_t{n}", f"_k{n}", f"_s{n}"
+            looked_up.append(F.get("cells", spot).alias(said))
+            if i >= len(extras):
+                cleaned_up.append(text.na_to_null(F.col(said)).alias(said))
+                masks.append(typed.order_mask(text.strip(F.col(said))))
+            else:
+                looked_up += [F.get("kinds", spot).alias(kind), spot.alias(spot_name)]
+                cleaned_up += [text.na_to_null(F.col(said)).alias(said), kind, spot_name]
+                masks.append(F.when(F.col(spot_name) >= 0, cell_bit(F.col(said), F.col(kind))))
+            n += 1
         columns.append(masks)
+    found = found.select("path", *looked_up).select("path", *cleaned_up)
     added = lambda masks: reduce(lambda a, b: F.coalesce(a.bitwiseOR(b), a, b), masks)
     kept = lambda masks: reduce(lambda a, b: a.bitwiseAND(b), masks)
     narrow = found.select(

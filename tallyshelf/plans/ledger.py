@@ -142,9 +142,9 @@ def _statement(
     Separate projections, because each step reads the previous one's result several times.
     """
     lineage = [
-        text.file_name(F.col("path")).alias("source_filename"),
-        F.col("_dates.start").alias("statement_start_date"),
-        F.col("_dates.end").alias("statement_end_date"),
+        F.col("_file").alias("source_filename"),
+        F.when(F.col("_day1").isNotNull(), F.col("_day0")).alias("statement_start_date"),
+        F.when(F.col("_day0").isNotNull(), F.col("_day1")).alias("statement_end_date"),
     ]
     own, extras = LINEAGE_COLUMNS, told.types
     used = [s for n, s in sources.items() if n not in own and (n in schema.names or n in extras)]
@@ -154,11 +154,13 @@ def _statement(
     numeric = {f.name for f in schema.fields if isinstance(f.dataType, (DoubleType, LongType))}
     numeric |= {n for n, t in extras.items() if t in ("BIGINT", "DOUBLE")}
 
-    found = align.placed(rows, tab, layouts, used).select("path", *align.lookups(used))
-    found = found.select("path", *kinds, *align.trimmed(len(used)))
-    found = found.select("path", *kinds, *align.cleaned(used))
-    dates = text.file_dates(F.col("path")).alias("_dates")
-    found = found.select("path", dates, *kinds, *texts, *align.numbers(at[n] for n in at if n in numeric))
+    found = align.placed(rows, tab, layouts, used)
+    found = found.select(text.file_name(F.col("path")).alias("_file"), *align.lookups(used))
+    found = found.select("_file", F.split("_file", "_").alias("_parts"), *kinds, *align.trimmed(len(used)))
+    days = [F.get("_parts", F.lit(i)).alias(f"_day{i}") for i in range(2)]
+    found = found.select("_file", *days, *kinds, *align.cleaned(used))
+    days = [text.named_day(F.col(f"_day{i}")).alias(f"_day{i}") for i in range(2)]
+    found = found.select("_file", *days, *kinds, *texts, *align.numbers(at[n] for n in at if n in numeric))
     declared = [
         align.typed_column(at.get(f.name), f, on_fraction, f.name in at and sources[f.name].loses_commas, f.name in told.day_first)
         for f in schema.fields

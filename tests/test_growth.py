@@ -115,3 +115,18 @@ def test_landed_sheets_carry_their_layout(spark, tmp_path):
     assert "md5" not in rows._jdf.queryExecution().optimizedPlan().toString()
     kinds = {r["o_orderkey"]: r["kinds"] for r in raw.collect()}
     assert kinds == {1: ["s"] * 6, 2: ["s", "e", "s", "e", "e", "s"]}
+
+
+def test_dates_of_file_names_are_made_in_steps(spark):
+    days = ["20240101_20240128", "20240231_20240228", "20240101", "2024010_20240128", "00000101_20240128", "20240101_20240128x", "_", "20240301_20240328\n"]
+    rows = [(f"/in/{d}_s1.xlsx", "Bill", 0, 1, ["Store ID", "Extra"], ["S1", "7"], ["s", "n"], None) for d in days]
+    raw = spark.createDataFrame(
+        rows, "path STRING, sheet STRING, sheet_pos INT, row_idx INT, header ARRAY<STRING>, cells ARRAY<STRING>, kinds ARRAY<STRING>, error STRING"
+    )
+    found = ledger.weekly_statements(ledger.statement_rows(raw))["bill"]
+    assert "named_struct(start" not in found._jdf.queryExecution().optimizedPlan().toString()
+    dates = F.struct(F.col("statement_start_date").alias("start"), F.col("statement_end_date").alias("end"))
+    names = raw.select(text.file_name(F.col("path")).alias("name"), text.file_dates(F.col("path")).alias("d"))
+    expected = {r["name"]: tuple(r["d"] or (None, None)) for r in names.collect()}
+    assert {r["source_filename"]: tuple(r["d"]) for r in found.select("source_filename", dates.alias("d")).collect()} == expected
+    assert sum(d[0] is not None for d in expected.values()) == 2
