@@ -105,7 +105,8 @@ def weekly_statements(
     """
     rows = rows.filter(F.col("tab").isin(*schemas))
     if land:
-        rows = session.written(rows.select("tab", "path", "layout", "header", "cells", "kinds"), "statement-rows", ["tab"])
+        landed = rows.select("tab", "path", "layout", "header", "cells", "kinds")
+        rows = session.written(landed, "statement-rows", ["tab"], codec="zstd")
     layouts = align.tab_layouts(rows)
     sources = {tab: found.sources(mode) for tab, found in layouts.tabs.items()}
     extras = {

@@ -58,7 +58,9 @@ def weekly_day_first(spark, sf):
 
 
 def _every_tab(spark: SparkSession, sf: str) -> DataFrame:
-    sheets = [rs.detail_sheets(spark, sf), rs.bill_sheets(spark, sf).drop("o_orderkey"), rs.storage_sheets(spark, sf), rs.fee_sheets(spark, sf)]
+    """Sheets of all tabs, not landed: the statements land them, by tab, in the one pass that reads them."""
+    made = [f(spark, sf, land=False) for f in (rs.detail_sheets, rs.bill_sheets, rs.storage_sheets, rs.fee_sheets)]
+    sheets = [made[0], made[1].drop("o_orderkey"), *made[2:]]
     return reduce(DataFrame.unionByName, sheets)
 
 
@@ -75,9 +77,10 @@ def all_statement_tabs(spark, sf):
 
 def statement_tables(spark, sf):
     """Every tab into its own table; rows and columns read back from the tables."""
-    raw = _every_tab(spark, sf)
     prefix = _fresh("weekly") + "_"
-    outcome = sinks.write_tabs(ledger.weekly_statements(ledger.statement_rows(raw)), STATEMENT_TABS, prefix)
+    with session.scratch_scope(spark):
+        raw = _every_tab(spark, sf)
+        outcome = sinks.write_tabs(ledger.weekly_statements(ledger.statement_rows(raw)), STATEMENT_TABS, prefix)
     stored = [
         spark.table(prefix + STATEMENT_TABS[tab]).agg(
             F.lit(tab).alias("tab"), F.lit(said).alias("outcome"), F.count("*").alias("rows"),

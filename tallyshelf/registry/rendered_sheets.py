@@ -25,8 +25,13 @@ def _header(*names: str) -> str:
     return "array({})".format(", ".join(f"'{n}'" for n in names))
 
 
-def _sheet(rows: DataFrame, path: str, sheet: str, header: str, cells: list[str], kinds: list[str], *extra: str) -> DataFrame:
-    """Raw sheet rows from SQL expressions, landed as a table; an empty cell is missing."""
+def _sheet(
+    rows: DataFrame, path: str, sheet: str, header: str, cells: list[str], kinds: list[str], *extra: str, land: bool = True
+) -> DataFrame:
+    """Raw sheet rows from SQL expressions; an empty cell is missing.
+
+    They are landed as a table; ``land=False`` is for a job that reads them once and lands them itself.
+    """
     shown = rows.selectExpr(
         *extra,
         f"{path} AS path",
@@ -40,7 +45,8 @@ def _sheet(rows: DataFrame, path: str, sheet: str, header: str, cells: list[str]
     )
     missing = "IF(coalesce(cells[{0}], '') = '', 'e', said[{0}])".format
     kinds_col = F.expr("array({})".format(", ".join(missing(i) for i in range(len(cells)))))
-    return session.written(shown.withColumns({"kinds": kinds_col, "layout": align.layout_key()}).drop("said"), "sheet")
+    raw = shown.withColumns({"kinds": kinds_col, "layout": align.layout_key()}).drop("said")
+    return session.written(raw, "sheet") if land else raw
 
 
 def order_sheet(spark: SparkSession, sf: str) -> DataFrame:
@@ -162,11 +168,13 @@ DETAIL_EVEN = (
 )
 
 
-def detail_sheets(spark: SparkSession, sf: str) -> DataFrame:
-    """The ``bill details`` tab, one row per order line."""
-    rows = spread(spark, sf, "lineitem").join(
-        table(spark, sf, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey")
-    )
+def detail_sheets(spark: SparkSession, sf: str, land: bool = True) -> DataFrame:
+    """The ``bill details`` tab, one row per order line.
+
+    The join deals the lines to all cores, so they are moved once, and looks names up without sorting the lines.
+    """
+    names = table(spark, sf, "part").select("p_partkey", "p_name").hint("shuffle_hash")
+    rows = table(spark, sf, "lineitem").join(names, F.col("l_partkey") == F.col("p_partkey"))
     odd = "month(l_shipdate) % 2 = 1"
     cells = [
         "concat(' S', l_suppkey % 4, ' ')",
@@ -193,7 +201,7 @@ def detail_sheets(spark: SparkSession, sf: str) -> DataFrame:
     kinds = ["'s'"] * 12 + ["'n'", "'n'", "'b'", "'d'", "'s'", "'n'", "IF(l_returnflag = 'A', 'n', 's')", "'s'"]
     header = f"IF({odd}, {_header(*DETAIL_ODD)}, {_header(*DETAIL_EVEN)})"
     return _sheet(
-        rows, _path("l_shipdate", "l_suppkey"), f"IF({odd}, 'bill details', ' Bill Details ')", header, cells, kinds
+        rows, _path("l_shipdate", "l_suppkey"), f"IF({odd}, 'bill details', ' Bill Details ')", header, cells, kinds, land=land
     )
 
 
@@ -201,7 +209,7 @@ BILL_ODD = ("Store ID", "Total Valume", "Goods Number", "Settlement Payable(1)",
 BILL_EVEN = ("store id", "Total Valume", "Goods Number", "Settlement Payable (1)", "Settlement Payable（2）", "Remark")
 
 
-def bill_sheets(spark: SparkSession, sf: str) -> DataFrame:
+def bill_sheets(spark: SparkSession, sf: str, land: bool = True) -> DataFrame:
     """The ``bill`` tab, one row per order."""
     odd = "month(o_orderdate) % 2 = 1"
     cells = [
@@ -214,11 +222,11 @@ def bill_sheets(spark: SparkSession, sf: str) -> DataFrame:
     ]
     header = f"IF({odd}, {_header(*BILL_ODD)}, {_header(*BILL_EVEN)})"
     return _sheet(
-        spread(spark, sf, "orders"), _path("o_orderdate", "o_custkey"), "'Bill'", header, cells, ["'s'"] * len(cells), "o_orderkey"
+        spread(spark, sf, "orders"), _path("o_orderdate", "o_custkey"), "'Bill'", header, cells, ["'s'"] * len(cells), "o_orderkey", land=land
     )
 
 
-def storage_sheets(spark: SparkSession, sf: str) -> DataFrame:
+def storage_sheets(spark: SparkSession, sf: str, land: bool = True) -> DataFrame:
     """The ``storage fee`` tab: no declared columns beyond the lineage."""
     cells = ["event_id", "user_id", "value", "date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS')", "event_type"]
     return _sheet(
@@ -228,6 +236,7 @@ def storage_sheets(spark: SparkSession, sf: str) -> DataFrame:
         _header("Row", "Shelf No.", "Fee (KES)", "Stored Since", "Kind"),
         cells,
         ["'n'", "'n'", "'n'", "'d'", "'s'"],
+        land=land,
     )
 
 
@@ -237,7 +246,7 @@ FEE_TABS = (
 )
 
 
-def fee_sheets(spark: SparkSession, sf: str) -> DataFrame:
+def fee_sheets(spark: SparkSession, sf: str, land: bool = True) -> DataFrame:
     """The other tabs, one row per order; some rows are blank, and sheets of June have no data."""
     names = _header(*(f" {t.title()}" for t in FEE_TABS))
     blank = "IF(o_orderkey % 11 = 0, '', {})".format
@@ -250,6 +259,7 @@ def fee_sheets(spark: SparkSession, sf: str) -> DataFrame:
         cells,
         ["'s'"] * len(cells),
         "month(o_orderdate) = 6 AS no_data",
+        land=land,
     )
     return rows.withColumn("row_idx", F.when(F.col("no_data"), 0).otherwise(1)).drop("no_data")
 

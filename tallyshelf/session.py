@@ -93,7 +93,32 @@ def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="tallyshelf-scratch-")
 
 
-def written(df: DataFrame, name: str, partition_by: Sequence[str] = (), files: int | None = None) -> DataFrame:
+@contextmanager
+def _set(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold within the block only."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+# For rows landed by folder. A few writers are open per task instead of sorting its rows by their folder, which would
+# put all of them on disk once more; past that number Spark sorts. Their row groups are small, for the memory they
+# take together. What was shuffled for the write goes with its end; nothing else reads it.
+_BY_FOLDER = {
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
+_SMALL_GROUPS = {"parquet.block.size": str(32 * 1024 * 1024)}
+
+
+def written(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), files: int | None = None, codec: str | None = None
+) -> DataFrame:
     """Write ``df`` once as parquet under the scratch root and read it back; ``files`` deals its rows to so many files.
 
     Used where several branches need one expensive result (parsed pages). The files outlive
@@ -102,7 +127,9 @@ def written(df: DataFrame, name: str, partition_by: Sequence[str] = (), files: i
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     dealt = df if files is None else df.repartition(files)
-    dealt.write.partitionBy(*partition_by).parquet(path)
+    options = (_SMALL_GROUPS if partition_by else {}) | ({"compression": codec} if codec else {})
+    with _set(spark, _BY_FOLDER if partition_by else {}):
+        dealt.write.options(**options).partitionBy(*partition_by).parquet(path)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import io
+import time
 import zipfile
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
+from tallyshelf import session
 from tallyshelf.functions import text, typed
 from tallyshelf.operators import align
 from tallyshelf.plans import ledger
-from tallyshelf.registry import rendered_pages, rendered_sheets, text_queries
+from tallyshelf.registry import ledger_queries, rendered_pages, rendered_sheets, tables, text_queries
 from tallyshelf.sources import workbook
 
 
@@ -130,3 +134,81 @@ def test_dates_of_file_names_are_made_in_steps(spark):
     expected = {r["name"]: tuple(r["d"] or (None, None)) for r in names.collect()}
     assert {r["source_filename"]: tuple(r["d"]) for r in found.select("source_filename", dates.alias("d")).collect()} == expected
     assert sum(d[0] is not None for d in expected.values()) == 2
+
+
+def statement_inputs(home) -> str:
+    """Ten orders with three lines each, parts and events, as the statement queries read them."""
+    months = pa.array([i * 31 * 86_400_000_000 for i in range(10)], pa.timestamp("us"))
+    keys, thrice = pa.array(range(10), pa.int64()), pa.array([i for i in range(10) for _ in range(3)], pa.int64())
+    given = {
+        "orders": {
+            "o_orderkey": keys, "o_custkey": keys, "o_orderstatus": ["O", "F"] * 5, "o_totalprice": [1.5] * 10, "o_orderdate": months,
+            "o_orderpriority": ["LOW"] * 10,
+        },
+        "lineitem": {
+            "l_orderkey": thrice, "l_partkey": thrice, "l_suppkey": thrice, "l_linenumber": pa.array([1, 2, 3] * 10, pa.int32()),
+            "l_quantity": [2.0] * 30, "l_extendedprice": [9.5] * 30, "l_discount": [0.1] * 30, "l_tax": [0.0] * 30,
+            "l_returnflag": ["A", "N", "R"] * 10, "l_linestatus": ["O", "F"] * 15, "l_shipdate": months.take(thrice),
+        },
+        "part": {"p_partkey": pa.array(range(9), pa.int64()), "p_name": ["red box"] * 9},
+        "events": {"event_id": keys, "ts": months, "user_id": keys, "event_type": ["view"] * 10, "value": [0.5] * 10},
+    }
+    for name, columns in given.items():
+        pq.write_table(pa.table(columns), home / f"{name}.parquet")
+    return str(home)
+
+
+def test_statement_rows_are_landed_once_and_go_when_stored(spark, tmp_path, monkeypatch):
+    landed, write = [], session.written
+    monkeypatch.setattr(session, "written", lambda df, name, *a, **k: landed.append((name, out := write(df, name, *a, **k))) or out)
+    found = ledger_queries.statement_tables(spark, statement_inputs(tmp_path))
+    assert [name for name, _ in landed] == ["statement-rows", "layouts"]
+    assert not any(Path(f.removeprefix("file://")).exists() for _, df in landed for f in df.inputFiles())
+    counts = {r["tab"]: (r["outcome"], r["rows"]) for r in found.collect()}
+    assert counts["bill details"] == ("ok", 27) and counts["bill"] == ("ok", 10) and counts["storage fee"] == ("ok", 10)
+
+
+def shuffle_files(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_what_a_landing_by_folder_shuffled_goes_with_its_end(spark):
+    before = shuffle_files(spark)
+    rows = spark.range(0, 4000, 1, 4).repartition(3).selectExpr("id", "concat('t', id % 5) AS tab")
+    seen = session.written(rows, "by-folder", ["tab"])
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert seen.count() == 4000
+
+
+@pytest.mark.parametrize("folders", [5, 40])  # 40: more than writers are open
+def test_rows_landed_by_folder(spark, folders):
+    settings = {key: spark.conf.get(key) for key in session._BY_FOLDER}
+    rows = spark.range(0, 4000, 1, 4).repartition(2).selectExpr("id", f"concat('t', id % {folders}) AS tab")
+    seen = session.written(rows, "by-folder", ["tab"], codec="zstd")
+    assert sorted(map(tuple, seen.select("id", "tab").collect())) == sorted(map(tuple, rows.collect()))
+    assert all(f.endswith(".zstd.parquet") for f in seen.inputFiles()) and len(seen.inputFiles()) >= folders
+    assert {key: spark.conf.get(key) for key in session._BY_FOLDER} == settings
+
+
+def test_lines_are_moved_once_for_their_names(spark, tmp_path):
+    sheets = rendered_sheets.detail_sheets(spark, statement_inputs(tmp_path), land=False)
+    plan = sheets._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "RoundRobinPartitioning" not in plan and "Sort [" not in plan
+
+
+def test_tables_of_many_row_groups_are_not_dealt(spark, tmp_path):
+    home = tmp_path / "a b"
+    (home / "events.parquet").mkdir(parents=True)
+    for i in range(8):
+        pq.write_table(pa.table({"event_id": pa.array(range(i * 10, i * 10 + 10), pa.int64())}), home / f"events.parquet/{i}.parquet")
+    pq.write_table(pa.table({"o_orderkey": pa.array(range(80), pa.int64())}), home / "orders.parquet", row_group_size=5)
+    dealt = lambda df: "RoundRobinPartitioning" in df._jdf.queryExecution().executedPlan().toString()
+    # Eight files are read by all four cores, two each; sixteen row groups of one small file are read by one.
+    events, orders = tables.spread(spark, str(home), "events"), tables.spread(spark, str(home), "orders")
+    assert not dealt(events) and dealt(orders)
+    assert sorted(r[0] for r in events.collect()) == sorted(r[0] for r in orders.collect()) == list(range(80))
